@@ -22,6 +22,7 @@ def parse_envelopes(
     after: T.StructType,
     payload_col: str = "json_payload",
     keep_deletes: bool = False,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Parse change envelopes with a declared row schema and flatten ``payload.after``.
 
@@ -29,7 +30,8 @@ def parse_envelopes(
     (``_cdc_partition``, ``_cdc_offset``) used to break ties. By default
     delete events are dropped here (``op != 'd'``); rows whose ``op`` is null
     (tombstones, unparsable text) are dropped as well, because the predicate
-    is not true for them.
+    is not true for them. With ``keep_deletes`` the delete events stay, their
+    ``keys`` taken from ``payload.before`` (a delete has no ``after``).
     """
     env = F.from_json(F.col(payload_col), envelope_schema(after))
     cols = bronze.columns
@@ -45,8 +47,13 @@ def parse_envelopes(
     else:
         parsed = parsed.where(op != "d")
         extra = []
+    row_cols = [
+        (F.coalesce(F.col(f"_env.payload.after.{f.name}"), F.col(f"_env.payload.before.{f.name}"))
+         if f.name in keys else F.col(f"_env.payload.after.{f.name}")).alias(f.name)
+        for f in after.fields
+    ]
     return parsed.select(
-        "_env.payload.after.*",
+        *row_cols,
         F.col("_env.payload.source.ts_ms").alias(TS_COL),
         POS_PARTITION,
         POS_OFFSET,
@@ -93,7 +100,7 @@ def latest_state(
     """
     if deletes not in ("ignore", "apply"):
         raise ValueError("deletes must be 'ignore' or 'apply'")
-    rows = parse_envelopes(bronze, after, keep_deletes=deletes == "apply")
+    rows = parse_envelopes(bronze, after, keep_deletes=deletes == "apply", keys=keys)
     latest = latest_per_key(rows, keys)
     if deletes == "apply":
         latest = latest.where(F.col(OP_COL) != "d").drop(OP_COL)

@@ -41,7 +41,7 @@ def card_profile(
     sized by the number of cards, not by the number of transactions.
     """
     mc = master_card.groupBy("Card_Raw_ID").agg(
-        F.max("Client_No").alias("client_no"),
+        F.max("Client_No").alias("_mc_client"),
         F.max("Bank_ID").alias("Bank_ID"),
         F.max("Card_Network_ID").alias("Card_Network_ID"),
     )
@@ -49,15 +49,15 @@ def card_profile(
         _pick(accounts.where(F.col("is_primary") == F.lit(True)), ["client_no", "account_number", "current_balance", "account_status"]),
         "client_no",
         ["account_number"],
-    )
+    ).withColumnRenamed("client_no", "_pa_client")
     up = _pick(users, ["client_no", "full_name", "email_address", "phone_number", "customer_segment", "kyc_level"])
+    # the client shown is the matched profile's (null when the link points to no profile)
     return (
         mc.join(_pick(banks, ["Bank_ID", "Bank_Name"]), "Bank_ID", "left")
         .join(_pick(networks, ["Card_Network_ID", "Network_Name", "Card_Type"]), "Card_Network_ID", "left")
-        .join(up, mc["client_no"] == up["client_no"], "left")
-        .drop(up["client_no"])
-        .join(primary, mc["client_no"] == primary["client_no"], "left")
-        .drop(primary["client_no"])
+        .join(up, F.col("_mc_client") == up["client_no"], "left")
+        .join(primary, F.col("client_no") == F.col("_pa_client"), "left")
+        .drop("_mc_client", "_pa_client")
     )
 
 

@@ -37,7 +37,7 @@ def silver_fact(bronze: DataFrame, deletes: str = "ignore") -> DataFrame:
     if deletes == "ignore":
         rows = parse_envelopes(bronze, spec.schema)
     else:
-        rows = parse_envelopes(bronze, spec.schema, keep_deletes=True)
+        rows = parse_envelopes(bronze, spec.schema, keep_deletes=True, keys=spec.key)
     rows = rows.withColumn("TransactionAmt", decode_decimal("TransactionAmt", scale=3))
     rows = fill_defaults(rows, FACT_FILL)
     latest = latest_per_key(rows, spec.key)

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from cdclake.functions.decimal import encode_decimal
 from cdclake.functions.timefn import epoch_millis
+from cdclake.operators.aggregates import keep_one_per_key
 from cdclake.schemas import TOPIC_PREFIX, TableSpec, struct
 
 PARTITIONS = 3  # partitions per topic of the simulated change stream
@@ -78,7 +79,11 @@ def source_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     p = table(spark, sf_dir, "part")
-    first = li.groupBy("l_orderkey").agg(F.min_by("l_partkey", "l_linenumber").alias("_partkey"))
+    # the first line of each order; line numbers repeat in the test data, so the
+    # smaller part breaks ties (a rank-1 window: partial group limit before the shuffle)
+    first = keep_one_per_key(li.select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey"],
+                             [F.col("l_linenumber").asc(), F.col("l_partkey").asc()])
+    first = first.select("l_orderkey", F.col("l_partkey").alias("_partkey"))
     j = first.join(p, first["_partkey"] == p["p_partkey"], "left")
     return j.select(
         F.col("l_orderkey").alias("TransactionID"),
@@ -93,10 +98,12 @@ def source_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _records(rows: DataFrame, topic: str, key_cols: list[str], after_cols: list[Column],
              op: Column, ts_ms: Column, offset: Column) -> DataFrame:
     key = F.to_json(F.struct(*[F.col(k) for k in key_cols]))
+    # a delete carries the row key in ``before`` and no ``after``
+    before = F.when(op == "d", F.struct(*[F.col(k) for k in key_cols])).otherwise(F.lit(None))
     value = F.to_json(
         F.struct(
             F.struct(
-                F.lit(None).cast("string").alias("before"),
+                before.alias("before"),
                 F.when(op == "d", F.lit(None)).otherwise(F.struct(*after_cols)).alias("after"),
                 op.alias("op"),
                 F.struct(ts_ms.alias("ts_ms")).alias("source"),

@@ -222,6 +222,7 @@ def envelope_schema(after: T.StructType) -> T.StructType:
     """``{"payload": {"before", "after", "op", "source": {"ts_ms"}}}`` around a row schema."""
     return T.StructType([
         T.StructField("payload", T.StructType([
+            T.StructField("before", after, True),
             T.StructField("after", after, True),
             T.StructField("op", T.StringType(), True),
             T.StructField("source", T.StructType([T.StructField("ts_ms", T.LongType(), True)]), True),
