@@ -23,6 +23,7 @@ def parse_envelopes(
     payload_col: str = "json_payload",
     keep_deletes: bool = False,
     keys: Sequence[str] = (),
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Parse change envelopes with a declared row schema and flatten ``payload.after``.
 
@@ -32,21 +33,26 @@ def parse_envelopes(
     (tombstones, unparsable text) are dropped as well, because the predicate
     is not true for them. With ``keep_deletes`` the delete events stay, their
     ``keys`` taken from ``payload.before`` (a delete has no ``after``).
+
+    ``columns`` restricts parsing to those fields of the declared schema (the
+    JSON parser then skips the rest). The op filter reads the text with
+    ``get_json_object``, so the full parse runs once per kept row; a filter on
+    the parsed struct would be pushed below the projection and parse twice.
     """
-    env = F.from_json(F.col(payload_col), envelope_schema(after))
+    if columns is not None:
+        wanted = set(columns) | set(keys)
+        after = T.StructType([f for f in after.fields if f.name in wanted])
+    before = T.StructType([f for f in after.fields if f.name in keys])
+    env = F.from_json(F.col(payload_col), envelope_schema(after, before))
     cols = bronze.columns
     pos = [
         (F.col("partition") if "partition" in cols else F.lit(None).cast("int")).alias(POS_PARTITION),
         (F.col("offset") if "offset" in cols else F.lit(None).cast("long")).alias(POS_OFFSET),
     ]
-    parsed = bronze.select(env.alias("_env"), *pos)
-    op = F.col("_env.payload.op")
-    if keep_deletes:
-        parsed = parsed.where(op.isNotNull())
-        extra = [op.alias(OP_COL)]
-    else:
-        parsed = parsed.where(op != "d")
-        extra = []
+    op_text = F.get_json_object(F.col(payload_col), "$.payload.op")
+    kept = bronze.where(op_text.isNotNull()) if keep_deletes else bronze.where(op_text != "d")
+    parsed = kept.select(env.alias("_env"), *pos)
+    extra = [F.col("_env.payload.op").alias(OP_COL)] if keep_deletes else []
     row_cols = [
         (F.coalesce(F.col(f"_env.payload.after.{f.name}"), F.col(f"_env.payload.before.{f.name}"))
          if f.name in keys else F.col(f"_env.payload.after.{f.name}")).alias(f.name)

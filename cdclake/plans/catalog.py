@@ -209,7 +209,7 @@ def q_silver_fact(spark, d):
 
 
 def q_dedup_metrics(spark, d):
-    rows = parse_envelopes(txn_bronze(spark, d), TABLES["transaction"].schema)
+    rows = parse_envelopes(txn_bronze(spark, d), TABLES["transaction"].schema, columns=["TransactionID"])
     return agg.dedup_metrics(rows, "TransactionID")
 
 
@@ -486,7 +486,7 @@ def q_table_counts(spark, d):
 
 
 def q_dq_unique(spark, d):
-    rows = parse_envelopes(txn_bronze(spark, d), TABLES["transaction"].schema)
+    rows = parse_envelopes(txn_bronze(spark, d), TABLES["transaction"].schema, columns=["TransactionID"])
     return dq.unique_violations(rows, ["TransactionID"])
 
 

@@ -16,6 +16,7 @@ from cdclake.operators.features import fill_defaults, zscore
 from cdclake.operators.gold import build_gold
 from cdclake.schemas import DIMENSION_TABLES, TABLES, TableSpec
 from cdclake.sinks.export import export_parquet, materialize, refresh_serving
+from cdclake.session import scratch_path
 from cdclake.sinks.snapshots import SnapshotTable
 from cdclake.sources import seeds
 from cdclake.sources.bronze import read_bronze_table
@@ -26,12 +27,19 @@ log = logging.getLogger(__name__)
 FACT_FILL = {"TransactionAmt": 0.0, "card1": -1}
 
 
-def silver_fact(bronze: DataFrame, deletes: str = "ignore") -> DataFrame:
+def silver_fact(bronze: DataFrame, deletes: str = "ignore", staging_path: str | None = None) -> DataFrame:
     """Transaction change rows -> one row per TransactionID with amount features.
 
     Parse with the declared 394-field schema, decode the amount (guarded),
     fill nulls, keep the latest row per id and add ``avg_amt``, ``std_amt``
     and ``z_score`` per card (``card1``).
+
+    The latest rows are written once as parquet to ``staging_path`` (default:
+    a fresh folder under the shared checkpoint folder) and read back: the
+    per-card statistics and the rows they are joined to then both read that
+    table (the statistics only two columns of it) instead of parsing and
+    shuffling the change stream twice. The write also cuts the lineage, so a
+    lost executor re-reads the staging files rather than the stream.
     """
     spec = TABLES["transaction"]
     if deletes == "ignore":
@@ -43,7 +51,10 @@ def silver_fact(bronze: DataFrame, deletes: str = "ignore") -> DataFrame:
     latest = latest_per_key(rows, spec.key)
     if deletes == "apply":
         latest = latest.where(F.col("_cdc_op") != "d").drop("_cdc_op")
-    return zscore(latest, "card1", "TransactionAmt").drop(TS_COL)
+    spark = bronze.sparkSession
+    path = staging_path or scratch_path(spark, "silver-fact-latest")
+    latest.drop(TS_COL).write.mode("overwrite").parquet(path)
+    return zscore(spark.read.parquet(path), "card1", "TransactionAmt")
 
 
 def silver_table(bronze: DataFrame, spec: TableSpec, deletes: str = "ignore") -> DataFrame:

@@ -218,11 +218,15 @@ KAFKA_RECORD = T.StructType([
 ])
 
 
-def envelope_schema(after: T.StructType) -> T.StructType:
-    """``{"payload": {"before", "after", "op", "source": {"ts_ms"}}}`` around a row schema."""
+def envelope_schema(after: T.StructType, before: T.StructType | None = None) -> T.StructType:
+    """``{"payload": {"before", "after", "op", "source": {"ts_ms"}}}`` around a row schema.
+
+    ``before`` defaults to the row schema; readers that only need the key of a
+    delete pass the key fields alone.
+    """
     return T.StructType([
         T.StructField("payload", T.StructType([
-            T.StructField("before", after, True),
+            T.StructField("before", after if before is None else before, True),
             T.StructField("after", after, True),
             T.StructField("op", T.StringType(), True),
             T.StructField("source", T.StructType([T.StructField("ts_ms", T.LongType(), True)]), True),

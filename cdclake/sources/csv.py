@@ -60,10 +60,14 @@ def load_files(spark: SparkSession, files: Sequence[str], schema: T.StructType)
         value = src.try_cast(fld.dataType)
         typed.append(value.alias(fld.name))
         bad.append(src.isNotNull() & value.isNull())
-    failed = bad[0]
-    for b in bad[1:]:
-        failed = failed | b
-    return raw.select(*typed, F.col(RANK_COL), failed.alias(BAD_COL))
+    return raw.select(*typed, F.col(RANK_COL), _any(bad).alias(BAD_COL))
+
+
+def _any(conds: list) -> "F.Column":
+    """OR of many conditions as a balanced tree (a 400-deep chain overflows the analyzer)."""
+    while len(conds) > 1:
+        conds = [conds[i] | conds[i + 1] if i + 1 < len(conds) else conds[i] for i in range(0, len(conds), 2)]
+    return conds[0]
 
 
 def accepted_rows(loaded: DataFrame) -> DataFrame:
