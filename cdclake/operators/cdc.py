@@ -90,6 +90,47 @@ def latest_per_key(
     return out
 
 
+def latest_records(
+    bronze: DataFrame,
+    after: T.StructType,
+    keys: Sequence[str],
+    deletes: str = "ignore",
+    payload_col: str = "json_payload",
+) -> DataFrame:
+    """The bronze rows that hold the latest change of each key (still unparsed).
+
+    Only a small header (keys, change time, op) is parsed to pick the winner;
+    the shuffle moves the compact payload text, and the wide row schema is
+    parsed afterwards for the winners alone. With ``deletes="ignore"`` deletes
+    are dropped before the pick (a deleted key keeps its last live version);
+    with ``"apply"`` a key whose latest change is a delete has no row.
+    """
+    if deletes not in ("ignore", "apply"):
+        raise ValueError("deletes must be 'ignore' or 'apply'")
+    key_schema = T.StructType([f for f in after.fields if f.name in keys])
+    header = F.from_json(F.col(payload_col), envelope_schema(key_schema, key_schema))
+    op_text = F.get_json_object(F.col(payload_col), "$.payload.op")
+    kept = bronze.where(op_text.isNotNull()) if deletes == "apply" else bronze.where(op_text != "d")
+    cols = bronze.columns
+    h = kept.select(
+        header.alias("_h"),
+        F.col(payload_col),
+        (F.col("partition") if "partition" in cols else F.lit(None).cast("int")).alias("partition"),
+        (F.col("offset") if "offset" in cols else F.lit(None).cast("long")).alias("offset"),
+    )
+    keyed = h.select(
+        *[F.coalesce(F.col(f"_h.payload.after.{k}"), F.col(f"_h.payload.before.{k}")).alias(f"_k_{k}") for k in keys],
+        F.col("_h.payload.source.ts_ms").alias(TS_COL),
+        F.col("_h.payload.op").alias(OP_COL),
+        payload_col, "partition", "offset",
+    )
+    order = [F.col(TS_COL).desc_nulls_last(), F.col("partition").desc_nulls_last(), F.col("offset").desc_nulls_last()]
+    winners = latest_per_key(keyed, [f"_k_{k}" for k in keys], order=order, drop_helpers=False)
+    if deletes == "apply":
+        winners = winners.where(F.col(OP_COL) != "d")
+    return winners.select(payload_col, "partition", "offset")
+
+
 def latest_state(
     bronze: DataFrame,
     after: T.StructType,
@@ -97,20 +138,16 @@ def latest_state(
     deletes: str = "ignore",
     keep_ts: bool = False,
 ) -> DataFrame:
-    """Current state of a table from its change stream.
+    """Current state of a table from its change stream: latest row per key, flattened.
 
     ``deletes="ignore"``: deletes are filtered before the latest row is
     picked, so a deleted key keeps its last live version (the behaviour of
     the jobs this replaces). ``deletes="apply"``: the latest event wins and
     keys whose latest event is a delete disappear.
     """
-    if deletes not in ("ignore", "apply"):
-        raise ValueError("deletes must be 'ignore' or 'apply'")
-    rows = parse_envelopes(bronze, after, keep_deletes=deletes == "apply", keys=keys)
-    latest = latest_per_key(rows, keys)
-    if deletes == "apply":
-        latest = latest.where(F.col(OP_COL) != "d").drop(OP_COL)
-    return latest if keep_ts else latest.drop(TS_COL)
+    rows = parse_envelopes(latest_records(bronze, after, keys, deletes), after)
+    rows = rows.drop(POS_PARTITION, POS_OFFSET)
+    return rows if keep_ts else rows.drop(TS_COL)
 
 
 def infer_json_schema(df: DataFrame, col: str, sampling_ratio: float = 1.0) -> T.StructType:

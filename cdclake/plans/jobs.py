@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdclake.functions.decimal import decode_decimal
-from cdclake.operators.cdc import TS_COL, latest_per_key, latest_state, parse_envelopes
+from cdclake.operators.cdc import POS_OFFSET, POS_PARTITION, TS_COL, latest_records, latest_state, parse_envelopes
 from cdclake.operators.features import fill_defaults, zscore
 from cdclake.operators.gold import build_gold
 from cdclake.schemas import DIMENSION_TABLES, TABLES, TableSpec
@@ -42,15 +42,10 @@ def silver_fact(bronze: DataFrame, deletes: str = "ignore", staging_path: str |
     lost executor re-reads the staging files rather than the stream.
     """
     spec = TABLES["transaction"]
-    if deletes == "ignore":
-        rows = parse_envelopes(bronze, spec.schema)
-    else:
-        rows = parse_envelopes(bronze, spec.schema, keep_deletes=True, keys=spec.key)
-    rows = rows.withColumn("TransactionAmt", decode_decimal("TransactionAmt", scale=3))
-    rows = fill_defaults(rows, FACT_FILL)
-    latest = latest_per_key(rows, spec.key)
-    if deletes == "apply":
-        latest = latest.where(F.col("_cdc_op") != "d").drop("_cdc_op")
+    winners = latest_records(bronze, spec.schema, spec.key, deletes=deletes)
+    latest = parse_envelopes(winners, spec.schema).drop(POS_PARTITION, POS_OFFSET)
+    latest = latest.withColumn("TransactionAmt", decode_decimal("TransactionAmt", scale=3))
+    latest = fill_defaults(latest, FACT_FILL)
     spark = bronze.sparkSession
     path = staging_path or scratch_path(spark, "silver-fact-latest")
     latest.drop(TS_COL).write.mode("overwrite").parquet(path)
