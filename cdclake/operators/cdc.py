@@ -159,8 +159,11 @@ def infer_json_schema(df: DataFrame, col: str, sampling_ratio: float = 1.0) -> T
     """
     spark = df.sparkSession
     path = scratch_path(spark, "json-infer")
-    df.select(F.col(col).cast("string").alias("value")).where(F.col("value").isNotNull()).write.text(path)
-    return spark.read.option("samplingRatio", sampling_ratio).json(path).schema
+    docs = df.select(F.col(col).cast("string").alias("value")).where(F.col("value").isNotNull())
+    if sampling_ratio < 1.0:
+        docs = docs.sample(fraction=sampling_ratio, seed=17)
+    docs.write.text(path)
+    return spark.read.json(path).schema
 
 
 def schema_from_sample(spark: SparkSession, df: DataFrame, col: str) -> str | None:

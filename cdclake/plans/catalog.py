@@ -8,6 +8,7 @@ so that Spark and the oracle agree to the last printed digit.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,19 +70,37 @@ def silver_txn(spark, d):
     return silver_fact(txn_bronze(spark, d))
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate that several jobs read to the shared scratch folder, read it back."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 class Entities:
-    """Users, accounts, dimensions and card links derived from one transaction source."""
+    """Users, accounts, dimensions and card links derived from one transaction source.
+
+    The source tables are staged once; every derived table reads the staged
+    copy instead of re-running the joins that build it.
+    """
 
     def __init__(self, spark, d):
-        self.txn = src_txn(spark, d)
-        self.identity = roles.source_identity(spark, d)
-        self.users = ent.resolve_users(self.txn)
-        self.accounts = ent.assign_accounts(self.txn, self.users)
-        self.networks = ent.derive_networks(self.txn)
-        self.banks = ent.derive_banks(self.txn)
-        self.location = ent.derive_location(self.txn)
-        self.devices = ent.derive_devices(self.identity)
-        self.master_card = ent.link_cards(self.txn, self.users, self.networks, self.banks)
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            txn = pool.submit(stage, src_txn(spark, d), "src-transaction")
+            identity = pool.submit(stage, roles.source_identity(spark, d), "src-identity")
+            self.txn, self.identity = txn.result(), identity.result()
+            # independent derivations run as concurrent Spark jobs
+            users = pool.submit(ent.resolve_users, self.txn)
+            networks = pool.submit(ent.derive_networks, self.txn)
+            location = pool.submit(ent.derive_location, self.txn)
+            devices = pool.submit(ent.derive_devices, self.identity)
+            self.banks = ent.derive_banks(self.txn)
+            self.users, self.networks = users.result(), networks.result()
+            accounts = pool.submit(ent.assign_accounts, self.txn, self.users)
+            links = pool.submit(ent.link_cards, self.txn, self.users, self.networks, self.banks)
+            self.location, self.devices = location.result(), devices.result()
+            self.accounts, self.master_card = accounts.result(), links.result()
 
 
 def change_log(spark, d) -> DataFrame:
@@ -346,8 +365,10 @@ def q_drop_duplicates(spark, d):
 
 # ---------------------------------------------------------------- gold and serving
 def gold_frame(spark, d) -> DataFrame:
-    e = Entities(spark, d)
-    s = silver_fact(roles.bronze_rows(roles.transaction_records(e.txn)))
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        fact = pool.submit(lambda: silver_fact(txn_bronze(spark, d)))
+        e = Entities(spark, d)
+        s = fact.result()
     return build_gold(
         s, seeds.product_description(spark), e.master_card, e.banks, e.networks, e.users, e.accounts,
         e.identity, e.devices, e.location,

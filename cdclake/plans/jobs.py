@@ -130,8 +130,12 @@ def gold_from_silver(spark: SparkSession, layout: Layout) -> DataFrame:
     )
 
 
-def build_gold_job(spark: SparkSession, layout: Layout, num_files: int | None = 8) -> DataFrame:
-    """Gold star materialised to its own folder, read back for the export."""
+def build_gold_job(spark: SparkSession, layout: Layout, num_files: int | None = None) -> DataFrame:
+    """Gold star materialised to its own folder, read back for the export.
+
+    ``num_files=None`` lets AQE size the output files; a fixed count (the job
+    this replaces used 8) only suits small tables.
+    """
     return materialize(gold_from_silver(spark, layout), layout.gold, num_files=num_files)
 
 

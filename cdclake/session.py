@@ -70,7 +70,13 @@ def _is_local(spark: SparkSession) -> bool:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only in local mode."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no context: use the configured folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
