@@ -23,7 +23,7 @@ from cdclake.operators.cdc import TS_COL, POS_OFFSET, infer_json_schema, latest_
 from cdclake.operators.gold import build_gold
 from cdclake.operators.shaping import apply_defaults
 from cdclake.plans import roles
-from cdclake.plans.jobs import Layout, build_silver_dimensions, silver_fact
+from cdclake.plans.jobs import Layout, build_silver_dimensions, run_all, silver_fact
 from cdclake.schemas import BRONZE_TABLES, TABLES, TOPIC_PREFIX
 from cdclake.session import scratch_path
 from cdclake.sinks.export import export_parquet, materialize, refresh_serving
@@ -380,6 +380,24 @@ def q_gold_master(spark, d):
     return g.withColumn("z_score", _r(F.col("z_score"))).withColumn("TransactionAmt", _r(F.col("TransactionAmt"), 3))
 
 
+def q_medallion_gold(spark, d):
+    """The whole run: stream the change log to bronze, build silver dimensions and the
+    silver fact (two concurrent jobs), gold, export, serving refresh; read the served table."""
+    layout = Layout(scratch_path(spark, "lake"))
+    src_dir = f"{layout.root}/source/records"
+    change_log(spark, d).repartition(8).write.parquet(src_dir)
+
+    def land():
+        land_bronze(to_bronze(change_stream(spark, files_dir=src_dir, max_per_trigger=4)), layout.bronze,
+                    layout.bronze_checkpoint)
+
+    status = run_all(spark, layout, land=land)
+    if any(v not in ("ok", "empty") for v in status["dimensions"].values()):
+        raise RuntimeError(f"silver dimension failures: {status['dimensions']}")
+    g = SnapshotTable(spark, layout.serving, use_delta=False).read()
+    return g.withColumn("z_score", _r(F.col("z_score"))).withColumn("TransactionAmt", _r(F.col("TransactionAmt"), 3))
+
+
 def _narrow_fact(spark, d):
     s = silver_txn(spark, d)
     return s.select("TransactionID", _r(F.col("TransactionAmt"), 3).alias("TransactionAmt"), "isFraud", "card1")
@@ -571,6 +589,7 @@ QUERIES: dict[str, Query] = {
     "distinct_pairs": q_distinct_pairs,
     "drop_duplicates": q_drop_duplicates,
     "gold_master": q_gold_master,
+    "medallion_gold": q_medallion_gold,
     "materialize_roundtrip": q_materialize_roundtrip,
     "serving_refresh": q_serving_refresh,
     "append_table": q_append_table,

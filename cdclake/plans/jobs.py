@@ -19,7 +19,7 @@ from cdclake.sinks.export import export_parquet, materialize, refresh_serving
 from cdclake.session import scratch_path
 from cdclake.sinks.snapshots import SnapshotTable
 from cdclake.sources import seeds
-from cdclake.sources.bronze import read_bronze_table
+from cdclake.sources.bronze import read_bronze_table, register_views
 
 log = logging.getLogger(__name__)
 
@@ -111,22 +111,34 @@ def build_silver_dimensions(spark: SparkSession, layout: Layout, tables=DIMENSIO
 
 def build_silver_transaction(spark: SparkSession, layout: Layout) -> int:
     bronze = read_bronze_table(spark, layout.bronze, "transaction")
-    return SnapshotTable(spark, layout.silver("transaction")).upsert(silver_fact(bronze), TABLES["transaction"].key)
+    fact = silver_fact(bronze, staging_path=scratch_path(spark, "silver-transaction-staging"))
+    return SnapshotTable(spark, layout.silver("transaction")).upsert(fact, TABLES["transaction"].key)
+
+
+GOLD_INPUTS = (
+    "transaction", "identity", "user_profile", "user_accounts", "master_card", "card_issuing_bank",
+    "description_card", "product_description", "device_fingerprint", "location",
+)
 
 
 def gold_from_silver(spark: SparkSession, layout: Layout) -> DataFrame:
-    def load(name: str) -> DataFrame:
-        t = SnapshotTable(spark, layout.silver(name))
-        if t.exists():
-            return t.read()
+    """Register the silver tables as ``silver_<name>`` views and build the star from them.
+
+    A table that cannot be loaded is reported and stands in as an empty table
+    of its declared schema, so its gold columns take their defaults.
+    """
+    loaded = set(register_views(spark, {n: layout.silver(n) for n in GOLD_INPUTS}))
+
+    def view(name: str) -> DataFrame:
+        if name in loaded:
+            return spark.table(f"silver_{name}")
         log.warning("silver %s missing; its columns will be defaults", name)
         return spark.createDataFrame([], TABLES[name].schema)
 
-    products = load("product_description")
     return build_gold(
-        load("transaction"), products, load("master_card"), load("card_issuing_bank"),
-        load("description_card"), load("user_profile"), load("user_accounts"), load("identity"),
-        load("device_fingerprint"), load("location"),
+        view("transaction"), view("product_description"), view("master_card"), view("card_issuing_bank"),
+        view("description_card"), view("user_profile"), view("user_accounts"), view("identity"),
+        view("device_fingerprint"), view("location"),
     )
 
 
