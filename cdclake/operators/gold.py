@@ -108,14 +108,16 @@ def build_gold(
     dev = device_profile(identity, devices)
     loc = location_profile(location)
 
+    # lookups that the size check broadcasts go first (no shuffle of the fact); then the
+    # card side and the transaction-keyed identity side, one shuffle each at most
     j = (
         t.join(pd_, t["ProductCD"] == pd_["ProductCD"], "left")
         .drop(pd_["ProductCD"])
+        .join(loc, t["addr1"] == loc["addr1"], "left")
+        .drop(loc["addr1"])
         .join(cards, t["card1"] == cards["Card_Raw_ID"], "left")
         .join(dev, t["TransactionID"] == dev["TransactionID"], "left")
         .drop(dev["TransactionID"])
-        .join(loc, t["addr1"] == loc["addr1"], "left")
-        .drop(loc["addr1"])
     )
     unk = F.lit("Unknown")
     gold = j.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from cdclake.schemas import TABLES
 
@@ -35,14 +36,33 @@ BLACKLIST_RULES = [
 ]
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def values_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A literal table as an inline ``VALUES`` relation: the planner knows its exact size,
+    so a join against it is broadcast by the size check, not by a blind hint."""
+    body = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    names = ", ".join(f"c{i}" for i in range(len(schema.fields)))
+    cols = ", ".join(f"CAST(c{i} AS {f.dataType.simpleString()}) AS `{f.name}`" for i, f in enumerate(schema.fields))
+    return spark.sql(f"SELECT {cols} FROM VALUES {body} AS t({names})")
+
+
 def product_description(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PRODUCT_DESCRIPTION, TABLES["product_description"].schema)
+    return values_table(spark, PRODUCT_DESCRIPTION, TABLES["product_description"].schema)
 
 
 def status(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(STATUS, TABLES["status"].schema)
+    return values_table(spark, STATUS, TABLES["status"].schema)
 
 
 def blacklist_rules(spark: SparkSession) -> DataFrame:
     rows = [(i + 1, n, c, a, s, None, True) for i, (n, c, a, s) in enumerate(BLACKLIST_RULES)]
-    return spark.createDataFrame(rows, TABLES["blacklist_rules"].schema)
+    return values_table(spark, rows, TABLES["blacklist_rules"].schema)

@@ -38,3 +38,11 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     plan = _plan(o.where("o_orderstatus = 'F'").select("o_orderkey"))
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plan
+
+
+def test_seed_lookup_is_broadcast_by_size(spark):
+    from cdclake.plans.catalog import q_seed_lookup
+
+    plan = _plan(q_seed_lookup(spark, SF_SMALL))
+    assert "BroadcastHashJoin" in plan
+    assert "hashpartitioning(ProductCD" not in plan  # the fact is never shuffled by product code
