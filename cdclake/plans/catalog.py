@@ -23,7 +23,7 @@ from cdclake.operators.cdc import TS_COL, POS_OFFSET, infer_json_schema, latest_
 from cdclake.operators.gold import build_gold
 from cdclake.operators.shaping import apply_defaults
 from cdclake.plans import roles
-from cdclake.plans.jobs import Layout, build_silver_dimensions, run_all, silver_fact
+from cdclake.plans.jobs import Layout, build_silver_dimensions, load_source_table, run_all, silver_fact
 from cdclake.schemas import BRONZE_TABLES, TABLES, TOPIC_PREFIX
 from cdclake.session import scratch_path
 from cdclake.sinks.export import export_parquet, materialize, refresh_serving
@@ -468,8 +468,9 @@ def q_load_metrics(spark, d):
     c = _t(spark, d, "customer")
     # a locale-formatted export: thousands separators make some balances unreadable as numbers
     c.withColumn("c_acctbal", F.format_number("c_acctbal", 2)).write.option("header", True).csv(path)
-    loaded = csvsrc.load_files(spark, [path], c.schema)
-    return csvsrc.load_metrics(loaded, "customer")
+    root = scratch_path(spark, "load-customer")
+    target = SnapshotTable(spark, f"{root}/table", use_delta=False)
+    return load_source_table(spark, "customer", [path], c.schema, target, quarantine_path=f"{root}/quarantine")
 
 
 # ---------------------------------------------------------------- streaming bronze

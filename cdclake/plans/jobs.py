@@ -7,7 +7,7 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cdclake.functions.decimal import decode_decimal
@@ -18,6 +18,7 @@ from cdclake.schemas import DIMENSION_TABLES, TABLES, TableSpec
 from cdclake.sinks.export import export_parquet, materialize, refresh_serving
 from cdclake.session import scratch_path
 from cdclake.sinks.snapshots import SnapshotTable
+from cdclake.sources import csv as csvsrc
 from cdclake.sources import seeds
 from cdclake.sources.bronze import read_bronze_table, register_views
 
@@ -174,6 +175,40 @@ def run_all(spark: SparkSession, layout: Layout, land=None) -> dict:
     return {"dimensions": dim_status, "gold_rows": rows}
 
 
+def load_source_table(
+    spark: SparkSession,
+    table: str,
+    files: list[str],
+    schema,
+    target: SnapshotTable,
+    quarantine_path: str | None = None,
+) -> DataFrame:
+    """Load a table's CSV files (training files first) into ``target`` with row accounting.
+
+    One pass over the files: every row is flagged (a present value that does
+    not convert to its declared type fails the row, not the batch), counted
+    with ``observe`` and written once, partitioned by the flag, to a staging
+    folder. Accepted rows are appended to the target; failed rows go to the
+    quarantine folder. Returns one row: table name, accepted and failed counts.
+    """
+    loaded = csvsrc.load_files(spark, files, schema)
+    obs = Observation(f"load-{table}")
+    bad = F.col(csvsrc.BAD_COL)
+    flagged = loaded.observe(obs, F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("failed"))
+    staging = scratch_path(spark, f"load-{table}")
+    flagged.write.partitionBy(csvsrc.BAD_COL).parquet(staging)
+    # partition discovery reads the flag folders back as text
+    staged = spark.read.parquet(staging).withColumn(csvsrc.BAD_COL, F.col(csvsrc.BAD_COL).cast("boolean"))
+    target.append(staged.where(~bad).drop(csvsrc.BAD_COL))
+    if quarantine_path:
+        staged.where(bad).drop(csvsrc.BAD_COL).write.mode("append").parquet(quarantine_path)
+    counts = obs.get
+    return spark.createDataFrame(
+        [(table, int(counts["accepted"]), int(counts["failed"]))],
+        "table_name string, rows_accepted long, rows_failed long",
+    )
+
+
 def seed_tables(spark: SparkSession) -> dict[str, DataFrame]:
     return {
         "product_description": seeds.product_description(spark),

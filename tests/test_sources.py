@@ -19,3 +19,18 @@ def test_load_files_order_alignment_and_accounting(spark):
     assert rows == [(1, 0, 1.5, 0), (3, None, 2.5, 1)]  # train first; test rows get a null label
     m = csvsrc.load_metrics(loaded, "transaction").first()
     assert (m.rows_accepted, m.rows_failed) == (2, 1)  # the 'x' amount fails that row only
+
+
+def test_load_source_table_appends_and_quarantines(spark):
+    from cdclake.plans.jobs import load_source_table
+    from cdclake.sinks.snapshots import SnapshotTable
+
+    root = scratch_path(spark, "load")
+    spark.createDataFrame([("1", "0", "1.5"), ("2", "1", "x")], "`id-01` string, isFraud string, amt string") \
+        .write.option("header", True).csv(f"{root}/train_transaction.csv")
+    target = SnapshotTable(spark, f"{root}/table", use_delta=False)
+    m = load_source_table(spark, "transaction", [f"{root}/train_transaction.csv"], SCHEMA, target,
+                          quarantine_path=f"{root}/q").first()
+    assert (m.rows_accepted, m.rows_failed) == (1, 1)
+    assert [r.id_01 for r in target.read().collect()] == [1]
+    assert [r.id_01 for r in spark.read.parquet(f"{root}/q").collect()] == [2]

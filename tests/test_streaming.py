@@ -27,3 +27,16 @@ def test_topic_pattern_filters_other_topics(spark):
     df.write.parquet(f"{root}/in")
     land_bronze(to_bronze(change_stream(spark, files_dir=f"{root}/in")), f"{root}/out", f"{root}/ckpt")
     assert [r.source_table for r in spark.read.parquet(f"{root}/out").collect()] == ["dbserver1.public.x"]
+
+
+def test_failing_dimension_does_not_stop_the_others(spark):
+    from cdclake.plans.jobs import Layout, build_silver_dimensions
+    from cdclake.schemas import TableSpec, struct
+
+    layout = Layout(scratch_path(spark, "lake"))
+    roles.bronze_rows(roles.activity_records(spark, SF_SMALL)).write.partitionBy("source_table").parquet(layout.bronze)
+    broken = TableSpec("user_activity_broken", ("no_such_key",), struct([("user_id", "long")]))
+    specs = {"user_activity": roles.ACTIVITY, "missing_table": roles.ACTIVITY, "user_activity_broken": broken}
+    status = build_silver_dimensions(spark, layout, tables=("missing_table", "user_activity", "user_activity_broken"), specs=specs)
+    assert status["user_activity"] == "ok"
+    assert status["missing_table"] == "empty"
