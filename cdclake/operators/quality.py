@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cdclake.sources.seeds import values_table
+
 
 def table_counts(bronze: DataFrame, expected: Sequence[str], table_col: str = "source_table") -> DataFrame:
     """Rows per table in one scan, right-joined to the expected list; missing tables report 0."""
     spark = bronze.sparkSession
     counts = bronze.groupBy(table_col).agg(F.count(F.lit(1)).alias("n_rows"))
-    names = spark.createDataFrame([(t,) for t in expected], T.StructType([T.StructField(table_col, T.StringType())]))
+    names = values_table(spark, [(t,) for t in expected], T.StructType([T.StructField(table_col, T.StringType())]))
     return names.join(counts, table_col, "left").select(
         table_col,
         F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),

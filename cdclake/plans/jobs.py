@@ -7,7 +7,7 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdclake.functions.decimal import decode_decimal
@@ -89,25 +89,27 @@ class Layout:
 
 
 def build_silver_dimensions(spark: SparkSession, layout: Layout, tables=DIMENSION_TABLES,
-                            specs: dict[str, TableSpec] | None = None) -> dict[str, str]:
+                            specs: dict[str, TableSpec] | None = None, parallelism: int = 4) -> dict[str, str]:
     """Upsert each dimension's latest rows into its snapshot table.
 
+    Tables are independent, so they are submitted as concurrent Spark jobs.
     An empty or failing table is reported and skipped; the others go on.
     """
     specs = specs or TABLES
-    status = {}
-    for name in tables:
+
+    def one(name: str) -> str:
         try:
             bronze = read_bronze_table(spark, layout.bronze, name)
             if bronze.isEmpty():
-                status[name] = "empty"
-                continue
+                return "empty"
             SnapshotTable(spark, layout.silver(name)).upsert(silver_table(bronze, specs[name]), specs[name].key)
-            status[name] = "ok"
+            return "ok"
         except Exception as exc:
             log.warning("silver %s failed: %s", name, exc)
-            status[name] = f"failed: {exc}"
-    return status
+            return f"failed: {exc}"
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return dict(zip(tables, pool.map(one, tables)))
 
 
 def build_silver_transaction(spark: SparkSession, layout: Layout) -> int:
@@ -186,27 +188,24 @@ def load_source_table(
     """Load a table's CSV files (training files first) into ``target`` with row accounting.
 
     One pass over the files: every row is flagged (a present value that does
-    not convert to its declared type fails the row, not the batch), counted
-    with ``observe`` and written once, partitioned by the flag, to a staging
-    folder. Accepted rows are appended to the target; failed rows go to the
-    quarantine folder. Returns one row: table name, accepted and failed counts.
+    not convert to its declared type fails the row, not the batch) and written
+    once, partitioned by the flag, to a staging folder. Accepted rows are
+    appended to the target; failed rows go to the quarantine folder. Returns
+    one row: table name, accepted and failed counts, counted from the staged
+    files (footers only), so retried tasks never count twice.
     """
     loaded = csvsrc.load_files(spark, files, schema)
-    obs = Observation(f"load-{table}")
     bad = F.col(csvsrc.BAD_COL)
-    flagged = loaded.observe(obs, F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("failed"))
     staging = scratch_path(spark, f"load-{table}")
-    flagged.write.partitionBy(csvsrc.BAD_COL).parquet(staging)
+    loaded.write.partitionBy(csvsrc.BAD_COL).parquet(staging)
     # partition discovery reads the flag folders back as text
     staged = spark.read.parquet(staging).withColumn(csvsrc.BAD_COL, F.col(csvsrc.BAD_COL).cast("boolean"))
     target.append(staged.where(~bad).drop(csvsrc.BAD_COL))
     if quarantine_path:
         staged.where(bad).drop(csvsrc.BAD_COL).write.mode("append").parquet(quarantine_path)
-    counts = obs.get
-    return spark.createDataFrame(
-        [(table, int(counts["accepted"]), int(counts["failed"]))],
-        "table_name string, rows_accepted long, rows_failed long",
-    )
+    return staged.agg(
+        F.count_if(~bad).alias("rows_accepted"), F.count_if(bad).alias("rows_failed")
+    ).select(F.lit(table).alias("table_name"), "rows_accepted", "rows_failed")
 
 
 def seed_tables(spark: SparkSession) -> dict[str, DataFrame]:

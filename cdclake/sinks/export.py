@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from cdclake.sinks.snapshots import SnapshotTable
 
@@ -21,10 +20,13 @@ def materialize(df: DataFrame, path: str, num_files: int | None = None) -> DataF
 
 
 def export_parquet(df: DataFrame, path: str) -> int:
-    """Overwrite ``path`` with ``df`` and return the row count observed during the write."""
-    obs = Observation("export")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return int(obs.get["rows"])
+    """Overwrite ``path`` with ``df`` and return the row count of the written files.
+
+    The count is read back from the parquet footers (no data pages), so task
+    retries during the write can never inflate it.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path).count()
 
 
 def refresh_serving(spark: SparkSession, export_path: str, serving_path: str) -> int:
