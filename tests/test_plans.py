@@ -46,3 +46,26 @@ def test_seed_lookup_is_broadcast_by_size(spark):
     plan = _plan(q_seed_lookup(spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan
     assert "hashpartitioning(ProductCD" not in plan  # the fact is never shuffled by product code
+
+
+def test_hot_card_is_split_by_skew_join(spark):
+    """Card -1 holds about a third of the fact; without a broadcast the join-back is split."""
+    from cdclake.plans.catalog import q_zscore
+
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        df = q_zscore(spark, "/root/testdata/sf0.1")  # enough rows for the size thresholds
+        df.collect()
+        assert "SortMergeJoin(skew=true)" in _plan(df)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
