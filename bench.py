@@ -22,7 +22,7 @@ from cdclake.plans.catalog import QUERIES  # noqa: E402
 from cdclake.session import build_session  # noqa: E402
 
 HEADLINE = [
-    "gold_master", "silver_fact", "zscore", "cdc_latest", "silver_dim", "upsert_roundtrip",
+    "gold_master", "medallion_gold", "silver_fact", "zscore", "cdc_latest", "silver_dim", "upsert_roundtrip",
     "account_numbers", "card_links", "dim_device", "bronze_stream", "table_counts", "dedup_metrics",
     "dq_fk", "drop_duplicates", "join_semi", "decimal_decode", "union_train_test", "materialize_roundtrip",
 ]

@@ -23,7 +23,7 @@ from cdclake.operators.cdc import TS_COL, POS_OFFSET, infer_json_schema, latest_
 from cdclake.operators.gold import build_gold
 from cdclake.operators.shaping import apply_defaults
 from cdclake.plans import roles
-from cdclake.plans.jobs import Layout, build_silver_dimensions, load_source_table, run_all, silver_fact
+from cdclake.plans.jobs import Layout, build_silver_dimensions, load_source_table, run_all, silver_fact, silver_table
 from cdclake.schemas import BRONZE_TABLES, TABLES, TOPIC_PREFIX
 from cdclake.session import scratch_path
 from cdclake.sinks.export import export_parquet, materialize, refresh_serving
@@ -268,6 +268,13 @@ def q_silver_dim(spark, d):
     return SnapshotTable(spark, layout.silver("user_activity")).read()
 
 
+def q_silver_dim_inferred(spark, d):
+    """A dimension whose schema is inferred from its change envelopes, not declared."""
+    b = activity_bronze(spark, d)
+    out = silver_table(b, roles.ACTIVITY, schema="infer")
+    return out.select("user_id", "event_type", "value", "props")
+
+
 # ---------------------------------------------------------------- entities
 def q_user_entities(spark, d):
     return ent.resolve_users(src_txn(spark, d))
@@ -572,6 +579,7 @@ QUERIES: dict[str, Query] = {
     "upsert_merge": q_upsert_merge,
     "upsert_roundtrip": q_upsert_roundtrip,
     "silver_dim": q_silver_dim,
+    "silver_dim_inferred": q_silver_dim_inferred,
     "user_entities": q_user_entities,
     "account_numbers": q_account_numbers,
     "card_links": q_card_links,

@@ -11,7 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdclake.functions.decimal import decode_decimal
-from cdclake.operators.cdc import POS_OFFSET, POS_PARTITION, TS_COL, latest_records, latest_state, parse_envelopes
+from cdclake.operators.cdc import (
+    POS_OFFSET,
+    POS_PARTITION,
+    TS_COL,
+    infer_json_schema,
+    latest_records,
+    latest_state,
+    parse_envelopes,
+)
 from cdclake.operators.features import fill_defaults, zscore
 from cdclake.operators.gold import build_gold
 from cdclake.schemas import DIMENSION_TABLES, TABLES, TableSpec
@@ -53,11 +61,26 @@ def silver_fact(bronze: DataFrame, deletes: str = "ignore", staging_path: str |
     return zscore(spark.read.parquet(path), "card1", "TransactionAmt")
 
 
-def silver_table(bronze: DataFrame, spec: TableSpec, deletes: str = "ignore") -> DataFrame:
-    """Latest row per key of one dimension table."""
+def silver_table(bronze: DataFrame, spec: TableSpec, deletes: str = "ignore", schema: str = "declared",
+                 sampling_ratio: float = 1.0) -> DataFrame:
+    """Latest row per key of one dimension table.
+
+    ``schema="declared"`` parses with the table's declared schema;
+    ``schema="infer"`` infers the row schema from the payloads themselves
+    (merged over many documents, sampled with ``sampling_ratio``), for tables
+    that have no declared schema.
+    """
+    if schema == "infer":
+        return latest_state(bronze, infer_row_schema(bronze, sampling_ratio), spec.key, deletes=deletes)
     return latest_state(bronze, spec.schema, spec.key, deletes=deletes)
 
 
+def infer_row_schema(bronze: DataFrame, sampling_ratio: float = 1.0, payload_col: str = "json_payload"):
+    """The ``payload.after`` row schema inferred from the change envelopes."""
+    env = infer_json_schema(bronze, payload_col, sampling_ratio)
+    return env["payload"].dataType["after"].dataType
+
+
 @dataclass
 class Layout:
     """Where each layer lives (all under one shared root on a cluster)."""
