@@ -18,6 +18,7 @@ def zscore(
     mean_col: str = "avg_amt",
     std_col: str = "std_amt",
     out_col: str = "z_score",
+    stats_source: DataFrame | None = None,
 ) -> DataFrame:
     """Z-score of ``value_col`` within its ``group_col`` group.
 
@@ -26,10 +27,12 @@ def zscore(
     reduced before the shuffle) and joined back null-safely. Spark sizes the
     stats side at runtime: broadcast when small, else a sort-merge join whose
     skewed partitions AQE splits. A standard deviation that is null (one row)
-    or zero gives a z-score of 0.
+    or zero gives a z-score of 0. ``stats_source`` (the same rows, possibly a
+    narrower projection of them) is where the statistics are computed.
     """
     g = f"_zg_{group_col}"
-    stats = df.groupBy(F.col(group_col).alias(g)).agg(
+    src = df if stats_source is None else stats_source
+    stats = src.groupBy(F.col(group_col).alias(g)).agg(
         F.avg(value_col).alias(mean_col), F.stddev_samp(value_col).alias(std_col)
     )
     joined = df.join(stats, df[group_col].eqNullSafe(stats[g]), "left").drop(g)

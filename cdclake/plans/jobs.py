@@ -43,22 +43,26 @@ def silver_fact(bronze: DataFrame, deletes: str = "ignore", staging_path: str |
     fill nulls, keep the latest row per id and add ``avg_amt``, ``std_amt``
     and ``z_score`` per card (``card1``).
 
-    The latest rows are written once as parquet to ``staging_path`` (default:
-    a fresh folder under the shared checkpoint folder) and read back: the
-    per-card statistics and the rows they are joined to then both read that
-    table (the statistics only two columns of it) instead of parsing and
-    shuffling the change stream twice. The write also cuts the lineage, so a
-    lost executor re-reads the staging files rather than the stream.
+    The latest change per id is picked once on the compact payload text; the
+    rows and the per-card statistics both start from that same plan, so Spark
+    reuses its shuffle, and the statistics parse only two fields of each
+    winning payload. ``staging_path`` instead writes the latest rows as
+    parquet first and reads them back (useful when the caller wants the
+    lineage cut before the statistics).
     """
     spec = TABLES["transaction"]
     winners = latest_records(bronze, spec.schema, spec.key, deletes=deletes)
-    latest = parse_envelopes(winners, spec.schema).drop(POS_PARTITION, POS_OFFSET)
-    latest = latest.withColumn("TransactionAmt", decode_decimal("TransactionAmt", scale=3))
-    latest = fill_defaults(latest, FACT_FILL)
-    spark = bronze.sparkSession
-    path = staging_path or scratch_path(spark, "silver-fact-latest")
-    latest.drop(TS_COL).write.mode("overwrite").parquet(path)
-    return zscore(spark.read.parquet(path), "card1", "TransactionAmt")
+
+    def latest_rows(columns=None) -> DataFrame:
+        rows = parse_envelopes(winners, spec.schema, columns=columns).drop(POS_PARTITION, POS_OFFSET, TS_COL)
+        rows = rows.withColumn("TransactionAmt", decode_decimal("TransactionAmt", scale=3))
+        return fill_defaults(rows, FACT_FILL)
+
+    if staging_path:
+        latest_rows().write.mode("overwrite").parquet(staging_path)
+        staged = bronze.sparkSession.read.parquet(staging_path)
+        return zscore(staged, "card1", "TransactionAmt")
+    return zscore(latest_rows(), "card1", "TransactionAmt", stats_source=latest_rows(["card1", "TransactionAmt"]))
 
 
 def silver_table(bronze: DataFrame, spec: TableSpec, deletes: str = "ignore", schema: str = "declared",
@@ -137,7 +141,7 @@ def build_silver_dimensions(spark: SparkSession, layout: Layout, tables=DIMENSIO
 
 def build_silver_transaction(spark: SparkSession, layout: Layout) -> int:
     bronze = read_bronze_table(spark, layout.bronze, "transaction")
-    fact = silver_fact(bronze, staging_path=scratch_path(spark, "silver-transaction-staging"))
+    fact = silver_fact(bronze)
     return SnapshotTable(spark, layout.silver("transaction")).upsert(fact, TABLES["transaction"].key)
 
 
