@@ -27,7 +27,7 @@ from cdclake.plans.jobs import Layout, build_silver_dimensions, load_source_tabl
 from cdclake.schemas import BRONZE_TABLES, TABLES, TOPIC_PREFIX
 from cdclake.session import scratch_path
 from cdclake.sinks.export import export_parquet, materialize, refresh_serving
-from cdclake.sinks.snapshots import SnapshotTable, insert_if_absent_frames, upsert_frames
+from cdclake.sinks.snapshots import SnapshotTable, upsert_frames
 from cdclake.sources import csv as csvsrc
 from cdclake.sources import seeds
 from cdclake.sources.bronze import read_bronze_table

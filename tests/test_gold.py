@@ -1,4 +1,3 @@
-from pyspark.sql import types as T
 
 from cdclake.operators.gold import GOLD_COLUMNS, build_gold
 from cdclake.sources import seeds
