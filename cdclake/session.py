@@ -64,6 +64,28 @@ def build_session(
     return spark
 
 
+def scale_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+    """Settings for a large run, from the expected shuffle volume and the cluster's cores.
+
+    Shuffle partitions are sized so each holds about ``target_partition_bytes``
+    before AQE coalesces the small ones (at least three waves of tasks, at most
+    100k partitions to keep the shuffle block count manageable). Input splits
+    are 512 MB; a partition counts as skewed above 1 GB and 5x the median, and
+    AQE then splits it. The runtime broadcast limit is a measured size, so a
+    dimension is broadcast only when it is actually small.
+    """
+    parts = min(100_000, max(3 * total_cores, -(-shuffle_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(512 * 1024**2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 * 1024**2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024**3),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024**2),
+    }
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
