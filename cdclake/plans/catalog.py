@@ -232,13 +232,12 @@ def q_dedup_metrics(spark, d):
 
 
 def _split_activity(spark, d):
+    """The whole event log as two arrivals in time: before and from the cut-over instant."""
     ev = _t(spark, d, "events")
     cut = F.lit(ACTIVITY_SECOND_BATCH_FROM).cast("timestamp_ntz")
-    first_ids = ev.where(F.col("ts") < cut)
-    second_ids = ev.where(F.col("ts") >= cut)
-    b1 = roles.bronze_rows(roles.activity_records_from(first_ids))
-    b2 = roles.bronze_rows(roles.activity_records_from(second_ids))
-    return b1, b2
+    earlier = roles.bronze_rows(roles.activity_records_from(ev.where(F.col("ts") < cut)))
+    later = roles.bronze_rows(roles.activity_records_from(ev.where(F.col("ts") >= cut)))
+    return earlier, later
 
 
 def q_upsert_merge(spark, d):

@@ -32,6 +32,8 @@ TUNED_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove checkpoint files once the DataFrames that wrote them are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
