@@ -6,6 +6,8 @@ median of ``BENCH_REPS`` timed runs (default 1) per query.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
     python bench.py --reference-settings   # broadcast joins off, 200 shuffle partitions
+    python bench.py --event-log=/tmp/run-x  # also write Spark's event log there
+                                            # (summarise with tools/stage_times.py)
 """
 
 from __future__ import annotations
@@ -35,6 +37,10 @@ def main() -> None:
     reference = "--reference-settings" in sys.argv
     names = [a for a in sys.argv[1:] if not a.startswith("--")] or HEADLINE
     conf = {"spark.driver.memory": "16g"}
+    for arg in sys.argv[1:]:
+        if arg.startswith("--event-log="):
+            conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": arg.split("=", 1)[1],
+                         "spark.eventLog.compress": "false"})
     parts = 2 * cpus
     if reference:
         conf.update({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
