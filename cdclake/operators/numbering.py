@@ -47,6 +47,8 @@ def sequence_number(
     )
     if not group_cols:
         counts = ranged.groupBy(_P).agg(F.count(F.lit(1)).alias("_n"))
+        # a running sum over the counts table: one row per range partition, so this
+        # unpartitioned window sees at most ``n`` rows whatever the input size
         before = Window.orderBy(_P).rowsBetween(Window.unboundedPreceding, -1)
         # one row per range partition: a bounded broadcast
         offsets = counts.select(_P, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
