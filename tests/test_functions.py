@@ -46,3 +46,23 @@ def test_seconds_after(spark):
     df = spark.createDataFrame([(100,), (None,)], "n long")
     got = [r.t for r in df.select(seconds_after("n").alias("t")).collect()]
     assert got == [dt.datetime(2026, 1, 1, 0, 1, 40), None]
+
+
+def test_scale_conf_sizes_partitions():
+    from cdclake.session import scale_conf
+
+    small = scale_conf(10 * 1024**3, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 192  # at least three waves of tasks
+    big = scale_conf(30 * 1024**4, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000  # capped
+    assert int(big["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]) == 1024**3
+
+
+def test_change_stream_needs_a_source(spark):
+    import pytest
+
+    from cdclake.streaming.bronze import change_stream, kafka_available
+
+    assert kafka_available(spark) in (True, False)
+    with pytest.raises(ValueError):
+        change_stream(spark)
