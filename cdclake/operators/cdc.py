@@ -103,14 +103,15 @@ def latest_records(
     the shuffle moves the compact payload text, and the wide row schema is
     parsed afterwards for the winners alone. With ``deletes="ignore"`` deletes
     are dropped before the pick (a deleted key keeps its last live version);
-    with ``"apply"`` a key whose latest change is a delete has no row.
+    with ``"apply"`` a key whose latest change is a delete has no row; with
+    ``"keep"`` that delete is returned (to be applied to a snapshot).
     """
-    if deletes not in ("ignore", "apply"):
-        raise ValueError("deletes must be 'ignore' or 'apply'")
+    if deletes not in ("ignore", "apply", "keep"):
+        raise ValueError("deletes must be 'ignore', 'apply' or 'keep'")
     key_schema = T.StructType([f for f in after.fields if f.name in keys])
     header = F.from_json(F.col(payload_col), envelope_schema(key_schema, key_schema))
     op_text = F.get_json_object(F.col(payload_col), "$.payload.op")
-    kept = bronze.where(op_text.isNotNull()) if deletes == "apply" else bronze.where(op_text != "d")
+    kept = bronze.where(op_text != "d") if deletes == "ignore" else bronze.where(op_text.isNotNull())
     cols = bronze.columns
     h = kept.select(
         header.alias("_h"),
@@ -131,6 +132,17 @@ def latest_records(
     return winners.select(payload_col, "partition", "offset")
 
 
+def latest_changes(bronze: DataFrame, after: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """The latest change per key, deletes included, flattened, with its op in ``_cdc_op``.
+
+    A delete row carries only its key (taken from ``payload.before``).
+    Feed it to :meth:`cdclake.sinks.snapshots.SnapshotTable.apply_changes`.
+    """
+    winners = latest_records(bronze, after, keys, deletes="keep")
+    rows = parse_envelopes(winners, after, keep_deletes=True, keys=keys)
+    return rows.drop(POS_PARTITION, POS_OFFSET, TS_COL)
+
+
 def latest_state(
     bronze: DataFrame,
     after: T.StructType,

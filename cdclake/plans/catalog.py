@@ -19,7 +19,15 @@ from cdclake.functions.timefn import seconds_after
 from cdclake.operators import aggregates as agg
 from cdclake.operators import entities as ent
 from cdclake.operators import quality as dq
-from cdclake.operators.cdc import TS_COL, POS_OFFSET, infer_json_schema, latest_state, parse_envelopes, schema_from_sample
+from cdclake.operators.cdc import (
+    POS_OFFSET,
+    TS_COL,
+    infer_json_schema,
+    latest_changes,
+    latest_state,
+    parse_envelopes,
+    schema_from_sample,
+)
 from cdclake.operators.gold import build_gold
 from cdclake.operators.shaping import apply_defaults
 from cdclake.plans import roles
@@ -257,6 +265,16 @@ def q_upsert_roundtrip(spark, d):
     return table.read()
 
 
+def q_upsert_apply_deletes(spark, d):
+    """Two arrivals applied with deletes: a key whose latest change is a delete leaves the table."""
+    earlier, later = _split_activity(spark, d)
+    spec = roles.ACTIVITY
+    table = SnapshotTable(spark, scratch_path(spark, "silver-activity-cdc"), use_delta=False)
+    table.apply_changes(latest_changes(earlier, spec.schema, spec.key), spec.key)
+    table.apply_changes(latest_changes(later, spec.schema, spec.key), spec.key)
+    return table.read()
+
+
 def q_silver_dim(spark, d):
     root = scratch_path(spark, "lake")
     layout = Layout(root)
@@ -577,6 +595,7 @@ QUERIES: dict[str, Query] = {
     "dedup_metrics": q_dedup_metrics,
     "upsert_merge": q_upsert_merge,
     "upsert_roundtrip": q_upsert_roundtrip,
+    "upsert_apply_deletes": q_upsert_apply_deletes,
     "silver_dim": q_silver_dim,
     "silver_dim_inferred": q_silver_dim_inferred,
     "user_entities": q_user_entities,

@@ -18,8 +18,17 @@ from pyspark.sql import functions as F
 _PREFIX = "v="
 
 
-def delta_available() -> bool:
-    return importlib.util.find_spec("delta") is not None
+def delta_available(spark: SparkSession | None = None) -> bool:
+    """The Delta Python package is importable and, given a session, its JVM classes are loaded."""
+    if importlib.util.find_spec("delta") is None:
+        return False
+    if spark is None:
+        return True
+    try:
+        spark._jvm.java.lang.Class.forName("io.delta.tables.DeltaTable")
+        return True
+    except Exception:
+        return False
 
 
 def upsert_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -37,6 +46,15 @@ def upsert_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return kept.unionByName(source, allowMissingColumns=True)
 
 
+def apply_changes_frames(target: DataFrame, changes: DataFrame, keys: Sequence[str], op_col: str = "_cdc_op") -> DataFrame:
+    """Apply one latest change per key: deletes remove the key, other changes replace or add it."""
+    ckeys = changes.select(*[F.col(k).alias(f"_ck{i}") for i, k in enumerate(keys)])
+    cond = [target[k] == ckeys[f"_ck{i}"] for i, k in enumerate(keys)]
+    kept = target.join(ckeys, cond, "left_anti")
+    live = changes.where(F.col(op_col) != "d").drop(op_col)
+    return kept.unionByName(live, allowMissingColumns=True)
+
+
 def insert_if_absent_frames(
     target: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None
 ) -> DataFrame:
@@ -55,7 +73,7 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, use_delta: bool | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.use_delta = delta_available() if use_delta is None else use_delta
+        self.use_delta = delta_available(spark) if use_delta is None else use_delta
 
     # --- file system helpers (Hadoop FS, so any cluster file system works) ---
     def _fs(self):
@@ -130,6 +148,26 @@ class SnapshotTable:
             return 0
         return self.overwrite(upsert_frames(self.read(), source, keys))
 
+    def apply_changes(self, changes: DataFrame, keys: Sequence[str], op_col: str = "_cdc_op") -> int:
+        """Apply latest changes per key (``cdc.latest_changes``): a delete removes the row."""
+        if not self.exists():
+            return self.overwrite(changes.where(F.col(op_col) != "d").drop(op_col))
+        if self.use_delta:
+            from delta.tables import DeltaTable  # type: ignore
+
+            cond = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+            cols = {c: f"s.`{c}`" for c in changes.columns if c != op_col}
+            (
+                DeltaTable.forPath(self.spark, self.path).alias("t")
+                .merge(changes.alias("s"), cond)
+                .whenMatchedDelete(condition=f"s.`{op_col}` = 'd'")
+                .whenMatchedUpdate(set=cols)
+                .whenNotMatchedInsert(condition=f"s.`{op_col}` <> 'd'", values=cols)
+                .execute()
+            )
+            return 0
+        return self.overwrite(apply_changes_frames(self.read(), changes, keys, op_col))
+
     def insert_if_absent(self, new: DataFrame, keys: Sequence[str]) -> int:
         if not self.exists():
             return self.overwrite(insert_if_absent_frames(new.limit(0), new, keys))

@@ -38,3 +38,20 @@ def test_insert_if_absent_and_append(spark):
     assert _rows(t) == [(1, "a"), (2, "b")]  # existing key untouched, one new row per key
     t.append(spark.createDataFrame([(1, "a")], S))
     assert t.read().where(F.col("k") == 1).count() == 2
+
+
+def test_apply_changes_deletes_rows(spark):
+    from pyspark.sql import types as T
+
+    from cdclake.operators.cdc import latest_changes
+    from tests.conftest import envelope
+
+    row = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+    t = SnapshotTable(spark, scratch_path(spark, "snap"), use_delta=False)
+    first = spark.createDataFrame([(envelope(None, {"k": 1, "v": "a"}, "c", 1), 0, 1),
+                                   (envelope(None, {"k": 2, "v": "b"}, "c", 1), 0, 2)], "json_payload string, partition int, offset long")
+    t.apply_changes(latest_changes(first, row, ["k"]), ["k"])
+    second = spark.createDataFrame([(envelope(None, None, "d", 5, before={"k": 1}), 0, 3),
+                                    (envelope(None, {"k": 3, "v": "c"}, "c", 5), 0, 4)], "json_payload string, partition int, offset long")
+    t.apply_changes(latest_changes(second, row, ["k"]), ["k"])
+    assert _rows(t) == [(2, "b"), (3, "c")]
