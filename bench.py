@@ -41,7 +41,7 @@ def main() -> None:
         if arg.startswith("--event-log="):
             conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": arg.split("=", 1)[1],
                          "spark.eventLog.compress": "false"})
-    parts = 2 * cpus
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus))
     if reference:
         conf.update({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
         parts = 200
