@@ -52,18 +52,26 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t
 
-    timings = {}
+    timings: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name in names:
-        run(name)  # warm-up
-        timings[name] = round(statistics.median(run(name) for _ in range(reps)), 3)
+        try:
+            run(name)  # warm-up
+            timings[name] = round(statistics.median(run(name) for _ in range(reps)), 3)
+        except Exception as exc:  # one failing query must not cost the whole report
+            timings[name] = None
+            errors[name] = str(exc).splitlines()[0][:300]
     sf = sf_dir.rsplit("sf", 1)[-1]
-    print(json.dumps({
+    report = {
         "metric": "total_query_seconds" + ("_reference_settings" if reference else ""),
-        "value": round(sum(timings.values()), 3),
+        "value": round(sum(t for t in timings.values() if t is not None), 3),
         "unit": "sec",
         "queries": timings,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-    }))
+    }
+    if errors:
+        report["errors"] = errors
+    print(json.dumps(report))
     spark.stop()
 
 
