@@ -69,3 +69,16 @@ def test_hot_card_is_split_by_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_gold_never_shuffles_the_fact_by_small_lookups(spark):
+    from cdclake.plans.catalog import gold_frame
+
+    g = gold_frame(spark, SF_SMALL)
+    g.collect()
+    plan = _plan(g)
+    # the product and location lookups are broadcast joins: the fact is never
+    # shuffled by product code (5 keys) or by address
+    assert "BroadcastHashJoin [ProductCD" in plan
+    assert "SortMergeJoin [ProductCD" not in plan
+    assert "SortMergeJoin [knownfloatingpointnormalized(normalizenanandzero(addr1" not in plan
