@@ -27,6 +27,11 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_oracles_use_only_the_registered_views():
+    for name, sql in ORACLES.items():
+        assert "read_parquet" not in sql and "/root" not in sql and ".parquet" not in sql, name
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
