@@ -51,6 +51,8 @@ def constraint_report(spark: SparkSession, checks: dict[str, DataFrame]) -> Data
     """Violation counts of named checks, one row per check."""
     parts = [df.agg(F.count(F.lit(1)).alias("n_violations")).select(F.lit(name).alias("check_name"), "n_violations")
              for name, df in checks.items()]
+    if not parts:
+        return spark.createDataFrame([], "check_name string, n_violations long")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
