@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdclake.llm import bpe
+from cdclake.llm import bpe, quality_rules
 from cdclake.llm.common import read_table
 
 #: Folder of the public vocabulary files.
@@ -19,7 +19,16 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(read_table(spark, sf_dir, "documents"), VOCABULARY, decoded=True))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document, and the verdict of the risk-controlled rules."""
+    verdicts = quality_rules.quality_verdicts(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return verdicts.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 QUERIES = {
     "op4_bpe_codec": op4_bpe_codec,
+    "op6_quality_rules": op6_quality_rules,
 }
 ORACLES: dict[str, str] = {}
