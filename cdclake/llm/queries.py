@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdclake.llm import bpe, quality_rules
+from cdclake.llm import bpe, quality_rules, secret_scan
 from cdclake.llm.common import read_table
 
 #: Folder of the public vocabulary files.
@@ -27,8 +27,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and entropy spans of every whole text."""
+    return secret_scan.digests(secret_scan.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES = {
     "op4_bpe_codec": op4_bpe_codec,
     "op6_quality_rules": op6_quality_rules,
+    "op7_secret_scan": op7_secret_scan,
+}
+ORACLES: dict[str, str] = {
+    "op7_secret_scan": secret_scan.oracle(),
 }
-ORACLES: dict[str, str] = {}
