@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cdclake.llm import bpe, quality_rules, secret_scan
+from cdclake.llm import bpe, html_density, quality_rules, secret_scan
 from cdclake.llm.common import read_table
 
 #: Folder of the public vocabulary files.
@@ -32,10 +33,17 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    texts = html_density.extract(read_table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 QUERIES = {
     "op4_bpe_codec": op4_bpe_codec,
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_scan": op7_secret_scan,
+    "op10_html_extraction": op10_html_extraction,
 }
 ORACLES: dict[str, str] = {
     "op7_secret_scan": secret_scan.oracle(),
