@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import bpe, html_density, quality_rules, secret_scan
+from cdclake.llm import bpe, html_density, ordinal_quality, quality_rules, secret_scan
+from cdclake.llm import toxicity as toxicity_model
 from cdclake.llm.common import read_table
 
 #: Folder of the public vocabulary files.
@@ -15,6 +16,11 @@ TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 VOCABULARY = os.path.join(TOKENIZER_DIR, "word_bpe_49k.json")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text."""
+    return toxicity_model.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded; digests of ids and decoded text."""
     return bpe.digests(bpe.encode(read_table(spark, sf_dir, "documents"), VOCABULARY, decoded=True))
@@ -33,6 +39,11 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, tail probability and selection of every document."""
+    return ordinal_quality.quality_grades(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     texts = html_density.extract(read_table(spark, sf_dir, "pages"))
@@ -40,9 +51,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op4_bpe_codec": op4_bpe_codec,
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_scan": op7_secret_scan,
+    "op8_ordinal_quality": op8_ordinal_quality,
     "op10_html_extraction": op10_html_extraction,
 }
 ORACLES: dict[str, str] = {
