@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import bpe, html_density, ordinal_quality, quality_rules, secret_scan
+from cdclake.llm import bpe, html_density, ordinal_quality, passage_dedup, quality_rules, secret_scan
 from cdclake.llm import toxicity as toxicity_model
 from cdclake.llm.common import read_table
 
@@ -44,6 +44,19 @@ def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.quality_grades(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op9_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated passages; spans in offsets of the original text."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = passage_dedup.remove(docs, passage_dedup.repeated_spans(docs))
+    return kept.select(
+        "doc_id",
+        F.size("removed_spans").alias("n_removed"),
+        "removed_spans",
+        "kept_spans",
+        F.col("text").alias("kept_text"),
+    )
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     texts = html_density.extract(read_table(spark, sf_dir, "pages"))
@@ -56,6 +69,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_scan": op7_secret_scan,
     "op8_ordinal_quality": op8_ordinal_quality,
+    "op9_passage_dedup": op9_passage_dedup,
     "op10_html_extraction": op10_html_extraction,
 }
 ORACLES: dict[str, str] = {
