@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import bpe, html_density, ordinal_quality, passage_dedup, quality_rules, secret_scan
+from cdclake.llm import bpe, html_density, ngram_jaccard, ordinal_quality, passage_dedup, quality_rules, secret_scan
 from cdclake.llm import toxicity as toxicity_model
 from cdclake.llm.common import read_table
 
@@ -21,6 +21,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_model.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and number of links of every document."""
+    return ngram_jaccard.classes(read_table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded; digests of ids and decoded text."""
     return bpe.digests(bpe.encode(read_table(spark, sf_dir, "documents"), VOCABULARY, decoded=True))
@@ -65,6 +70,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_bpe_codec": op4_bpe_codec,
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_scan": op7_secret_scan,
