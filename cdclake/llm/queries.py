@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import bpe, html_density, ngram_jaccard, ordinal_quality, passage_dedup, quality_rules, secret_scan
+from cdclake.llm import bpe, html_density, multiprobe_ann, ngram_jaccard, ordinal_quality, passage_dedup, quality_rules, secret_scan
 from cdclake.llm import toxicity as toxicity_model
 from cdclake.llm.common import read_table
 
@@ -16,6 +16,11 @@ TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 VOCABULARY = os.path.join(TOKENIZER_DIR, "word_bpe_49k.json")
 
 
+def op1_multiprobe_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest found of every vector whose id is divisible by 100."""
+    return multiprobe_ann.nearest(read_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every whole text."""
     return toxicity_model.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -69,6 +74,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_multiprobe_ann": op1_multiprobe_ann,
     "op2_toxicity": op2_toxicity,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_bpe_codec": op4_bpe_codec,
