@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import bpe, html_density, multiprobe_ann, ngram_jaccard, ordinal_quality, passage_dedup, quality_rules, secret_scan
+from cdclake.llm import bpe, html_density, multiprobe_ann, ngram_jaccard, ordinal_quality, passage_dedup, pfair_mix, quality_rules, secret_scan
 from cdclake.llm import toxicity as toxicity_model
 from cdclake.llm.common import read_table
 
@@ -36,6 +36,12 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(read_table(spark, sf_dir, "documents"), VOCABULARY, decoded=True))
 
 
+def op5_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in the mix: the slot of its block and the offset inside the block."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
+    return pfair_mix.mix(docs).select("doc_id", "source", "mix_slot", "mix_offset")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document, and the verdict of the risk-controlled rules."""
     verdicts = quality_rules.quality_verdicts(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -78,6 +84,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_bpe_codec": op4_bpe_codec,
+    "op5_pfair_mix": op5_pfair_mix,
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_scan": op7_secret_scan,
     "op8_ordinal_quality": op8_ordinal_quality,
