@@ -34,11 +34,12 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from cdclake.llm.common import crc_fold, map_texts, stage
+from cdclake.llm.common import crc_fold, map_texts, small_batches, stage
 
 #: Most good documents of a stratum that the rules may reject, and the risk that they reject more.
 ALPHA, DELTA = 0.10, 0.05
@@ -215,3 +216,27 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Counts, base verdict and ``kept`` for every document (one row per row of ``docs``)."""
     counts = stage(text_counts(docs), "text-counts")
     return judge(counts, stage(learn_cutoffs(counts, labels), "rule-cutoffs"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", stratum_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, unchanged.
+
+    The texts are read a second time instead of being shuffled to their
+    verdicts, so rows are judged one by one, also where ids repeat.
+    """
+    small_batches(docs.sparkSession)
+    counts = stage(text_counts(docs, id_col, stratum_col, text_col), "text-counts")
+    cutoffs = stage(learn_cutoffs(counts, labels), "rule-cutoffs")
+    schema = StructType([StructField("doc", docs.schema), StructField("stratum", StringType()), *(StructField(c, LongType()) for c in COUNTS)])
+    text_at, stratum_at = docs.columns.index(text_col), docs.columns.index(stratum_col)
+
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                doc = b.column(0)
+                found = np.array([count_text(t) for t in doc.field(text_at).to_pylist()], np.int64)
+                stratum = doc.field(stratum_at).cast(pa.string()).fill_null("")
+                yield pa.RecordBatch.from_arrays([doc, stratum, *(pa.array(c) for c in found.T)], names=["doc", "stratum", *COUNTS])
+
+    counted = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")).mapInArrow(run, schema)
+    return judge(counted, cutoffs).where("kept").select("doc.*")

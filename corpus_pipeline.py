@@ -1,26 +1,62 @@
-"""Corpus pipeline over ``documents``: each stage reads what its predecessor wrote."""
+"""Corpus pipeline over ``documents``: each stage reads what its predecessor wrote.
+
+1. quality rules: documents that fail the base rule or a certified cutoff go;
+2. n-gram Jaccard join: one document of every near-duplicate class stays;
+3. secret scan: secrets in the texts are replaced by a mask;
+4. mixing: the rows are written in the order of the Pfair schedule of their
+   sources (none is dropped);
+5. BPE encoding: token ids of every text.
+
+All stages but the last return the columns of ``documents``. What a stage
+does with nulls, empty texts, repeats, empty tables and extra columns is
+stated in its operator's module.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cdclake.llm import bpe
+from cdclake.llm import bpe, ngram_jaccard, pfair_mix, quality_rules, secret_scan
 from cdclake.llm.common import read_table, stage
 from cdclake.llm.queries import VOCABULARY
 
 
-def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.keep_good(docs, read_table(spark, sf_dir, "labels"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.keep_first(docs)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    clean = secret_scan.redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else clean
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pfair_mix.in_order(pfair_mix.mix(docs))
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, VOCABULARY)
 
 
-STAGES = [("bpe_encoding", encode_stage)]
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("ngram_jaccard", near_duplicate_stage),
+    ("secret_scan", secret_stage),
+    ("pfair_mix", mixing_stage),
+    ("bpe_encoding", encoding_stage),
+]
 
-#: SQL cannot express the pipeline's stages.
+#: SQL can express neither the certified cutoffs nor the mixing and the encoding.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each one's result written to the shared folder and read again by the next."""
+    """All stages; each one's result is written to the shared folder and read again by the next."""
     docs = read_table(spark, sf_dir, "documents")
     for name, fn in STAGES:
         docs = stage(fn(spark, docs, sf_dir), f"pipeline-{name}")
