@@ -270,8 +270,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     found = stage(near_duplicates(docs, id_col, text_col), "classes")
     first = found.where("id = class_id").groupBy("id").agg(F.count("*").alias("n"))
-    kept = docs.withColumn("_id", F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST))).join(
-        first.select(F.col("id").alias("_id")), "_id", "left_semi"
-    ).drop("_id")
+    packed = docs.select(F.struct("*").alias("doc"), F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(_LAST)).alias("id"))
+    kept = packed.join(first.select("id"), "id", "left_semi").select("doc.*")
     repeated = first.where("n > 1").limit(1).count()
     return kept.distinct() if repeated else kept

@@ -128,18 +128,15 @@ def kept_pieces(spans: str = "spans", length: str = "length(text)") -> str:
 
 def remove(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the spans cut out of the text, plus ``removed_spans`` and ``kept_spans`` in original offsets."""
-    found = spans.where("size(spans) > 0").select(F.col("id").alias("_id"), F.col("spans").alias("removed_spans"))
-    found = found.dropDuplicates(["_id", "removed_spans"])
-    text = f"`{text_col}`"
-    pieces = kept_pieces("removed_spans", f"length({text})")
-    joined = docs.drop("removed_spans", "kept_spans").join(
-        found, F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)) == F.col("_id"), "left"
-    )
-    cut = f"""CASE WHEN removed_spans IS NULL THEN {text} ELSE
-        array_join(transform(kept_spans, p -> substr({text}, p.start + 1, p.end - p.start)), '') END"""
-    return (
-        joined.drop("_id")
-        .withColumn("removed_spans", F.coalesce("removed_spans", F.expr("CAST(array() AS array<struct<start: int, end: int>>)")))
-        .withColumn("kept_spans", F.expr(pieces))
-        .withColumn(text_col, F.expr(cut))
+    found = spans.where("size(spans) > 0").select("id", F.col("spans").alias("found")).dropDuplicates()
+    text = f"doc.`{text_col}`"
+    packed = docs.drop("removed_spans", "kept_spans").select(
+        F.struct("*").alias("doc"), F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(_LAST)).alias("id")
     )
+    none = F.expr("CAST(array() AS array<struct<start: int, end: int>>)")
+    joined = packed.join(found, "id", "left").withColumn("removed", F.coalesce("found", none))
+    joined = joined.withColumn("kept", F.expr(kept_pieces("removed", f"length({text})")))
+    cut = f"""CASE WHEN size(removed) = 0 THEN {text} ELSE
+        array_join(transform(kept, p -> substr({text}, p.start + 1, p.end - p.start)), '') END"""
+    columns = [F.expr(cut).alias(c) if c == text_col else F.col(f"doc.`{c}`") for c in docs.columns if c not in ("removed_spans", "kept_spans")]
+    return joined.select(*columns, F.col("removed").alias("removed_spans"), F.col("kept").alias("kept_spans"))

@@ -103,12 +103,15 @@ def phases(blocks: Mapping[str, int], weights: Mapping[str, float], period: int
     return rows
 
 
+def _keys(id_col: str, source_col: str):
+    text = lambda c, name: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(name)
+    return text(id_col, "_id"), text(source_col, "_source")
+
+
 def _places(docs: DataFrame, id_col: str, source_col: str, weights: Mapping[str, float] | None, block_rows: int) -> DataFrame:
     """``_id, _source, mix_slot, mix_offset`` of every distinct id and source."""
     spark = docs.sparkSession
-    keys = docs.select(
-        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_source")
-    ).distinct()
+    keys = docs.select(*_keys(id_col, source_col)).distinct()
     numbered = sequence_number(keys.withColumn("_h", F.xxhash64("_id", F.lit(11))), ["_h", "_id"], ["_source"], out="_n")
     numbered = stage(numbered.withColumn("_n", F.col("_n") - 1), "numbered")
     counts = {r._source: r.n for r in numbered.groupBy("_source").agg(F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()}
@@ -142,10 +145,8 @@ def mix(
     """``docs`` with ``mix_slot`` (of the document's block) and ``mix_offset`` (inside the block): the mixing order."""
     docs = docs.drop("mix_slot", "mix_offset")
     places = stage(_places(docs, id_col, source_col, weights, block_rows), "places")
-    keyed = docs.withColumn("_id", F.coalesce(F.col(id_col).cast("string"), F.lit(""))).withColumn(
-        "_source", F.coalesce(F.col(source_col).cast("string"), F.lit(""))
-    )
-    return keyed.join(places, ["_id", "_source"]).drop("_id", "_source")
+    packed = docs.select(F.struct("*").alias("doc"), *_keys(id_col, source_col))
+    return packed.join(places, ["_id", "_source"]).select("doc.*", "mix_slot", "mix_offset")
 
 
 def in_order(mixed: DataFrame) -> DataFrame:

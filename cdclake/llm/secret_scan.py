@@ -97,8 +97,8 @@ def _randomness(c: str) -> str:
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds ``secret_spans``: ``array<struct<start, kind_no, end, kind>>`` ordered by start, then kind."""
-    text = f"`{text_col}`"
-    steps = docs.withColumn("_text", F.expr(f"coalesce({text}, '')"))
+    doc = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "secret_spans")).alias("doc")
+    steps = docs.select(doc, F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
     patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "entropy": CANDIDATE}
     for kind, pattern in patterns.items():
         found = f"regexp_extract_all(_text, {_lit(pattern)}, 0)"
@@ -126,9 +126,7 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     entropy = f"""filter(transform({random}, p -> {span.format(s='p.start', n=3, e='p.end', k='entropy')}),
         x -> NOT exists(_base, b -> b.start <= x.start AND b.end >= x.end))"""
     steps = steps.withColumn("_more", F.expr(f"CASE WHEN size(_entropy_at) > 0 THEN {entropy} ELSE array() END"))
-    return steps.withColumn("secret_spans", F.expr("array_sort(concat(_base, _more))")).select(
-        *[f"`{c}`" for c in docs.columns if c != "secret_spans"], "secret_spans"
-    )
+    return steps.select("doc.*", F.expr("array_sort(concat(_base, _more))").alias("secret_spans"))
 
 
 def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:

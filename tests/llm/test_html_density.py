@@ -1,0 +1,50 @@
+from pyspark.sql import functions as F
+
+from cdclake.llm.html_density import Page, extract, main_text
+from tests.llm.conftest import rows
+
+LONG = "A sentence with quite a few words in it, so that it counts as text. "
+
+
+def test_article_without_its_surroundings():
+    page = f"""<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p>";x(1)</script></head>
+    <body class="has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href=/a>a</a></li></ul></nav><!-- ad --><div class="ad">{LONG}</div>
+    <article><h1>Head &amp; more</h1><p><b>First   line.<br><p>{LONG}</p><p>Caf&eacute;&nbsp;x &lt;b&gt;</p>
+    <form><input name=q>Search</form><div class="share-bar">Share it</div></article>
+    <section id="comments"><article class="comment"><p>{LONG}{LONG}</p></article></section>
+    <div id="cookie-notice">{LONG}</div><aside>{LONG}</aside><footer>&copy; x</footer></body></html>"""
+    assert main_text(page) == f"Head & more\nFirst line.\n{LONG.strip()}\nCafé x <b>"
+
+
+def test_densest_subtree_without_an_article_element():
+    page = f"""<body><div id=top><a href=1>one</a> <a href=2>two</a> <a href=3>three</a></div>
+    <div id=main-part><h2>Title</h2><div class=text><p>{LONG * 2}<p>{LONG * 3}<ul><li>{LONG}<li>{LONG}</ul></div></div>
+    <div><ul><li><a href=4>{LONG}</a><li><a href=5>more</a></ul></div></body>"""
+    expected = ["Title", (LONG * 2).strip(), (LONG * 3).strip(), LONG.strip(), LONG.strip()]
+    assert main_text(page).split("\n") == expected
+
+
+def test_unclosed_and_stray_tags():
+    assert main_text("plain text &amp; more") == "plain text & more"
+    assert main_text("<p>one<p>two</div></p>three") == "one\ntwo\nthree"
+    assert main_text("<table><tr><td>a<td>b<tr><td>c</table>") == "a\nb\nc"
+    assert main_text("a < b and c > d") == "a < b and c > d"
+    assert main_text("<p title='x > y'>quoted</p><!-- open comment") == "quoted"
+    assert main_text("x<script>never closed") == "x"
+    assert main_text("") == main_text(None) == main_text("<p>" * 3) == ""
+
+
+def test_deep_and_long_pages():
+    assert main_text("<div>" * 20_000 + "deep") == "deep"
+    body = "".join(f"<p>{LONG}{i}</p>" for i in range(3000))
+    assert main_text(f"<article>{body}</article>").count("\n") == 2999
+    assert len(Page("<b>" * 1000).tag) == 1001
+
+
+def test_pages(spark):
+    given = [(1, "u", "<article><p>x</p></article>"), (1, "u", "<article><p>x</p></article>"), (2, None, None), (None, "v", "")]
+    pages = spark.createDataFrame(given, "page_id bigint, url string, html string")
+    found = extract(pages)
+    assert rows(found) == sorted(map(repr, [(1, "u", "x"), (1, "u", "x"), (2, None, ""), (None, "v", "")]))
+    assert rows(extract(pages.withColumns({"text": F.lit("t"), "n_chars": F.lit(3)}))) == rows(found)
+    assert extract(pages.limit(0)).count() == 0
