@@ -135,6 +135,12 @@ def _places(docs: DataFrame, id_col: str, source_col: str, weights: Mapping[str,
     return found.select("_id", "_source", slot.cast("bigint").alias("mix_slot"), (F.col("_n") % block_rows).cast("int").alias("mix_offset"))
 
 
+def _placed(docs: DataFrame, weights: Mapping[str, float] | None, id_col: str, source_col: str, block_rows: int) -> DataFrame:
+    """``doc`` (the row), ``mix_slot``, ``mix_offset``."""
+    places = stage(_places(docs, id_col, source_col, weights, block_rows), "places")
+    return docs.select(F.struct("*").alias("doc"), *_keys(id_col, source_col)).join(places, ["_id", "_source"])
+
+
 def mix(
     docs: DataFrame,
     weights: Mapping[str, float] | None = None,
@@ -143,15 +149,19 @@ def mix(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``docs`` with ``mix_slot`` (of the document's block) and ``mix_offset`` (inside the block): the mixing order."""
-    docs = docs.drop("mix_slot", "mix_offset")
-    places = stage(_places(docs, id_col, source_col, weights, block_rows), "places")
-    packed = docs.select(F.struct("*").alias("doc"), *_keys(id_col, source_col))
-    return packed.join(places, ["_id", "_source"]).select("doc.*", "mix_slot", "mix_offset")
+    placed = _placed(docs.drop("mix_slot", "mix_offset"), weights, id_col, source_col, block_rows)
+    return placed.select("doc.*", "mix_slot", "mix_offset")
 
 
-def in_order(mixed: DataFrame) -> DataFrame:
-    """The rows sorted by slot over all partitions, without the order columns: written files follow the mix."""
-    spark = mixed.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = mixed.repartitionByRange(parts, "mix_slot", "mix_offset")
-    return ranged.sortWithinPartitions("mix_slot", "mix_offset").drop("mix_slot", "mix_offset")
+def in_order(
+    docs: DataFrame,
+    weights: Mapping[str, float] | None = None,
+    id_col: str = "doc_id",
+    source_col: str = "source",
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """``docs`` sorted into the mixing order over all partitions, so written files follow the mix."""
+    placed = _placed(docs, weights, id_col, source_col, block_rows)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["mix_slot", "mix_offset"]
+    return placed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc.*")

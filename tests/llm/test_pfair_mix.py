@@ -65,7 +65,7 @@ def test_written_files_follow_the_order(spark, tmp_path):
     table = spark.createDataFrame([(i, f"s{i % 3}") for i in range(500)], "doc_id bigint, source string")
     mixed = p.mix(table)
     expected = [r.doc_id for r in sorted(mixed.collect(), key=lambda r: (r.mix_slot, r.mix_offset))]
-    ordered = p.in_order(mixed)
+    ordered = p.in_order(table)
     assert ordered.columns == table.columns
     assert [r.doc_id for r in ordered.collect()] == expected
 

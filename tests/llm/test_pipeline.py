@@ -94,12 +94,12 @@ def test_each_stage_calls_its_operator(monkeypatch, spark, corpus):
     path, _ = corpus
     called = []
     for module, name in (
-        (quality_rules, "keep_good"), (ngram_jaccard, "keep_first"), (secret_scan, "redact"), (pfair_mix, "mix"), (bpe, "encode"),
+        (quality_rules, "keep_good"), (ngram_jaccard, "keep_first"), (secret_scan, "redact"), (pfair_mix, "in_order"), (bpe, "encode"),
     ):
         real = getattr(module, name)
         monkeypatch.setattr(module, name, lambda *a, real=real, name=name, **b: called.append(name) or real(*a, **b))
     docs = spark.read.parquet(f"{path}/documents.parquet")
     for _, fn in pipeline.STAGES:
         fn(spark, docs, path)
-    assert called == ["keep_good", "keep_first", "redact", "mix", "encode"]
+    assert called == ["keep_good", "keep_first", "redact", "in_order", "encode"]
     assert rows(docs.limit(0)) == []
