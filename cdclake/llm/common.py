@@ -75,3 +75,18 @@ def nfc_lower(text: str) -> str:
 def crc_fold(column, folds: int = 3):
     """crc32 of the id as text, modulo ``folds``: the fixed hold-out rule of the labelled queries."""
     return F.crc32(column.cast("string").cast("binary")) % F.lit(folds)
+
+
+def hash_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows, those with the smallest hash of ``key``, with the hash as column ``h``.
+
+    A threshold from the row count thins the rows where they lie, so what
+    meets in one task to be cut to ``rows`` is about ``1.2 * rows``, whatever
+    the size of the input.
+    """
+    space = 1 << 40
+    hashed = df.withColumn("h", F.pmod(F.xxhash64(key), F.lit(space)))
+    n = df.count()
+    if n > rows:
+        hashed = hashed.where(F.col("h") < int(space * min(1.0, (1.2 * rows + 100) / n)))
+    return hashed.orderBy("h", key).limit(rows)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdclake.llm.common import WORD_CACHE_ENTRIES
+from cdclake.llm.common import WORD_CACHE_ENTRIES, hash_sample, stage
 
 #: Size of the hashed feature space. Weights are at most 2**20 numbers, so they may be broadcast.
 BITS = 20
@@ -58,7 +58,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> D
     ``labels`` has one row ``(doc_id, y)`` per document. The sample is at most
     ``rows`` ids and labels, so it is broadcast against the documents.
     """
-    chosen = labels.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(rows)
+    chosen = hash_sample(stage(labels, "labels"), "doc_id", rows)
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 

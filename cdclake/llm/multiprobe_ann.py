@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cdclake.llm.common import small_batches, stage
+from cdclake.llm.common import hash_sample, small_batches, stage
 
 K = 10
 TABLES = 4
@@ -309,7 +309,7 @@ def nearest(table: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
 
     n = base.count()
     most = min(SAMPLE_ROWS, max(256, SAMPLE_NUMBERS // dim))
-    sample = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(most).select("v").collect()
+    sample = hash_sample(base, "vec_id", most).select("v").collect()
     hashing = fit(_matrix([r.v for r in sample]), n)
     met = stage(_search(base, searches, hashing, n), "met")
     enough = met.groupBy("query_id").agg(F.count_distinct("vec_id").alias("n")).where(f"n >= {min(n, K + 1)}")
