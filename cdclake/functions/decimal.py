@@ -5,41 +5,62 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Largest byte string we turn into a number: conv() works on unsigned 64-bit values.
-MAX_BYTES = 8
 _BASE64 = r"^[A-Za-z0-9+/]+={0,2}$"
+# Hex digits that conv() turns into an unsigned 64-bit value without loss.
+_CHUNK = 15
+_DEC = "decimal(38,0)"
+
+
+def _unsigned(digits: Column) -> Column:
+    """Big-endian hex digits of any length as a double.
+
+    Up to 16 digits go through one ``conv``, up to 30 through exact decimals;
+    longer values add up in doubles, 12 digits (48 bits) at a time.
+    """
+    short = F.ltrim(digits, F.lit("0"))
+    n = F.length(short)
+    part = lambda c: F.conv(c, 16, 10).cast(_DEC)
+    low, high = F.right(short, F.lit(_CHUNK)), F.substring(short, F.lit(1), n - _CHUNK)
+    exact = (part(high) * F.lit(16**_CHUNK).cast("decimal(19,0)") + part(low)).cast("double")
+    padded = F.lpad(short, (F.ceil(n / 12) * 12).cast("int"), F.lit("0"))
+    chunks = F.sequence(F.lit(0).cast("int"), (F.ceil(n / 12) - 1).cast("int"))
+    summed = F.aggregate(
+        chunks,
+        F.lit(0.0),
+        lambda acc, i: acc * F.lit(float(1 << 48)) + F.conv(F.substring(padded, i * 12 + 1, F.lit(12)), 16, 10).cast("double"),
+    )
+    return (
+        F.when(n == 0, F.lit(0.0))
+        .when(n <= 16, F.conv(short, 16, 10).cast("double"))
+        .when(n <= 2 * _CHUNK, exact)
+        .otherwise(summed)
+    )
 
 
 def decode_decimal(c: Column | str, scale: int = 3, signed: bool = False) -> Column:
-    """Decode a base64 unscaled integer to a double, guarded so nothing raises.
+    """Decode a base64 unscaled integer of any length to a double, guarded so nothing raises.
 
-    Null, empty, badly padded, non-base64 or over-long input gives 0.0. The
-    bytes are read as an unsigned big-endian integer (``signed=False``, the
-    behaviour of the job this replaces) or as two's complement.
+    Null, empty, badly padded or non-base64 input gives 0.0. The bytes are
+    read as an unsigned big-endian integer (``signed=False``, the behaviour of
+    the job this replaces) or as two's complement: a negative value is minus
+    (its complement plus one), computed on the digits, so wide values keep
+    their precision.
     """
     text = F.col(c) if isinstance(c, str) else c
     raw = F.try_to_binary(text, F.lit("base64"))
-    nbytes = F.octet_length(raw)
-    unsigned = F.conv(F.hex(raw), 16, 10).cast("double")
+    digits = F.hex(raw)
+    value = _unsigned(digits)
     if signed:
-        value = F.when(
-            unsigned >= F.pow(F.lit(2.0), nbytes * 8 - 1), unsigned - F.pow(F.lit(2.0), nbytes * 8)
-        ).otherwise(unsigned)
-    else:
-        value = unsigned
-    bad = (
-        text.isNull()
-        | (F.length(text) == 0)
-        | (F.length(text) % 4 != 0)
-        | ~text.rlike(_BASE64)
-        | raw.isNull()
-        | (nbytes > MAX_BYTES)
-    )
+        complement = F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210")
+        value = F.when(F.substring(digits, 1, 1) >= "8", -(_unsigned(complement) + F.lit(1.0))).otherwise(value)
+    bad = text.isNull() | (F.length(text) == 0) | (F.length(text) % 4 != 0) | ~text.rlike(_BASE64) | raw.isNull()
     return F.coalesce(F.when(bad, F.lit(0.0)).otherwise(value / F.lit(10.0**scale)), F.lit(0.0))
 
 
 def encode_decimal(c: Column | str, scale: int = 3, nbytes: int = 5) -> Column:
-    """Inverse of :func:`decode_decimal` for non-negative values (test and fixture side)."""
+    """Inverse of :func:`decode_decimal` (test and fixture side); negative values as two's complement."""
     value = F.col(c) if isinstance(c, str) else c
     unscaled = F.round(value * F.lit(10**scale)).cast("long")
-    return F.base64(F.unhex(F.lpad(F.hex(unscaled), 2 * nbytes, "0")))
+    magnitude = F.lpad(F.hex(F.when(unscaled < 0, -unscaled - 1).otherwise(unscaled)), 2 * nbytes, "0")
+    digits = F.when(unscaled < 0, F.translate(magnitude, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(magnitude)
+    return F.base64(F.unhex(digits))

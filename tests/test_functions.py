@@ -9,7 +9,7 @@ from cdclake.functions import decode_decimal, encode_decimal, falsy_default, sec
 # FIXTURES §4 "decode": text -> expected double
 DECODE_CASES = [
     ("AQuU", 68.5), ("AlQL4/8=", 9999999.999), ("/Bg=", 64.536), ("AA==", 0.0), (None, 0.0), ("", 0.0),
-    ("abc", 0.0), ("A===", 0.0), ("====", 0.0), ("!!!!", 0.0), ("68.5", 0.0), ("////////////////", 0.0),
+    ("abc", 0.0), ("A===", 0.0), ("====", 0.0), ("!!!!", 0.0), ("68.5", 0.0), ("////////////////", (2**96 - 1) / 1000),
 ]
 
 
@@ -25,6 +25,24 @@ def test_decode_signed(spark):
     assert df.select(decode_decimal("t", signed=True).alias("v")).first().v == -1.0
 
 
+def test_decode_wide_and_negative_values(spark):
+    import base64
+
+    def text(value, nbytes):
+        return base64.b64encode(value.to_bytes(nbytes, "big", signed=value < 0)).decode()
+
+    cases = [(12345678, 9), (10**30 + 7, 13), (2**64 - 1, 9), (2**200 + 12345, 30), (0, 20), (-1000, 8), (-1000, 2), (-(10**20), 12), (-(2**150), 25)]
+    df = spark.createDataFrame([(i, text(*c)) for i, c in enumerate(cases)], "i int, t string")
+    got = df.select("i", decode_decimal("t", signed=True).alias("v"), decode_decimal("t").alias("u")).collect()
+    for r in got:
+        value = cases[r.i][0]
+        assert abs(r.v - value / 1000) <= 1e-12 * abs(value), (cases[r.i], r.v)
+        if value >= 0:
+            assert abs(r.u - value / 1000) <= 1e-12 * value
+    back = spark.createDataFrame([(-5.25,), (7.5,), (0.0,)], "v double")
+    assert [r[0] for r in back.select(decode_decimal(encode_decimal("v", nbytes=9), signed=True)).collect()] == [-5.25, 7.5, 0.0]
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.integers(min_value=0, max_value=9_999_999_999), min_size=1, max_size=50))
 def test_encode_decode_identity(spark, values):
@@ -54,7 +72,7 @@ def test_scale_conf_sizes_partitions():
     small = scale_conf(10 * 1024**3, 64)
     assert int(small["spark.sql.shuffle.partitions"]) == 192  # at least three waves of tasks
     big = scale_conf(30 * 1024**4, 8000)
-    assert int(big["spark.sql.shuffle.partitions"]) == 100_000  # capped
+    assert int(big["spark.sql.shuffle.partitions"]) == 122_880  # 256 MB each
     assert int(big["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]) == 1024**3
 
 
