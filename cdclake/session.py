@@ -12,11 +12,13 @@ none, which happens in local test sessions.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that shape the physical plans of every job. AQE re-plans joins at
 # runtime from measured shuffle sizes (a size-checked broadcast with a
@@ -70,13 +72,13 @@ def scale_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: int
     """Settings for a large run, from the expected shuffle volume and the cluster's cores.
 
     Shuffle partitions are sized so each holds about ``target_partition_bytes``
-    before AQE coalesces the small ones (at least three waves of tasks, at most
-    100k partitions to keep the shuffle block count manageable). Input splits
-    are 512 MB; a partition counts as skewed above 1 GB and 5x the median, and
-    AQE then splits it. The runtime broadcast limit is a measured size, so a
-    dimension is broadcast only when it is actually small.
+    before AQE coalesces the small ones (at least three waves of tasks). Input
+    splits are 512 MB; a partition counts as skewed above 1 GB and 5x the
+    median, and AQE then splits it. The runtime broadcast limit is a measured
+    size, so a dimension is broadcast only when it is actually small. The
+    command-line jobs apply it with ``--shuffle-bytes`` and ``--cores``.
     """
-    parts = min(100_000, max(3 * total_cores, -(-shuffle_bytes // target_partition_bytes)))
+    parts = max(3 * total_cores, -(-shuffle_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(512 * 1024**2),
@@ -112,11 +114,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
                 "checkpoints and intermediate tables"
             )
         configured = tempfile.mkdtemp(prefix="cdclake-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    """This application's own folder below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/cdclake/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/cdclake/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate to the shared scratch folder and read it back.
+
+    Its size is then known to the planner, several jobs may read it, and a
+    lost executor re-reads files instead of recomputing the lineage.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch folder (at the end of a job, when nothing reads from it any more)."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)

@@ -1,10 +1,12 @@
 """Keyed snapshot tables: first write, upsert, insert-if-absent, append.
 
 Delta Lake ``MERGE`` is used when the Delta package is importable. Without
-it a table is a folder of immutable versions ``v=000001/``, ``v=000002/`` ...
-Each change writes a complete new version next to the old ones; the newest
-version with a ``_SUCCESS`` marker is the current one, so a reader never
-sees a half-written table and a failed write leaves the table unchanged.
+it a table is a folder of immutable parts: ``v=000001/`` holds a whole
+version, ``a=000002/`` rows appended to it. The newest whole version with a
+``_SUCCESS`` marker and the committed appends after it are the table, so a
+reader never sees a half-written change and a failed write leaves the table
+unchanged. A writer claims its number with an exclusively created file: a
+second writer of the same number fails instead of overwriting.
 """
 
 from __future__ import annotations
@@ -15,7 +17,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_PREFIX = "v="
+from cdclake.session import staged
+
+_PREFIX, _APPEND = "v=", "a="
 
 
 def delta_available(spark: SparkSession | None = None) -> bool:
@@ -55,16 +59,21 @@ def apply_changes_frames(target: DataFrame, changes: DataFrame, keys: Sequence[s
     return kept.unionByName(live, allowMissingColumns=True)
 
 
-def insert_if_absent_frames(
-    target: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None
-) -> DataFrame:
-    """``INSERT ... ON CONFLICT (keys) DO NOTHING``: one new row per absent key is appended."""
+def absent_rows(target: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
+    """One row of ``new`` for each key that ``target`` does not have."""
     order = list(order) if order else [F.col(c).asc_nulls_first() for c in new.columns if c not in keys]
     w = Window.partitionBy(*keys).orderBy(*order)
     first = new.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
     tkeys = target.select(*[F.col(k).alias(f"_ik{i}") for i, k in enumerate(keys)])
     cond = [first[k] == tkeys[f"_ik{i}"] for i, k in enumerate(keys)]
-    return target.unionByName(first.join(tkeys, cond, "left_anti"), allowMissingColumns=True)
+    return first.join(tkeys, cond, "left_anti")
+
+
+def insert_if_absent_frames(
+    target: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None
+) -> DataFrame:
+    """``INSERT ... ON CONFLICT (keys) DO NOTHING``: one new row per absent key is appended."""
+    return target.unionByName(absent_rows(target, new, keys, order), allowMissingColumns=True)
 
 
 class SnapshotTable:
@@ -81,9 +90,8 @@ class SnapshotTable:
         p = jvm.org.apache.hadoop.fs.Path(self.path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def versions(self) -> list[int]:
-        if self.use_delta:
-            return []
+    def _parts(self) -> list[tuple[int, str]]:
+        """Number and kind of every committed part, oldest first."""
         fs, root = self._fs()
         if not fs.exists(root):
             return []
@@ -91,15 +99,33 @@ class SnapshotTable:
         jvm = self.spark._jvm
         for st in fs.listStatus(root):
             name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(_PREFIX):
+            if st.isDirectory() and name[:2] in (_PREFIX, _APPEND):
                 if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    out.append(int(name[len(_PREFIX):]))
+                    out.append((int(name[2:]), name[:2]))
         return sorted(out)
 
+    def versions(self) -> list[int]:
+        return [] if self.use_delta else [n for n, _ in self._parts()]
+
     def current_version(self) -> int | None:
         v = self.versions()
         return v[-1] if v else None
 
+    def _claimed(self, write, kind: str = _PREFIX) -> int:
+        """Write the next part under an exclusive claim."""
+        number = (self.current_version() or 0) + 1
+        fs, _ = self._fs()
+        claim = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/.claim-{number:06d}")
+        try:
+            fs.create(claim, False).close()
+        except Exception as exc:
+            raise RuntimeError(f"another writer holds part {number} of {self.path} (if it died, delete {claim})") from exc
+        try:
+            write(f"{self.path}/{kind}{number:06d}")
+        finally:
+            fs.delete(claim, False)
+        return number
+
     def exists(self) -> bool:
         if self.use_delta:
             from delta.tables import DeltaTable  # type: ignore
@@ -107,28 +133,29 @@ class SnapshotTable:
             return DeltaTable.isDeltaTable(self.spark, self.path)
         return self.current_version() is not None
 
-    def _version_path(self, v: int) -> str:
-        return f"{self.path}/{_PREFIX}{v:06d}"
-
     def read(self, version: int | None = None) -> DataFrame:
         if self.use_delta:
             reader = self.spark.read.format("delta")
             if version is not None:
                 reader = reader.option("versionAsOf", version)
             return reader.load(self.path)
-        v = self.current_version() if version is None else version
-        if v is None:
+        parts = [p for p in self._parts() if version is None or p[0] <= version]
+        whole = max((n for n, kind in parts if kind == _PREFIX), default=None)
+        if whole is None or (version is not None and parts[-1][0] != version):
             raise FileNotFoundError(f"no committed version under {self.path}")
-        return self.spark.read.parquet(self._version_path(v))
+        paths = [f"{self.path}/{kind}{n:06d}" for n, kind in parts if n >= whole]
+        if len(paths) == 1:
+            return self.spark.read.parquet(paths[0])
+        # an append may lack columns of the table: they read as null
+        return self.spark.read.option("mergeSchema", True).parquet(*paths)
 
     # --- writes ---
     def overwrite(self, df: DataFrame) -> int:
         if self.use_delta:
             df.write.format("delta").mode("overwrite").save(self.path)
             return 0
-        v = (self.current_version() or 0) + 1
-        df.write.mode("overwrite").parquet(self._version_path(v))
-        return v
+        # left-overs of a failed write under this number are replaced; a committed part never is
+        return self._claimed(lambda path: df.write.mode("overwrite").parquet(path))
 
     def upsert(self, source: DataFrame, keys: Sequence[str]) -> int:
         """Create the table from ``source`` if absent, else merge ``source`` into it by ``keys``."""
@@ -146,7 +173,8 @@ class SnapshotTable:
                 .execute()
             )
             return 0
-        return self.overwrite(upsert_frames(self.read(), source, keys))
+        # the source is used twice (its keys and its rows): evaluate it once
+        return self.overwrite(upsert_frames(self.read(), staged(source, "upsert"), keys))
 
     def apply_changes(self, changes: DataFrame, keys: Sequence[str], op_col: str = "_cdc_op") -> int:
         """Apply latest changes per key (``cdc.latest_changes``): a delete removes the row."""
@@ -166,17 +194,19 @@ class SnapshotTable:
                 .execute()
             )
             return 0
-        return self.overwrite(apply_changes_frames(self.read(), changes, keys, op_col))
+        return self.overwrite(apply_changes_frames(self.read(), staged(changes, "changes"), keys, op_col))
 
     def insert_if_absent(self, new: DataFrame, keys: Sequence[str]) -> int:
+        """Append one row for each key the table does not have; present rows are only read for their keys."""
         if not self.exists():
             return self.overwrite(insert_if_absent_frames(new.limit(0), new, keys))
-        return self.overwrite(insert_if_absent_frames(self.read(), new, keys))
+        return self.append(absent_rows(self.read(), new, keys))
 
     def append(self, df: DataFrame) -> int:
+        """Add rows as new files; nothing that is there is read or rewritten."""
         if not self.exists():
             return self.overwrite(df)
         if self.use_delta:
             df.write.format("delta").mode("append").save(self.path)
             return 0
-        return self.overwrite(self.read().unionByName(df, allowMissingColumns=True))
+        return self._claimed(lambda path: df.write.mode("overwrite").parquet(path), _APPEND)

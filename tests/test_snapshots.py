@@ -55,3 +55,49 @@ def test_apply_changes_deletes_rows(spark):
                                     (envelope(None, {"k": 3, "v": "c"}, "c", 5), 0, 4)], "json_payload string, partition int, offset long")
     t.apply_changes(latest_changes(second, row, ["k"]), ["k"])
     assert _rows(t) == [(2, "b"), (3, "c")]
+
+
+def test_append_adds_files_and_reads_nothing(spark):
+    path = scratch_path(spark, "snap")
+    t = SnapshotTable(spark, path, use_delta=False)
+    t.overwrite(spark.createDataFrame([(1, "a")], S))
+    old = set(t.read().inputFiles())
+    t.append(spark.createDataFrame([(2, "b")], S))
+    t.append(spark.createDataFrame([(3,)], "k long"))
+    assert _rows(t) == [(1, "a"), (2, "b"), (3, None)]
+    assert old < set(t.read().inputFiles())
+    assert sorted(r.k for r in t.read(2).collect()) == [1, 2]
+    t.upsert(spark.createDataFrame([(3, "c")], S), ["k"])  # a whole version again
+    assert _rows(t) == [(1, "a"), (2, "b"), (3, "c")] and t.versions() == [1, 2, 3, 4]
+
+
+def test_second_writer_fails(spark):
+    import pytest
+
+    path = scratch_path(spark, "snap")
+    t = SnapshotTable(spark, path, use_delta=False)
+    t.overwrite(spark.createDataFrame([(1, "a")], S))
+    fs, _ = t._fs()
+    claim = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/.claim-000002")
+    fs.create(claim, False).close()  # another writer is at work
+    with pytest.raises(RuntimeError):
+        t.overwrite(spark.createDataFrame([(2, "b")], S))
+    assert _rows(t) == [(1, "a")]
+    fs.delete(claim, False)
+    t.overwrite(spark.createDataFrame([(2, "b")], S))
+    assert _rows(t) == [(2, "b")]
+
+
+def test_upsert_evaluates_its_source_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            calls.add(b.num_rows)
+            yield b
+
+    t = SnapshotTable(spark, scratch_path(spark, "snap"), use_delta=False)
+    t.overwrite(spark.createDataFrame([(1, "a")], S))
+    source = spark.createDataFrame([(1, "b"), (2, "c")], S).mapInArrow(count, S)
+    t.upsert(source, ["k"])
+    assert calls.value == 2 and _rows(t) == [(1, "b"), (2, "c")]
