@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -9,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdclake.schemas import envelope_schema
-from cdclake.session import scratch_path
 
 TS_COL = "cdc_ts_ms"
 POS_PARTITION = "_cdc_partition"
@@ -24,6 +24,7 @@ def parse_envelopes(
     keep_deletes: bool = False,
     keys: Sequence[str] = (),
     columns: Sequence[str] | None = None,
+    live_only: bool = False,
 ) -> DataFrame:
     """Parse change envelopes with a declared row schema and flatten ``payload.after``.
 
@@ -38,6 +39,8 @@ def parse_envelopes(
     JSON parser then skips the rest). The op filter reads the text with
     ``get_json_object``, so the full parse runs once per kept row; a filter on
     the parsed struct would be pushed below the projection and parse twice.
+    ``live_only`` says that the rows hold no deletes or tombstones any more
+    (the winners of :func:`latest_records`), so their text is not read for it.
     """
     if columns is not None:
         wanted = set(columns) | set(keys)
@@ -50,7 +53,10 @@ def parse_envelopes(
         (F.col("offset") if "offset" in cols else F.lit(None).cast("long")).alias(POS_OFFSET),
     ]
     op_text = F.get_json_object(F.col(payload_col), "$.payload.op")
-    kept = bronze.where(op_text.isNotNull()) if keep_deletes else bronze.where(op_text != "d")
+    if live_only:
+        kept = bronze
+    else:
+        kept = bronze.where(op_text.isNotNull()) if keep_deletes else bronze.where(op_text != "d")
     parsed = kept.select(env.alias("_env"), *pos)
     extra = [F.col("_env.payload.op").alias(OP_COL)] if keep_deletes else []
     row_cols = [
@@ -157,25 +163,32 @@ def latest_state(
     the jobs this replaces). ``deletes="apply"``: the latest event wins and
     keys whose latest event is a delete disappear.
     """
-    rows = parse_envelopes(latest_records(bronze, after, keys, deletes), after)
+    rows = parse_envelopes(latest_records(bronze, after, keys, deletes), after, live_only=True)
     rows = rows.drop(POS_PARTITION, POS_OFFSET)
     return rows if keep_ts else rows.drop(TS_COL)
 
 
-def infer_json_schema(df: DataFrame, col: str, sampling_ratio: float = 1.0) -> T.StructType:
-    """Schema merged over many JSON documents (not only the first one).
+def infer_json_schema(df: DataFrame, col: str) -> T.StructType:
+    """Schema merged over all JSON documents of a text column.
 
-    The text column is written to the shared scratch folder and read back by
-    Spark's JSON reader, which infers and merges per-document schemas in a
-    distributed job. Use ``sampling_ratio`` < 1 on large inputs.
+    One aggregation over the documents, no copy of the text: every document is
+    parsed as a variant and the schemas are merged map-side. Numbers with a
+    fraction become doubles, integers longs; a field that changes its type
+    between documents is read as text. Text that is no JSON object counts for
+    nothing.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, "json-infer")
-    docs = df.select(F.col(col).cast("string").alias("value")).where(F.col("value").isNotNull())
-    if sampling_ratio < 1.0:
-        docs = docs.sample(fraction=sampling_ratio, seed=17)
-    docs.write.text(path)
-    return spark.read.json(path).schema
+    merged = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(col).cast("string"))).alias("s")).first()
+    return _struct_of(merged["s"] if merged else None)
+
+
+def _struct_of(variant_schema: str | None) -> T.StructType:
+    """``OBJECT<a: BIGINT, ...>`` as a struct type with the types of the JSON reader."""
+    if not variant_schema or not variant_schema.startswith("OBJECT<"):
+        return T.StructType([])
+    ddl = variant_schema.replace("OBJECT<", "STRUCT<")
+    ddl = re.sub(r"DECIMAL\(\d+, ?\d+\)|FLOAT", "DOUBLE", ddl)
+    ddl = re.sub(r"(?<=[:<] )(VOID|VARIANT)|(?<=ARRAY<)(VOID|VARIANT)", "STRING", ddl)
+    return T.StructType.fromDDL(f"s {ddl}")["s"].dataType
 
 
 def schema_from_sample(spark: SparkSession, df: DataFrame, col: str) -> str | None:
@@ -184,8 +197,3 @@ def schema_from_sample(spark: SparkSession, df: DataFrame, col: str) -> str | No
     if first is None:
         return None
     return spark.range(1).select(F.schema_of_json(F.lit(first[0]))).first()[0]
-
-
-def parse_json_column(df: DataFrame, col: str, schema: T.StructType | str, alias: str) -> DataFrame:
-    """``from_json`` into a struct column."""
-    return df.withColumn(alias, F.from_json(F.col(col), schema))

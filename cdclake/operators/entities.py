@@ -25,33 +25,60 @@ def _pg_int(c: str):
     return F.bround(F.col(c), 0).try_cast("int")
 
 
-def resolve_users(txn: DataFrame) -> DataFrame:
-    """One client per distinct (addr1, P_emaildomain): ``client_no`` '00000001', ...
+USER_PAIR = ("addr1", "P_emaildomain")
 
-    Personal attributes (names, phones, addresses) are not generated; they
-    stay null and the gold job shows 'Unknown' for them.
+
+def number_clients(txn: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``addr1, P_emaildomain, client_no``: one client per distinct pair, numbered in value order.
+
+    ``known`` holds the pairs and numbers of earlier runs: their numbers stay,
+    and new pairs are numbered on from the largest one.
     """
     pairs = (
         txn.where(F.col("addr1").isNotNull() & F.col("P_emaildomain").isNotNull())
-        .select("addr1", "P_emaildomain")
+        .select(F.col("addr1").cast("double").alias("addr1"), "P_emaildomain")
         .distinct()
     )
-    numbered = sequence_number(pairs, ["addr1", "P_emaildomain"])
-    email = falsy_default("P_emaildomain", "unknown.com")
-    return numbered.select(
-        zero_pad("seq", 8).alias("client_no"),
-        truncate(email, 100).alias("raw_email_domain"),
+    first = 0
+    if known is not None:
+        pairs = pairs.join(known.select(*USER_PAIR), list(USER_PAIR), "left_anti")
+        first = known.agg(F.max(F.col("client_no").cast("long"))).first()[0] or 0
+    new = sequence_number(pairs, list(USER_PAIR)).select(*USER_PAIR, zero_pad(F.col("seq") + F.lit(first), 8).alias("client_no"))
+    return new if known is None else known.select(*USER_PAIR, "client_no").unionByName(new)
+
+
+def user_profiles(clients: DataFrame) -> DataFrame:
+    """Profile rows of numbered clients, as the profile table stores them.
+
+    Personal attributes (names, phones, addresses) are not generated; they
+    stay null and the gold job shows 'Unknown' for them.
+    """
+    return clients.select(
+        "client_no",
+        truncate(falsy_default("P_emaildomain", "unknown.com"), 100).alias("raw_email_domain"),
         _region_code().alias("raw_region_code"),
     )
 
 
-def client_lookup(users: DataFrame) -> DataFrame:
-    """(raw_region_code, raw_email_domain) -> client_no; the last-numbered client wins a shared key."""
-    return users.groupBy("raw_region_code", "raw_email_domain").agg(F.max("client_no").alias("client_no"))
+def resolve_users(txn: DataFrame) -> DataFrame:
+    """One client per distinct (addr1, P_emaildomain): ``client_no`` '00000001', ..."""
+    return user_profiles(number_clients(txn))
+
+
+def client_lookup(clients: DataFrame) -> DataFrame:
+    """(region code, whole e-mail domain) -> client_no; the last-numbered client wins a shared key.
+
+    The domain is the profile's (empty ones read 'unknown.com') before it is
+    cut to the column's width, so two long domains never share a client.
+    """
+    return (
+        clients.groupBy(_region_code().alias("_lk_region"), falsy_default("P_emaildomain", "unknown.com").alias("_lk_domain"))
+        .agg(F.max_by("client_no", F.col("client_no").cast("long")).alias("client_no"))
+    )
 
 
-def assign_accounts(txn: DataFrame, users: DataFrame) -> DataFrame:
-    """One account per distinct (addr1, P_emaildomain, card1, card6) of a known client.
+def assign_accounts(txn: DataFrame, clients: DataFrame) -> DataFrame:
+    """One account per distinct (addr1, P_emaildomain, card1, card6) of a known client (:func:`number_clients`).
 
     Account number '190' + client_no + two-digit sequence within the client
     (ordered by card1, card6); the first account of a client is primary.
@@ -63,10 +90,10 @@ def assign_accounts(txn: DataFrame, users: DataFrame) -> DataFrame:
         .distinct()
         .withColumn("_rc", _region_code())
     )
-    lookup = client_lookup(users)
+    lookup = client_lookup(clients)
     joined = cards.join(
         lookup,
-        (cards["_rc"] == lookup["raw_region_code"]) & (cards["P_emaildomain"] == lookup["raw_email_domain"]),
+        (cards["_rc"] == lookup["_lk_region"]) & (cards["P_emaildomain"] == lookup["_lk_domain"]),
         "inner",
     ).select(cards["card1"], cards["card6"], cards["addr1"], cards["P_emaildomain"], lookup["client_no"])
     numbered = sequence_number(joined, ["card1", "card6", "addr1", "P_emaildomain"], group_cols=["client_no"])
@@ -85,14 +112,32 @@ def assign_accounts(txn: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
-def derive_networks(txn: DataFrame) -> DataFrame:
+def keep_numbers(rows: DataFrame, known: DataFrame | None, keys: list[str], id_col: str) -> DataFrame:
+    """``rows`` with serial ids that stay the same between runs.
+
+    Rows that ``known`` has (null-safe on ``keys``) keep their id; the others
+    are numbered on from the largest one, in the order of their keys.
+    """
+    if known is None:
+        return sequence_number(rows, keys, out=id_col)
+    same = F.lit(True)
+    old = known.select(*[F.col(k).alias(f"_kn_{k}") for k in keys], F.col(id_col))
+    for k in keys:
+        same = same & rows[k].eqNullSafe(old[f"_kn_{k}"])
+    kept = rows.join(old, same).select(*rows.columns, id_col)
+    first = known.agg(F.max(F.col(id_col).cast("long"))).first()[0] or 0
+    fresh = sequence_number(rows.join(old, same, "left_anti"), keys, out=id_col)
+    return kept.unionByName(fresh.withColumn(id_col, (F.col(id_col) + F.lit(first)).cast(kept.schema[id_col].dataType)))
+
+
+def derive_networks(txn: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """description_card: distinct (card4, card6), both present, with a serial id."""
     pairs = (
         txn.where(F.col("card4").isNotNull() & F.col("card6").isNotNull())
         .select(F.col("card4").alias("Network_Name"), F.col("card6").alias("Card_Type"))
         .distinct()
     )
-    numbered = sequence_number(pairs, ["Network_Name", "Card_Type"], out="Card_Network_ID")
+    numbered = keep_numbers(pairs, known, ["Network_Name", "Card_Type"], "Card_Network_ID")
     return numbered.select(
         F.col("Card_Network_ID").cast("long").alias("Card_Network_ID"),
         "Network_Name",
@@ -122,14 +167,14 @@ def derive_banks(txn: DataFrame) -> DataFrame:
     )
 
 
-def derive_location(txn: DataFrame) -> DataFrame:
+def derive_location(txn: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """location: distinct (addr1, addr2) with either present, serial id; Region/Country unfilled."""
     pairs = (
         txn.where(F.col("addr1").isNotNull() | F.col("addr2").isNotNull())
         .select(F.col("addr1").cast("double").alias("addr1"), F.col("addr2").cast("double").alias("addr2"))
         .distinct()
     )
-    numbered = sequence_number(pairs, ["addr1", "addr2"], out="LocationID")
+    numbered = keep_numbers(pairs, known, ["addr1", "addr2"], "LocationID")
     return numbered.select(
         F.col("LocationID").cast("long").alias("LocationID"),
         "addr1",
@@ -139,7 +184,7 @@ def derive_location(txn: DataFrame) -> DataFrame:
     )
 
 
-def derive_devices(identity: DataFrame) -> DataFrame:
+def derive_devices(identity: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """device_fingerprint: distinct device descriptions from identity rows, serial id."""
     rows = (
         identity.where(F.col("DeviceInfo").isNotNull())
@@ -153,11 +198,13 @@ def derive_devices(identity: DataFrame) -> DataFrame:
         .distinct()
     )
     cols = ["Device_Name", "Device_Type", "OS_Version", "Browser_Version", "Screen_Resolution"]
-    numbered = sequence_number(rows, cols, out="Device_ID")
+    numbered = keep_numbers(rows, known, cols, "Device_ID")
     return numbered.select(F.col("Device_ID").cast("long").alias("Device_ID"), *cols)
 
 
-def link_cards(txn: DataFrame, users: DataFrame, networks: DataFrame, banks: DataFrame) -> DataFrame:
+def link_cards(
+    txn: DataFrame, users: DataFrame, networks: DataFrame, banks: DataFrame, known: DataFrame | None = None
+) -> DataFrame:
     """master_card: card -> client -> bank -> network, distinct, with a serial Card_Key.
 
     The transaction side is reduced to its distinct (card1, addr1, e-mail
@@ -181,7 +228,7 @@ def link_cards(txn: DataFrame, users: DataFrame, networks: DataFrame, banks: Dat
         )
         .distinct()
     )
-    numbered = sequence_number(linked, ["Card_Raw_ID", "Client_No", "Card_Network_ID"], out="Card_Key")
+    numbered = keep_numbers(linked, known, ["Card_Raw_ID", "Client_No", "Card_Network_ID"], "Card_Key")
     return numbered.select(
         F.col("Card_Key").cast("long").alias("Card_Key"), "Card_Raw_ID", "Client_No", "Bank_ID", "Card_Network_ID"
     )

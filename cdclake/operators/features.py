@@ -29,6 +29,8 @@ def zscore(
     skewed partitions AQE splits. A standard deviation that is null (one row)
     or zero gives a z-score of 0. ``stats_source`` (the same rows, possibly a
     narrower projection of them) is where the statistics are computed.
+    The null-safe join key also keeps both join sides plain shuffles, which is
+    what lets AQE split the hot group.
     """
     g = f"_zg_{group_col}"
     src = df if stats_source is None else stats_source

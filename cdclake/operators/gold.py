@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdclake.functions.timefn import seconds_after
+from cdclake.session import staged
 
 GOLD_COLUMNS = (
     "TransactionID", "Transaction_Time", "TransactionAmt", "isFraud", "z_score", "ProductDesc",
@@ -89,22 +90,32 @@ def build_gold(
     identity: DataFrame,
     devices: DataFrame,
     location: DataFrame,
+    unique_ids: bool = False,
 ) -> DataFrame:
     """Left-join the fact to every dimension and shape the 28 output columns.
 
     Each dimension side is made unique on its join key before the join, so
     no transaction fans out and no de-duplication shuffle of the wide result
     is needed; only rows with a null TransactionID (which never match) are
-    collapsed to one, as a ``dropDuplicates`` on the key would. The fact is
-    shuffled twice at most: once by card (card profile) and once by
-    TransactionID (identity); small sides are broadcast by AQE from their
-    measured size.
+    collapsed to one, as a ``dropDuplicates`` on the key would, and on the
+    narrow fact before any join. ``unique_ids`` says that the fact already has
+    one row per id (the silver fact does), which saves that step.
+
+    The fact is shuffled twice at most: once by card (card profile) and once
+    by TransactionID (identity); small sides are broadcast from their
+    measured size. The card profile, a chain of joins on an aggregate, is
+    written to the scratch folder first: its size is then known, and if it is
+    too large to broadcast, both sides of the card join are plain shuffles,
+    so adaptive execution can split a card that holds most transactions.
     """
     t = transactions.select(
         "TransactionID", "TransactionDT", "TransactionAmt", "isFraud", "z_score", "ProductCD", "card1", "addr1", "addr2"
     )
+    if not unique_ids:
+        null_keyed = t.where(F.col("TransactionID").isNull()).dropDuplicates(["TransactionID"])
+        t = t.where(F.col("TransactionID").isNotNull()).unionByName(null_keyed)
     pd_ = products.select("ProductCD", "ProductDesc").dropDuplicates(["ProductCD"])
-    cards = card_profile(master_card, banks, networks, users, accounts)
+    cards = staged(card_profile(master_card, banks, networks, users, accounts), "card-profile")
     dev = device_profile(identity, devices)
     loc = location_profile(location)
 
@@ -120,7 +131,7 @@ def build_gold(
         .drop(dev["TransactionID"])
     )
     unk = F.lit("Unknown")
-    gold = j.select(
+    return j.select(
         F.col("TransactionID"),
         seconds_after("TransactionDT").alias("Transaction_Time"),
         F.col("TransactionAmt").cast("double").alias("TransactionAmt"),
@@ -150,6 +161,3 @@ def build_gold(
         F.coalesce("Browser_Version", unk).alias("Browser_Version"),
         F.coalesce("Screen_Resolution", unk).alias("Screen_Resolution"),
     )
-    keyed = gold.where(F.col("TransactionID").isNotNull())
-    null_keyed = gold.where(F.col("TransactionID").isNull()).dropDuplicates(["TransactionID"])
-    return keyed.unionByName(null_keyed)

@@ -1,4 +1,4 @@
-"""Column shaping: declared defaults, name normalisation."""
+"""Column shaping: declared defaults."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdclake.functions.strings import normalize_column_name
 from cdclake.schemas import TableSpec
 
 
@@ -23,8 +22,3 @@ def apply_defaults(df: DataFrame, spec: TableSpec, skip: Sequence[str] = ()) ->
         value = F.coalesce(present, F.expr(default).cast(fld.dataType)) if default else present
         cols.append(value.alias(fld.name))
     return df.select(*cols)
-
-
-def normalize_columns(df: DataFrame) -> DataFrame:
-    """``id-01 `` -> ``id_01`` for every column."""
-    return df.toDF(*[normalize_column_name(c) for c in df.columns])

@@ -20,12 +20,17 @@ def read_bronze_table(spark: SparkSession, bronze_root: str, table: str) -> Data
 
 
 def register_views(spark: SparkSession, tables: dict[str, str], prefix: str = "silver_") -> list[str]:
-    """Register each snapshot table as a temp view; a table that fails to load is skipped with a warning."""
+    """Register each snapshot table as a temp view; returns the names that exist.
+
+    Only a table that was never written is left out. One that exists but
+    cannot be read raises: results built without it would look complete.
+    """
     done = []
     for name, path in tables.items():
-        try:
-            SnapshotTable(spark, path).read().createOrReplaceTempView(f"{prefix}{name}")
-            done.append(name)
-        except Exception as exc:  # a missing table must not stop the others
-            log.warning("could not load %s: %s", name, exc)
+        table = SnapshotTable(spark, path)
+        if not table.exists():
+            log.warning("no table at %s", path)
+            continue
+        table.read().createOrReplaceTempView(f"{prefix}{name}")
+        done.append(name)
     return done

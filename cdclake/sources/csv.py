@@ -30,37 +30,65 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
     return spark.read.schema(schema).option("header", True).csv(paths)
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, header names normalised (``id-01`` -> ``id_01``)."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    return raw.toDF(*[normalize_column_name(c) for c in raw.columns])
+CORRUPT_COL = "_raw_record"
 
+# Texts that the original loader's reader takes as missing.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
-def load_files(spark: SparkSession, files: Sequence[str], schema: T.StructType) -> DataFrame:
+
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """All columns as text, header names normalised (``id-01`` -> ``id_01``), plus ``_raw_record``.
+
+    Quotes are doubled inside quoted fields and a quoted field may span lines.
+    A row with more or fewer fields than the header keeps its text in
+    ``_raw_record`` (null for well-formed rows). ``multi_line=False`` lets
+    Spark split large files, for files known to have no line breaks in fields.
+    """
+    reader = (
+        spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+    )
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT_COL]])
+    raw = (
+        reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL).option("columnPruning", False)
+        .schema(schema).csv(path)
+    )
+    return raw.toDF(*[normalize_column_name(c) for c in names], CORRUPT_COL)
+
+
+def load_files(spark: SparkSession, files: Sequence[str], schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """Read a table spread over several CSV files into the declared schema.
 
     Files are taken training-first; missing files are skipped. Columns absent
-    from a file are added as nulls. Every row gets ``source_rank`` (its file's
+    from a file are added as nulls, and so are the usual marks of missing
+    values (``NA``, ``NaN``, ...). Every row gets ``source_rank`` (its file's
     position) and ``_load_failed``: true when a present value does not
-    convert to the declared type. Conversion uses ``try_cast``, so one bad
-    row never fails a batch.
+    convert to the declared type or the row has the wrong number of fields
+    (its text is then in ``_raw_record``). Conversion uses ``try_cast``, so
+    one bad row never fails a batch.
     """
     parts = []
     for rank, f in enumerate([f for f in order_files(files) if path_exists(spark, f)]):
-        parts.append(read_raw_csv(spark, f).withColumn(RANK_COL, F.lit(rank)))
+        parts.append(read_raw_csv(spark, f, multi_line).withColumn(RANK_COL, F.lit(rank)))
     if not parts:
         cols = [F.lit(None).cast(fld.dataType).alias(fld.name) for fld in schema.fields]
-        return spark.range(0).select(*cols, F.lit(0).alias(RANK_COL), F.lit(False).alias(BAD_COL))
+        return spark.range(0).select(
+            *cols, F.lit(0).alias(RANK_COL), F.lit(False).alias(BAD_COL), F.lit(None).cast("string").alias(CORRUPT_COL)
+        )
     raw = parts[0]
     for p in parts[1:]:
         raw = raw.unionByName(p, allowMissingColumns=True)
-    typed, bad = [], []
+    typed, bad = [], [F.col(CORRUPT_COL).isNotNull()]
     for fld in schema.fields:
-        src = F.col(f"`{fld.name}`") if fld.name in raw.columns else F.lit(None).cast("string")
+        text = F.col(f"`{fld.name}`") if fld.name in raw.columns else F.lit(None).cast("string")
+        src = F.when(~F.trim(text).isin(*MISSING), text)
         value = src.try_cast(fld.dataType)
         typed.append(value.alias(fld.name))
         bad.append(src.isNotNull() & value.isNull())
-    return raw.select(*typed, F.col(RANK_COL), _any(bad).alias(BAD_COL))
+    return raw.select(*typed, F.col(RANK_COL), _any(bad).alias(BAD_COL), F.col(CORRUPT_COL))
 
 
 def _any(conds: list) -> "F.Column":
@@ -71,7 +99,7 @@ def _any(conds: list) -> "F.Column":
 
 
 def accepted_rows(loaded: DataFrame) -> DataFrame:
-    return loaded.where(~F.col(BAD_COL)).drop(BAD_COL)
+    return loaded.where(~F.col(BAD_COL)).drop(BAD_COL, CORRUPT_COL)
 
 
 def load_metrics(loaded: DataFrame, table: str) -> DataFrame:

@@ -26,49 +26,49 @@ def change_stream(
     bootstrap_servers: str | None = None,
     files_dir: str | None = None,
     topic_pattern: str = TOPIC_PATTERN,
-    max_per_trigger: int = 1000,
+    max_per_trigger: int | None = None,
 ) -> DataFrame:
     """Streaming DataFrame of raw records ``key, value, topic, partition, offset``.
 
     With ``bootstrap_servers`` it subscribes to every topic matching the
     pattern from the earliest offsets, at most ``max_per_trigger`` offsets per
-    micro-batch. With ``files_dir`` it reads records with the same five
+    micro-batch (no limit by default: a small one never drains a large log). With ``files_dir`` it reads records with the same five
     columns from parquet files (at most ``max_per_trigger`` files per
     micro-batch), which is how tests and file-based replays feed it.
     """
     if bootstrap_servers:
-        return (
+        stream = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", bootstrap_servers)
             .option("subscribePattern", topic_pattern)
             .option("startingOffsets", "earliest")
-            .option("maxOffsetsPerTrigger", str(max_per_trigger))
-            .load()
         )
+        return (stream.option("maxOffsetsPerTrigger", str(max_per_trigger)) if max_per_trigger else stream).load()
     if not files_dir:
         raise ValueError("give bootstrap_servers or files_dir")
-    return (
-        spark.readStream.schema(KAFKA_RECORD)
-        .option("maxFilesPerTrigger", str(max_per_trigger))
-        .parquet(files_dir)
-        .where(F.col("topic").rlike(f"^{topic_pattern}$"))
-    )
+    files = spark.readStream.schema(KAFKA_RECORD)
+    if max_per_trigger:
+        files = files.option("maxFilesPerTrigger", str(max_per_trigger))
+    return files.parquet(files_dir).where(F.col("topic").rlike(f"^{topic_pattern}$"))
 
 
-def to_bronze(raw: DataFrame, job_start_time: str | None = None) -> DataFrame:
+def to_bronze(raw: DataFrame, job_start_time: _dt.datetime | None = None) -> DataFrame:
     """Raw record -> bronze row: text key and payload, topic as ``source_table``, audit columns.
 
-    ``job_start_time`` is fixed once per run on the driver; ``ingestion_time``
-    is the time each micro-batch passes through; ``status`` is 'SUCCESS'.
+    ``job_start_time`` (zone-aware; now by default) is fixed once per run on
+    the driver; ``ingestion_time`` is the time each micro-batch passes
+    through; ``status`` is 'SUCCESS'.
     """
-    start = job_start_time or _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+    start = job_start_time or _dt.datetime.now(_dt.timezone.utc)
+    # microseconds since the epoch: the same instant whatever the zones of driver and session
+    micros = round(start.timestamp() * 1_000_000)
     return raw.select(
         F.col("key").cast("string").alias("kafka_key"),
         F.col("value").cast("string").alias("json_payload"),
         F.col("topic").alias("source_table"),
         F.col("partition"),
         F.col("offset"),
-        F.lit(start).cast("timestamp").alias("job_start_time"),
+        F.timestamp_micros(F.lit(micros)).alias("job_start_time"),
         F.current_timestamp().alias("ingestion_time"),
         F.lit("SUCCESS").alias("status"),
     )
@@ -78,14 +78,15 @@ def land_bronze(
     bronze: DataFrame,
     out_path: str,
     checkpoint_path: str,
-    available_now: bool = True,
+    interval: str | None = None,
     wait: bool = True,
 ) -> StreamingQuery:
     """Append bronze rows as parquet partitioned by ``source_table``.
 
     The checkpoint and the file sink's commit log make a restart continue
     where the last run stopped: running again on the same checkpoint adds no
-    duplicate rows. ``available_now`` drains what is there and stops.
+    duplicate rows. By default the run drains what is there and stops; with
+    an ``interval`` ("1 minute") it keeps running.
     """
     writer = (
         bronze.writeStream.format("parquet")
@@ -94,7 +95,7 @@ def land_bronze(
         .option("checkpointLocation", checkpoint_path)
         .partitionBy("source_table")
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
+    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     query = writer.start()
     if wait:
         query.awaitTermination()

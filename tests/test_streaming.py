@@ -40,3 +40,21 @@ def test_failing_dimension_does_not_stop_the_others(spark):
     status = build_silver_dimensions(spark, layout, tables=("missing_table", "user_activity", "user_activity_broken"), specs=specs)
     assert status["user_activity"] == "ok"
     assert status["missing_table"] == "empty"
+
+
+def test_job_start_is_the_same_instant_in_any_zone(spark, monkeypatch):
+    import datetime as dt
+    import os
+    import time
+
+    monkeypatch.setitem(os.environ, "TZ", "America/New_York")
+    time.tzset()
+    try:
+        raw = spark.createDataFrame([(b"k", b"v", "t", 0, 1)], "key binary, value binary, topic string, partition int, offset long")
+        row = to_bronze(raw).select(F.unix_micros("job_start_time").alias("s"), F.unix_micros("ingestion_time").alias("i")).first()
+        assert abs(row.s - row.i) < 60_000_000
+        at = dt.datetime(2026, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc)
+        assert to_bronze(raw, at).select(F.unix_micros("job_start_time")).first()[0] == round(at.timestamp() * 1e6)
+    finally:
+        monkeypatch.undo()
+        time.tzset()
