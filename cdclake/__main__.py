@@ -1,7 +1,9 @@
 """Command-line jobs: ``python -m cdclake <job> --root <lake folder> [options]``
 (or ``spark-submit`` with this module's file as the application).
 
-Jobs: ``land-bronze``, ``silver-dims``, ``silver-fact``, ``gold``, ``serve``, ``run-all``.
+Jobs: ``load-source`` (CSV files of one table), ``entities``, ``seeds``, ``land-bronze``,
+``silver-dims``, ``silver-fact``, ``gold``, ``serve``, ``run-all``. A failed table makes the
+job fail (non-zero exit).
 The lake root (bronze, silver, gold, serving folders) must be a shared file
 system path on a cluster; the session's ``spark.checkpoint.dir`` must be set
 there too.
@@ -14,28 +16,44 @@ import json
 
 from cdclake.plans.jobs import (
     Layout,
+    build_entities,
     build_gold_job,
     build_silver_dimensions,
     build_silver_transaction,
     export_and_serve,
+    load_seeds,
+    load_source_table,
+    require_ok,
     run_all,
 )
-from cdclake.session import build_session
+from cdclake.schemas import TABLES
+from cdclake.session import build_session, drop_scratch, scale_conf
+from cdclake.sinks.snapshots import SnapshotTable
 from cdclake.streaming.bronze import change_stream, land_bronze, to_bronze
 
+JOBS = ("load-source", "entities", "seeds", "land-bronze", "silver-dims", "silver-fact", "gold", "serve", "run-all")
+
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="cdclake")
-    p.add_argument("job", choices=["land-bronze", "silver-dims", "silver-fact", "gold", "serve", "run-all"])
+    p.add_argument("job", choices=JOBS)
     p.add_argument("--root", required=True, help="lake root folder")
+    p.add_argument("--table", help="load-source: the table to load")
+    p.add_argument("--files", nargs="*", default=[], help="load-source: its CSV files")
+    p.add_argument("--quarantine", help="load-source: folder for rows that cannot be loaded")
     p.add_argument("--kafka", help="bootstrap servers of the change stream")
     p.add_argument("--records", help="folder of parquet change records (instead of Kafka)")
-    p.add_argument("--max-per-trigger", type=int, default=1000)
+    p.add_argument("--max-per-trigger", type=int, default=None, help="offsets or files per micro-batch (default: no limit)")
+    p.add_argument("--schema", choices=["declared", "infer"], default="declared", help="silver-dims: where row schemas come from")
+    p.add_argument("--allow-missing", action="store_true", help="gold: tables never written stand in as empty")
     p.add_argument("--gold-files", type=int, default=None, help="fixed gold file count (default: AQE sized)")
+    p.add_argument("--shuffle-bytes", type=int, help="expected shuffle volume; with --cores sizes the session")
+    p.add_argument("--cores", type=int, help="cores of the cluster")
     p.add_argument("--master", default=None, help="only for local runs; spark-submit sets it otherwise")
     args = p.parse_args(argv)
 
-    spark = build_session(master=args.master, app_name=f"cdclake-{args.job}")
+    sizes = scale_conf(args.shuffle_bytes, args.cores) if args.shuffle_bytes and args.cores else None
+    spark = build_session(master=args.master, app_name=f"cdclake-{args.job}", conf=sizes)
     layout = Layout(args.root.rstrip("/"))
 
     def land() -> None:
@@ -44,20 +62,35 @@ def main(argv: list[str] | None = None) -> None:
         land_bronze(to_bronze(raw), layout.bronze, layout.bronze_checkpoint)
 
     result: dict = {"job": args.job}
-    if args.job == "land-bronze":
-        land()
-    elif args.job == "silver-dims":
-        result["dimensions"] = build_silver_dimensions(spark, layout)
-    elif args.job == "silver-fact":
-        result["version"] = build_silver_transaction(spark, layout)
-    elif args.job == "gold":
-        build_gold_job(spark, layout, num_files=args.gold_files)
-    elif args.job == "serve":
-        result["rows"] = export_and_serve(spark, layout)
-    else:
-        result.update(run_all(spark, layout, land=land if (args.kafka or args.records) else None))
-    print(json.dumps(result, default=str))
-    spark.stop()
+    try:
+        if args.job == "load-source":
+            if not args.table or not args.files:
+                p.error("load-source needs --table and --files")
+            target = SnapshotTable(spark, layout.source(args.table))
+            counts = load_source_table(spark, args.table, args.files, TABLES[args.table].schema, target, args.quarantine)
+            result.update(counts.first().asDict())
+        elif args.job == "entities":
+            result["versions"] = build_entities(spark, layout)
+        elif args.job == "seeds":
+            result["versions"] = load_seeds(spark, layout)
+        elif args.job == "land-bronze":
+            land()
+        elif args.job == "silver-dims":
+            result["dimensions"] = build_silver_dimensions(spark, layout, schema=args.schema)
+            require_ok(result["dimensions"])
+        elif args.job == "silver-fact":
+            result["version"] = build_silver_transaction(spark, layout)
+        elif args.job == "gold":
+            build_gold_job(spark, layout, num_files=args.gold_files, allow_missing=args.allow_missing)
+        elif args.job == "serve":
+            result["rows"] = export_and_serve(spark, layout)
+        else:
+            result.update(run_all(spark, layout, land=land if (args.kafka or args.records) else None,
+                                  allow_missing=args.allow_missing))
+        print(json.dumps(result, default=str))
+    finally:
+        drop_scratch(spark)
+        spark.stop()
 
 
 if __name__ == "__main__":

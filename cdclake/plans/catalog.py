@@ -10,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cdclake.functions.decimal import decode_decimal, encode_decimal
 from cdclake.functions.strings import email_local_part, falsy_default, truncate
@@ -28,10 +30,19 @@ from cdclake.operators.cdc import (
     parse_envelopes,
     schema_from_sample,
 )
-from cdclake.operators.gold import build_gold
+from cdclake.operators.gold import build_gold, card_profile, device_profile, location_profile
 from cdclake.operators.shaping import apply_defaults
 from cdclake.plans import roles
-from cdclake.plans.jobs import Layout, build_silver_dimensions, load_source_table, run_all, silver_fact, silver_table
+from cdclake.plans.jobs import (
+    Entities,
+    Layout,
+    build_silver_dimensions,
+    latest_transactions,
+    load_source_table,
+    run_all,
+    silver_fact,
+    silver_table,
+)
 from cdclake.schemas import BRONZE_TABLES, TABLES, TOPIC_PREFIX
 from cdclake.session import scratch_path
 from cdclake.sinks.export import export_parquet, materialize, refresh_serving
@@ -47,6 +58,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 ACTIVITY_SECOND_BATCH_FROM = "2024-01-16 00:00:00"
 ORDERS_SECOND_BATCH_FROM = "1998-01-01 00:00:00"
 TRAIN_BEFORE = "1999-01-01 00:00:00"
+# Fixed value: parts up to this size count as parents in the foreign-key query.
+FK_PART_SIZE = 40
 
 
 def _r(c, n: int = 4):
@@ -78,48 +91,17 @@ def silver_txn(spark, d):
     return silver_fact(txn_bronze(spark, d))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate that several jobs read to the shared scratch folder, read it back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
-# every entity derivation is a DISTINCT over a subset of these card-level columns
-CARD_LEVEL_COLUMNS = ("card1", "card2", "card3", "card4", "card6", "addr1", "addr2", "P_emaildomain")
-
+def latest_txn(spark, d):
+    return latest_transactions(txn_bronze(spark, d))
 
-class Entities:
-    """Users, accounts, dimensions and card links derived from one transaction source.
 
-    The derivations read a staged table of the distinct card-level column
-    combinations (sized by cards and addresses, not by transactions); the
-    identity source, read by three consumers, is staged too.
-    """
-
-    def __init__(self, spark, d):
-        self.txn = src_txn(spark, d)
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            cards = pool.submit(stage, self.txn.select(*CARD_LEVEL_COLUMNS).distinct(), "card-level")
-            identity = pool.submit(stage, roles.source_identity(spark, d), "src-identity")
-            self.cards, self.identity = cards.result(), identity.result()
-            # independent derivations run as concurrent Spark jobs
-            users = pool.submit(ent.resolve_users, self.cards)
-            networks = pool.submit(ent.derive_networks, self.cards)
-            location = pool.submit(ent.derive_location, self.cards)
-            devices = pool.submit(ent.derive_devices, self.identity)
-            self.banks = ent.derive_banks(self.cards)
-            self.users, self.networks = users.result(), networks.result()
-            accounts = pool.submit(ent.assign_accounts, self.cards, self.users)
-            links = pool.submit(ent.link_cards, self.cards, self.users, self.networks, self.banks)
-            self.location, self.devices = location.result(), devices.result()
-            self.accounts, self.master_card = accounts.result(), links.result()
+def entities(spark, d) -> Entities:
+    return Entities(src_txn(spark, d), roles.source_identity(spark, d))
 
 
 def change_log(spark, d) -> DataFrame:
     """Change records of every source table (the full stream a connector would emit)."""
-    e = Entities(spark, d)
+    e = entities(spark, d)
     recs = [
         roles.transaction_records(e.txn),
         roles.activity_records(spark, d),
@@ -147,6 +129,20 @@ def q_decimal_decode(spark, d):
     return t.select("TransactionID", _r(decode_decimal("_b64"), 3).alias("TransactionAmt"))
 
 
+def q_decimal_wide(spark, d):
+    """Values of more than 8 bytes, and negative ones."""
+    c = _t(spark, d, "customer").select(
+        "c_custkey",
+        encode_decimal("c_acctbal", nbytes=12).alias("_signed"),
+        encode_decimal(F.abs("c_acctbal"), nbytes=20).alias("_wide"),
+    )
+    return c.select(
+        "c_custkey",
+        _r(decode_decimal("_signed", signed=True), 3).alias("balance"),
+        _r(decode_decimal("_wide"), 3).alias("magnitude"),
+    )
+
+
 def q_interval_time(spark, d):
     return src_txn(spark, d).select("TransactionID", seconds_after("TransactionDT").alias("Transaction_Time"))
 
@@ -181,7 +177,7 @@ def q_seed_lookup(spark, d):
 
 
 def q_preview_limit(spark, d):
-    s = silver_txn(spark, d)
+    s = latest_txn(spark, d)
     return s.orderBy(F.col("TransactionAmt").desc(), F.col("TransactionID").asc()).limit(10).select(
         "TransactionID", _r(F.col("TransactionAmt"), 3).alias("TransactionAmt"), "isFraud"
     )
@@ -201,10 +197,18 @@ def q_cdc_latest_apply(spark, d):
     return latest_state(activity_bronze(spark, d), roles.ACTIVITY_SCHEMA, ["user_id"], deletes="apply", keep_ts=True)
 
 
+def _mixed_props(spark, d):
+    """``props`` where every third document has a second key, and every fifth a fraction."""
+    more = F.concat(F.expr("left(props, length(props) - 1)"), F.lit(', "tag": "'), F.col("event_type"), F.lit('"}'))
+    half = F.concat(F.expr("left(props, length(props) - 1)"), F.lit(', "w": 0.5}'))
+    mixed = F.when(F.col("event_id") % 3 == 0, more).when(F.col("event_id") % 5 == 0, half).otherwise(F.col("props"))
+    return _t(spark, d, "events").select("event_id", mixed.alias("props"))
+
+
 def q_json_inferred(spark, d):
-    ev = _t(spark, d, "events")
+    ev = _mixed_props(spark, d)
     schema = infer_json_schema(ev, "props")
-    return ev.select("event_id", F.from_json("props", schema).alias("p")).select("event_id", "p.*")
+    return ev.select("event_id", F.from_json("props", schema).alias("p")).select("event_id", "p.k", "p.tag", "p.w")
 
 
 def q_json_sample_schema(spark, d):
@@ -222,7 +226,7 @@ def q_wide_schema(spark, d):
 
 
 def q_fill_nulls(spark, d):
-    s = silver_txn(spark, d)
+    s = latest_txn(spark, d)
     return s.select("TransactionID", _r(F.col("TransactionAmt"), 3).alias("TransactionAmt"), "card1")
 
 
@@ -246,11 +250,13 @@ def q_dedup_metrics(spark, d):
 
 
 def _split_activity(spark, d):
-    """The whole event log as two arrivals in time: before and from the cut-over instant."""
+    """The event log as two arrivals in time. Every seventh user is in the first arrival only,
+    the next one in the second only, so matched, kept and new keys all occur."""
     ev = _t(spark, d, "events")
     cut = F.lit(ACTIVITY_SECOND_BATCH_FROM).cast("timestamp_ntz")
-    earlier = roles.bronze_rows(roles.activity_records_from(ev.where(F.col("ts") < cut)))
-    later = roles.bronze_rows(roles.activity_records_from(ev.where(F.col("ts") >= cut)))
+    group = F.col("user_id") % 7
+    earlier = roles.bronze_rows(roles.activity_records_from(ev.where((F.col("ts") < cut) & (group != 1))))
+    later = roles.bronze_rows(roles.activity_records_from(ev.where((F.col("ts") >= cut) & (group != 0))))
     return earlier, later
 
 
@@ -305,11 +311,17 @@ def q_user_entities(spark, d):
 
 def q_account_numbers(spark, d):
     t = src_txn(spark, d)
-    return ent.assign_accounts(t, ent.resolve_users(t))
+    return ent.assign_accounts(t, ent.number_clients(t))
+
+
+def q_account_numbers_long_domain(spark, d):
+    """Domains that differ only after the profile column's 100 characters."""
+    t = src_txn(spark, d).withColumn("P_emaildomain", F.concat(F.lit("sub." * 30), "P_emaildomain"))
+    return ent.assign_accounts(t, ent.number_clients(t))
 
 
 def q_card_links(spark, d):
-    return Entities(spark, d).master_card
+    return entities(spark, d).master_card
 
 
 def q_dim_location(spark, d):
@@ -339,7 +351,8 @@ def q_insert_if_absent(spark, d):
     first = t.where(F.col("_changed_at") < F.lit(ORDERS_SECOND_BATCH_FROM).cast("timestamp_ntz"))
     table = SnapshotTable(spark, scratch_path(spark, "banks"), use_delta=False)
     table.overwrite(ent.derive_banks(first))
-    new_rows = ent.derive_banks(t)
+    # the second arrival offers another country for every bank: only new banks may take it
+    new_rows = ent.derive_banks(t).withColumn("Bank_Country_Code", F.col("Bank_Country_Code") + 100)
     table.insert_if_absent(new_rows, ["Bank_ID"])
     return table.read()
 
@@ -388,7 +401,9 @@ def q_distinct_pairs(spark, d):
 
 def q_drop_duplicates(spark, d):
     li = _t(spark, d, "lineitem")
-    one = agg.keep_one_per_key(li, ["l_orderkey"], [F.col("l_linenumber").asc()])
+    # line numbers repeat: the other columns make the order total
+    order = [F.col(c).asc() for c in ("l_linenumber", "l_partkey", "l_quantity", "l_suppkey")]
+    one = agg.keep_one_per_key(li, ["l_orderkey"], order)
     return one.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 
 
@@ -396,14 +411,34 @@ def q_drop_duplicates(spark, d):
 def gold_frame(spark, d) -> DataFrame:
     with ThreadPoolExecutor(max_workers=2) as pool:
         fact = pool.submit(lambda: silver_fact(txn_bronze(spark, d)))
-        e = Entities(spark, d)
+        e = entities(spark, d)
         s = fact.result()
     return build_gold(
         s, seeds.product_description(spark), e.master_card, e.banks, e.networks, e.users, e.accounts,
-        e.identity, e.devices, e.location,
+        e.identity, e.devices, e.location, unique_ids=True,
     )
 
 
+def q_card_profile(spark, d):
+    e = entities(spark, d)
+    cards = card_profile(e.master_card, e.banks, e.networks, e.users, e.accounts)
+    return cards.select("Card_Raw_ID", "client_no", "account_number", "account_status", "Bank_ID", "Network_Name", "Card_Type")
+
+
+def q_device_profile(spark, d):
+    e = entities(spark, d)
+    return device_profile(e.identity, e.devices)
+
+
+def q_location_profile(spark, d):
+    """Locations with a region from their nation: the smallest (region, country) of an addr1."""
+    n = _t(spark, d, "nation").select(
+        F.col("n_regionkey").cast("double").alias("addr1"), F.lit(None).cast("double").alias("addr2"),
+        F.concat(F.lit("R"), F.col("n_regionkey")).alias("Region"), F.col("n_name").alias("Country"),
+    )
+    return location_profile(n)
+
+
 def q_gold_master(spark, d):
     g = gold_frame(spark, d)
     return g.withColumn("z_score", _r(F.col("z_score"))).withColumn("TransactionAmt", _r(F.col("TransactionAmt"), 3))
@@ -414,27 +449,24 @@ def q_medallion_gold(spark, d):
     silver fact (two concurrent jobs), gold, export, serving refresh; read the served table."""
     layout = Layout(scratch_path(spark, "lake"))
     src_dir = f"{layout.root}/source/records"
-    change_log(spark, d).repartition(8).write.parquet(src_dir)
+    change_log(spark, d).write.parquet(src_dir)
 
     def land():
-        land_bronze(to_bronze(change_stream(spark, files_dir=src_dir, max_per_trigger=4)), layout.bronze,
-                    layout.bronze_checkpoint)
+        land_bronze(to_bronze(change_stream(spark, files_dir=src_dir)), layout.bronze, layout.bronze_checkpoint)
 
-    status = run_all(spark, layout, land=land)
-    if any(v not in ("ok", "empty") for v in status["dimensions"].values()):
-        raise RuntimeError(f"silver dimension failures: {status['dimensions']}")
+    run_all(spark, layout, land=land)
     g = SnapshotTable(spark, layout.serving, use_delta=False).read()
     return g.withColumn("z_score", _r(F.col("z_score"))).withColumn("TransactionAmt", _r(F.col("TransactionAmt"), 3))
 
 
 def _narrow_fact(spark, d):
-    s = silver_txn(spark, d)
+    s = latest_txn(spark, d)
     return s.select("TransactionID", _r(F.col("TransactionAmt"), 3).alias("TransactionAmt"), "isFraud", "card1")
 
 
 def q_materialize_roundtrip(spark, d):
     root = scratch_path(spark, "gold")
-    back = materialize(_narrow_fact(spark, d), f"{root}/temp", num_files=8)
+    back = materialize(_narrow_fact(spark, d), f"{root}/temp")
     export_parquet(back, f"{root}/export")
     return spark.read.parquet(f"{root}/export")
 
@@ -464,7 +496,7 @@ def q_csv_roundtrip(spark, d):
     path = scratch_path(spark, "orders-csv")
     o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     o.write.option("header", True).csv(path)
-    return spark.read.schema(_ORDERS_CSV_SCHEMA).option("header", True).csv(path)
+    return csvsrc.read_csv(spark, path, T.StructType.fromDDL(_ORDERS_CSV_SCHEMA))
 
 
 def q_normalize_columns(spark, d):
@@ -503,10 +535,35 @@ def q_load_metrics(spark, d):
     return load_source_table(spark, "customer", [path], c.schema, target, quarantine_path=f"{root}/quarantine")
 
 
+def q_load_ragged(spark, d):
+    """Rows with a field too few or too many are quarantined; a quoted field may hold a line break and quotes."""
+    c = _t(spark, d, "customer")
+    kind = F.col("c_custkey") % 10
+    fields = F.concat_ws(",", "c_custkey", F.when(kind == 2, F.concat(F.lit('"a ""b""\n'), F.col("c_name"), F.lit('"'))).otherwise(F.col("c_name")), "c_nationkey")
+    balance = F.when(kind == 3, "NA").otherwise(F.col("c_acctbal").cast("string"))
+    line = F.when(kind == 0, fields).when(kind == 1, F.concat_ws(",", fields, balance, "c_mktsegment", F.lit("x")))
+    lines = c.select(line.otherwise(F.concat_ws(",", fields, balance, "c_mktsegment")).alias("value"))
+    header = ",".join(c.columns)
+
+    def with_header(batches):  # the first line of every file
+        for i, batch in enumerate(batches):
+            if i == 0:
+                yield pa.RecordBatch.from_pydict({"value": [header]}, schema=batch.schema)
+            yield batch
+
+    root = scratch_path(spark, "load-ragged")
+    lines.mapInArrow(with_header, "value string").write.text(f"{root}/customer.csv")
+    target = SnapshotTable(spark, f"{root}/table", use_delta=False)
+    load_source_table(spark, "customer", [f"{root}/customer.csv"], c.schema, target, quarantine_path=f"{root}/quarantine")
+    return target.read().select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+
+
 # ---------------------------------------------------------------- streaming bronze
-def _land(spark, records: DataFrame, root: str, runs: int = 1, files: int = 8, per_trigger: int = 2) -> str:
+def _land(spark, records: DataFrame, root: str, runs: int = 1) -> str:
+    """Land the records in about four micro-batches, whatever the number of files."""
     src_dir, out, ckpt = f"{root}/records", f"{root}/bronze", f"{root}/checkpoint"
-    records.repartition(files).write.parquet(src_dir)
+    records.write.parquet(src_dir)
+    per_trigger = max(1, len(spark.read.parquet(src_dir).inputFiles()) // 4)
     for _ in range(runs):
         raw = change_stream(spark, files_dir=src_dir, max_per_trigger=per_trigger)
         land_bronze(to_bronze(raw), out, ckpt)
@@ -560,17 +617,20 @@ def q_dq_unique(spark, d):
 
 
 def q_dq_fk(spark, d):
-    e = Entities(spark, d)
+    e = entities(spark, d)
     li = _t(spark, d, "lineitem")
-    fact = silver_fact(roles.bronze_rows(roles.transaction_records(e.txn)))
+    fact = latest_transactions(roles.bronze_rows(roles.transaction_records(e.txn)))
+    # parents without the large parts and the suppliers in debt: children of these are orphans
+    parts = _t(spark, d, "part").where(F.col("p_size") <= FK_PART_SIZE)
+    suppliers = _t(spark, d, "supplier").where(F.col("s_acctbal") > 0)
     checks = {
         "user_accounts.client_no": dq.fk_violations(e.accounts, ["client_no"], e.users, ["client_no"]),
         "master_card.Client_No": dq.fk_violations(e.master_card, ["Client_No"], e.users, ["client_no"]),
         "master_card.Bank_ID": dq.fk_violations(e.master_card, ["Bank_ID"], e.banks, ["Bank_ID"]),
         "master_card.Card_Network_ID": dq.fk_violations(e.master_card, ["Card_Network_ID"], e.networks, ["Card_Network_ID"]),
         "transaction.card1": dq.fk_violations(fact, ["card1"], e.banks, ["Bank_ID"]),
-        "lineitem.l_partkey": dq.fk_violations(li, ["l_partkey"], _t(spark, d, "part"), ["p_partkey"]),
-        "lineitem.l_suppkey": dq.fk_violations(li, ["l_suppkey"], _t(spark, d, "supplier"), ["s_suppkey"]),
+        "lineitem.l_partkey": dq.fk_violations(li, ["l_partkey"], parts, ["p_partkey"]),
+        "lineitem.l_suppkey": dq.fk_violations(li, ["l_suppkey"], suppliers, ["s_suppkey"]),
     }
     return dq.constraint_report(spark, checks)
 
@@ -579,11 +639,12 @@ NOT_NULL_COLUMNS = ("TransactionID", "isFraud", "TransactionDT", "ProductCD", "c
 
 
 def q_dq_not_null(spark, d):
-    return dq.not_null_violations(silver_txn(spark, d), NOT_NULL_COLUMNS)
+    return dq.not_null_violations(latest_txn(spark, d), NOT_NULL_COLUMNS)
 
 
 QUERIES: dict[str, Query] = {
     "decimal_decode": q_decimal_decode,
+    "decimal_wide": q_decimal_wide,
     "interval_time": q_interval_time,
     "cast_defaults": q_cast_defaults,
     "string_shape": q_string_shape,
@@ -606,6 +667,7 @@ QUERIES: dict[str, Query] = {
     "silver_dim_inferred": q_silver_dim_inferred,
     "user_entities": q_user_entities,
     "account_numbers": q_account_numbers,
+    "account_numbers_long_domain": q_account_numbers_long_domain,
     "card_links": q_card_links,
     "dim_location": q_dim_location,
     "dim_bank": q_dim_bank,
@@ -620,6 +682,9 @@ QUERIES: dict[str, Query] = {
     "card_dedup_max": q_card_dedup_max,
     "distinct_pairs": q_distinct_pairs,
     "drop_duplicates": q_drop_duplicates,
+    "card_profile": q_card_profile,
+    "device_profile": q_device_profile,
+    "location_profile": q_location_profile,
     "gold_master": q_gold_master,
     "medallion_gold": q_medallion_gold,
     "materialize_roundtrip": q_materialize_roundtrip,
@@ -629,6 +694,7 @@ QUERIES: dict[str, Query] = {
     "normalize_columns": q_normalize_columns,
     "union_train_test": q_union_train_test,
     "load_metrics": q_load_metrics,
+    "load_ragged": q_load_ragged,
     "bronze_stream": q_bronze_stream,
     "bronze_restart": q_bronze_restart,
     "bronze_audit": q_bronze_audit,

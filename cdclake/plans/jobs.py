@@ -4,6 +4,7 @@ whole bronze -> silver -> gold -> serve run in order."""
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdclake.functions.decimal import decode_decimal
+from cdclake.operators import entities as ent
 from cdclake.operators.cdc import (
     POS_OFFSET,
     POS_PARTITION,
@@ -22,9 +24,10 @@ from cdclake.operators.cdc import (
 )
 from cdclake.operators.features import fill_defaults, zscore
 from cdclake.operators.gold import build_gold
+from cdclake.operators.shaping import apply_defaults
 from cdclake.schemas import DIMENSION_TABLES, TABLES, TableSpec
 from cdclake.sinks.export import export_parquet, materialize, refresh_serving
-from cdclake.session import scratch_path
+from cdclake.session import scratch_path, staged
 from cdclake.sinks.snapshots import SnapshotTable
 from cdclake.sources import csv as csvsrc
 from cdclake.sources import seeds
@@ -36,52 +39,48 @@ log = logging.getLogger(__name__)
 FACT_FILL = {"TransactionAmt": 0.0, "card1": -1}
 
 
-def silver_fact(bronze: DataFrame, deletes: str = "ignore", staging_path: str | None = None) -> DataFrame:
-    """Transaction change rows -> one row per TransactionID with amount features.
+def latest_transactions(bronze: DataFrame, deletes: str = "ignore") -> DataFrame:
+    """Transaction change rows -> the latest row per TransactionID, amount decoded, nulls filled.
 
-    Parse with the declared 394-field schema, decode the amount (guarded),
-    fill nulls, keep the latest row per id and add ``avg_amt``, ``std_amt``
-    and ``z_score`` per card (``card1``).
-
-    The latest change per id is picked once on the compact payload text; the
-    rows and the per-card statistics both start from that same plan, so Spark
-    reuses its shuffle, and the statistics parse only two fields of each
-    winning payload. ``staging_path`` instead writes the latest rows as
-    parquet first and reads them back (useful when the caller wants the
-    lineage cut before the statistics).
+    The latest change per id is picked on the compact payload text and only
+    the winners' payloads are parsed, with the declared 394-field schema (or
+    the part of it that the caller reads).
     """
     spec = TABLES["transaction"]
     winners = latest_records(bronze, spec.schema, spec.key, deletes=deletes)
+    rows = parse_envelopes(winners, spec.schema, live_only=True).drop(POS_PARTITION, POS_OFFSET, TS_COL)
+    return fill_defaults(rows.withColumn("TransactionAmt", decode_decimal("TransactionAmt", scale=3)), FACT_FILL)
+
 
-    def latest_rows(columns=None) -> DataFrame:
-        rows = parse_envelopes(winners, spec.schema, columns=columns).drop(POS_PARTITION, POS_OFFSET, TS_COL)
-        rows = rows.withColumn("TransactionAmt", decode_decimal("TransactionAmt", scale=3))
-        return fill_defaults(rows, FACT_FILL)
+def silver_fact(bronze: DataFrame, deletes: str = "ignore") -> DataFrame:
+    """The latest transactions with ``avg_amt``, ``std_amt`` and ``z_score`` per card (``card1``).
 
-    if staging_path:
-        latest_rows().write.mode("overwrite").parquet(staging_path)
-        staged = bronze.sparkSession.read.parquet(staging_path)
-        return zscore(staged, "card1", "TransactionAmt")
-    return zscore(latest_rows(), "card1", "TransactionAmt", stats_source=latest_rows(["card1", "TransactionAmt"]))
+    The latest rows are written to the scratch folder once and the per-card
+    statistics read two of their columns, so the selection, its window and
+    the wide parse run once.
+    """
+    latest = staged(latest_transactions(bronze, deletes), "latest-transactions")
+    return zscore(latest, "card1", "TransactionAmt")
 
 
 def silver_table(bronze: DataFrame, spec: TableSpec, deletes: str = "ignore", schema: str = "declared",
-                 sampling_ratio: float = 1.0) -> DataFrame:
+                 decode_decimals: Sequence[str] = (), scale: int = 2) -> DataFrame:
     """Latest row per key of one dimension table.
 
     ``schema="declared"`` parses with the table's declared schema;
     ``schema="infer"`` infers the row schema from the payloads themselves
-    (merged over many documents, sampled with ``sampling_ratio``), for tables
-    that have no declared schema.
+    (merged over all documents), for tables that have no declared schema.
+    ``decode_decimals`` names NUMERIC columns (balances, limits) that are
+    decoded from their base64 form; silver otherwise keeps them as they come.
     """
-    if schema == "infer":
-        return latest_state(bronze, infer_row_schema(bronze, sampling_ratio), spec.key, deletes=deletes)
-    return latest_state(bronze, spec.schema, spec.key, deletes=deletes)
+    row_schema = infer_row_schema(bronze) if schema == "infer" else spec.schema
+    rows = latest_state(bronze, row_schema, spec.key, deletes=deletes)
+    return rows.withColumns({c: decode_decimal(c, scale=scale, signed=True) for c in decode_decimals})
 
 
-def infer_row_schema(bronze: DataFrame, sampling_ratio: float = 1.0, payload_col: str = "json_payload"):
+def infer_row_schema(bronze: DataFrame, payload_col: str = "json_payload"):
     """The ``payload.after`` row schema inferred from the change envelopes."""
-    env = infer_json_schema(bronze, payload_col, sampling_ratio)
+    env = infer_json_schema(bronze, payload_col)
     return env["payload"].dataType["after"].dataType
 
 
@@ -99,6 +98,10 @@ class Layout:
     def bronze_checkpoint(self) -> str:
         return f"{self.root}/bronze/checkpoints"
 
+    def source(self, table: str) -> str:
+        """Tables of the source database: loaded CSV tables, entities and seeds."""
+        return f"{self.root}/source/{table}"
+
     def silver(self, table: str) -> str:
         return f"{self.root}/silver/{table}"
 
@@ -116,11 +119,15 @@ class Layout:
 
 
 def build_silver_dimensions(spark: SparkSession, layout: Layout, tables=DIMENSION_TABLES,
-                            specs: dict[str, TableSpec] | None = None, parallelism: int = 4) -> dict[str, str]:
+                            specs: dict[str, TableSpec] | None = None, parallelism: int = 4,
+                            schema: str = "declared", decode_decimals: dict[str, Sequence[str]] | None = None) -> dict[str, str]:
     """Upsert each dimension's latest rows into its snapshot table.
 
     Tables are independent, so they are submitted as concurrent Spark jobs.
-    An empty or failing table is reported and skipped; the others go on.
+    An empty or failing table is reported and skipped; the others go on (the
+    status says so, and :func:`run_all` stops there). ``schema="infer"`` takes
+    the row schemas from the payloads; ``decode_decimals`` maps a table to its
+    NUMERIC columns that are to be decoded.
     """
     specs = specs or TABLES
 
@@ -129,7 +136,8 @@ def build_silver_dimensions(spark: SparkSession, layout: Layout, tables=DIMENSIO
             bronze = read_bronze_table(spark, layout.bronze, name)
             if bronze.isEmpty():
                 return "empty"
-            SnapshotTable(spark, layout.silver(name)).upsert(silver_table(bronze, specs[name]), specs[name].key)
+            rows = silver_table(bronze, specs[name], schema=schema, decode_decimals=(decode_decimals or {}).get(name, ()))
+            SnapshotTable(spark, layout.silver(name)).upsert(rows, specs[name].key)
             return "ok"
         except Exception as exc:
             log.warning("silver %s failed: %s", name, exc)
@@ -139,6 +147,13 @@ def build_silver_dimensions(spark: SparkSession, layout: Layout, tables=DIMENSIO
         return dict(zip(tables, pool.map(one, tables)))
 
 
+def require_ok(status: dict[str, str]) -> None:
+    """Raise if a table failed: what is built on top of it would look complete."""
+    failed = {n: s for n, s in status.items() if s.startswith("failed")}
+    if failed:
+        raise RuntimeError(f"silver tables failed: {failed}")
+
+
 def build_silver_transaction(spark: SparkSession, layout: Layout) -> int:
     bronze = read_bronze_table(spark, layout.bronze, "transaction")
     fact = silver_fact(bronze)
@@ -151,34 +166,36 @@ GOLD_INPUTS = (
 )
 
 
-def gold_from_silver(spark: SparkSession, layout: Layout) -> DataFrame:
+def gold_from_silver(spark: SparkSession, layout: Layout, allow_missing: bool = False) -> DataFrame:
     """Register the silver tables as ``silver_<name>`` views and build the star from them.
 
-    A table that cannot be loaded is reported and stands in as an empty table
-    of its declared schema, so its gold columns take their defaults.
+    A table that was never written raises, unless ``allow_missing`` lets it
+    stand in as an empty table of its declared schema (its gold columns then
+    take their defaults). A table that cannot be read always raises.
     """
     loaded = set(register_views(spark, {n: layout.silver(n) for n in GOLD_INPUTS}))
+    missing = [n for n in GOLD_INPUTS if n not in loaded]
+    if missing and not allow_missing:
+        raise FileNotFoundError(f"silver tables missing: {missing}")
 
     def view(name: str) -> DataFrame:
-        if name in loaded:
-            return spark.table(f"silver_{name}")
-        log.warning("silver %s missing; its columns will be defaults", name)
-        return spark.createDataFrame([], TABLES[name].schema)
+        return spark.table(f"silver_{name}") if name in loaded else spark.createDataFrame([], TABLES[name].schema)
 
     return build_gold(
         view("transaction"), view("product_description"), view("master_card"), view("card_issuing_bank"),
         view("description_card"), view("user_profile"), view("user_accounts"), view("identity"),
         view("device_fingerprint"), view("location"),
+        unique_ids=True,  # the silver fact is keyed by TransactionID
     )
 
 
-def build_gold_job(spark: SparkSession, layout: Layout, num_files: int | None = None) -> DataFrame:
+def build_gold_job(spark: SparkSession, layout: Layout, num_files: int | None = None, allow_missing: bool = False) -> DataFrame:
     """Gold star materialised to its own folder, read back for the export.
 
     ``num_files=None`` lets AQE size the output files; a fixed count (the job
     this replaces used 8) only suits small tables.
     """
-    return materialize(gold_from_silver(spark, layout), layout.gold, num_files=num_files)
+    return materialize(gold_from_silver(spark, layout, allow_missing), layout.gold, num_files=num_files)
 
 
 def export_and_serve(spark: SparkSession, layout: Layout) -> int:
@@ -187,11 +204,12 @@ def export_and_serve(spark: SparkSession, layout: Layout) -> int:
     return rows
 
 
-def run_all(spark: SparkSession, layout: Layout, land=None) -> dict:
+def run_all(spark: SparkSession, layout: Layout, land=None, allow_missing: bool = False) -> dict:
     """bronze -> {silver dimensions, silver fact} -> gold -> export -> serve.
 
     ``land`` is a callable that lands the bronze layer (a streaming run);
     the two silver jobs run on two driver threads, as independent Spark jobs.
+    A failed dimension stops the run before gold.
     """
     if land is not None:
         land()
@@ -199,7 +217,8 @@ def run_all(spark: SparkSession, layout: Layout, land=None) -> dict:
         dims = pool.submit(build_silver_dimensions, spark, layout)
         fact = pool.submit(build_silver_transaction, spark, layout)
         dim_status, _ = dims.result(), fact.result()
-    build_gold_job(spark, layout)
+    require_ok(dim_status)
+    build_gold_job(spark, layout, allow_missing=allow_missing)
     rows = export_and_serve(spark, layout)
     return {"dimensions": dim_status, "gold_rows": rows}
 
@@ -211,28 +230,33 @@ def load_source_table(
     schema,
     target: SnapshotTable,
     quarantine_path: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Load a table's CSV files (training files first) into ``target`` with row accounting.
 
     One pass over the files: every row is flagged (a present value that does
-    not convert to its declared type fails the row, not the batch) and written
-    once, partitioned by the flag, to a staging folder. Accepted rows are
-    appended to the target; failed rows go to the quarantine folder. Returns
-    one row: table name, accepted and failed counts, counted from the staged
-    files (footers only), so retried tasks never count twice.
+    not convert to its declared type, or a wrong number of fields, fails the
+    row, not the batch) and written once, partitioned by the flag, to a
+    staging folder. Accepted rows are appended to the target; failed rows go
+    to the quarantine folder with their raw text. Returns one row: table name,
+    accepted and failed counts, counted from the staged files (footers only),
+    so retried tasks never count twice. Without any file nothing is loaded.
     """
-    loaded = csvsrc.load_files(spark, files, schema)
+    loaded = csvsrc.load_files(spark, files, schema, multi_line)
+    if not any(csvsrc.path_exists(spark, f) for f in files):
+        log.warning("no file to load for %s: %s", table, files)
     bad = F.col(csvsrc.BAD_COL)
     staging = scratch_path(spark, f"load-{table}")
     loaded.write.partitionBy(csvsrc.BAD_COL).parquet(staging)
-    # partition discovery reads the flag folders back as text
-    staged = spark.read.parquet(staging).withColumn(csvsrc.BAD_COL, F.col(csvsrc.BAD_COL).cast("boolean"))
-    target.append(staged.where(~bad).drop(csvsrc.BAD_COL))
-    if quarantine_path:
-        staged.where(bad).drop(csvsrc.BAD_COL).write.mode("append").parquet(quarantine_path)
-    return staged.agg(
-        F.count_if(~bad).alias("rows_accepted"), F.count_if(bad).alias("rows_failed")
-    ).select(F.lit(table).alias("table_name"), "rows_accepted", "rows_failed")
+    staged_rows = spark.read.schema(loaded.schema).parquet(staging)
+    counts = staged_rows.agg(F.count_if(~bad).alias("rows_accepted"), F.count_if(bad).alias("rows_failed"))
+    accepted, failed = counts.first()
+    helpers = (csvsrc.BAD_COL, csvsrc.RANK_COL)
+    if accepted:
+        target.append(staged_rows.where(~bad).drop(*helpers, csvsrc.CORRUPT_COL))
+    if failed and quarantine_path:
+        staged_rows.where(bad).drop(*helpers).write.mode("append").parquet(quarantine_path)
+    return counts.select(F.lit(table).alias("table_name"), "rows_accepted", "rows_failed")
 
 
 def seed_tables(spark: SparkSession) -> dict[str, DataFrame]:
@@ -241,3 +265,78 @@ def seed_tables(spark: SparkSession) -> dict[str, DataFrame]:
         "status": seeds.status(spark),
         "blacklist_rules": seeds.blacklist_rules(spark),
     }
+
+
+def load_seeds(spark: SparkSession, layout: Layout) -> dict[str, int]:
+    """Write the seed tables into the source database; a rerun adds only keys that are not there."""
+    return {
+        name: SnapshotTable(spark, layout.source(name)).insert_if_absent(rows, TABLES[name].key)
+        for name, rows in seed_tables(spark).items()
+    }
+
+
+# every entity derivation is a DISTINCT over a subset of these card-level columns
+CARD_LEVEL_COLUMNS = ("card1", "card2", "card3", "card4", "card6", "addr1", "addr2", "P_emaildomain")
+
+
+class Entities:
+    """Users, accounts, dimensions and card links derived from one transaction source.
+
+    The derivations read a staged table of the distinct card-level column
+    combinations (sized by cards and addresses, not by transactions); the
+    identity source, read by three consumers, is staged too. ``known`` maps
+    table names to the rows of an earlier run, whose numbers stay.
+    """
+
+    def __init__(self, txn: DataFrame, identity: DataFrame, known: dict[str, DataFrame] | None = None):
+        known = known or {}
+        self.txn = txn
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            cards = pool.submit(staged, txn.select(*CARD_LEVEL_COLUMNS).distinct(), "card-level")
+            ids = pool.submit(staged, identity, "src-identity")
+            self.cards, self.identity = cards.result(), ids.result()
+            # independent derivations run as concurrent Spark jobs
+            clients = pool.submit(lambda: staged(ent.number_clients(self.cards, known.get("client_numbers")), "clients"))
+            networks = pool.submit(ent.derive_networks, self.cards, known.get("description_card"))
+            location = pool.submit(ent.derive_location, self.cards, known.get("location"))
+            devices = pool.submit(ent.derive_devices, self.identity, known.get("device_fingerprint"))
+            self.banks = ent.derive_banks(self.cards)
+            self.clients, self.networks = clients.result(), networks.result()
+            self.users = ent.user_profiles(self.clients)
+            accounts = pool.submit(ent.assign_accounts, self.cards, self.clients)
+            links = pool.submit(ent.link_cards, self.cards, self.users, self.networks, self.banks, known.get("master_card"))
+            self.location, self.devices = location.result(), devices.result()
+            self.accounts, self.master_card = accounts.result(), links.result()
+
+    def tables(self) -> dict[str, DataFrame]:
+        """The entity tables by their source names."""
+        return {
+            "client_numbers": self.clients, "user_profile": self.users, "user_accounts": self.accounts,
+            "card_issuing_bank": self.banks, "description_card": self.networks, "location": self.location,
+            "device_fingerprint": self.devices, "master_card": self.master_card,
+        }
+
+
+def build_entities(spark: SparkSession, layout: Layout) -> dict[str, int]:
+    """Derive the entity tables from the loaded transaction and identity tables and write them.
+
+    Numbers of an earlier run stay: clients, networks, locations, devices and
+    card links that are there keep their ids, new ones are numbered on. Banks
+    are inserted if absent; profiles and accounts are shaped to their declared
+    columns (defaults filled) and upserted by key.
+    """
+    def table(name: str) -> SnapshotTable:
+        return SnapshotTable(spark, layout.source(name))
+
+    numbered = ("client_numbers", "description_card", "location", "device_fingerprint", "master_card")
+    known = {n: table(n).read() for n in numbered if table(n).exists()}
+    derived = Entities(table("transaction").read(), table("identity").read(), known).tables()
+    written = {}
+    for name, rows in derived.items():
+        if name == "card_issuing_bank":
+            written[name] = table(name).insert_if_absent(rows, TABLES[name].key)
+        elif name in ("user_profile", "user_accounts"):
+            written[name] = table(name).upsert(apply_defaults(rows, TABLES[name]), TABLES[name].key)
+        else:
+            written[name] = table(name).overwrite(staged(rows, name))
+    return written

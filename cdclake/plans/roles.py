@@ -120,11 +120,10 @@ def _records(rows: DataFrame, topic: str, key_cols: list[str], after_cols: list[
 
 
 def transaction_records(src_txn: DataFrame) -> DataFrame:
-    """Each order is created with an unknown label (isFraud 0); fulfilled orders get a
-    later label-only update (key and label; the connector sends changed columns only),
-    which leaves the other columns of the latest row null: after the null fill all of
-    these rows share card -1, a group holding about a third of the fact.
-    Amounts travel as base64 NUMERIC(10,3)."""
+    """Each order is created with an unknown label (isFraud 0). Fulfilled orders get a later
+    update: the whole row again, as the connector sends it, with the label, and with the card
+    withheld (null). After the null fill all of these rows share card -1, a group holding
+    about a third of the fact. Amounts travel as base64 NUMERIC(10,3)."""
     base = [c for c in src_txn.columns if c not in ("_changed_at", "isFraud", "TransactionAmt")]
     amt = encode_decimal("TransactionAmt", scale=3, nbytes=5).alias("TransactionAmt")
     ts = epoch_millis("_changed_at")
@@ -133,9 +132,10 @@ def transaction_records(src_txn: DataFrame) -> DataFrame:
         [*[F.col(c) for c in base], amt, F.lit(0).alias("isFraud")],
         F.lit("c"), ts, F.col("TransactionID") * 2,
     )
+    withheld = [F.lit(None).cast("long").alias(c) if c == "card1" else F.col(c) for c in base]
     update = _records(
         src_txn.where(F.col("isFraud") == 1), "transaction", ["TransactionID"],
-        [F.col("TransactionID"), F.lit(1).alias("isFraud")],
+        [*withheld, amt, F.lit(1).alias("isFraud")],
         F.lit("u"), ts + F.lit(86_400_000), F.col("TransactionID") * 2 + 1,
     )
     return create.unionByName(update)

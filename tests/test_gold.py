@@ -33,3 +33,58 @@ def test_gold_one_row_per_transaction_and_defaults(spark):
     assert r1.Bank_Name == "Acme" and r1.ProductDesc.startswith("Web Transaction")
     r2 = next(r for r in rows if r.TransactionID == 2)
     assert (r2.client_no, r2.kyc_level, r2.current_balance, r2.ProductDesc, r2.DeviceType) == ("Unknown", 0, "0", "Unknown", "Unknown")
+
+
+def _lake(spark):
+    """Small silver tables of every gold input."""
+    from cdclake.plans.jobs import GOLD_INPUTS, Layout
+    from cdclake.schemas import TABLES
+    from cdclake.session import scratch_path
+    from cdclake.sinks.snapshots import SnapshotTable
+
+    layout = Layout(scratch_path(spark, "lake"))
+    for name in GOLD_INPUTS:
+        schema = TABLES[name].schema
+        if name == "transaction":
+            row = _df(spark, [(1, 10, 12.5, 0, 0.5, "W", 7, 100.0, 1.0)],
+                      "TransactionID long, TransactionDT long, TransactionAmt double, isFraud int, z_score double, ProductCD string, card1 long, addr1 double, addr2 double")
+        else:
+            row = spark.createDataFrame([tuple(None for _ in schema)], schema)
+        SnapshotTable(spark, layout.silver(name), use_delta=False).overwrite(row)
+    return layout
+
+
+def test_a_broken_or_missing_silver_table_stops_gold(spark):
+    import glob
+    import os
+    import shutil
+
+    import pytest
+
+    from cdclake.plans.jobs import build_gold_job, gold_from_silver
+
+    layout = _lake(spark)
+    assert build_gold_job(spark, layout).count() == 1
+    shutil.rmtree(layout.silver("location").removeprefix("file:"))
+    with pytest.raises(FileNotFoundError):
+        gold_from_silver(spark, layout)
+    assert gold_from_silver(spark, layout, allow_missing=True).first().Region == "Unknown"
+    folder = layout.silver("product_description").removeprefix("file:")
+    for f in glob.glob(f"{folder}/v=000001/*.parquet"):
+        with open(f, "wb") as out:
+            out.write(b"garbage")
+        os.remove(f"{os.path.dirname(f)}/.{os.path.basename(f)}.crc")
+    with pytest.raises(Exception):
+        build_gold_job(spark, layout, allow_missing=True)
+
+
+def test_a_failed_dimension_stops_the_run(spark, monkeypatch):
+    import pytest
+
+    from cdclake.plans import jobs
+
+    monkeypatch.setattr(jobs, "build_silver_dimensions", lambda *a: {"location": "failed: x", "status": "ok"})
+    monkeypatch.setattr(jobs, "build_silver_transaction", lambda *a: 1)
+    monkeypatch.setattr(jobs, "build_gold_job", lambda *a, **b: pytest.fail("gold was built"))
+    with pytest.raises(RuntimeError):
+        jobs.run_all(spark, jobs.Layout("nowhere"))

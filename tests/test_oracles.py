@@ -6,12 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cdclake.plans.catalog import QUERIES
+from cdclake.plans.oracles import ORACLES
 from tests.conftest import SF_SMALL
 from tools.compare_oracles import TABLES, _rows
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -25,6 +24,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_oracles_use_only_the_registered_views():
@@ -34,7 +34,7 @@ def test_oracles_use_only_the_registered_views():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = QUERIES[name](spark, SF_SMALL)
+    df = entry.queries()[name](spark, SF_SMALL)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
     cur = con.execute(ORACLES[name])
     o_cols, o_rows = [d[0] for d in cur.description], cur.fetchall()

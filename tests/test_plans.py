@@ -82,3 +82,42 @@ def test_gold_never_shuffles_the_fact_by_small_lookups(spark):
     assert "BroadcastHashJoin [ProductCD" in plan
     assert "SortMergeJoin [ProductCD" not in plan
     assert "SortMergeJoin [knownfloatingpointnormalized(normalizenanandzero(addr1" not in plan
+
+
+def test_latest_transactions_need_no_statistics(spark):
+    from cdclake.plans.catalog import q_dq_not_null, q_fill_nulls, q_preview_limit
+
+    for query in (q_fill_nulls, q_preview_limit, q_dq_not_null):
+        plan = _plan(query(spark, SF_SMALL))
+        assert "stddev_samp" not in plan and "Join" not in plan.split("WindowGroupLimit")[0], query.__name__
+
+
+def test_hot_card_of_gold_is_split_or_broadcast(spark):
+    """Card -1 holds a third of the fact. With broadcasts on, the profile is broadcast from its
+    known size; where it is too large for that, the skew join splits the card."""
+    from cdclake.plans.catalog import gold_frame
+
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "16"}
+    # a limit between the lookups' sizes and the card profile's
+    limited = {"spark.sql.autoBroadcastJoinThreshold": "16k", "spark.sql.adaptive.autoBroadcastJoinThreshold": "16k"}
+    for confs, expected in ((small, "BroadcastHashJoin [card1"), (small | limited, "SortMergeJoin(skew=true) [card1")):
+        old = {k: spark.conf.get(k, None) for k in confs}
+        try:
+            for k, v in confs.items():
+                spark.conf.set(k, v)
+            df = gold_frame(spark, "/root/testdata/sf0.1")
+            df.collect()
+            assert expected in _plan(df), expected
+        finally:
+            for k, v in old.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_silver_fact_selects_and_parses_once(spark):
+    from cdclake.plans.catalog import silver_txn
+
+    plan = _plan(silver_txn(spark, SF_SMALL))
+    assert "Window" not in plan and "from_json" not in plan  # both ran once, before the statistics
+    assert "partial_avg" in plan
