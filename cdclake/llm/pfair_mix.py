@@ -138,7 +138,8 @@ def _places(docs: DataFrame, id_col: str, source_col: str, weights: Mapping[str,
 def _placed(docs: DataFrame, weights: Mapping[str, float] | None, id_col: str, source_col: str, block_rows: int) -> DataFrame:
     """``doc`` (the row), ``mix_slot``, ``mix_offset``."""
     places = stage(_places(docs, id_col, source_col, weights, block_rows), "places")
-    return docs.select(F.struct("*").alias("doc"), *_keys(id_col, source_col)).join(places, ["_id", "_source"])
+    # the places grow with the documents, so they are never broadcast
+    return docs.select(F.struct("*").alias("doc"), *_keys(id_col, source_col)).join(places.hint("merge"), ["_id", "_source"])
 
 
 def mix(
