@@ -77,6 +77,27 @@ def crc_fold(column, folds: int = 3):
     return F.crc32(column.cast("string").cast("binary")) % F.lit(folds)
 
 
+#: Rows of the id filter's table, at most; 64 bits each (4 MB in all), so it may be broadcast at any input size.
+FILTER_WORDS = 1 << 18
+
+
+def maybe_among(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """``df`` with ``maybe``: false only for rows whose bigint ``key`` is certainly not in column ``key`` of ``ids``.
+
+    A bitmap of the ids' hashes, of fixed size, is broadcast. Rows it rules out
+    need no shuffle to be compared with the ids; the others still need the
+    exact join. With more ids than bits it rules out little, and the join
+    handles everything.
+    """
+    h = F.xxhash64(key, F.lit(29))
+    word = F.pmod(h, F.lit(FILTER_WORDS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.shiftrightunsigned(h, 40), F.lit(64)).cast("int"))
+    bitmap = ids.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    joined = df.withColumn("_word", word).join(F.broadcast(bitmap), "_word", "left")
+    hit = F.coalesce(F.col("_bits"), F.lit(0).cast("bigint")).bitwiseAND(bit) != 0
+    return joined.withColumn("maybe", hit).drop("_word", "_bits")
+
+
 def hash_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     """At most ``rows`` rows, those with the smallest hash of ``key``, with the hash as column ``h``.
 

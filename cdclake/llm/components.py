@@ -14,9 +14,14 @@ def _checksum(edges: DataFrame) -> tuple:
 
 
 def _to_least(pairs: DataFrame) -> DataFrame:
-    """``pairs (u, v)`` with ``m``, the least number among ``u`` and its partners."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return pairs.join(least, "u")
+    """``pairs (u, v)`` with ``m``, the least number among ``u`` and its partners.
+
+    The null-safe key gives both join sides a shuffle of their own, so the
+    skew join can split a number that has very many partners; with a plain key
+    the aggregate's partitioning would be taken over and could not be split.
+    """
+    least = pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("_u"), F.least("u", "m").alias("m"))
+    return pairs.join(least, F.col("u").eqNullSafe(F.col("_u"))).drop("_u")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

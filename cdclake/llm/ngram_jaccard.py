@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdclake.llm.common import map_texts, stage
+from cdclake.llm.common import map_texts, maybe_among, stage
 from cdclake.llm.components import connected_components
 from cdclake.llm.hashed_text import WordHashes, word_hashes
 
@@ -147,7 +147,9 @@ def _full_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str)
         return work
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.schema if f.name in kept) + ", set binary"
-    found = map_texts(whole.join(members, "id"), make, schema, *kept, "whole")
+    # few texts have a candidate partner: the filter spares the others the shuffle
+    wanted = maybe_among(whole, "id", members).where("maybe").join(members.hint("merge"), "id")
+    found = map_texts(wanted, make, schema, *kept, "whole")
     return found.where("set IS NOT NULL")
 
 
@@ -250,6 +252,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     verdict = texts.select("text", F.col("id").alias("text_id")).join(
         linked.join(least, "root").select("text", "class_id", "n_links"), "text", "left"
     )
+    # written first: both sides of the last join are then plain shuffles, which the skew join can split by a hot text
+    verdict = stage(verdict, "verdict")
     return rows.select("id", "text").join(verdict, "text").select(
         "id", "text_id", F.coalesce("class_id", "text_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
@@ -269,8 +273,32 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     but exact repeats of a row are returned once.
     """
     found = stage(near_duplicates(docs, id_col, text_col), "classes")
-    first = found.where("id = class_id").groupBy("id").agg(F.count("*").alias("n"))
+    each = stage(found.groupBy("id").agg(F.max(F.col("id") == F.col("class_id")).alias("stays"), F.count("*").alias("n")), "verdicts")
+    gone = each.where("NOT stays").select("id")
     packed = docs.select(F.struct("*").alias("doc"), F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(_LAST)).alias("id"))
-    kept = packed.join(first.select("id"), "id", "left_semi").select("doc.*")
-    repeated = first.where("n > 1").limit(1).count()
+    checked = maybe_among(packed, "id", gone)
+    # most rows are certainly not among those that go: they are not shuffled
+    rest = checked.where("maybe").join(gone.hint("merge"), "id", "left_anti")
+    kept = checked.where("NOT maybe").select("doc").union(rest.select("doc")).select("doc.*")
+    repeated = each.where("stays AND n > 1").limit(1).count()
     return kept.distinct() if repeated else kept
+
+
+def oracle() -> str:
+    """The classes and link counts in DuckDB SQL: all pairs of texts that share a shingle."""
+    return rf"""WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}_]+') AS words FROM documents),
+texts AS (SELECT words, min(doc_id) AS id FROM docs GROUP BY words),
+shingle AS (
+  SELECT DISTINCT id, array_to_string(words[i:i + least({SHINGLE}, len(words)) - 1], ' ') AS s
+  FROM (SELECT id, words, unnest(range(1, greatest(len(words) - {SHINGLE} + 2, 2))) AS i FROM texts WHERE len(words) > 0)),
+size AS (SELECT id, count(*) AS n FROM shingle GROUP BY id),
+pair AS (SELECT a.id AS a, b.id AS b, count(*) AS common FROM shingle a JOIN shingle b ON a.s = b.s AND a.id <> b.id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM pair JOIN size x ON x.id = a JOIN size y ON y.id = b
+  WHERE common >= {THRESHOLD} * (x.n + y.n - common) - 1e-9),
+reach AS (SELECT id, id AS root FROM texts UNION SELECT b, root FROM reach JOIN link ON a = id WHERE root < b),
+class AS (SELECT id, min(root) AS class_id FROM reach GROUP BY id),
+links AS (SELECT a AS id, count(*) AS n FROM link GROUP BY a)
+SELECT doc_id, id AS text_id, class_id, coalesce(n, 0) AS n_links
+FROM docs JOIN texts USING (words) JOIN class USING (id) LEFT JOIN links USING (id)"""

@@ -5,7 +5,7 @@ worse) and rejects a document whose ratio lies above the rule's cutoff. The
 cutoffs come from labelled documents that pass the base rule, per stratum
 (the language):
 
-* one fold of the labels (``crc32(doc_id) % 2 = 0``) says which rules and
+* one fold of the labels (:func:`hold_out` false) says which rules and
   cutoffs are useful: bad documents caught, minus ``GOOD_COST`` times good
   ones lost. Only useful rules are tested;
 * the other fold, the hold-out, says which cutoffs are allowed. With ``k`` of
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from cdclake.llm.common import crc_fold, map_texts, small_batches, stage
+from cdclake.llm.common import map_texts, small_batches, stage
 
 #: Most good documents of a stratum that the rules may reject, and the risk that they reject more.
 ALPHA, DELTA = 0.10, 0.05
@@ -175,7 +175,7 @@ def learn_cutoffs(counts: DataFrame, labels: DataFrame, alpha: float = ALPHA, de
         .groupBy("doc_id")
         .agg((F.min("quality") > 0).alias("good"))
     )
-    labelled = counts.where(~base_failed()).join(good, "doc_id").withColumn("held", crc_fold(F.col("doc_id"), 2) == 1)
+    labelled = counts.where(~base_failed()).join(good, "doc_id").withColumn("held", hold_out(F.col("doc_id")))
     above = [
         F.sum(F.when(_ratio(rule) > cutoff, 1).otherwise(0)).alias(f"{rule}_{i}")
         for rule, (_, _, cutoffs) in RULES.items()
@@ -194,6 +194,11 @@ def learn_cutoffs(counts: DataFrame, labels: DataFrame, alpha: float = ALPHA, de
     return table.groupBy("stratum").applyInPandas(cutoffs_of, schema)
 
 
+def hold_out(doc_id):
+    """The fold of a labelled document: a fixed arithmetic mix of its id, even for one half of the ids."""
+    return (F.pmod(doc_id, F.lit(1_000_003)) * 7919 + 13) % 104_729 % 2 == 1
+
+
 def base_failed():
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
@@ -240,3 +245,59 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", stratu
 
     counted = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")).mapInArrow(run, schema)
     return judge(counted, cutoffs).where("kept").select("doc.*")
+
+
+def oracle() -> str:
+    """The verdicts in DuckDB SQL, over the views ``documents`` and ``labels``."""
+    rules = ", ".join(
+        f"('{rule}', {i}, CAST({cut!r} AS DOUBLE))" for rule, (_, _, cutoffs) in RULES.items() for i, cut in enumerate(cutoffs)
+    )
+    values = "\nUNION ALL ".join(
+        f"SELECT rid, stratum, doc_id, base_failed, '{rule}' AS rule, coalesce(CAST({top} AS DOUBLE) / nullif({bottom}, 0), 0) AS value FROM judged"
+        for rule, (top, bottom, _) in RULES.items()
+    )
+    word, symbols = r"[^\x20\x09-\x0D]", "[#*$%&|<>]"
+    return rf"""WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '{word}+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '{word}')) AS lines
+  FROM documents),
+triples AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, words[i], words[i + 1], words[i + 2]) AS times
+  FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM docs)),
+repeats AS (SELECT rid, count(DISTINCT i + step) AS n FROM triples, range(3) steps(step) WHERE times > 1 GROUP BY rid),
+counted AS (
+  SELECT rid, doc_id, stratum, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+         length(t) - length(regexp_replace(t, '{symbols}', '', 'g')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines, coalesce(n, 0) AS n_repeat_words,
+         length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper, length(t) - length(replace(t, '!', '')) AS n_exclaim
+  FROM docs LEFT JOIN repeats USING (rid)),
+judged AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counted),
+good AS (
+  SELECT doc_id, min(quality) > 0 AS good, ((doc_id % 1000003 + 1000003) % 1000003 * 7919 + 13) % 104729 % 2 = 1 AS held
+  FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+value AS ({values}),
+rule AS (SELECT * FROM (VALUES {rules}) v(rule, i, cut)),
+labelled AS (SELECT v.*, held, good FROM value v JOIN good USING (doc_id) WHERE NOT base_failed),
+strata AS (SELECT count(DISTINCT stratum) AS n FROM labelled),
+above AS (
+  SELECT stratum, rule, i, cut,
+         count(*) FILTER (held AND good) AS n_held, count(*) FILTER (held AND good AND value > cut) AS k_held,
+         count(*) FILTER (NOT held AND NOT good AND value > cut) / greatest(1, count(*) FILTER (NOT held AND NOT good))
+           - {GOOD_COST} * count(*) FILTER (NOT held AND good AND value > cut) / greatest(1, count(*) FILTER (NOT held AND good)) AS gain
+  FROM labelled JOIN rule USING (rule) GROUP BY ALL),
+useful AS (SELECT stratum, rule, count(*) OVER (PARTITION BY stratum) AS m FROM above GROUP BY stratum, rule HAVING max(gain) > 1e-12),
+tail AS (
+  SELECT *, CASE WHEN n_held = 0 OR k_held >= n_held THEN 1 ELSE list_sum(list_transform(range(k_held + 1), lambda x: exp(
+      lgamma(n_held + 1) - lgamma(x + 1) - lgamma(n_held - x + 1) + x * ln({ALPHA} / m) + (n_held - x) * ln(1 - {ALPHA} / m)))) END AS p
+  FROM above JOIN useful USING (stratum, rule)),
+certified AS (
+  SELECT *, max(CAST(p > {DELTA} / (m * n) AS INTEGER)) OVER (PARTITION BY stratum, rule ORDER BY i) = 0 AS allowed FROM tail, strata),
+chosen AS (
+  SELECT stratum, rule, cut FROM certified WHERE allowed AND gain > 1e-12
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, i) = 1),
+rejected AS (SELECT DISTINCT rid FROM value JOIN chosen USING (stratum, rule) WHERE value > cut)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND rid NOT IN (SELECT rid FROM rejected) AS kept
+FROM judged"""

@@ -92,5 +92,7 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
 }
 ORACLES: dict[str, str] = {
+    "op3_ngram_jaccard": ngram_jaccard.oracle(),
+    "op6_quality_rules": quality_rules.oracle(),
     "op7_secret_scan": secret_scan.oracle(),
 }
