@@ -77,6 +77,21 @@ def crc_fold(column, folds: int = 3):
     return F.crc32(column.cast("string").cast("binary")) % F.lit(folds)
 
 
+#: Ids of rows that have none: the last numbers there are, by the hash of the text.
+_NO_ID = (1 << 63) - (1 << 40)
+
+
+def known_id(id_col: str, text_col: str):
+    """The id as bigint; rows without one get a number after all ids, the same for the same text."""
+    late = F.lit((1 << 63) - 1) - F.pmod(F.xxhash64(F.col(f"`{text_col}`")), F.lit(1 << 40))
+    return F.coalesce(F.col(f"`{id_col}`").cast("bigint"), late)
+
+
+def given_id(column: str):
+    """The id of :func:`known_id`; null again for rows that had none."""
+    return F.when(F.col(column) < _NO_ID, F.col(column))
+
+
 #: Rows of the id filter's table, at most; 64 bits each (4 MB in all), so it may be broadcast at any input size.
 FILTER_WORDS = 1 << 18
 

@@ -22,7 +22,7 @@ lower case; a shorter text is one shingle of all its words.
 
 Defined cases: null and empty texts have no words: they are one text, without
 links; rows that share an id but not the words get their own rows (with the
-same id), and a null id ranks last; repeated rows are returned as often as
+same id), and rows without an id rank last, by their text; repeated rows are returned as often as
 they come; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdclake.llm.common import map_texts, maybe_among, stage
+from cdclake.llm.common import given_id, known_id, map_texts, maybe_among, stage
 from cdclake.llm.components import connected_components
 from cdclake.llm.hashed_text import WordHashes, word_hashes
 
@@ -48,7 +48,6 @@ MAX_HASHES = 180
 #: Texts and shingles of a block, about.
 BLOCK_TEXTS, BLOCK_SHINGLES = 512, 400_000
 
-_LAST = 2**63 - 1
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -107,7 +106,7 @@ def words_key(h: np.ndarray) -> int:
 def text_bands(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id``, ``text`` (the number of the word sequence), ``n_shingles`` and ``bands`` of every row."""
     bands, rows = choose_bands()
-    prepared = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("id"), F.col(text_col).alias("text"))
+    prepared = docs.select(known_id(id_col, text_col).alias("id"), F.col(text_col).alias("text"))
 
     def make():
         known, minhash = WordHashes(), MinHash(bands, rows)
@@ -129,7 +128,7 @@ def text_bands(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _full_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``members`` (one row a text) with the text's shingle set, as bytes."""
-    whole = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("id"), F.col(text_col).alias("whole"))
+    whole = docs.select(known_id(id_col, text_col).alias("id"), F.col(text_col).alias("whole"))
     kept = [c for c in members.columns if c != "id"]
 
     def make():
@@ -262,8 +261,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text_id, class_id, n_links``, one row per row of ``docs``."""
     found = near_duplicates(docs, id_col, text_col)
-    back = lambda c, name: F.when(F.col(c) != _LAST, F.col(c)).alias(name)
-    return found.select(back("id", "doc_id"), back("text_id", "text_id"), back("class_id", "class_id"), "n_links")
+    return found.select(
+        given_id("id").alias("doc_id"), given_id("text_id").alias("text_id"), given_id("class_id").alias("class_id"), "n_links"
+    )
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -275,7 +275,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found = stage(near_duplicates(docs, id_col, text_col), "classes")
     each = stage(found.groupBy("id").agg(F.max(F.col("id") == F.col("class_id")).alias("stays"), F.count("*").alias("n")), "verdicts")
     gone = each.where("NOT stays").select("id")
-    packed = docs.select(F.struct("*").alias("doc"), F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(_LAST)).alias("id"))
+    packed = docs.select(F.struct("*").alias("doc"), known_id(id_col, text_col).alias("id"))
     checked = maybe_among(packed, "id", gone)
     # most rows are certainly not among those that go: they are not shuffled
     rest = checked.where("maybe").join(gone.hint("merge"), "id", "left_anti")

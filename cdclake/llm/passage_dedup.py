@@ -16,8 +16,8 @@ a join, which adaptive execution splits when a digest is very common, gives
 each document its repeated digests. Nothing is collected per digest.
 
 Defined cases: a null or empty text has no units; rows that share an id count
-as one document (repeats between them stay), and rows without an id as one
-document ranked last; empty tables give empty results; extra columns are kept
+as one document (repeats between them stay), and rows without an id rank
+last, those with the same text as one document; empty tables give empty results; extra columns are kept
 by :func:`remove` and ignored otherwise.
 """
 
@@ -30,15 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cdclake.llm.common import map_texts, stage
+from cdclake.llm.common import known_id, map_texts, stage
 
 #: Least words of a run of repeated units that is removed.
 MIN_WORDS = 40
 
 _CUT = regex.compile(r"\s*\n\s*|(?<=[.!?…][\"'»”’)\]]?)\s+|\s+(?=\p{Lu}\p{Ll})")
 _NO_WORD = regex.compile(r"\W+")
-#: Rows without an id rank after all others.
-_LAST = 2**63 - 1
 
 
 def units(text: str | None) -> list[tuple[int, int, int, int]]:
@@ -75,7 +73,7 @@ def repeated_runs(digests, starts, ends, words, shared: set[int], least: int) ->
 
 def text_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``id`` (never null) and the units' digests, starts, ends and word counts."""
-    prepared = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("id"), F.col(text_col).alias("text"))
+    prepared = docs.select(known_id(id_col, text_col).alias("id"), F.col(text_col).alias("text"))
     lists = ["digests", "starts", "ends", "words"]
     schema = StructType.fromDDL("id bigint, digests array<bigint>, starts array<int>, ends array<int>, words array<int>")
 
@@ -131,7 +129,7 @@ def remove(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col:
     found = spans.where("size(spans) > 0").select("id", F.col("spans").alias("found")).dropDuplicates()
     text = f"doc.`{text_col}`"
     packed = docs.drop("removed_spans", "kept_spans").select(
-        F.struct("*").alias("doc"), F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(_LAST)).alias("id")
+        F.struct("*").alias("doc"), known_id(id_col, text_col).alias("id")
     )
     none = F.expr("CAST(array() AS array<struct<start: int, end: int>>)")
     joined = packed.join(found, "id", "left").withColumn("removed", F.coalesce("found", none))
