@@ -14,27 +14,19 @@ _DEC = "decimal(38,0)"
 def _unsigned(digits: Column) -> Column:
     """Big-endian hex digits of any length as a double.
 
-    Up to 16 digits go through one ``conv``, up to 30 through exact decimals;
-    longer values add up in doubles, 12 digits (48 bits) at a time.
+    Up to 16 digits (8 bytes) go through one ``conv``. Of longer values the
+    first 30 significant digits are exact decimals, far more than a double
+    holds, and the rest is their power of 16. No lambda: the projection stays
+    inside code generation.
     """
     short = F.ltrim(digits, F.lit("0"))
     n = F.length(short)
     part = lambda c: F.conv(c, 16, 10).cast(_DEC)
-    low, high = F.right(short, F.lit(_CHUNK)), F.substring(short, F.lit(1), n - _CHUNK)
+    head = F.substring(F.lpad(short, F.greatest(n, F.lit(2 * _CHUNK)), F.lit("0")), F.lit(1), F.lit(2 * _CHUNK))
+    high, low = F.left(head, F.lit(_CHUNK)), F.right(head, F.lit(_CHUNK))
     exact = (part(high) * F.lit(16**_CHUNK).cast("decimal(19,0)") + part(low)).cast("double")
-    padded = F.lpad(short, (F.ceil(n / 12) * 12).cast("int"), F.lit("0"))
-    chunks = F.sequence(F.lit(0).cast("int"), (F.ceil(n / 12) - 1).cast("int"))
-    summed = F.aggregate(
-        chunks,
-        F.lit(0.0),
-        lambda acc, i: acc * F.lit(float(1 << 48)) + F.conv(F.substring(padded, i * 12 + 1, F.lit(12)), 16, 10).cast("double"),
-    )
-    return (
-        F.when(n == 0, F.lit(0.0))
-        .when(n <= 16, F.conv(short, 16, 10).cast("double"))
-        .when(n <= 2 * _CHUNK, exact)
-        .otherwise(summed)
-    )
+    wide = exact * F.pow(F.lit(16.0), F.greatest(n - 2 * _CHUNK, F.lit(0)))
+    return F.when(F.length(digits) <= 16, F.conv(digits, 16, 10).cast("double")).otherwise(wide)
 
 
 def decode_decimal(c: Column | str, scale: int = 3, signed: bool = False) -> Column:

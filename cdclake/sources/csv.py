@@ -81,13 +81,22 @@ def load_files(spark: SparkSession, files: Sequence[str], schema: T.StructType,
     raw = parts[0]
     for p in parts[1:]:
         raw = raw.unionByName(p, allowMissingColumns=True)
+    marks = ", ".join(f"'{m}'" for m in MISSING)
     typed, bad = [], [F.col(CORRUPT_COL).isNotNull()]
     for fld in schema.fields:
-        text = F.col(f"`{fld.name}`") if fld.name in raw.columns else F.lit(None).cast("string")
-        src = F.when(~F.trim(text).isin(*MISSING), text)
-        value = src.try_cast(fld.dataType)
+        if fld.name not in raw.columns:
+            typed.append(F.lit(None).cast(fld.dataType).alias(fld.name))
+            continue
+        text, missing = F.col(f"`{fld.name}`"), F.expr(f"trim(`{fld.name}`) IN ({marks})")
+        if isinstance(fld.dataType, T.StringType):
+            typed.append(F.when(~missing, text).alias(fld.name))
+            continue
+        value = text.try_cast(fld.dataType)
+        if isinstance(fld.dataType, (T.DoubleType, T.FloatType)):
+            value = F.when(~F.isnan(value), value)
         typed.append(value.alias(fld.name))
-        bad.append(src.isNotNull() & value.isNull())
+        # the list is looked at only where the conversion gave nothing
+        bad.append(text.isNotNull() & value.isNull() & ~missing)
     return raw.select(*typed, F.col(RANK_COL), _any(bad).alias(BAD_COL), F.col(CORRUPT_COL))
 
 
