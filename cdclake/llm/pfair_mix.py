@@ -8,16 +8,23 @@ block with the earliest deadline goes next. One slot is given at a time and
 the weights fill it exactly, so all deadlines are met, and at every slot each
 source is less than one block away from its target share.
 
-Weights are rounded to ``a / D`` (largest remainders, at least one), so the
-schedule repeats after ``D`` slots and only one period has to be worked out:
-block ``j`` lies in period ``j // a``, at the slot of the period's block
-``j % a``. When a source runs out, a new phase starts there with the others'
-weights scaled up; no document is dropped. There are at most as many phases
-as sources, and their tables hold ``D`` numbers each.
+A schedule is worked out in periods of ``D`` slots. What each source has got by
+the end of period ``k`` follows from the exact weights: the ``k * D`` slots are
+split down a Huffman tree of the weights, rounding at every branch. These
+counts never fall, add up to ``k * D`` and are less than two blocks away from
+``w * k * D`` for any ``k`` (a node weighs at most half its grandparent, so
+the roundings above a leaf add up to less than two), so nothing accumulates.
+Their differences are a period's whole weights ``a / D``, and the windows above
+hold inside the period for these; at any slot a source is less than three
+blocks away from its target share, however long the corpus. A source may get
+nothing in a period. When a source runs out, a new phase starts there with the
+others' weights scaled up; no document is dropped. There are at most as many
+phases as sources; the driver only finds where they end.
 
 Spark numbers the documents of each source (a source may hold most rows: its
-rows are spread over range partitions) and looks their slots up in these
-tables, which are bounded by ``MAX_SOURCES`` and therefore broadcast.
+rows are spread over range partitions), works out the periods side by side,
+each from its number alone, and joins blocks and slots, which both grow with
+the documents.
 
 Defined cases: a null source is a source of its own (''); rows that share id
 and source take one place together; sources without a weight get weight from
@@ -29,17 +36,19 @@ are kept (``mix_slot`` and ``mix_offset`` replace columns of that name).
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from bisect import bisect_right
+from collections.abc import Iterator, Mapping
+from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm.common import stage
+from cdclake.llm.common import map_texts, stage
 from cdclake.operators.numbering import sequence_number
 
 BLOCK_ROWS = 16
 PERIOD = 1000
-#: Sources whose schedule is worked out; their counts and tables are kept on the driver.
+#: Sources whose schedule is worked out; their counts and phases are kept on the driver.
 MAX_SOURCES = 1000
 
 
@@ -79,28 +88,111 @@ def earliest_deadline_first(weights: Mapping[str, int]) -> dict[str, list[int]]:
     return slots
 
 
-def phases(blocks: Mapping[str, int], weights: Mapping[str, float], period: int = PERIOD) -> list[dict]:
-    """Rows ``source, first, last, base, weight, period, slots``: the blocks of a source in each phase."""
+def huffman(weights: Mapping[str, float]) -> list[tuple[int, int, float, str | None]]:
+    """Nodes ``left, right, left's share, source`` of a tree of the weights, the root first; leaves have a source."""
+    heap = [(w, i, s) for i, (s, w) in enumerate(sorted(weights.items()))]
+    heapq.heapify(heap)
+    made = len(heap)
+    while len(heap) > 1:
+        x, y = heapq.heappop(heap), heapq.heappop(heap)
+        heapq.heappush(heap, (x[0] + y[0], made, (x, y)))
+        made += 1
+    nodes, todo = [], [heap[0]]
+    for _, _, what in todo:  # grows while it is walked
+        if isinstance(what, tuple):
+            x, y = what
+            nodes.append((len(todo), len(todo) + 1, x[0] / (x[0] + y[0]), None))
+            todo += [x, y]
+        else:
+            nodes.append((0, 0, 0.0, what))
+    return nodes
+
+
+def quotas(tree: list[tuple[int, int, float, str | None]], slots: int) -> dict[str, int]:
+    """Blocks of every source in the first ``slots`` slots: they add up to ``slots`` and never fall as it grows."""
+    given, out = [slots] + [0] * (len(tree) - 1), {}
+    for i, (left, right, share, source) in enumerate(tree):
+        if source is None:
+            given[left] = min(given[i], int(given[i] * share + 0.5))
+            given[right] = given[i] - given[left]
+        else:
+            out[source] = given[i]
+    return out
+
+
+def outline(blocks: Mapping[str, int], weights: Mapping[str, float], period: int = PERIOD) -> list[dict]:
+    """``base, size, end, done, tree`` of every phase: its first slot, slots a period, slots, blocks before it, tree."""
     left = {s: n for s, n in blocks.items() if n > 0}
-    done, base, rows = dict.fromkeys(left, 0), 0, []
+    done, base, out = dict.fromkeys(left, 0), 0, []
     while left:
         size = max(period, 4 * len(left))
-        whole = whole_weights({s: weights[s] for s in left}, size)
-        slots = earliest_deadline_first(whole)
+        tree = huffman({s: weights[s] for s in left})
+        total = sum(weights[s] for s in left)
+        # the last period: the first at whose end a source would have more blocks than are left
+        low, high = 0, 1 + int(min((n + 3) * total / weights[s] / size for s, n in left.items()))
+        while low < high:
+            k = (low + high) // 2
+            got = quotas(tree, (k + 1) * size)
+            low, high = (low, k) if any(got[s] > n for s, n in left.items()) else (k + 1, high)
+        before, slots = _period(tree, size, low)
         # the first slot that asks for a block a source no longer has
-        end = min((n // whole[s]) * size + slots[s][n % whole[s]] for s, n in left.items())
+        end = low * size + min(x[left[s] - before[s]] for s, x in slots.items() if before[s] + len(x) > left[s])
+        out.append({"base": base, "size": size, "end": end, "done": dict(done), "tree": tree})
         for s in list(left):
-            used = (end // size) * whole[s] + sum(x < end % size for x in slots[s])
-            if used:
-                rows.append(
-                    {"source": s, "first": done[s], "last": done[s] + used, "base": base, "weight": whole[s], "period": size, "slots": slots[s]}
-                )
+            used = before[s] + sum(low * size + x < end for x in slots.get(s, ()))
             done[s] += used
             left[s] -= used
             if not left[s]:
                 del left[s]
         base += end
-    return rows
+    return out
+
+
+def _period(tree: list[tuple[int, int, float, str | None]], size: int, k: int) -> tuple[dict[str, int], dict[str, list[int]]]:
+    """Blocks of every source before period ``k``, and the slots in it of the sources that have any."""
+    before, after = quotas(tree, k * size), quotas(tree, (k + 1) * size)
+    return before, earliest_deadline_first({s: after[s] - n for s, n in before.items() if after[s] > n})
+
+
+def period_rows(phase: Mapping, k: int) -> Iterator[dict]:
+    """Rows ``source, first, last, base, weight, period, slots`` of period ``k`` of a phase."""
+    before, slots = _period(phase["tree"], phase["size"], k)
+    start = k * phase["size"]
+    for s, x in slots.items():
+        if used := sum(start + t < phase["end"] for t in x):
+            first = phase["done"][s] + before[s]
+            yield {
+                "source": s, "first": first, "last": first + used, "base": phase["base"] + start,
+                "weight": len(x), "period": phase["size"], "slots": x,
+            }
+
+
+def phases(blocks: Mapping[str, int], weights: Mapping[str, float], period: int = PERIOD) -> list[dict]:
+    """The rows of all periods: the blocks ``first`` to ``last`` of a source and their slots from ``base`` on."""
+    return [r for p in outline(blocks, weights, period) for k in range(-(-p["end"] // p["size"])) for r in period_rows(p, k)]
+
+
+def _slots(spark: SparkSession, plan: list[dict]) -> DataFrame:
+    """``_source, _block, mix_slot`` of every block. Each period is worked out where its number lies."""
+    ends = list(accumulate(-(-p["end"] // p["size"]) for p in plan))  # periods up to the end of each phase
+    total = ends[-1] if ends else 0
+    parts = max(1, min(total, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+    def make():
+        def work(numbers):
+            out: dict[str, list] = {"_source": [], "_block": [], "mix_slot": []}
+            for i in numbers:
+                at = bisect_right(ends, i)
+                for r in period_rows(plan[at], i - (ends[at - 1] if at else 0)):
+                    n = r["last"] - r["first"]
+                    out["_source"] += [r["source"]] * n
+                    out["_block"] += range(r["first"], r["last"])
+                    out["mix_slot"] += [r["base"] + t for t in r["slots"][:n]]
+            return out
+
+        return work
+
+    return map_texts(spark.range(0, total, 1, parts), make, "_source string, _block bigint, mix_slot bigint", "id")
 
 
 def _keys(id_col: str, source_col: str):
@@ -121,18 +213,10 @@ def _places(docs: DataFrame, id_col: str, source_col: str, weights: Mapping[str,
     if any(not w > 0 for w in given.values()):
         raise ValueError("weights must be positive")
     target = {s: given.get(s, n**0.5) for s, n in counts.items()}
-    table = phases({s: -(-n // block_rows) for s, n in counts.items()}, target)
-    schedule = spark.createDataFrame(
-        [(r["source"], r["first"], r["last"], r["base"], r["weight"], r["period"], r["slots"]) for r in table],
-        "_source string, first bigint, last bigint, base bigint, weight bigint, period bigint, slots array<int>",
-    )
-    block = F.floor(F.col("_n") / block_rows)
-    found = numbered.withColumn("_block", block.cast("bigint")).join(
-        F.broadcast(schedule), ["_source"]
-    ).where("_block >= first AND _block < last")
-    j = F.col("_block") - F.col("first")
-    slot = F.col("base") + F.expr("(_block - first) DIV weight") * F.col("period") + F.element_at("slots", (j % F.col("weight") + 1).cast("int"))
-    return found.select("_id", "_source", slot.cast("bigint").alias("mix_slot"), (F.col("_n") % block_rows).cast("int").alias("mix_offset"))
+    plan = outline({s: -(-n // block_rows) for s, n in counts.items()}, target)
+    block = F.floor(F.col("_n") / block_rows).cast("bigint")
+    found = numbered.withColumn("_block", block).join(_slots(spark, plan).hint("merge"), ["_source", "_block"])
+    return found.select("_id", "_source", "mix_slot", (F.col("_n") % block_rows).cast("int").alias("mix_offset"))
 
 
 def _placed(docs: DataFrame, weights: Mapping[str, float] | None, id_col: str, source_col: str, block_rows: int) -> DataFrame:

@@ -37,6 +37,36 @@ def test_windows_and_deviation():
                 assert all(abs(count[s] - share[s] * (t - start + 1)) < 1 for s in share)
 
 
+def test_deviation_from_the_exact_weights_does_not_grow():
+    rng = random.Random(2)
+    cases = [{f"s{i}": (1000 * (i + 1)) ** 0.5 for i in range(20)}, {"big": 1.0, "mid": 0.0437, "rare": 1 / 7000}]
+    cases += [{f"s{i}": rng.random() ** 4 + 1e-5 for i in range(rng.randint(2, 40))} for _ in range(8)]
+    for weights in cases:
+        total, slots = sum(weights.values()), 60 * p.PERIOD
+        table = p.phases({s: int(w / total * slots) + 3 for s, w in weights.items()}, weights)
+        owner = {place(r, k): r["source"] for r in table for k in range(r["last"] - r["first"])}
+        end = min({s: t for t, s in sorted(owner.items())}.values())  # the first source runs out
+        count = dict.fromkeys(weights, 0)
+        for t in range(end + 1):
+            s = owner[t]
+            count[s] += 1
+            assert abs(count[s] - weights[s] / total * (t + 1)) < 3
+            if t % 97 == 0 or t == end:
+                assert all(abs(count[s] - w / total * (t + 1)) < 3 for s, w in weights.items())
+
+
+def test_counts_of_periods():
+    rng = random.Random(3)
+    for _ in range(40):
+        weights = {f"s{i}": rng.random() ** 6 + 1e-6 for i in range(rng.randint(1, 60))}
+        tree, total, last = p.huffman(weights), sum(weights.values()), dict.fromkeys(weights, 0)
+        for slots in sorted(rng.randrange(10**9) for _ in range(50)):
+            now = p.quotas(tree, slots)
+            assert sum(now.values()) == slots and all(now[s] >= n for s, n in last.items())
+            assert all(abs(now[s] - w / total * slots) < 2 for s, w in weights.items())
+            last = now
+
+
 def test_whole_weights():
     assert p.whole_weights({"a": 1, "b": 1, "c": 1}, 10) in ({"a": 4, "b": 3, "c": 3}, {"a": 3, "b": 3, "c": 4}, {"a": 3, "b": 4, "c": 3})
     whole = p.whole_weights({"big": 1e9, "x": 1, "y": 1}, 100)
