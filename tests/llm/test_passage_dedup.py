@@ -1,3 +1,4 @@
+import random
 import re
 
 from cdclake.llm import passage_dedup as d
@@ -54,6 +55,36 @@ def test_passages_pasted_into_lines_are_found(spark, prose):
         assert sum(e - s for s, e in [*r.removed_spans, *r.kept_spans]) == len(by_id[key])
 
 
+def test_passages_that_start_and_end_inside_sentences(spark):
+    """Passages of 51 to 75 words between other words of the same sentences, all found and cut to the word."""
+    rng = random.Random(8)
+    stems = ["".join(rng.choice("aeiou") + rng.choice("bdglmnrst") for _ in range(3)) for _ in range(2000)]
+    word = lambda n: [rng.choice(stems) for _ in range(n)]
+    texts, passages = [], {}
+    for i, size in enumerate(range(51, 76)):
+        head, tail = rng.randint(8, 18), rng.randint(8, 18)
+        passage = " ".join(word(head)) + ". " + " ".join(word(size - head - tail)).capitalize() + ". " + " ".join(word(tail)).capitalize()
+        for k in (0, 100):
+            before, after = " ".join(word(30)).capitalize() + f" k{k}a", f"k{k}b " + " ".join(word(30)) + "."
+            texts.append((i + k, f"{before} {passage} {after}"))
+        passages[i + 100] = passage
+    table = spark.createDataFrame(texts, "doc_id bigint, text string")
+    by_id = dict(texts)
+    cut = {r.doc_id: [by_id[r.doc_id][s:e] for s, e in r.removed_spans] for r in d.remove(table, d.repeated_spans(table)).collect()}
+    assert {k: v for k, v in cut.items() if v} == {k: [p] for k, p in passages.items()}
+    # the middle sentences alone are too short
+    assert any(not v for k, v in brute(texts).items() if k >= 100)
+
+
+def test_borders_inside_one_text(spark, prose):
+    words = prose[0].lower().rstrip(".").split()
+    passage = " ".join(words[:15]) + ". " + " ".join(words[15:40]).capitalize() + ". " + " ".join(words[40:55]).capitalize()
+    text = f"{prose[1][:-5]} {passage} one two. {prose[2][:-5]} {passage} three four."
+    table = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    (found,) = d.repeated_spans(table).collect()
+    assert [text[s:e] for s, e in found.spans] == [passage] and found.spans[0].start > 300
+
+
 def test_hot_line(spark, prose):
     """One line in a third of all documents, and one document many times."""
     line = prose[0].replace(" ", " b ")
