@@ -240,25 +240,29 @@ def read_vocabulary(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
-    """``id_col``, ``ids`` (array of int) and, on request, ``decoded``: the ids read back as text."""
+def encode(
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``id_col``, ``ids`` (array of int), on request ``decoded``: the ids read back as text, and the columns ``keep``."""
     vocabulary = read_vocabulary(docs.sparkSession, path)
     fields = [
         docs.schema[id_col],
         StructField("ids", ArrayType(IntegerType(), containsNull=False)),
         *([StructField("decoded", StringType())] if decoded else []),
+        *(docs.schema[c] for c in keep),
     ]
 
     def make():
         bpe = _load(vocabulary.value)
 
-        def work(keys, texts):
+        def work(keys, texts, *kept):
             ids = [bpe.encode(t) for t in texts]
-            return {id_col: keys, "ids": ids} | ({"decoded": [bpe.decode(x) for x in ids]} if decoded else {})
+            out = {id_col: keys, "ids": ids} | ({"decoded": [bpe.decode(x) for x in ids]} if decoded else {})
+            return out | dict(zip(keep, kept, strict=True))
 
         return work
 
-    return map_texts(docs, make, StructType(fields), id_col, text_col)
+    return map_texts(docs, make, StructType(fields), id_col, text_col, *keep)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -1,8 +1,10 @@
 import collections
 import random
 import re
+import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from cdclake.llm import bpe, ngram_jaccard, pfair_mix, quality_rules, secret_scan
@@ -79,6 +81,34 @@ def test_stages_against_plain_computation(spark, corpus):
     assert sorted(r.doc_id for r in pipeline.run(spark, path).collect()) == sorted(clean)
 
 
+def test_the_result_is_in_the_order_of_the_mix(spark, corpus, tmp_path):
+    path, docs = corpus
+    result = pipeline.run(spark, path)
+    source = {i: s for i, _, _, s, _ in docs}
+    found = result.orderBy("mix_position").collect()
+    assert [r.mix_position for r in found] == list(range(len(found)))
+    table = spark.createDataFrame([(r.doc_id, source[r.doc_id]) for r in found], "doc_id bigint, source string")
+    mixed = sorted(pfair_mix.mix(table).collect(), key=lambda r: (r.mix_slot, r.mix_offset))
+    assert [r.doc_id for r in found] == [r.doc_id for r in mixed] != sorted(source)[: len(found)]
+    # the files too
+    files = result.select("_metadata.file_name", "mix_position").groupBy("file_name").agg(F.sort_array(F.collect_list("mix_position")).alias("at"))
+    written = [r.at for r in files.orderBy("file_name").collect()]
+    assert len(written) > 1 and sum(written, []) == list(range(len(found)))
+
+
+def test_positions_follow_the_files_not_their_sizes(spark, tmp_path):
+    sizes = [3, 50, 1, 20, 7]  # read again, the largest file would come first
+    for k, n in enumerate(sizes):
+        rows_ = [(sum(sizes[:k]) + i, "word " * n) for i in range(n)]
+        part = spark.createDataFrame(rows_, "doc_id bigint, text string").coalesce(1)
+        part.write.parquet(str(tmp_path / f"one{k}"))
+        (file,) = (tmp_path / f"one{k}").glob("part-*.parquet")
+        (tmp_path / "all").mkdir(exist_ok=True)
+        shutil.copy(file, tmp_path / "all" / f"part-{k + 99998:05d}-x-c000.parquet")  # six digits from the third on
+    out = pipeline.encoding_stage(spark, spark.read.parquet(str(tmp_path / "all")), "")
+    assert [(r.doc_id, r.mix_position) for r in out.collect()] == [(i, i) for i in range(sum(sizes))]
+
+
 def test_every_stage_takes_odd_rows(spark, corpus, messy, crowded, empty_docs):
     path, _ = corpus
     for name, fn in pipeline.STAGES:
