@@ -23,7 +23,7 @@ reach ``MIN_WORDS`` with them, and those beside the occurrences they are
 compared with, are read again as text. Nothing is collected per digest.
 
 Defined cases: a null or empty text has no units; rows that share an id count
-as one document (repeats between them stay), and rows without an id rank
+as one document (repeats between them stay), each text with its own spans, and rows without an id rank
 last, those with the same text as one document; empty tables give empty results; extra columns are kept
 by :func:`remove` and ignored otherwise.
 """
@@ -290,13 +290,11 @@ def kept_pieces(spans: str = "spans", length: str = "length(text)") -> str:
 
 def remove(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the spans cut out of the text, plus ``removed_spans`` and ``kept_spans`` in original offsets."""
-    found = spans.where("size(spans) > 0").select("id", F.col("spans").alias("found")).dropDuplicates()
+    found = spans.where("size(spans) > 0").select(*KEY, F.col("spans").alias("found")).dropDuplicates(KEY)
     text = f"doc.`{text_col}`"
-    packed = docs.drop("removed_spans", "kept_spans").select(
-        F.struct("*").alias("doc"), known_id(id_col, text_col).alias("id")
-    )
+    packed = docs.drop("removed_spans", "kept_spans").select(F.struct("*").alias("doc"), *_key(id_col, text_col))
     none = F.expr("CAST(array() AS array<struct<start: int, end: int>>)")
-    joined = packed.join(found, "id", "left").withColumn("removed", F.coalesce("found", none))
+    joined = packed.join(found, KEY, "left").withColumn("removed", F.coalesce("found", none))
     joined = joined.withColumn("kept", F.expr(kept_pieces("removed", f"length({text})")))
     cut = f"""CASE WHEN size(removed) = 0 THEN {text} ELSE
         array_join(transform(kept, p -> substr({text}, p.start + 1, p.end - p.start)), '') END"""

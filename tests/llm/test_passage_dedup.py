@@ -85,6 +85,15 @@ def test_borders_inside_one_text(spark, prose):
     assert [text[s:e] for s, e in found.spans] == [passage] and found.spans[0].start > 300
 
 
+def test_two_texts_under_one_id(spark, prose):
+    """Each row is cut by its own spans, and comes back once."""
+    texts = [(1, prose[0]), (1, prose[1]), (2, prose[2]), (2, f"{prose[3]}\n{prose[0]}"), (3, f"{prose[0]}\n{prose[4]}"), (3, f"{prose[5]}\n{prose[1]}")]
+    table = spark.createDataFrame(texts, "doc_id bigint, text string")
+    found = sorted((r.doc_id, r.text) for r in d.remove(table, d.repeated_spans(table)).collect())
+    kept = [*texts[:3], (2, f"{prose[3]}\n"), (3, f"\n{prose[4]}"), (3, f"{prose[5]}\n")]
+    assert found == sorted(kept)
+
+
 def test_hot_line(spark, prose):
     """One line in a third of all documents, and one document many times."""
     line = prose[0].replace(" ", " b ")
