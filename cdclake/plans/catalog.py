@@ -250,13 +250,15 @@ def q_dedup_metrics(spark, d):
 
 
 def _split_activity(spark, d):
-    """The event log as two arrivals in time. Every seventh user is in the first arrival only,
-    the next one in the second only, so matched, kept and new keys all occur."""
+    """The event log as two arrivals in time, every event in one of them. All events of every seventh
+    user are in the first arrival, those of the next one in the second, so matched, kept and new keys all occur."""
     ev = _t(spark, d, "events")
     cut = F.lit(ACTIVITY_SECOND_BATCH_FROM).cast("timestamp_ntz")
     group = F.col("user_id") % 7
-    earlier = roles.bronze_rows(roles.activity_records_from(ev.where((F.col("ts") < cut) & (group != 1))))
-    later = roles.bronze_rows(roles.activity_records_from(ev.where((F.col("ts") >= cut) & (group != 0))))
+    # never null, so that no event is in neither
+    first = F.coalesce(F.when(group == 0, F.lit(True)).when(group == 1, F.lit(False)).otherwise(F.col("ts") < cut), F.lit(False))
+    earlier = roles.bronze_rows(roles.activity_records_from(ev.where(first)))
+    later = roles.bronze_rows(roles.activity_records_from(ev.where(~first)))
     return earlier, later
 
 
