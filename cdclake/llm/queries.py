@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import bpe, html_density, multiprobe_ann, ngram_jaccard, ordinal_quality, passage_dedup, pfair_mix, quality_rules, secret_scan
+from cdclake.llm import bpe, html_density, language_id, multiprobe_ann, ngram_jaccard, ordinal_quality, passage_dedup, pfair_mix, quality_rules, secret_scan, vector_codes, whitening
 from cdclake.llm import toxicity as toxicity_model
 from cdclake.llm.common import read_table
 
@@ -79,6 +79,21 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as 16 indexes into the codebooks of its parts, with its error."""
+    return vector_codes.digests(*vector_codes.compress(read_table(spark, sf_dir, "embeddings")))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the 32 leading components, scaled to variance one."""
+    return whitening.components(whitening.whiten(read_table(spark, sf_dir, "embeddings")))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text."""
+    return language_id.languages(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_multiprobe_ann": op1_multiprobe_ann,
     "op2_toxicity": op2_toxicity,
@@ -90,9 +105,13 @@ QUERIES = {
     "op8_ordinal_quality": op8_ordinal_quality,
     "op9_passage_dedup": op9_passage_dedup,
     "op10_html_extraction": op10_html_extraction,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_whitening": op12_whitening,
+    "op13_language_id": op13_language_id,
 }
 ORACLES: dict[str, str] = {
     "op3_ngram_jaccard": ngram_jaccard.oracle(),
     "op6_quality_rules": quality_rules.oracle(),
     "op7_secret_scan": secret_scan.oracle(),
+    "op11_vector_codes": vector_codes.oracle(),
 }
