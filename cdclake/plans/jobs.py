@@ -331,6 +331,9 @@ def build_entities(spark: SparkSession, layout: Layout) -> dict[str, int]:
     numbered = ("client_numbers", "description_card", "location", "device_fingerprint", "master_card")
     known = {n: table(n).read() for n in numbered if table(n).exists()}
     derived = Entities(table("transaction").read(), table("identity").read(), known).tables()
+    # all of them before the first is written: they read tables of the earlier run
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        derived = dict(zip(derived, pool.map(staged, derived.values(), derived), strict=True))
     written = {}
     for name, rows in derived.items():
         if name == "card_issuing_bank":
@@ -338,5 +341,5 @@ def build_entities(spark: SparkSession, layout: Layout) -> dict[str, int]:
         elif name in ("user_profile", "user_accounts"):
             written[name] = table(name).upsert(apply_defaults(rows, TABLES[name]), TABLES[name].key)
         else:
-            written[name] = table(name).overwrite(staged(rows, name))
+            written[name] = table(name).overwrite(rows)
     return written

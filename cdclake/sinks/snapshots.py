@@ -1,25 +1,37 @@
 """Keyed snapshot tables: first write, upsert, insert-if-absent, append.
 
 Delta Lake ``MERGE`` is used when the Delta package is importable. Without
-it a table is a folder of immutable parts: ``v=000001/`` holds a whole
-version, ``a=000002/`` rows appended to it. The newest whole version with a
-``_SUCCESS`` marker and the committed appends after it are the table, so a
-reader never sees a half-written change and a failed write leaves the table
-unchanged. A writer claims its number with an exclusively created file: a
-second writer of the same number fails instead of overwriting.
+it a keyed table is a parquet folder partitioned by a hash bucket of the key.
+A change reads and rewrites only the buckets its keys fall into, with Spark's
+dynamic partition overwrite; the files of all other buckets stay as they are.
+The partition column's name holds the number of buckets and the key
+(``bucket16-user_id``), so the folder itself says how it is laid out.
+A table without a key is a plain parquet folder.
+
+Spark stages the new files and puts them in place when the whole write has
+succeeded, so a failed change leaves the table as it was. Changes of one table
+queue up within an application; between applications one may write a table at
+a time (Delta lifts that).
 """
 
 from __future__ import annotations
 
 import importlib.util
-from collections.abc import Sequence
+import threading
+import uuid
+from collections import defaultdict
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cdclake.session import staged
 
-_PREFIX, _APPEND = "v=", "a="
+#: Buckets of a table that is made without saying how many.
+BUCKETS = 16
+
+_BUCKET = "bucket"
+_writers: dict[str, threading.RLock] = defaultdict(threading.RLock)
 
 
 def delta_available(spark: SparkSession | None = None) -> bool:
@@ -77,91 +89,124 @@ def insert_if_absent_frames(
 
 
 class SnapshotTable:
-    """A keyed table stored as versioned parquet (or Delta when present)."""
+    """A table stored as parquet, keyed ones in hash buckets (or as Delta when present)."""
 
-    def __init__(self, spark: SparkSession, path: str, use_delta: bool | None = None):
+    def __init__(self, spark: SparkSession, path: str, use_delta: bool | None = None, buckets: int = BUCKETS):
         self.spark = spark
         self.path = path.rstrip("/")
         self.use_delta = delta_available(spark) if use_delta is None else use_delta
+        self.buckets = buckets
 
     # --- file system helpers (Hadoop FS, so any cluster file system works) ---
-    def _fs(self):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
+    def _fs(self, path: str | None = None):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path or self.path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _parts(self) -> list[tuple[int, str]]:
-        """Number and kind of every committed part, oldest first."""
-        fs, root = self._fs()
-        if not fs.exists(root):
-            return []
-        out = []
-        jvm = self.spark._jvm
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name[:2] in (_PREFIX, _APPEND):
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    out.append((int(name[2:]), name[:2]))
-        return sorted(out)
-
-    def versions(self) -> list[int]:
-        return [] if self.use_delta else [n for n, _ in self._parts()]
-
-    def current_version(self) -> int | None:
-        v = self.versions()
-        return v[-1] if v else None
-
-    def _claimed(self, write, kind: str = _PREFIX) -> int:
-        """Write the next part under an exclusive claim."""
-        number = (self.current_version() or 0) + 1
-        fs, _ = self._fs()
-        claim = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/.claim-{number:06d}")
-        try:
-            fs.create(claim, False).close()
-        except Exception as exc:
-            raise RuntimeError(f"another writer holds part {number} of {self.path} (if it died, delete {claim})") from exc
-        try:
-            write(f"{self.path}/{kind}{number:06d}")
-        finally:
-            fs.delete(claim, False)
-        return number
+    def _names(self, path: str | None = None) -> list[str]:
+        fs, p = self._fs(path)
+        return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+    def _layout(self) -> tuple[str, int, list[str]] | None:
+        """Partition column, number of buckets and key of a bucketed table."""
+        for name in self._names():
+            column = name.split("=")[0]
+            if "=" in name and column.startswith(_BUCKET):
+                count, *keys = column[len(_BUCKET):].split("-")
+                return column, int(count), keys
+        return None
+
+    def _bucketed(self, rows: DataFrame, column: str, count: int, keys: Sequence[str]) -> DataFrame:
+        return rows.withColumn(column, F.pmod(F.xxhash64(*[F.col(f"`{k}`").cast("string") for k in keys]), F.lit(count)).cast("int"))
+
+    def _column(self, keys: Sequence[str]) -> str:
+        if any(set(k) & set("-=/") for k in keys):
+            raise ValueError(f"the key {list(keys)} cannot name a folder")
+        return "-".join([f"{_BUCKET}{self.buckets}", *keys])
 
     def exists(self) -> bool:
         if self.use_delta:
             from delta.tables import DeltaTable  # type: ignore
 
             return DeltaTable.isDeltaTable(self.spark, self.path)
-        return self.current_version() is not None
+        return any(n == "_SUCCESS" or n.endswith(".parquet") or n.startswith(_BUCKET) for n in self._names())
 
-    def read(self, version: int | None = None) -> DataFrame:
+    def read(self) -> DataFrame:
         if self.use_delta:
-            reader = self.spark.read.format("delta")
-            if version is not None:
-                reader = reader.option("versionAsOf", version)
-            return reader.load(self.path)
-        parts = [p for p in self._parts() if version is None or p[0] <= version]
-        whole = max((n for n, kind in parts if kind == _PREFIX), default=None)
-        if whole is None or (version is not None and parts[-1][0] != version):
-            raise FileNotFoundError(f"no committed version under {self.path}")
-        paths = [f"{self.path}/{kind}{n:06d}" for n, kind in parts if n >= whole]
-        if len(paths) == 1:
-            return self.spark.read.parquet(paths[0])
-        # an append may lack columns of the table: they read as null
-        return self.spark.read.option("mergeSchema", True).parquet(*paths)
+            return self.spark.read.format("delta").load(self.path)
+        layout = self._layout()
+        rows = self._stored()
+        return rows.drop(layout[0]) if layout else rows
+
+    def _stored(self) -> DataFrame:
+        if not self.exists():
+            raise FileNotFoundError(f"no table at {self.path}")
+        # an append or a change may lack columns of the table, or add some: they read as null elsewhere
+        return self.spark.read.option("mergeSchema", True).parquet(self.path)
 
     # --- writes ---
-    def overwrite(self, df: DataFrame) -> int:
+    def overwrite(self, df: DataFrame, keys: Sequence[str] = ()) -> int:
+        """Replace the whole table: written beside it, then put in its place. ``keys`` makes it a bucketed one."""
         if self.use_delta:
             df.write.format("delta").mode("overwrite").save(self.path)
             return 0
-        # left-overs of a failed write under this number are replaced; a committed part never is
-        return self._claimed(lambda path: df.write.mode("overwrite").parquet(path))
+        beside = f"{self.path}.new-{uuid.uuid4().hex[:12]}"
+        fs, root = self._fs()
+        written = self.spark._jvm.org.apache.hadoop.fs.Path(beside)
+        try:
+            if keys:
+                column = self._column(keys)
+                # keeps the columns of the table, whatever buckets have rows
+                df.limit(0).write.parquet(f"{beside}/{column}=-1")
+                self._write(self._bucketed(df, column, self.buckets, keys), column, beside)
+            else:
+                df.write.parquet(beside)
+            with _writers[self.path]:
+                fs.delete(root, True)
+                if not fs.rename(written, root):
+                    raise RuntimeError(f"{beside} could not be moved to {self.path}")
+        finally:
+            fs.delete(written, True)
+        return self.buckets if keys else 0
+
+    def _write(self, rows: DataFrame, column: str, path: str | None = None) -> None:
+        """Replace the buckets that ``rows`` has rows of. A large bucket is split over tasks, small ones share one."""
+        out = rows.hint("rebalance", F.col(f"`{column}`")).write.partitionBy(column)
+        out.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path or self.path)
+
+    def _files(self, column: str, bucket: int) -> set[str]:
+        return set(self._names(f"{self.path}/{column}={bucket}"))
+
+    def _change(self, source: DataFrame, keys: Sequence[str], merge: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+        """Replace the buckets of the source's keys by ``merge(rows there, source)``; returns their number."""
+        with _writers[self.path]:
+            layout = self._layout()
+            if layout is None or layout[2] != list(keys):  # a table without this key gets its buckets now
+                old, new = self.read(), staged(source, "change")
+                return self.overwrite(merge(old, new), keys)
+            column, count, _ = layout
+            # the source is used more than once (its buckets, keys and rows): evaluate it once
+            new = staged(self._bucketed(source, column, count, keys), "change")
+            name = f"`{column}`"
+            touched = sorted(r[0] for r in new.select(F.col(name)).distinct().collect())  # at most one row a bucket
+            if not touched:
+                return 0
+            before = {b: self._files(column, b) for b in touched}
+            # only the folders of these buckets are read
+            old = self._stored().where(F.col(name).isin(touched))
+            self._write(merge(old, new), column)
+            # a bucket without rows left was not replaced: what is still there goes
+            fs, _ = self._fs()
+            for b in touched:
+                for stale in before[b] & self._files(column, b):
+                    fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{column}={b}/{stale}"), False)
+            return len(touched)
 
     def upsert(self, source: DataFrame, keys: Sequence[str]) -> int:
-        """Create the table from ``source`` if absent, else merge ``source`` into it by ``keys``."""
-        if not self.exists():
-            return self.overwrite(source)
-        if self.use_delta:
+        """Create the table from ``source`` if absent, else merge ``source`` into it by ``keys``.
+
+        Returns the number of buckets written.
+        """
+        if self.use_delta and self.exists():
             from delta.tables import DeltaTable  # type: ignore
 
             cond = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
@@ -173,14 +218,14 @@ class SnapshotTable:
                 .execute()
             )
             return 0
-        # the source is used twice (its keys and its rows): evaluate it once
-        return self.overwrite(upsert_frames(self.read(), staged(source, "upsert"), keys))
+        with _writers[self.path]:
+            if not self.exists():
+                return self.overwrite(source, keys)
+            return self._change(source, keys, lambda old, new: upsert_frames(old, new, keys))
 
     def apply_changes(self, changes: DataFrame, keys: Sequence[str], op_col: str = "_cdc_op") -> int:
         """Apply latest changes per key (``cdc.latest_changes``): a delete removes the row."""
-        if not self.exists():
-            return self.overwrite(changes.where(F.col(op_col) != "d").drop(op_col))
-        if self.use_delta:
+        if self.use_delta and self.exists():
             from delta.tables import DeltaTable  # type: ignore
 
             cond = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
@@ -194,19 +239,29 @@ class SnapshotTable:
                 .execute()
             )
             return 0
-        return self.overwrite(apply_changes_frames(self.read(), staged(changes, "changes"), keys, op_col))
+        with _writers[self.path]:
+            if not self.exists():
+                return self.overwrite(changes.where(F.col(op_col) != "d").drop(op_col), keys)
+            return self._change(changes, keys, lambda old, new: apply_changes_frames(old, new, keys, op_col))
 
     def insert_if_absent(self, new: DataFrame, keys: Sequence[str]) -> int:
         """Append one row for each key the table does not have; present rows are only read for their keys."""
-        if not self.exists():
-            return self.overwrite(insert_if_absent_frames(new.limit(0), new, keys))
-        return self.append(absent_rows(self.read(), new, keys))
+        with _writers[self.path]:
+            if not self.exists():
+                return self.overwrite(insert_if_absent_frames(new.limit(0), new, keys), keys)
+            return self.append(absent_rows(self.read(), new, keys))
 
     def append(self, df: DataFrame) -> int:
         """Add rows as new files; nothing that is there is read or rewritten."""
-        if not self.exists():
-            return self.overwrite(df)
         if self.use_delta:
             df.write.format("delta").mode("append").save(self.path)
             return 0
-        return self._claimed(lambda path: df.write.mode("overwrite").parquet(path), _APPEND)
+        with _writers[self.path]:
+            layout = self._layout()
+            if layout is None:
+                df.write.mode("append").parquet(self.path)
+                return 0
+            column, count, keys = layout
+            rows = self._bucketed(df, column, count, keys)
+            rows.hint("rebalance", F.col(f"`{column}`")).write.partitionBy(column).mode("append").parquet(self.path)
+            return count
