@@ -51,6 +51,7 @@ from cdclake.sources import csv as csvsrc
 from cdclake.sources import seeds
 from cdclake.sources.bronze import read_bronze_table
 from cdclake.streaming.bronze import change_stream, land_bronze, to_bronze
+from cdclake.streaming.silver import bronze_table_stream, current_rows, stream_latest, stream_upserts, upsert_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -607,6 +608,44 @@ def q_bronze_partition_read(spark, d):
     )
 
 
+def _activity_batches(spark, d, root: str) -> DataFrame:
+    """The activity log landed in bronze, as a stream of four batches in no order of time."""
+    records = roles.activity_records(spark, d).repartition(4, F.xxhash64("offset"))
+    roles.bronze_rows(records).write.partitionBy("source_table").parquet(f"{root}/bronze")
+    files = len(spark.read.parquet(f"{root}/bronze").inputFiles())
+    return bronze_table_stream(spark, f"{root}/bronze", roles.ACTIVITY.name, max_per_trigger=max(1, files // 4))
+
+
+def _silver_stream(spark, d, deletes: str) -> DataFrame:
+    """All batches upserted, then the first one once more: a replayed batch changes nothing."""
+    root, spec = scratch_path(spark, "silver-stream"), roles.ACTIVITY
+    table = SnapshotTable(spark, f"{root}/silver", use_delta=False)
+    batches: dict[int, DataFrame] = {}
+    stream_upserts(
+        _activity_batches(spark, d, root), table, spec.schema, spec.key, f"{root}/checkpoint", deletes,
+        after_batch=lambda changes, batch_id: batches.setdefault(batch_id, changes),
+    )
+    for batch_id, changes in list(batches.items())[:1]:
+        upsert_batch(table, changes, batch_id, spec.key)
+    return current_rows(table)
+
+
+def q_silver_stream(spark, d):
+    return _silver_stream(spark, d, "ignore")
+
+
+def q_silver_stream_deletes(spark, d):
+    return _silver_stream(spark, d, "apply")
+
+
+def q_latest_stream(spark, d):
+    """The latest rows kept by the state store, batch after batch."""
+    root, spec = scratch_path(spark, "latest-stream"), roles.ACTIVITY
+    table = SnapshotTable(spark, f"{root}/silver", use_delta=False)
+    stream_latest(_activity_batches(spark, d, root), table, spec.schema, spec.key, f"{root}/checkpoint")
+    return table.read()
+
+
 # ---------------------------------------------------------------- data quality
 def q_table_counts(spark, d):
     bronze = roles.bronze_rows(change_log(spark, d))
@@ -701,6 +740,9 @@ QUERIES: dict[str, Query] = {
     "bronze_restart": q_bronze_restart,
     "bronze_audit": q_bronze_audit,
     "bronze_partition_read": q_bronze_partition_read,
+    "silver_stream": q_silver_stream,
+    "silver_stream_deletes": q_silver_stream_deletes,
+    "latest_stream": q_latest_stream,
     "table_counts": q_table_counts,
     "dq_unique": q_dq_unique,
     "dq_fk": q_dq_fk,

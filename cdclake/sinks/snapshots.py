@@ -143,6 +143,18 @@ class SnapshotTable:
         # an append or a change may lack columns of the table, or add some: they read as null elsewhere
         return self.spark.read.option("mergeSchema", True).parquet(self.path)
 
+    def read_buckets_of(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The table's rows in the buckets that the keys of ``rows`` fall into (the whole table if it has none for them).
+
+        ``rows`` is read once for its buckets; at most one number a bucket comes to the driver.
+        """
+        layout = None if self.use_delta else self._layout()
+        if layout is None or layout[2] != list(keys):
+            return self.read()
+        column, count, _ = layout
+        buckets = self._bucketed(rows.select(*[F.col(f"`{k}`") for k in keys]), column, count, keys).select(F.col(f"`{column}`")).distinct()
+        return self._stored().where(F.col(f"`{column}`").isin([r[0] for r in buckets.collect()])).drop(column)
+
     # --- writes ---
     def overwrite(self, df: DataFrame, keys: Sequence[str] = ()) -> int:
         """Replace the whole table: written beside it, then put in its place. ``keys`` makes it a bucketed one."""
