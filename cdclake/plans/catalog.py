@@ -30,6 +30,7 @@ from cdclake.operators.cdc import (
     parse_envelopes,
     schema_from_sample,
 )
+from cdclake.operators.moments import GroupStatistics, zscore_from_moments
 from cdclake.operators.gold import build_gold, card_profile, device_profile, location_profile
 from cdclake.operators.shaping import apply_defaults
 from cdclake.plans import roles
@@ -44,7 +45,7 @@ from cdclake.plans.jobs import (
     silver_table,
 )
 from cdclake.schemas import BRONZE_TABLES, TABLES, TOPIC_PREFIX
-from cdclake.session import scratch_path
+from cdclake.session import scratch_path, staged
 from cdclake.sinks.export import export_parquet, materialize, refresh_serving
 from cdclake.sinks.snapshots import SnapshotTable, upsert_frames
 from cdclake.sources import csv as csvsrc
@@ -239,6 +240,26 @@ def q_zscore(spark, d):
     )
 
 
+def q_zscore_incremental(spark, d):
+    """The change log in two arrivals: the second one takes back what it changes and reads no old transaction."""
+    bronze = txn_bronze(spark, d)
+    ts = F.get_json_object("json_payload", "$.payload.source.ts_ms").cast("long")
+    # never null, so that no change is in neither
+    first = F.coalesce(ts < F.unix_millis(F.lit(TRAIN_BEFORE).cast("timestamp")), F.lit(True))
+    root = scratch_path(spark, "card-statistics")
+    cards = GroupStatistics(spark, f"{root}/statistics", ["TransactionID"], "card1", "TransactionAmt")
+    fact = SnapshotTable(spark, f"{root}/fact", use_delta=False)
+    for arrival, changes in enumerate((bronze.where(first), bronze.where(~first))):
+        rows = staged(latest_transactions(changes).select("TransactionID", "card1", "TransactionAmt"), "arrived")
+        cards.update(rows, arrival)
+        fact.upsert(rows, ["TransactionID"])
+    s = zscore_from_moments(fact.read(), cards.states(), "card1", "TransactionAmt")
+    return s.select(
+        "TransactionID", "card1", _r(F.col("TransactionAmt"), 3).alias("TransactionAmt"),
+        _r(F.col("avg_amt")).alias("avg_amt"), _r(F.col("std_amt")).alias("std_amt"), _r(F.col("z_score")).alias("z_score"),
+    )
+
+
 def q_silver_fact(spark, d):
     s = silver_txn(spark, d)
     rounded = {"TransactionAmt": 3, "avg_amt": 4, "std_amt": 4, "z_score": 4}
@@ -699,6 +720,7 @@ QUERIES: dict[str, Query] = {
     "wide_schema": q_wide_schema,
     "fill_nulls": q_fill_nulls,
     "zscore": q_zscore,
+    "zscore_incremental": q_zscore_incremental,
     "silver_fact": q_silver_fact,
     "dedup_metrics": q_dedup_metrics,
     "upsert_merge": q_upsert_merge,
