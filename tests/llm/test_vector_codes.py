@@ -1,0 +1,116 @@
+import hashlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cdclake.llm import vector_codes as v
+from tests.llm.conftest import rows
+
+VECTOR = "vec_id bigint, embedding array<double>, label int"
+
+
+def plain(data, parts, entries, rounds, scale):
+    """The contract, part by part and row by row. ``data``: (vec_id, vector, label) of the kept rows."""
+    x = [[int(np.floor(scale * c)) for c in vector] for _, vector, _ in data]
+    dim = len(x[0])
+    cuts = [p * dim // parts for p in range(parts + 1)]
+    first = {}
+    for (i, _, _), row in zip(data, x, strict=True):
+        if i is not None:
+            first[i] = min(first.get(i, row), row)
+    books = [[first[i][a:b] for i in sorted(first)[:entries]] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def nearest(part, book):
+        return min((sum((s - t) ** 2 for s, t in zip(part, entry, strict=True)), e) for e, entry in enumerate(book))
+
+    for _ in range(rounds):
+        new = []
+        for p, book in enumerate(books):
+            taken = {}
+            for row in x:
+                part = row[cuts[p] : cuts[p + 1]]
+                taken.setdefault(nearest(part, book)[1], []).append(part)
+            new.append([[sum(c) // len(taken[e]) for c in zip(*taken[e], strict=True)] if e in taken else entry for e, entry in enumerate(book)])
+        books = new
+    codes, errors = [], []
+    for row in x:
+        found = [nearest(row[cuts[p] : cuts[p + 1]], book) for p, book in enumerate(books)]
+        codes.append("".join(f"{e:02x}" for _, e in found))
+        errors.append(sum(d for d, _ in found))
+    text = ",".join(str(c) for book in books for entry in book for c in entry)
+    by_label = {}
+    for (_, _, label), e in zip(data, errors, strict=True):
+        by_label[label] = by_label.get(label, 0) + e
+    return sorted(
+        (repr((i, c, e, by_label[label], hashlib.sha256(text.encode()).hexdigest())) for (i, _, label), c, e in zip(data, codes, errors, strict=True))
+    )
+
+
+def vectors(n, dim, seed, spread=1.0):
+    rng = np.random.default_rng(seed)
+    return [(int(i), (rng.standard_normal(dim) * spread).tolist(), int(rng.integers(0, 4)) if i % 9 else None) for i in range(n)]
+
+
+@pytest.mark.parametrize(
+    ("n", "dim", "parts", "entries", "rounds", "spread"),
+    [(150, 8, 4, 16, 2, 1.0), (120, 10, 4, 12, 3, 0.02), (90, 6, 6, 64, 2, 5.0), (40, 4, 2, 1, 2, 1.0), (60, 5, 8, 3, 4, 0.1)],
+)
+def test_equals_the_plain_rounds(spark, n, dim, parts, entries, rounds, spread):
+    data = vectors(n, dim, n, spread)
+    table = spark.createDataFrame(data, VECTOR).repartition(3)
+    found = v.digests(*v.compress(table, parts=parts, entries=entries, rounds=rounds, scale=16))
+    assert rows(found) == plain(data, parts, entries, rounds, 16)
+
+
+def test_bounds_decide_as_all_distances_do():
+    """Random moves of the entries, over several rounds: always the nearest entry, ties to the lower index."""
+    rng = np.random.default_rng(1)
+    x = rng.integers(-40, 40, (4000, 3))
+    book = x[:32].copy()
+    bounds, b = v.Bounds.of_all(x, book, 8), 8
+    for step in range(8):
+        moved = book + rng.integers(-1 - step, 2 + step, book.shape) * (rng.random((32, 1)) < 0.4)
+        moves = np.sqrt(((moved - book) ** 2).sum(axis=1))
+        book, b = moved, max(4, b - 1)
+        bounds = bounds.moved(moves, b)
+        best, used = bounds.assign(x, book)
+        d = ((x[:, None] - book) ** 2).sum(axis=2)
+        assert (bounds.own == d.argmin(axis=1)).all() and (best == d.min(axis=1)).all()
+        assert (bounds.near != bounds.own[:, None]).all()
+        true = np.sqrt(np.take_along_axis(d, bounds.near.astype(int), axis=1))
+        assert (bounds.lower <= true + 1e-9).all()
+        others = d.astype(float)
+        np.put_along_axis(others, bounds.near.astype(int), np.inf, axis=1)
+        others[np.arange(len(x)), bounds.own] = np.inf
+        assert (bounds.outer <= np.sqrt(others.min(axis=1)) + 1e-9).all()
+    assert (used <= b).any()
+
+
+def test_most_parts_need_no_second_look(spark):
+    """On grouped vectors the bounds decide most parts, and few look at all entries."""
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((64, 8)) * 4
+    data = [(i, (centres[i % 64] + rng.standard_normal(8) * 0.05).tolist(), 0) for i in range(1500)]
+    codes, books = v.compress(spark.createDataFrame(data, VECTOR), parts=4)
+    still, listed, everything = books.work[-1]
+    assert still + listed + everything == 4 * 1500
+    assert still > 0.8 * 4 * 1500 and everything < 0.01 * 4 * 1500
+    back = {r.vec_id: r.vector for r in v.decompress(codes, books).collect()}
+    assert max(np.abs(np.array(back[i]) - x).max() for i, x, _ in data) < 0.5
+
+
+def test_edge_cases(spark):
+    nan, inf = float("nan"), float("inf")
+    kept = [(5, [0.5, -0.25, 1.0, 2.0], 1), (5, [0.25, 0.0, 1.0, 2.0], None), (None, [9.0, 9.0, 9.0, 9.0], 2), (5, [0.5, -0.25, 1.0, 2.0], 1), (-3, [-0.001, 0.0, 0.0, 0.0], None)]
+    dropped = [(1, None, 1), (2, [], 1), (3, [1.0, None, 0.0, 0.0], 1), (4, [nan, 0.0, 0.0, 0.0], 1), (6, [inf, 0.0, 0.0, 0.0], 2), (7, [1.0, 2.0], 1)]
+    table = spark.createDataFrame(kept + dropped, VECTOR)
+    found = v.digests(*v.compress(table, parts=2))
+    assert rows(found) == plain(kept, 2, 64, 2, 256)
+    crowded = table.withColumns({c: F.lit("extra") for c in ("x", "own", "near", "lower", "outer", "code", "error", "places", "label_error", "v", "d", "_label")})
+    assert rows(v.digests(*v.compress(crowded, parts=2))) == rows(found)
+    for none in (table.where("false"), table.where("vec_id = 1"), table.where("vec_id IS NULL")):
+        empty = v.digests(*v.compress(none))
+        assert empty.columns == found.columns and empty.count() == 0
+    with pytest.raises(ValueError, match="too large"):
+        v.compress(spark.createDataFrame([(1, [1e300, 0.0], 1)], VECTOR))
