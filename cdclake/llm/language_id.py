@@ -45,6 +45,7 @@ EPOCHS, BATCH, RATE = 5, 48, 8e-3
 WINDOW, CONTEXT = 448, 32
 #: Windows worked through together.
 GROUP = 768
+HASHES = 1 << 30
 UNDETERMINED = "und"
 
 
@@ -280,12 +281,13 @@ def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) ->
     usable = docs.select("doc_id", "lang", "text").where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (crc_fold(F.col("doc_id"), 4) != 2)
     )
-    frequent = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
-    ids = usable.select("doc_id", "lang").distinct().join(F.broadcast(frequent), "lang")  # at most LANGUAGES rows
-    hashed = ids.withColumn("h", F.xxhash64("doc_id"))
-    # a rank filter: every map task passes on at most per_language rows of a language
+    ids = stage(usable.select("doc_id", "lang").distinct(), "language-ids")
+    frequent = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    # a threshold from the language's count thins the ids where they lie: about 1.2 * per_language of each are ranked
+    hashed = ids.join(F.broadcast(frequent), "lang").withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)))
+    near = hashed.where(F.col("h") * F.col("count") < HASHES * (1.2 * per_language + 100)).drop("count")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    chosen = stage(hashed.withColumn("_rank", rank).where(F.col("_rank") <= per_language).drop("_rank"), "language-sample")
+    chosen = stage(near.withColumn("_rank", rank).where(F.col("_rank") <= per_language).drop("_rank"), "language-sample")
     # at most LANGUAGES * per_language ids; a document given twice counts once
     found = usable.join(F.broadcast(chosen), ["doc_id", "lang"])
     return found.groupBy("h", "doc_id", "lang").agg(F.min("text").alias("text"))
@@ -297,7 +299,7 @@ def learn(docs: DataFrame) -> Network | None:
     def make():
         return lambda h, ids, languages, texts: {
             "h": h, "doc_id": ids, "lang": languages,
-            "pieces": [_pieces(to_bytes(t), abs(k)).tobytes() for t, k in zip(texts, h, strict=True)],
+            "pieces": [_pieces(to_bytes(t), k).tobytes() for t, k in zip(texts, h, strict=True)],
         }
 
     sample = training_sample(docs)
