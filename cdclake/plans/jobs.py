@@ -230,7 +230,7 @@ def load_source_table(
     schema,
     target: SnapshotTable,
     quarantine_path: str | None = None,
-    multi_line: bool = True,
+    lines: str = "auto",
 ) -> DataFrame:
     """Load a table's CSV files (training files first) into ``target`` with row accounting.
 
@@ -242,7 +242,7 @@ def load_source_table(
     accepted and failed counts, counted from the staged files (footers only),
     so retried tasks never count twice. Without any file nothing is loaded.
     """
-    loaded = csvsrc.load_files(spark, files, schema, multi_line)
+    loaded = csvsrc.load_files(spark, files, schema, lines)
     if not any(csvsrc.path_exists(spark, f) for f in files):
         log.warning("no file to load for %s: %s", table, files)
     bad = F.col(csvsrc.BAD_COL)

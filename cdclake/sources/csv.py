@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdclake.functions.strings import normalize_column_name
+from cdclake.sources.csv_records import csv_records
 
 RANK_COL = "source_rank"
 BAD_COL = "_load_failed"
@@ -39,27 +40,49 @@ MISSING = (
 )
 
 
-def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+#: How lines are read: ``auto`` splits files that are larger than a split; ``split`` splits all; ``whole`` reads each
+#: file in one task; ``single`` is for files known to have no line breaks in fields.
+LINES = ("auto", "split", "whole", "single")
+
+
+def _larger_than_a_split(spark: SparkSession, path: str) -> bool:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []
+    sizes = []
+    for status in found:
+        fs = status.getPath().getFileSystem(spark._jsc.hadoopConfiguration())
+        sizes += [st.getLen() for st in fs.listStatus(status.getPath())] if status.isDirectory() else [status.getLen()]
+    limit = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return max(sizes, default=0) > limit
+
+
+def read_raw_csv(spark: SparkSession, path: str, lines: str = "auto") -> DataFrame:
     """All columns as text, header names normalised (``id-01`` -> ``id_01``), plus ``_raw_record``.
 
     Quotes are doubled inside quoted fields and a quoted field may span lines.
     A row with more or fewer fields than the header keeps its text in
-    ``_raw_record`` (null for well-formed rows). ``multi_line=False`` lets
-    Spark split large files, for files known to have no line breaks in fields.
+    ``_raw_record`` (null for well-formed rows). Large files are read by many
+    tasks (:mod:`cdclake.sources.csv_records`); see ``LINES``.
     """
-    reader = (
-        spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-    )
+    if lines not in LINES:
+        raise ValueError(f"lines must be one of {LINES}")
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
+    reader = spark.read.options(header=True, multiLine=lines != "single", **options)
     names = reader.csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT_COL]])
-    raw = (
-        reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL).option("columnPruning", False)
-        .schema(schema).csv(path)
-    )
+    if lines == "split" or (lines == "auto" and _larger_than_a_split(spark, path)):
+        ddl = ", ".join(f"`{n.replace('`', '``')}` STRING" for n in schema.names)
+        # like the reader of whole files: line breaks inside fields are newlines, the raw text keeps what the file has
+        text = F.when(F.col("returns"), F.replace("value", F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("value"))
+        parsed = csv_records(spark, path).select(F.from_csv(text, F.lit(ddl), {**options, "multiLine": "true"}).alias("row"), "value")
+        raw = parsed.select("row.*", "value").withColumn(CORRUPT_COL, F.when(F.col(CORRUPT_COL).isNotNull(), F.col("value"))).drop("value")
+    else:
+        raw = reader.option("columnPruning", False).schema(schema).csv(path)
     return raw.toDF(*[normalize_column_name(c) for c in names], CORRUPT_COL)
 
 
-def load_files(spark: SparkSession, files: Sequence[str], schema: T.StructType, multi_line: bool = True) -> DataFrame:
+def load_files(spark: SparkSession, files: Sequence[str], schema: T.StructType, lines: str = "auto") -> DataFrame:
     """Read a table spread over several CSV files into the declared schema.
 
     Files are taken training-first; missing files are skipped. Columns absent
@@ -72,7 +95,7 @@ def load_files(spark: SparkSession, files: Sequence[str], schema: T.StructType,
     """
     parts = []
     for rank, f in enumerate([f for f in order_files(files) if path_exists(spark, f)]):
-        parts.append(read_raw_csv(spark, f, multi_line).withColumn(RANK_COL, F.lit(rank)))
+        parts.append(read_raw_csv(spark, f, lines).withColumn(RANK_COL, F.lit(rank)))
     if not parts:
         cols = [F.lit(None).cast(fld.dataType).alias(fld.name) for fld in schema.fields]
         return spark.range(0).select(
