@@ -2,7 +2,7 @@
 (or ``spark-submit`` with this module's file as the application).
 
 Jobs: ``load-source`` (CSV files of one table), ``entities``, ``seeds``, ``land-bronze``,
-``silver-dims``, ``silver-fact``, ``gold``, ``serve``, ``run-all``. A failed table makes the
+``silver-dims``, ``silver-fact``, ``silver-stream``, ``gold``, ``serve``, ``run-all``. A failed table makes the
 job fail (non-zero exit).
 The lake root (bronze, silver, gold, serving folders) must be a shared file
 system path on a cluster; the session's ``spark.checkpoint.dir`` must be set
@@ -25,13 +25,15 @@ from cdclake.plans.jobs import (
     load_source_table,
     require_ok,
     run_all,
+    stream_silver,
 )
-from cdclake.schemas import TABLES
+from cdclake.schemas import DIMENSION_TABLES, TABLES
 from cdclake.session import build_session, drop_scratch, scale_conf
 from cdclake.sinks.snapshots import SnapshotTable
+from cdclake.sources.csv import LINES
 from cdclake.streaming.bronze import change_stream, land_bronze, to_bronze
 
-JOBS = ("load-source", "entities", "seeds", "land-bronze", "silver-dims", "silver-fact", "gold", "serve", "run-all")
+JOBS = ("load-source", "entities", "seeds", "land-bronze", "silver-dims", "silver-fact", "silver-stream", "gold", "serve", "run-all")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -41,10 +43,15 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--table", help="load-source: the table to load")
     p.add_argument("--files", nargs="*", default=[], help="load-source: its CSV files")
     p.add_argument("--quarantine", help="load-source: folder for rows that cannot be loaded")
+    p.add_argument("--csv-lines", choices=LINES, default="auto",
+                   help="load-source: split files larger than a split (auto) or all files; read each in one task (whole); or files without line breaks in fields (single)")
     p.add_argument("--kafka", help="bootstrap servers of the change stream")
     p.add_argument("--records", help="folder of parquet change records (instead of Kafka)")
     p.add_argument("--max-per-trigger", type=int, default=None, help="offsets or files per micro-batch (default: no limit)")
     p.add_argument("--schema", choices=["declared", "infer"], default="declared", help="silver-dims: where row schemas come from")
+    p.add_argument("--decode-decimals", nargs="*", default=[], metavar="TABLE.COLUMN", help="silver-dims: NUMERIC columns to decode")
+    p.add_argument("--deletes", choices=["ignore", "apply"], default="ignore", help="silver jobs: what a delete event does")
+    p.add_argument("--tables", nargs="*", default=list(DIMENSION_TABLES), help="silver-stream: the tables to keep up to date")
     p.add_argument("--allow-missing", action="store_true", help="gold: tables never written stand in as empty")
     p.add_argument("--gold-files", type=int, default=None, help="fixed gold file count (default: AQE sized)")
     p.add_argument("--shuffle-bytes", type=int, help="expected shuffle volume; with --cores sizes the session")
@@ -67,19 +74,25 @@ def main(argv: list[str] | None = None) -> None:
             if not args.table or not args.files:
                 p.error("load-source needs --table and --files")
             target = SnapshotTable(spark, layout.source(args.table))
-            counts = load_source_table(spark, args.table, args.files, TABLES[args.table].schema, target, args.quarantine)
+            counts = load_source_table(spark, args.table, args.files, TABLES[args.table].schema, target, args.quarantine, args.csv_lines)
             result.update(counts.first().asDict())
         elif args.job == "entities":
-            result["versions"] = build_entities(spark, layout)
+            result["buckets"] = build_entities(spark, layout)
         elif args.job == "seeds":
-            result["versions"] = load_seeds(spark, layout)
+            result["buckets"] = load_seeds(spark, layout)
         elif args.job == "land-bronze":
             land()
         elif args.job == "silver-dims":
-            result["dimensions"] = build_silver_dimensions(spark, layout, schema=args.schema)
+            decode: dict[str, list[str]] = {}
+            for name in args.decode_decimals:
+                table, _, column = name.partition(".")
+                decode.setdefault(table, []).append(column)
+            result["dimensions"] = build_silver_dimensions(spark, layout, schema=args.schema, decode_decimals=decode, deletes=args.deletes)
             require_ok(result["dimensions"])
         elif args.job == "silver-fact":
-            result["version"] = build_silver_transaction(spark, layout)
+            result["buckets"] = build_silver_transaction(spark, layout, args.deletes)
+        elif args.job == "silver-stream":
+            stream_silver(spark, layout, args.tables, deletes=args.deletes, max_per_trigger=args.max_per_trigger)
         elif args.job == "gold":
             build_gold_job(spark, layout, num_files=args.gold_files, allow_missing=args.allow_missing)
         elif args.job == "serve":

@@ -60,8 +60,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 ACTIVITY_SECOND_BATCH_FROM = "2024-01-16 00:00:00"
 ORDERS_SECOND_BATCH_FROM = "1998-01-01 00:00:00"
 TRAIN_BEFORE = "1999-01-01 00:00:00"
-# Fixed value: parts up to this size count as parents in the foreign-key query.
-FK_PART_SIZE = 40
 
 
 def _r(c, n: int = 4):
@@ -682,17 +680,16 @@ def q_dq_fk(spark, d):
     e = entities(spark, d)
     li = _t(spark, d, "lineitem")
     fact = latest_transactions(roles.bronze_rows(roles.transaction_records(e.txn)))
-    # parents without the large parts and the suppliers in debt: children of these are orphans
-    parts = _t(spark, d, "part").where(F.col("p_size") <= FK_PART_SIZE)
-    suppliers = _t(spark, d, "supplier").where(F.col("s_acctbal") > 0)
+    parts, suppliers, orders = (_t(spark, d, name) for name in ("part", "supplier", "orders"))
     checks = {
-        "user_accounts.client_no": dq.fk_violations(e.accounts, ["client_no"], e.users, ["client_no"]),
-        "master_card.Client_No": dq.fk_violations(e.master_card, ["Client_No"], e.users, ["client_no"]),
-        "master_card.Bank_ID": dq.fk_violations(e.master_card, ["Bank_ID"], e.banks, ["Bank_ID"]),
-        "master_card.Card_Network_ID": dq.fk_violations(e.master_card, ["Card_Network_ID"], e.networks, ["Card_Network_ID"]),
-        "transaction.card1": dq.fk_violations(fact, ["card1"], e.banks, ["Bank_ID"]),
-        "lineitem.l_partkey": dq.fk_violations(li, ["l_partkey"], parts, ["p_partkey"]),
-        "lineitem.l_suppkey": dq.fk_violations(li, ["l_suppkey"], suppliers, ["s_suppkey"]),
+        "user_accounts.client_no": dq.fk_orphans(e.accounts, ["client_no"], e.users, ["client_no"]),
+        "master_card.Client_No": dq.fk_orphans(e.master_card, ["Client_No"], e.users, ["client_no"]),
+        "master_card.Bank_ID": dq.fk_orphans(e.master_card, ["Bank_ID"], e.banks, ["Bank_ID"]),
+        "master_card.Card_Network_ID": dq.fk_orphans(e.master_card, ["Card_Network_ID"], e.networks, ["Card_Network_ID"]),
+        "transaction.card1": dq.fk_orphans(fact, ["card1"], e.banks, ["Bank_ID"]),
+        "lineitem.l_partkey": dq.fk_orphans(li, ["l_partkey"], parts, ["p_partkey"]),
+        "lineitem.l_suppkey": dq.fk_orphans(li, ["l_suppkey"], suppliers, ["s_suppkey"]),
+        "lineitem.l_orderkey": dq.fk_orphans(li, ["l_orderkey"], orders, ["o_orderkey"]),
     }
     return dq.constraint_report(spark, checks)
 

@@ -18,6 +18,7 @@ from cdclake.operators.cdc import (
     POS_PARTITION,
     TS_COL,
     infer_json_schema,
+    latest_changes,
     latest_records,
     latest_state,
     parse_envelopes,
@@ -32,6 +33,7 @@ from cdclake.sinks.snapshots import SnapshotTable
 from cdclake.sources import csv as csvsrc
 from cdclake.sources import seeds
 from cdclake.sources.bronze import read_bronze_table, register_views
+from cdclake.streaming.silver import bronze_table_stream, stream_upserts
 
 log = logging.getLogger(__name__)
 
@@ -75,7 +77,11 @@ def silver_table(bronze: DataFrame, spec: TableSpec, deletes: str = "ignore", sc
     """
     row_schema = infer_row_schema(bronze) if schema == "infer" else spec.schema
     rows = latest_state(bronze, row_schema, spec.key, deletes=deletes)
-    return rows.withColumns({c: decode_decimal(c, scale=scale, signed=True) for c in decode_decimals})
+    return _decoded(rows, decode_decimals, scale)
+
+
+def _decoded(rows: DataFrame, columns: Sequence[str], scale: int = 2) -> DataFrame:
+    return rows.withColumns({c: decode_decimal(c, scale=scale, signed=True) for c in columns})
 
 
 def infer_row_schema(bronze: DataFrame, payload_col: str = "json_payload"):
@@ -105,6 +111,9 @@ class Layout:
     def silver(self, table: str) -> str:
         return f"{self.root}/silver/{table}"
 
+    def silver_checkpoint(self, table: str) -> str:
+        return f"{self.root}/silver_checkpoints/{table}"
+
     @property
     def gold(self) -> str:
         return f"{self.root}/gold/transaction_master"
@@ -120,14 +129,16 @@ class Layout:
 
 def build_silver_dimensions(spark: SparkSession, layout: Layout, tables=DIMENSION_TABLES,
                             specs: dict[str, TableSpec] | None = None, parallelism: int = 4,
-                            schema: str = "declared", decode_decimals: dict[str, Sequence[str]] | None = None) -> dict[str, str]:
+                            schema: str = "declared", decode_decimals: dict[str, Sequence[str]] | None = None,
+                            deletes: str = "ignore") -> dict[str, str]:
     """Upsert each dimension's latest rows into its snapshot table.
 
     Tables are independent, so they are submitted as concurrent Spark jobs.
     An empty or failing table is reported and skipped; the others go on (the
     status says so, and :func:`run_all` stops there). ``schema="infer"`` takes
     the row schemas from the payloads; ``decode_decimals`` maps a table to its
-    NUMERIC columns that are to be decoded.
+    NUMERIC columns that are to be decoded. ``deletes="apply"`` removes the rows
+    of keys whose latest change is a delete; by default deletes are ignored.
     """
     specs = specs or TABLES
 
@@ -136,8 +147,13 @@ def build_silver_dimensions(spark: SparkSession, layout: Layout, tables=DIMENSIO
             bronze = read_bronze_table(spark, layout.bronze, name)
             if bronze.isEmpty():
                 return "empty"
-            rows = silver_table(bronze, specs[name], schema=schema, decode_decimals=(decode_decimals or {}).get(name, ()))
-            SnapshotTable(spark, layout.silver(name)).upsert(rows, specs[name].key)
+            decoded, target = (decode_decimals or {}).get(name, ()), SnapshotTable(spark, layout.silver(name))
+            if deletes == "apply":
+                row_schema = infer_row_schema(bronze) if schema == "infer" else specs[name].schema
+                changes = latest_changes(bronze, row_schema, specs[name].key)
+                target.apply_changes(_decoded(changes, decoded), specs[name].key)
+            else:
+                target.upsert(silver_table(bronze, specs[name], schema=schema, decode_decimals=decoded), specs[name].key)
             return "ok"
         except Exception as exc:
             log.warning("silver %s failed: %s", name, exc)
@@ -154,10 +170,33 @@ def require_ok(status: dict[str, str]) -> None:
         raise RuntimeError(f"silver tables failed: {failed}")
 
 
-def build_silver_transaction(spark: SparkSession, layout: Layout) -> int:
+def build_silver_transaction(spark: SparkSession, layout: Layout, deletes: str = "ignore") -> int:
+    """The fact from the whole change log; with ``deletes="apply"`` it replaces the table, so deleted transactions go."""
     bronze = read_bronze_table(spark, layout.bronze, "transaction")
-    fact = silver_fact(bronze)
-    return SnapshotTable(spark, layout.silver("transaction")).upsert(fact, TABLES["transaction"].key)
+    target, key = SnapshotTable(spark, layout.silver("transaction")), TABLES["transaction"].key
+    fact = silver_fact(bronze, deletes)
+    return target.overwrite(fact, key) if deletes == "apply" else target.upsert(fact, key)
+
+
+def stream_silver(
+    spark: SparkSession, layout: Layout, tables=DIMENSION_TABLES, specs: dict[str, TableSpec] | None = None,
+    deletes: str = "ignore", max_per_trigger: int | None = None, interval: str | None = None,
+) -> None:
+    """Upsert what bronze has new of each table, batch by batch; a later run goes on where this one stopped.
+
+    Without an ``interval`` it drains what is there and stops. The tables keep
+    the streams' positions, so they are written by this job only.
+    """
+    specs = specs or TABLES
+    running = [
+        stream_upserts(
+            bronze_table_stream(spark, layout.bronze, name, max_per_trigger), SnapshotTable(spark, layout.silver(name), use_delta=False),
+            specs[name].schema, specs[name].key, layout.silver_checkpoint(name), deletes, interval, wait=False,
+        )
+        for name in tables
+    ]
+    for query in running:
+        query.awaitTermination()
 
 
 GOLD_INPUTS = (

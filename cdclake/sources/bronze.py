@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cdclake.schemas import TOPIC_PREFIX
 from cdclake.sinks.snapshots import SnapshotTable
+from cdclake.streaming.silver import DELETED_COL, current_rows
 
 log = logging.getLogger(__name__)
 
@@ -31,6 +32,9 @@ def register_views(spark: SparkSession, tables: dict[str, str], prefix: str = "s
         if not table.exists():
             log.warning("no table at %s", path)
             continue
-        table.read().createOrReplaceTempView(f"{prefix}{name}")
+        rows = table.read()
+        # a table kept by a stream: without deleted rows and the stream's own columns
+        rows = current_rows(table) if DELETED_COL in rows.columns else rows
+        rows.createOrReplaceTempView(f"{prefix}{name}")
         done.append(name)
     return done
