@@ -77,7 +77,7 @@ def main(argv: list[str] | None = None) -> None:
             counts = load_source_table(spark, args.table, args.files, TABLES[args.table].schema, target, args.quarantine, args.csv_lines)
             result.update(counts.first().asDict())
         elif args.job == "entities":
-            result["buckets"] = build_entities(spark, layout)
+            result["rows_written"] = build_entities(spark, layout)
         elif args.job == "seeds":
             result["buckets"] = load_seeds(spark, layout)
         elif args.job == "land-bronze":

@@ -29,7 +29,7 @@ from cdclake.operators.shaping import apply_defaults
 from cdclake.schemas import DIMENSION_TABLES, TABLES, TableSpec
 from cdclake.sinks.export import export_parquet, materialize, refresh_serving
 from cdclake.session import scratch_path, staged
-from cdclake.sinks.snapshots import SnapshotTable
+from cdclake.sinks.snapshots import SnapshotTable, absent_rows, changed_rows
 from cdclake.sources import csv as csvsrc
 from cdclake.sources import seeds
 from cdclake.sources.bronze import read_bronze_table, register_views
@@ -359,26 +359,48 @@ class Entities:
 def build_entities(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """Derive the entity tables from the loaded transaction and identity tables and write them.
 
-    Numbers of an earlier run stay: clients, networks, locations, devices and
-    card links that are there keep their ids, new ones are numbered on. Banks
-    are inserted if absent; profiles and accounts are shaped to their declared
-    columns (defaults filled) and upserted by key.
+    Clients, networks, locations, devices and card links are registries that
+    only grow: what a run finds new is numbered on from the largest number
+    ever given and appended, and a key that vanishes keeps its row, so its
+    number is never given again and is there when the key returns. Banks are
+    inserted if absent. Profiles and accounts are shaped to their declared
+    columns (defaults filled); only new and changed ones are upserted. A rerun
+    over the same data writes nothing. Returns the rows added or changed.
     """
     def table(name: str) -> SnapshotTable:
         return SnapshotTable(spark, layout.source(name))
 
-    numbered = ("client_numbers", "description_card", "location", "device_fingerprint", "master_card")
-    known = {n: table(n).read() for n in numbered if table(n).exists()}
+    registries = {"client_numbers": "client_no", "description_card": "Card_Network_ID", "location": "LocationID",
+                  "device_fingerprint": "Device_ID", "master_card": "Card_Key"}
+    known = {n: table(n).read() for n in registries if table(n).exists()}
     derived = Entities(table("transaction").read(), table("identity").read(), known).tables()
-    # all of them before the first is written: they read tables of the earlier run
+
+    def news(name: str) -> DataFrame:
+        """What is not in the table yet; all of it is staged before the first table is written."""
+        rows, target = derived[name], table(name)
+        if target.exists():
+            stored = target.read()
+            if name in registries:
+                rows = rows.join(stored.select(registries[name]), registries[name], "left_anti")
+            elif name == "card_issuing_bank":
+                rows = absent_rows(stored, rows, TABLES[name].key)
+            else:
+                key = TABLES[name].key
+                rows = changed_rows(stored, rows, key, [c for c in rows.columns if c not in key and c in stored.columns])
+        return staged(rows, name)
+
     with ThreadPoolExecutor(max_workers=4) as pool:
-        derived = dict(zip(derived, pool.map(staged, derived.values(), derived), strict=True))
+        new = dict(zip(derived, pool.map(news, derived), strict=True))
     written = {}
-    for name, rows in derived.items():
-        if name == "card_issuing_bank":
-            written[name] = table(name).insert_if_absent(rows, TABLES[name].key)
-        elif name in ("user_profile", "user_accounts"):
-            written[name] = table(name).upsert(apply_defaults(rows, TABLES[name]), TABLES[name].key)
+    for name, rows in new.items():
+        target = table(name)
+        written[name] = rows.count()  # of the staged files: footers only
+        if target.exists() and not written[name]:
+            continue
+        if name in ("user_profile", "user_accounts"):
+            target.upsert(apply_defaults(rows, TABLES[name]), TABLES[name].key)
+        elif target.exists():
+            target.append(rows)
         else:
-            written[name] = table(name).overwrite(rows)
+            target.overwrite(rows)
     return written

@@ -81,6 +81,13 @@ def absent_rows(target: DataFrame, new: DataFrame, keys: Sequence[str], order: S
     return first.join(tkeys, cond, "left_anti")
 
 
+def changed_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows of ``source`` whose key ``target`` does not have, or has with other values in ``columns``."""
+    names = [*keys, *columns]
+    stored = target.select(*[F.col(c).alias(f"_cr{i}") for i, c in enumerate(names)])
+    return source.join(stored, [source[c].eqNullSafe(stored[f"_cr{i}"]) for i, c in enumerate(names)], "left_anti")
+
+
 def insert_if_absent_frames(
     target: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None
 ) -> DataFrame:
