@@ -102,6 +102,7 @@ def latest_records(
     keys: Sequence[str],
     deletes: str = "ignore",
     payload_col: str = "json_payload",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """The bronze rows that hold the latest change of each key (still unparsed).
 
@@ -111,11 +112,14 @@ def latest_records(
     are dropped before the pick (a deleted key keeps its last live version);
     with ``"apply"`` a key whose latest change is a delete has no row; with
     ``"keep"`` that delete is returned (to be applied to a snapshot).
+    ``carry`` names row columns that are parsed with the header and returned
+    beside the payload, for readers that need only these.
     """
     if deletes not in ("ignore", "apply", "keep"):
         raise ValueError("deletes must be 'ignore', 'apply' or 'keep'")
     key_schema = T.StructType([f for f in after.fields if f.name in keys])
-    header = F.from_json(F.col(payload_col), envelope_schema(key_schema, key_schema))
+    carried = T.StructType([f for f in after.fields if f.name in keys or f.name in carry])
+    header = F.from_json(F.col(payload_col), envelope_schema(carried, key_schema))
     op_text = F.get_json_object(F.col(payload_col), "$.payload.op")
     kept = bronze.where(op_text != "d") if deletes == "ignore" else bronze.where(op_text.isNotNull())
     cols = bronze.columns
@@ -129,13 +133,14 @@ def latest_records(
         *[F.coalesce(F.col(f"_h.payload.after.{k}"), F.col(f"_h.payload.before.{k}")).alias(f"_k_{k}") for k in keys],
         F.col("_h.payload.source.ts_ms").alias(TS_COL),
         F.col("_h.payload.op").alias(OP_COL),
+        *[F.col(f"_h.payload.after.{c}").alias(c) for c in carry],
         payload_col, "partition", "offset",
     )
     order = [F.col(TS_COL).desc_nulls_last(), F.col("partition").desc_nulls_last(), F.col("offset").desc_nulls_last()]
     winners = latest_per_key(keyed, [f"_k_{k}" for k in keys], order=order, drop_helpers=False)
     if deletes == "apply":
         winners = winners.where(F.col(OP_COL) != "d")
-    return winners.select(payload_col, "partition", "offset")
+    return winners.select(payload_col, "partition", "offset", *carry)
 
 
 def latest_changes(bronze: DataFrame, after: T.StructType, keys: Sequence[str]) -> DataFrame:

@@ -49,20 +49,30 @@ def latest_transactions(bronze: DataFrame, deletes: str = "ignore") -> DataFrame
     the part of it that the caller reads).
     """
     spec = TABLES["transaction"]
-    winners = latest_records(bronze, spec.schema, spec.key, deletes=deletes)
-    rows = parse_envelopes(winners, spec.schema, live_only=True).drop(POS_PARTITION, POS_OFFSET, TS_COL)
+    return _transaction_rows(latest_records(bronze, spec.schema, spec.key, deletes=deletes))
+
+
+def _transaction_rows(winners: DataFrame) -> DataFrame:
+    rows = parse_envelopes(winners, TABLES["transaction"].schema, live_only=True).drop(POS_PARTITION, POS_OFFSET, TS_COL)
+    return _filled(rows)
+
+
+def _filled(rows: DataFrame) -> DataFrame:
     return fill_defaults(rows.withColumn("TransactionAmt", decode_decimal("TransactionAmt", scale=3)), FACT_FILL)
 
 
 def silver_fact(bronze: DataFrame, deletes: str = "ignore") -> DataFrame:
     """The latest transactions with ``avg_amt``, ``std_amt`` and ``z_score`` per card (``card1``).
 
-    The latest rows are written to the scratch folder once and the per-card
-    statistics read two of their columns, so the selection, its window and
-    the wide parse run once.
+    The winners of the selection are written to the scratch folder as they
+    came, with the two columns that the per-card statistics need beside the
+    text. The statistics read these two; the wide rows are parsed once, from
+    the text, where they are joined to them.
     """
-    latest = staged(latest_transactions(bronze, deletes), "latest-transactions")
-    return zscore(latest, "card1", "TransactionAmt")
+    spec = TABLES["transaction"]
+    winners = latest_records(bronze, spec.schema, spec.key, deletes=deletes, carry=("card1", "TransactionAmt"))
+    winners = staged(winners, "latest-transactions")
+    return zscore(_transaction_rows(winners), "card1", "TransactionAmt", stats_source=_filled(winners.select("card1", "TransactionAmt")))
 
 
 def silver_table(bronze: DataFrame, spec: TableSpec, deletes: str = "ignore", schema: str = "declared",
