@@ -67,32 +67,44 @@ def _offsets(matches: str, gaps: str) -> str:
         s -> s.out) END"""
 
 
-def _weight(n: str) -> str:
-    """SQL: n log2 n."""
-    return f"(CASE WHEN {n} < 2 THEN 0D ELSE {n} * log2({n}) END)"
+#: The characters of a candidate; a character's code is its place here, from 1.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: Entropies are summed in whole units of this size, so adding and taking away leaves no rounding behind.
+UNIT = 2.0**-40
 
 
-def _count(text: str, char: str) -> str:
-    return f"(length({text}) - length(replace({text}, {char}, '')))"
+def _random(c: str) -> str:
+    """SQL: whether a window of string ``c`` reaches the threshold of its alphabet.
 
-
-def _randomness(c: str) -> str:
-    """SQL: the greatest entropy of a window of string ``c``, less the threshold of its alphabet (bits a character)."""
+    One step a character: the count of the character that enters the window
+    goes up, that of the one that leaves goes down, and the sum of n log2 n
+    over the window's characters follows the two counts. Entropy is
+    ``log2(w) - sum / w``. The state stays as it is once a window reached the
+    threshold.
+    """
     w = WINDOW
-    bits = f"""CASE WHEN {c} RLIKE '^[0-9a-fA-F]+$' THEN {BITS['hex']}D
-        WHEN {c} RLIKE '^[A-Za-z0-9]+$' THEN {BITS['alnum']}D ELSE {BITS['base64']}D END"""
-    # entropy = log2(w) - sum / w, where sum adds n log2 n over the window's characters
-    head = f"substr({c}, 1, {w})"
-    first = f"aggregate(array_distinct(split({head}, '')), 0D, (a, x) -> a + {_weight(_count(head, 'x'))})"
-    middle = f"substr({c}, i + 1, {w - 1})"
-    out, come = _count(middle, f"substr({c}, i, 1)"), _count(middle, f"substr({c}, i + {w}, 1)")
-    step = f"s.sum - {_weight(f'({out} + 1)')} + {_weight(out)} + {_weight(f'({come} + 1)')} - {_weight(come)}"
+    weights = ", ".join(f"{round(n * math.log2(n) / UNIT) if n else 0}L" for n in range(w + 1))
+    limit = {k: math.floor(w * (math.log2(w) - bits + 1e-9) / UNIT) for k, bits in BITS.items()}
+    least = f"""CASE WHEN {c} RLIKE '^[0-9a-fA-F]+$' THEN {limit['hex']}L
+        WHEN {c} RLIKE '^[A-Za-z0-9]+$' THEN {limit['alnum']}L ELSE {limit['base64']}L END"""
+    codes = f"transform(split({c}, ''), x -> instr('{ALPHABET}', x))"
+    # each character beside the one that leaves the window as it enters; 0 where none leaves
+    moves = f"""flatten(transform(array({codes}), x ->
+        zip_with(x, slice(concat(array_repeat(0, {w}), x), 1, size(x)), (a, b) -> named_struct('comes', a, 'goes', b))))"""
+    weight = lambda n: f"get(array({weights}), {n})"
+    comes, goes = "get(s.counts, x.comes)", "get(s.counts, x.goes)"
+    change = f"""CASE WHEN x.comes = x.goes THEN 0L ELSE {weight(comes + ' + 1')} - {weight(comes)}
+        + CASE WHEN x.goes = 0 THEN 0L ELSE {weight(goes + ' - 1')} - {weight(goes)} END END"""
+    reached = f"s.at >= {w} AND s.sum <= s.least"
     return f"""aggregate(
-        sequence(1, length({c}) - {w} + 1),
-        named_struct('sum', {first}, 'least', {float(w * w)}D),
-        (s, i) -> named_struct(
-            'sum', CASE WHEN i > length({c}) - {w} THEN s.sum ELSE {step} END, 'least', least(s.least, s.sum)),
-        s -> {math.log2(w)!r}D - s.least / {w}D) - ({bits})"""
+        {moves},
+        named_struct('at', 0, 'counts', array_repeat(0, {len(ALPHABET) + 1}), 'sum', 0L, 'least', {least}),
+        (s, x) -> CASE WHEN {reached} THEN s ELSE named_struct(
+            'at', s.at + 1,
+            'counts', transform(s.counts, (n, j) -> CASE WHEN j = x.comes AND j = x.goes THEN n
+                WHEN j = x.comes THEN n + 1 WHEN j = x.goes AND j > 0 THEN n - 1 ELSE n END),
+            'sum', s.sum + {change}, 'least', s.least) END,
+        s -> {reached})"""
 
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -122,7 +134,7 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     allowed = " OR ".join(f"c RLIKE {_lit(p)}" for p in ALLOW)
     suspect = f"c RLIKE '[0-9]' AND c RLIKE '[A-Za-z]' AND NOT ({allowed})"
     suspects = f"filter(_entropy_at, p -> exists(array(_entropy[p.i]), c -> {suspect}))"
-    random = f"filter({suspects}, p -> exists(array({_randomness('_entropy[p.i]')}), r -> r >= -1e-9D))"
+    random = f"filter({suspects}, p -> exists(array(_entropy[p.i]), c -> {_random('c')}))"
     entropy = f"""filter(transform({random}, p -> {span.format(s='p.start', n=3, e='p.end', k='entropy')}),
         x -> NOT exists(_base, b -> b.start <= x.start AND b.end >= x.end))"""
     steps = steps.withColumn("_more", F.expr(f"CASE WHEN size(_entropy_at) > 0 THEN {entropy} ELSE array() END"))

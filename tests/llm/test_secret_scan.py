@@ -80,6 +80,30 @@ def test_redact(spark):
     assert [tuple(r) for r in out.orderBy("doc_id").collect()] == expected
 
 
+def test_a_long_run_is_scanned_in_linear_time(spark):
+    """A million characters of base64, random ones and repeated ones that no window finds random."""
+    import base64
+    import time
+
+    dull, noise = "abC1" * 250_000, base64.b64encode(random.Random(1).randbytes(750_000)).decode()
+    docs = spark.createDataFrame([(1, f"a {dull} b"), (2, f"a {noise} b"), (3, f"{dull}{noise[:40]}")], "doc_id bigint, text string")
+    began = time.time()
+    found = {r.doc_id: [(s.start, s.end, s.kind) for s in r.secret_spans] for r in scan.scan(docs).collect()}
+    assert found == {1: [], 2: [(2, 1_000_002, "entropy")], 3: [(0, 1_000_040, "entropy")]}
+    assert time.time() - began < 60
+
+
+def test_counts_follow_the_window(spark):
+    """Strings around the threshold: every window's entropy, against brute force."""
+    rng = random.Random(9)
+    made = ["".join(rng.choice("ab1+cdef/"[: rng.randint(3, 9)]) for _ in range(rng.randint(20, 70))) for _ in range(400)]
+    made += ["".join(rng.choice("0123456789abcdef"[: rng.randint(5, 16)]) for _ in range(rng.randint(20, 23))) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id bigint, text string")
+    found = {r.doc_id: [(s.start, s.kind_no, s.end, s.kind) for s in r.secret_spans] for r in scan.scan(docs).collect()}
+    wanted = {i: brute(t) for i, t in enumerate(made)}
+    assert found == wanted and 100 < sum(bool(w) for w in wanted.values()) < 700
+
+
 def test_edge_cases(messy, crowded, empty_docs):
     assert scan.digests(scan.scan(empty_docs)).count() == 0
     assert scan.redact(empty_docs).columns == empty_docs.columns
