@@ -15,8 +15,13 @@ node that reaches the threshold contributes the densest subtree below it.
 
 Menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and reader comments are cut before the densities are computed, by
-element, role, hidden state, or class and id words. Blocks come in page
-order; white space inside a block (``br`` included) becomes one space.
+element, role, hidden state, or class and id words. A class that only states
+something (``has-sidebar``, ``share-enabled``) is no such word, a node named
+by its layout (``sidebar``, ``nav``, ...) stays if it holds most of the text
+around it, one named by a word that prose may have too (``related``, ...)
+stays if it is prose, and a node that holds the article always stays. Lists
+and boxes of links are cut inside an article too. Blocks come in page order;
+white space inside a block (``br`` included) becomes one space.
 
 Defined cases: a null or empty page, or one without text, gives ''; unclosed
 and stray tags are taken as browsers do (an open ``p`` ends at the next
@@ -77,34 +82,65 @@ CUT_WORDS = frozenset(
     " consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social"
     " related recommended recommendations widget widgets pagination pager toolbar skip outbrain taboola".split()
 )
+#: Of these, words of a place on the page: a wrapper of the whole content may be named by them as well.
+LAYOUT_WORDS = frozenset(
+    "banner sidebar sidebars nav navbar navigation menu menus breadcrumb breadcrumbs footer masthead modal overlay signup login"
+    " share sharing social related recommended recommendations widget widgets pagination pager toolbar skip".split()
+)
+#: Of these, words that a section of prose may be named by; it is prose with so many characters, less than half of them links.
+WEAK_WORDS = frozenset("share sharing social related recommended recommendations skip banner".split())
+PROSE_CHARS = 200
+#: First and last words of class names that state something about a page or its content.
+STATE_FIRST = frozenset("has with without no not is show hide".split())
+STATE_LAST = frozenset("enabled disabled open opened closed visible hidden layout ready loaded".split())
+#: Elements that are cut as boxes of links: so many links and next to no other text.
+LINK_BOXES = frozenset("div dl menu ol p section table ul".split())
+LINKS, LINK_SHARE = 3, 0.9
 COMMENT_WORDS = frozenset("comment comments commentlist respond disqus".split())
 HEADER_WORDS = frozenset(["header", "masthead", "topbar"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = frozenset(["article", "main"])
 
 
+STAYS, NAMED, CUT, NAMED_BY_LAYOUT, NAMED_WEAKLY = range(5)
+
+
+def _words(value: str) -> set[str]:
+    """The words of class names, without names that only state something."""
+    found: set[str] = set()
+    for name in value.split():
+        words = _WORDS.findall(_CAMEL.sub(" ", name).lower())
+        if len(words) > 1 and (words[0] in STATE_FIRST or words[-1] in STATE_LAST):
+            continue
+        found.update(words)
+    return found
+
+
 def _cut(tag: str, attributes: str, inside: bool) -> int:
-    """0: stays; 1: cut unless it holds an article; 2: cut. ``inside``: below an article or main element."""
+    """Whether an element goes: ``STAYS``, ``CUT``, or named by a word of what is cut. ``inside``: below an article or main element."""
     if tag in CUT_TAGS or (tag == "header" and not inside):
-        return 2
+        return CUT
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return 0
+        return STAYS
     words: set[str] = set()
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id"):
-            words.update(_WORDS.findall(_CAMEL.sub(" ", value).lower()))
+            words |= _words(value)
         elif name == "role" and value.lower() in CUT_ROLES:
-            return 2
+            return CUT
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return 2
+            return CUT
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return 2
+            return CUT
     if tag in ("html", "body", "main"):
-        return 0
+        return STAYS
     if tag == "article":
-        return 2 if words & COMMENT_WORDS else 0
-    return 1 if words & CUT_WORDS or (not inside and words & HEADER_WORDS) else 0
+        return CUT if words & COMMENT_WORDS else STAYS
+    named = words & CUT_WORDS if inside else words & (CUT_WORDS | HEADER_WORDS)
+    if not named:
+        return STAYS
+    return NAMED_WEAKLY if named <= WEAK_WORDS else NAMED_BY_LAYOUT if named <= LAYOUT_WORDS | HEADER_WORDS else NAMED
 
 
 class Page:
@@ -160,18 +196,12 @@ class Page:
         if at:
             self._close(at)
 
-    def text(self) -> str:
+    def _counts(self, gone: list[bool]) -> tuple[list[int], list[int], list[int], list[int]]:
+        """Characters, tags, link characters and link tags of every node's subtree, without what is gone."""
         parent, tag, n = self.parent, self.tag, len(self.tag)
-        holds = [t in CONTAINERS for t in tag]
-        for i in range(n - 1, 0, -1):
-            if holds[i]:
-                holds[parent[i]] = True
-        gone = [False] * n
         link = [False] * n
         for i in range(1, n):
-            p = parent[i]
-            gone[i] = gone[p] or self.cut[i] == 2 or (self.cut[i] == 1 and not holds[i])
-            link[i] = link[p] or tag[i] == "a"
+            link[i] = link[parent[i]] or tag[i] == "a"
         chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         for i, _, text in self.chunks:
             if not gone[i] and (size := len(" ".join(text.split()))):
@@ -185,6 +215,37 @@ class Page:
                 link_chars[p] += link_chars[i]
                 tags[p] += tags[i] + 1
                 link_tags[p] += link_tags[i] + (tag[i] == "a")
+        return chars, tags, link_chars, link_tags
+
+    def _gone(self, holds: list[bool]) -> list[bool]:
+        """What is cut before the densities: ``holds`` says which nodes hold an article or main element."""
+        parent, tag, n = self.parent, self.tag, len(self.tag)
+        gone = [False] * n
+        for i in range(1, n):
+            gone[i] = gone[parent[i]] or self.cut[i] == CUT
+        chars, _, link_chars, link_tags = self._counts(gone)
+        around = [0] * n  # the article, main or body element that a node is in
+        for i in range(1, n):
+            p = parent[i]
+            around[i] = p if tag[p] in CONTAINERS or tag[p] == "body" else around[p]
+            if gone[p]:
+                gone[i] = True
+            elif self.cut[i] >= NAMED and self.cut[i] != CUT and not holds[i]:
+                most = self.cut[i] != NAMED and 2 * chars[i] > chars[around[i]]
+                prose = self.cut[i] == NAMED_WEAKLY and chars[i] >= PROSE_CHARS and 2 * link_chars[i] < chars[i]
+                gone[i] = not (most or prose)
+            if tag[i] in LINK_BOXES and link_tags[i] >= LINKS and link_chars[i] >= LINK_SHARE * chars[i] and not holds[i]:
+                gone[i] = True
+        return gone
+
+    def text(self) -> str:
+        parent, tag, n = self.parent, self.tag, len(self.tag)
+        holds = [t in CONTAINERS for t in tag]
+        for i in range(n - 1, 0, -1):
+            if holds[i]:
+                holds[parent[i]] = True
+        gone = self._gone(holds)
+        chars, tags, link_chars, link_tags = self._counts(gone)
         body = tag.index("body") if "body" in tag else 0
         if not chars[body]:
             body = 0

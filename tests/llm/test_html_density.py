@@ -48,3 +48,135 @@ def test_pages(spark):
     assert rows(found) == sorted(map(repr, [(1, "u", "x"), (1, "u", "x"), (2, None, ""), (None, "v", "")]))
     assert rows(extract(pages.withColumns({"text": F.lit("t"), "n_chars": F.lit(3)}))) == rows(found)
     assert extract(pages.limit(0)).count() == 0
+
+
+PROSE = LONG * 4
+
+
+def test_named_wrappers_and_sections_of_prose_stay():
+    text = f"{PROSE.strip()}"
+    assert main_text(f'<body><div class="has-sidebar"><h1>T</h1><p>{PROSE}</p></div></body>') == f"T\n{text}"
+    assert main_text(f'<body><div class="page sidebar-left"><h1>T</h1><p>{PROSE}</p><div class="sidebar">{LONG}</div></div></body>') == f"T\n{text}"
+    assert main_text(f'<article><h1>T</h1><div class="entry-content share-enabled"><p>{PROSE}</p></div></article>') == f"T\n{text}"
+    assert main_text(f'<article><h1>T</h1><p>{PROSE}</p><section id="related-work"><h2>Related work</h2><p>{PROSE}</p></section></article>') == f"T\n{text}\nRelated work\n{text}"
+    assert main_text(f'<main><div id="navContent"><p>{PROSE}</p></div></main>') == text
+
+
+def test_what_is_named_still_goes():
+    text = PROSE.strip()
+    links = "".join(f"<li><a href={i}>{LONG}</a></li>" for i in range(6))
+    for box in (f'<div class="related">{links}</div>', f'<div class="related-posts"><p>{LONG}</p></div>', f'<div class="ad">{PROSE * 3}</div>',
+                f'<div class="cookie-notice">{PROSE * 3}</div>', f'<section id="comments"><p>{PROSE * 3}</p></section>', f'<div class="share-bar">{LONG}</div>'):
+        assert main_text(f"<article><p>{PROSE}</p>{box}</article>") == text, box
+        assert main_text(f"<body><div><p>{PROSE}</p></div>{box}</body>") == text, box
+
+
+def test_link_lists_go_inside_an_article_too():
+    links = "<ul>" + "".join(f"<li><a href=/{i}>link {i}</a></li>" for i in range(6)) + "</ul>"
+    assert main_text(f"<main>{links}</main>") == ""
+    assert main_text(f"<main><p>{PROSE}</p>{links}</main>") == PROSE.strip()
+    # a list with text beside its links is part of the article
+    mixed = "<ul>" + "".join(f"<li><a href=/{i}>link {i}</a> {LONG}</li>" for i in range(6)) + "</ul>"
+    assert main_text(f"<main><p>{PROSE}</p>{mixed}</main>").count("link") == 6
+
+
+def brute_force(source):
+    """The method on a well-formed page without articles and named nodes, node by node."""
+    import math
+    import xml.etree.ElementTree as ET
+
+    body = ET.fromstring(source).find("body")
+    order = {e: i for i, e in enumerate(body.iter())}
+    parent = {c: e for e in body.iter() for c in e}
+    size = lambda t: len(" ".join((t or "").split()))
+
+    def counts(e, linked):
+        linked = linked or e.tag == "a"
+        chars, tags, link_chars, link_tags = size(e.text), 0, size(e.text) * linked, 0
+        for c in e:
+            if c in gone:
+                chars, link_chars = chars + size(c.tail), link_chars + size(c.tail) * linked
+                continue
+            more = counts(c, linked)
+            chars, tags, link_chars, link_tags = chars + more[0] + size(c.tail), tags + more[1] + 1, link_chars + more[2] + size(c.tail) * linked, link_tags + more[3] + (c.tag == "a")
+        return chars, tags, link_chars, link_tags
+
+    gone = set()
+    boxes = [e for e in body.iter() if e.tag in ("div", "p", "ul") and (k := counts(e, False))[3] >= 3 and k[2] >= 0.9 * k[0]]
+    gone = set(boxes)
+    live = [e for e in body.iter() if not any(x in gone for x in ancestors(e, parent))]
+    if not counts(body, False)[0]:
+        return ""
+    count = {e: counts(e, any(x.tag == "a" for x in ancestors(e, parent)[1:])) for e in live}
+    share = count[body][2] / max(1, count[body][0])
+
+    def density(e):
+        c, t, lc, lt = count[e]
+        if not c:
+            return 0.0
+        base = math.log(c / max(1, c - lc) * lc + share * c + math.e)
+        return c / max(1, t) * math.log(c / max(1, lc) * max(1, t) / max(1, lt)) / (math.log(base) if base > 1 + 1e-12 else 1.0)
+
+    total = {e: sum(density(c) for c in e if c in count) for e in live}
+    best = lambda e: max((x for x in e.iter() if x in count), key=lambda x: (total[x], -order[x]))
+    path = ancestors(best(body), parent)
+    least = min(map(density, path))
+    kept = set()
+
+    def visit(e):
+        if e is body or density(e) >= least - 1e-9:
+            kept.update(best(e).iter())
+            for c in e:
+                if c in count:
+                    visit(c)
+        elif e.tag == "h2":
+            kept.update(e.iter())
+
+    visit(body)
+    blocks = [""]
+
+    def walk(e, shown):
+        shown = shown and e not in gone
+        if e.tag in ("div", "p", "ul", "li", "h2", "body"):
+            blocks.append("")
+        blocks[-1] += (e.text or "") * (shown and e in kept)
+        for c in e:
+            walk(c, shown)
+            blocks[-1] += (c.tail or "") * (shown and e in kept)
+        if e.tag in ("div", "p", "ul", "li", "h2", "body"):
+            blocks.append("")
+
+    walk(body, True)
+    return "\n".join(line for b in blocks if (line := " ".join(b.split())))
+
+
+def ancestors(e, parent):
+    out = [e]
+    while out[-1] in parent:
+        out.append(parent[out[-1]])
+    return out
+
+
+def test_against_brute_force():
+    import random
+
+    rng = random.Random(6)
+
+    def inline():
+        kind = rng.random()
+        text = " ".join(rng.choice(["word", "longer words", "x", "a sentence of some words."]) for _ in range(rng.randint(1, 12)))
+        return f"<a>{text}</a>" if kind < 0.3 else f"<b>{text}</b> " if kind < 0.45 else text + " "
+
+    def block(depth):
+        kind = rng.random()
+        if depth > 3 or kind < 0.4:
+            return f"<p>{''.join(inline() for _ in range(rng.randint(1, 4)))}</p>"
+        if kind < 0.5:
+            return f"<h2>{rng.choice(['Title', 'A longer title'])}</h2>"
+        if kind < 0.65:
+            return "<ul>" + "".join(f"<li>{inline()}</li>" for _ in range(rng.randint(1, 5))) + "</ul>"
+        return "<div>" + "".join(block(depth + 1) for _ in range(rng.randint(1, 4))) + "</div>"
+
+    for _ in range(300):
+        page = "<html><body>" + "".join(block(0) for _ in range(rng.randint(1, 5))) + "</body></html>"
+        assert main_text(page) == brute_force(page), page
