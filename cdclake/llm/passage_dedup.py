@@ -265,7 +265,8 @@ def _gains(docs: DataFrame, table: DataFrame, shared: DataFrame, found: DataFram
     schema = "id bigint, text_hash bigint, run int, right boolean, digest bigint, start int, mine string, theirs string"
     pieces = stage(map_texts(texts, make_pieces, schema, *KEY, "text", "sides"), "pieces")
     # several texts under the earliest id: the smallest piece, so the choice is always the same
-    beside = pieces.where("run < 0").groupBy("digest", "right").agg(F.min("mine").alias("first"))
+    # (written first, so that the join takes over no partitioning and a common digest can be split)
+    beside = stage(pieces.where("run < 0").groupBy("digest", "right").agg(F.min("mine").alias("first")), "beside")
     compared = pieces.where("run >= 0").join(beside, ["digest", "right"], "left").withColumn("theirs", F.coalesce("theirs", "first"))
 
     def make_gains():
