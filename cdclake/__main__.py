@@ -48,7 +48,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--kafka", help="bootstrap servers of the change stream")
     p.add_argument("--records", help="folder of parquet change records (instead of Kafka)")
     p.add_argument("--max-per-trigger", type=int, default=None, help="offsets or files per micro-batch (default: no limit)")
-    p.add_argument("--schema", choices=["declared", "infer"], default="declared", help="silver-dims: where row schemas come from")
+    p.add_argument("--schema", choices=["declared", "infer", "variant"], default="declared", help="silver-dims: where row schemas come from")
     p.add_argument("--decode-decimals", nargs="*", default=[], metavar="TABLE.COLUMN", help="silver-dims: NUMERIC columns to decode")
     p.add_argument("--deletes", choices=["ignore", "apply"], default="ignore", help="silver jobs: what a delete event does")
     p.add_argument("--tables", nargs="*", default=list(DIMENSION_TABLES), help="silver-stream: the tables to keep up to date")

@@ -183,10 +183,10 @@ def infer_json_schema(df: DataFrame, col: str) -> T.StructType:
     nothing.
     """
     merged = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(col).cast("string"))).alias("s")).first()
-    return _struct_of(merged["s"] if merged else None)
+    return struct_of_variant_schema(merged["s"] if merged else None)
 
 
-def _struct_of(variant_schema: str | None) -> T.StructType:
+def struct_of_variant_schema(variant_schema: str | None) -> T.StructType:
     """``OBJECT<a: BIGINT, ...>`` as a struct type with the types of the JSON reader."""
     if not variant_schema or not variant_schema.startswith("OBJECT<"):
         return T.StructType([])

@@ -33,6 +33,7 @@ from cdclake.operators.cdc import (
 from cdclake.operators.moments import GroupStatistics, zscore_from_moments
 from cdclake.operators.gold import build_gold, card_profile, device_profile, location_profile
 from cdclake.operators.shaping import apply_defaults
+from cdclake.operators.variant import latest_rows
 from cdclake.plans import roles
 from cdclake.plans.jobs import (
     Entities,
@@ -270,6 +271,11 @@ def q_dedup_metrics(spark, d):
 
 
 def _split_activity(spark, d):
+    earlier, later = _split_activity_events(spark, d)
+    return roles.bronze_rows(roles.activity_records_from(earlier)), roles.bronze_rows(roles.activity_records_from(later))
+
+
+def _split_activity_events(spark, d):
     """The event log as two arrivals in time, every event in one of them. All events of every seventh
     user are in the first arrival, those of the next one in the second, so matched, kept and new keys all occur."""
     ev = _t(spark, d, "events")
@@ -277,9 +283,7 @@ def _split_activity(spark, d):
     group = F.col("user_id") % 7
     # never null, so that no event is in neither
     first = F.coalesce(F.when(group == 0, F.lit(True)).when(group == 1, F.lit(False)).otherwise(F.col("ts") < cut), F.lit(False))
-    earlier = roles.bronze_rows(roles.activity_records_from(ev.where(first)))
-    later = roles.bronze_rows(roles.activity_records_from(ev.where(~first)))
-    return earlier, later
+    return ev.where(first), ev.where(~first)
 
 
 def q_upsert_merge(spark, d):
@@ -326,6 +330,17 @@ def q_silver_dim_inferred(spark, d):
     return out.select("user_id", "event_type", "value", "props")
 
 
+def q_silver_variant(spark, d):
+    """Two arrivals, the second with a column the first does not know: it is inferred, upserted and reaches the table."""
+    earlier, later = _split_activity_events(spark, d)
+    spec = roles.ACTIVITY
+    table = SnapshotTable(spark, scratch_path(spark, "silver-variant"), use_delta=False)
+    table.upsert(latest_rows(roles.bronze_rows(roles.activity_records_from(earlier)), spec.key), spec.key)
+    channel = F.concat(F.col("event_type"), F.lit("-2")).alias("channel")
+    table.upsert(latest_rows(roles.bronze_rows(roles.activity_records_from(later, more=[channel])), spec.key), spec.key)
+    return table.read().select("user_id", "event_type", "value", "props", "channel")
+
+
 # ---------------------------------------------------------------- entities
 def q_user_entities(spark, d):
     return ent.resolve_users(src_txn(spark, d))
@@ -725,6 +740,7 @@ QUERIES: dict[str, Query] = {
     "upsert_apply_deletes": q_upsert_apply_deletes,
     "silver_dim": q_silver_dim,
     "silver_dim_inferred": q_silver_dim_inferred,
+    "silver_variant": q_silver_variant,
     "user_entities": q_user_entities,
     "account_numbers": q_account_numbers,
     "account_numbers_long_domain": q_account_numbers_long_domain,

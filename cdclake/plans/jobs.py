@@ -26,6 +26,7 @@ from cdclake.operators.cdc import (
 from cdclake.operators.features import fill_defaults, zscore
 from cdclake.operators.gold import build_gold
 from cdclake.operators.shaping import apply_defaults
+from cdclake.operators.variant import latest_rows
 from cdclake.schemas import DIMENSION_TABLES, TABLES, TableSpec
 from cdclake.sinks.export import export_parquet, materialize, refresh_serving
 from cdclake.session import scratch_path, staged
@@ -81,10 +82,14 @@ def silver_table(bronze: DataFrame, spec: TableSpec, deletes: str = "ignore", sc
 
     ``schema="declared"`` parses with the table's declared schema;
     ``schema="infer"`` infers the row schema from the payloads themselves
-    (merged over all documents), for tables that have no declared schema.
+    (merged over all documents), for tables that have no declared schema;
+    ``schema="variant"`` does that too, and takes header, schema and rows from
+    one parse of the text.
     ``decode_decimals`` names NUMERIC columns (balances, limits) that are
     decoded from their base64 form; silver otherwise keeps them as they come.
     """
+    if schema == "variant":
+        return _decoded(latest_rows(bronze, spec.key, deletes), decode_decimals, scale)
     row_schema = infer_row_schema(bronze) if schema == "infer" else spec.schema
     rows = latest_state(bronze, row_schema, spec.key, deletes=deletes)
     return _decoded(rows, decode_decimals, scale)
@@ -159,7 +164,7 @@ def build_silver_dimensions(spark: SparkSession, layout: Layout, tables=DIMENSIO
                 return "empty"
             decoded, target = (decode_decimals or {}).get(name, ()), SnapshotTable(spark, layout.silver(name))
             if deletes == "apply":
-                row_schema = infer_row_schema(bronze) if schema == "infer" else specs[name].schema
+                row_schema = specs[name].schema if schema == "declared" else infer_row_schema(bronze)
                 changes = latest_changes(bronze, row_schema, specs[name].key)
                 target.apply_changes(_decoded(changes, decoded), specs[name].key)
             else:

@@ -150,11 +150,12 @@ def activity_records(spark: SparkSession, sf_dir: str, tombstones: bool = True)
     return activity_records_from(table(spark, sf_dir, "events"), tombstones)
 
 
-def activity_records_from(ev: DataFrame, tombstones: bool = True) -> DataFrame:
+def activity_records_from(ev: DataFrame, tombstones: bool = True, more: list[Column] | None = None) -> DataFrame:
+    """Change records of the given events; ``more`` are columns that their rows have beside the usual ones."""
     op = activity_op(F.col("event_type"))
     recs = _records(
         ev, ACTIVITY.name, ["user_id"],
-        [F.col("user_id"), F.col("event_type"), F.col("value"), F.col("props")],
+        [F.col("user_id"), F.col("event_type"), F.col("value"), F.col("props"), *(more or [])],
         op, epoch_millis("ts"), F.col("event_id") * 2,
     )
     if not tombstones:

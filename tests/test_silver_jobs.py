@@ -33,6 +33,11 @@ def test_batch_and_stream_jobs_agree(spark, deletes):
     wanted = rows(latest_state(bronze, roles.ACTIVITY_SCHEMA, ["user_id"], deletes=deletes))
     assert build_silver_dimensions(spark, layout, ("user_activity",), SPECS, deletes=deletes) == {"user_activity": "ok"}
     assert rows(SnapshotTable(spark, layout.silver("user_activity"), use_delta=False).read()) == wanted
+    if deletes == "ignore":  # the schema from the records, all from one parse
+        one_parse = Layout(layout.root + "-variant")
+        bronze.write.partitionBy("source_table").parquet(one_parse.bronze)
+        assert build_silver_dimensions(spark, one_parse, ("user_activity",), SPECS, schema="variant") == {"user_activity": "ok"}
+        assert rows(SnapshotTable(spark, one_parse.silver("user_activity"), use_delta=False).read()) == wanted
     streamed = Layout(scratch_path(spark, "lake"))
     bronze.repartition(3).write.partitionBy("source_table").parquet(streamed.bronze)
     stream_silver(spark, streamed, ("user_activity",), SPECS, deletes, max_per_trigger=1)
