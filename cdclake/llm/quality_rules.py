@@ -126,14 +126,28 @@ def _ratio(rule: str):
 
 
 def binomial_cdf(k: int, n: int, p: float) -> float:
-    """P(Binomial(n, p) <= k), exact up to rounding."""
+    """P(Binomial(n, p) <= k), exact up to rounding.
+
+    The terms of the tail on the near side of the mean fall from ``k`` on, so
+    they are added up until they no longer count: some standard deviations of
+    terms, and no array, whatever ``n``.
+    """
     if k >= n:
         return 1.0
-    i = np.arange(k + 1)
-    log_factorial = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n + 1)))])
-    logs = log_factorial[n] - log_factorial[i] - log_factorial[n - i] + i * math.log(p) + (n - i) * math.log1p(-p)
-    top = logs.max()
-    return float(min(1.0, math.exp(top) * np.exp(logs - top).sum()))
+    upper = k > n * p
+    i = k + 1 if upper else k
+    first = math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)
+    term = total = 1.0
+    while term > 1e-17 * total and (i < n if upper else i > 0):
+        if upper:
+            term *= (n - i) * p / ((i + 1) * (1 - p))
+            i += 1
+        else:
+            term *= i * (1 - p) / ((n - i + 1) * p)
+            i -= 1
+        total += term
+    tail = min(1.0, math.exp(first) * total)
+    return 1.0 - tail if upper else tail
 
 
 def certified(above: list[int], n: int, alpha: float, delta: float) -> int:

@@ -36,6 +36,21 @@ def test_binomial_tail():
         assert q.binomial_cdf(k, n, p) == pytest.approx(exact, rel=1e-9)
 
 
+def test_binomial_tail_of_very_many_labels():
+    """No array of all labels: a billion of them in a moment, and the two tails add up to one."""
+    import time
+
+    began = time.time()
+    n, p = 10**9, 0.01
+    sd = (n * p * (1 - p)) ** 0.5
+    for z, wanted in ((-3, 0.001349898), (-1, 0.158655254), (0, 0.5), (1, 0.841344746), (2, 0.977249868)):
+        assert q.binomial_cdf(round(n * p + z * sd - 0.5), n, p) == pytest.approx(wanted, rel=2e-3)
+    assert q.binomial_cdf(0, n, p) == 0.0 and q.binomial_cdf(n, n, p) == 1.0
+    assert time.time() - began < 5
+    for k in (0, 3, 40, 50, 60, 99):
+        assert q.binomial_cdf(k, 100, 0.5) + q.binomial_cdf(99 - k, 100, 0.5) == pytest.approx(1.0, abs=1e-12)
+
+
 def test_certified_stops_at_the_first_failure():
     # 0.9**42 < 0.0125 <= 0.9**41: 42 good documents without a loss certify a rate of 0.1
     assert q.certified([0, 0, 0], 42, 0.1, 0.0125) == 3
