@@ -20,7 +20,8 @@ The grade of a labelled document is 0 (``quality`` 0), 1 (good but toxic) or
 Defined cases: a null or empty text is scored by its length mark alone; null
 quality or ids are ignored, null ``toxic`` counts as not toxic; the lowest
 grade counts when a document has several; without labels every document has
-the middle grade and is kept; extra columns are ignored.
+the middle grade and is kept; a row without an id is in no fold (``held_out``
+is null) and not learned from; extra columns are ignored.
 """
 
 from __future__ import annotations

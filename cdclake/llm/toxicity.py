@@ -12,7 +12,8 @@ language, source and id are never inputs of a score.
 
 Defined cases: a null or empty text gets the score of no features; null
 labels and ids are ignored; several labels of one document count as toxic if
-any is; without any label all scores are 0; extra columns are ignored.
+any is; without any label all scores are 0; a row without an id is in no fold
+(``held_out`` is null) and not learned from; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -90,3 +90,32 @@ def test_edge_cases(messy, crowded, messy_labels, empty_docs, empty_labels):
     assert rows(t.toxicity(crowded, messy_labels)) == rows(plain)
     assert {r.score for r in t.toxicity(messy, empty_labels).collect()} == {0.0}
     assert t.toxicity(empty_docs, messy_labels).count() == 0
+
+
+def test_query_against_brute_force(spark):
+    """Learned by textbook FTRL from the labelled documents in the order of their id hashes; every score recomputed."""
+    docs = corpus(240)
+    table = spark.createDataFrame(docs, "doc_id bigint, text string, toxic int")
+    found = {r.doc_id: r for r in t.toxicity(table.select("doc_id", "text"), table.select("doc_id", "toxic")).collect()}
+    order = [r.doc_id for r in table.selectExpr("doc_id", "pmod(xxhash64(doc_id), 1L << 40) AS h").orderBy("h", "doc_id").collect()]
+    known, by_id = WordHashes(), {d[0]: d for d in docs}
+    features = {i: sorted(set(ngram_buckets(word_hashes(text, known)).tolist())) for i, text, _ in docs}
+    z, n = {}, {}
+
+    def weight(i):
+        l1 = 0 if i == t.BIAS else t.L1
+        return 0.0 if abs(z.get(i, 0.0)) <= l1 else -(z[i] - np.sign(z[i]) * l1) / ((t.BETA + n[i] ** 0.5) / t.ALPHA + t.L2)
+
+    for _ in range(t.EPOCHS):
+        for d in order:
+            if zlib.crc32(str(d).encode()) % 3 == 1:
+                continue
+            each = [*features[d], t.BIAS]
+            w = {i: weight(i) for i in each}
+            g = t.sigmoid(sum(w.values())) - by_id[d][2]
+            for i in each:
+                old = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - ((old + g * g) ** 0.5 - old**0.5) / t.ALPHA * w[i]
+                n[i] = old + g * g
+    for d, _, _ in docs:
+        assert found[d].score == pytest.approx(t.sigmoid(sum(weight(i) for i in features[d]) + weight(t.BIAS)), abs=1e-9)
