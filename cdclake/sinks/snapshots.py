@@ -144,11 +144,17 @@ class SnapshotTable:
         rows = self._stored()
         return rows.drop(layout[0]) if layout else rows
 
-    def _stored(self) -> DataFrame:
+    def _stored(self, column: str = "", buckets: Sequence[int] = ()) -> DataFrame:
+        """The stored rows; with ``buckets`` only theirs: no other folder is listed, no other footer read."""
         if not self.exists():
             raise FileNotFoundError(f"no table at {self.path}")
         # an append or a change may lack columns of the table, or add some: they read as null elsewhere
-        return self.spark.read.option("mergeSchema", True).parquet(self.path)
+        reader = self.spark.read.option("mergeSchema", True)
+        if not buckets:
+            return reader.parquet(self.path)
+        there = set(self._names())
+        folders = [f"{column}={b}" for b in (-1, *buckets)]  # the first one keeps the columns and has no rows
+        return reader.option("basePath", self.path).parquet(*[f"{self.path}/{f}" for f in folders if f in there])
 
     def read_buckets_of(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         """The table's rows in the buckets that the keys of ``rows`` fall into (the whole table if it has none for them).
@@ -160,7 +166,8 @@ class SnapshotTable:
             return self.read()
         column, count, _ = layout
         buckets = self._bucketed(rows.select(*[F.col(f"`{k}`") for k in keys]), column, count, keys).select(F.col(f"`{column}`")).distinct()
-        return self._stored().where(F.col(f"`{column}`").isin([r[0] for r in buckets.collect()])).drop(column)
+        found = [r[0] for r in buckets.collect()]
+        return self._stored(column, found).drop(column) if found else self.read().where("false")
 
     # --- writes ---
     def overwrite(self, df: DataFrame, keys: Sequence[str] = ()) -> int:
@@ -210,8 +217,7 @@ class SnapshotTable:
             if not touched:
                 return 0
             before = {b: self._files(column, b) for b in touched}
-            # only the folders of these buckets are read
-            old = self._stored().where(F.col(name).isin(touched))
+            old = self._stored(column, touched)
             self._write(merge(old, new), column)
             # a bucket without rows left was not replaced: what is still there goes
             fs, _ = self._fs()
