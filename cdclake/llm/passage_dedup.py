@@ -10,10 +10,15 @@ a run. A passage that starts or ends inside a sentence leaves parts of units
 at the run's two ends, so a run is extended into the units beside it, word by
 word, as far as they read like the units beside the earliest occurrence of its
 first and last unit (``MIN_BORDER`` words at least; fewer are taken for
-chance). A run of ``MIN_WORDS`` words or more is removed from its document;
-shorter runs (headings, licence lines, common phrases) stay, and so does a
-passage that holds no whole unit. The removed spans keep their offsets in the
-original text (code points, end exclusive).
+chance). A run of ``MIN_WORDS`` words or more is removed from its document.
+
+Lines and paragraphs (lines without a blank one between them) are units too.
+Each one of ``MIN_BLOCK`` words or more that is repeated as a whole is removed
+by itself, in however short a run. What stays is repeated lines and paragraphs
+below that (headings, licence lines, common phrases; ``min_block=1`` removes
+these as well), shorter runs inside a line, and passages that hold no whole
+unit. The removed spans keep their offsets in the original text (code points,
+end exclusive).
 
 Spark does the global part: documents give one row per distinct digest, a
 counting aggregation (combined before the shuffle) finds shared digests, and
@@ -41,6 +46,8 @@ from cdclake.llm.common import known_id, map_texts, stage
 
 #: Least words of a run of repeated units that is removed.
 MIN_WORDS = 40
+#: Least words of a repeated line or paragraph that is removed by itself.
+MIN_BLOCK = 15
 #: Least words by which a run is extended into the unit beside it.
 MIN_BORDER = 3
 
@@ -57,13 +64,62 @@ def units(text: str | None) -> list[tuple[int, int, int, int]]:
     start = 0
     for cut in [*_CUT.finditer(text), None]:
         end = cut.start() if cut else len(text)
-        if words := _NO_WORD.sub(" ", text[start:end].lower()).split():
-            digest = xxhash.xxh64_intdigest(" ".join(words))
-            found.append((digest - (1 << 64) if digest >> 63 else digest, start, end, len(words)))
+        if words := _normalised(text[start:end]):
+            found.append((_digest(words), start, end, len(words)))
         start = cut.end() if cut else end
     return found
 
 
+def _normalised(text: str) -> list[str]:
+    return _NO_WORD.sub(" ", text.lower()).split()
+
+
+def _digest(words: list[str]) -> int:
+    digest = xxhash.xxh64_intdigest(" ".join(words))
+    return digest - (1 << 64) if digest >> 63 else digest
+
+
+def blocks(text: str | None, least: int = MIN_BLOCK) -> list[tuple[int, int, int]]:
+    """``(digest, start, end)`` of every line, and every paragraph of several lines, that has ``least`` words."""
+    found = []
+    paragraph: list[str] = []
+    lines, first, last, start = 0, 0, 0, 0
+    for line in [*text.split("\n"), None] if text else ():
+        words = _normalised(line) if line is not None else []
+        if words:
+            begin = start + len(line) - len(line.lstrip())
+            first, last = (first if lines else begin), start + len(line.rstrip())
+            paragraph += words
+            lines += 1
+            if len(words) >= least:
+                found.append((_digest(words), begin, last))
+        elif line is None or not line.strip():
+            if lines > 1 and len(paragraph) >= least:
+                found.append((_digest(paragraph), first, last))
+            paragraph, lines = [], 0
+        start += len(line) + 1 if line is not None else 0
+    return found
+
+
+def repeated_blocks(found, digests, starts, shared: set[int]) -> list[tuple[int, int]]:
+    """Spans of the blocks that an earlier document has (``shared``), or this one further up, as a block or a unit."""
+    first: dict[int, int] = {}
+    for digest, start in [*zip(digests, starts, strict=True), *((d, s) for d, s, _ in found)]:
+        first[digest] = min(start, first.get(digest, start))
+    return [(s, e) for d, s, e in found if d in shared or first[d] < s]
+
+
+def united(spans) -> list[tuple[int, int]]:
+    """The spans in order, those that overlap or touch as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
 def runs(digests, words, shared: set[int]) -> list[tuple[int, int, int]]:
     """First and last unit and words of every run of repeated units. ``shared``: digests that an earlier document has."""
     found, seen, size = [], set(), 0
@@ -150,16 +206,21 @@ def _key(id_col: str, text_col: str):
     return known_id(id_col, text_col).alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash")
 
 
-def text_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``id`` (never null), ``text_hash`` and the units' digests, starts, ends and word counts."""
+def text_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_block: int = MIN_BLOCK) -> DataFrame:
+    """One row per row of ``docs``: ``id`` (never null), ``text_hash``, the units' digests, starts, ends and word
+    counts, and the ``blocks`` (lines and paragraphs)."""
     prepared = docs.select(*_key(id_col, text_col), F.col(f"`{text_col}`").alias("text"))
     lists = ["digests", "starts", "ends", "words"]
-    schema = StructType.fromDDL("id bigint, text_hash bigint, digests array<bigint>, starts array<int>, ends array<int>, words array<int>")
+    schema = StructType.fromDDL(
+        "id bigint, text_hash bigint, digests array<bigint>, starts array<int>, ends array<int>, words array<int>, "
+        "blocks array<struct<digest: bigint, start: int, end: int>>"
+    )
 
     def make():
         def work(ids, hashes, texts):
             found = [np.array(units(t), np.int64).reshape(-1, 4).T for t in texts]
-            return {"id": ids, "text_hash": hashes, "digests": [f[0] for f in found]} | {
+            whole = [[{"digest": d, "start": s, "end": e} for d, s, e in blocks(t, min_block)] for t in texts]
+            return {"id": ids, "text_hash": hashes, "digests": [f[0] for f in found], "blocks": whole} | {
                 n: [f[k].astype(np.int32) for f in found] for k, n in enumerate(lists) if k
             }
 
@@ -168,10 +229,12 @@ def text_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return map_texts(prepared, make, schema, *KEY, "text")
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_block: int = MIN_BLOCK
+) -> DataFrame:
     """``id``, ``text_hash``, ``n_units`` and ``spans`` (``array<struct<start, end>>`` to remove) of every row of ``docs``."""
-    table = stage(text_units(docs, id_col, text_col), "units")
-    each = table.select("id", F.explode(F.array_distinct("digests")).alias("digest"))
+    table = stage(text_units(docs, id_col, text_col, min_block), "units")
+    each = table.select("id", F.explode(F.array_union("digests", F.col("blocks.digest"))).alias("digest"))
     earliest = each.groupBy("digest").agg(F.min("id").alias("earliest"), F.max("id").alias("latest"))
     shared = stage(earliest.where("latest > earliest").select("digest", "earliest"), "shared")
     repeats = (
@@ -185,39 +248,41 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined = found.join(gains, KEY, "left")
 
     def make():
-        def work(ids, hashes, n_units, found, gains):
-            spans = [
-                [{"start": s, "end": e} for s, e in extended([tuple(r.values()) for r in f], [tuple(g.values()) for g in g_ or ()], min_words)]
-                for f, g_ in zip(found, gains, strict=True)
-            ]
+        def work(ids, hashes, n_units, found, whole, gains):
+            spans = []
+            for f, w, g_ in zip(found, whole, gains, strict=True):
+                long = extended([tuple(r.values()) for r in f], [tuple(g.values()) for g in g_ or ()], min_words)
+                spans.append([{"start": s, "end": e} for s, e in united([*long, *(tuple(b.values()) for b in w)])])
             return {"id": ids, "text_hash": hashes, "n_units": n_units, "spans": spans}
 
         return work
 
     schema = "id bigint, text_hash bigint, n_units int, spans array<struct<start: int, end: int>>"
-    return map_texts(joined, make, schema, *KEY, "n_units", "runs", "gains")
+    return map_texts(joined, make, schema, *KEY, "n_units", "runs", "whole", "gains")
 
 
 _SIDES = "array<struct<run: int, right: boolean, digest: bigint, start: int, end: int, from: int, to: int>>"
 
 
 def _runs(joined: DataFrame, min_words: int) -> DataFrame:
-    """``id``, ``text_hash``, ``n_units``, ``runs`` and ``sides`` of every row."""
+    """``id``, ``text_hash``, ``n_units``, ``runs``, ``whole`` (repeated blocks) and ``sides`` of every row."""
 
     def make():
-        def work(ids, hashes, digests, starts, ends, words, shared):
-            rows, beside = [], []
-            for d, s, e, w, x in zip(digests, starts, ends, words, shared, strict=True):
+        def work(ids, hashes, digests, starts, ends, words, in_text, shared):
+            rows, whole, beside = [], [], []
+            for d, s, e, w, b, x in zip(digests, starts, ends, words, in_text, shared, strict=True):
                 x = set(x or ())
+                spans = repeated_blocks([tuple(k.values()) for k in b], d, s, x)
+                whole.append([{"start": start, "end": end} for start, end in spans])
                 found = runs(d, w, x)
                 rows.append([{"start": s[a], "end": e[b], "words": n} for a, b, n in found])
                 beside.append(sides(d, s, e, w, x, min_words, found))
-            return {"id": ids, "text_hash": hashes, "n_units": [len(d) for d in digests], "runs": rows, "sides": beside}
+            return {"id": ids, "text_hash": hashes, "n_units": [len(d) for d in digests], "runs": rows, "whole": whole, "sides": beside}
 
         return work
 
-    schema = f"id bigint, text_hash bigint, n_units int, runs array<struct<start: int, end: int, words: int>>, sides {_SIDES}"
-    return map_texts(joined, make, schema, *KEY, "digests", "starts", "ends", "words", "shared")
+    schema = f"id bigint, text_hash bigint, n_units int, runs array<struct<start: int, end: int, words: int>>, whole array<struct<start: int, end: int>>, sides {_SIDES}"
+    return map_texts(joined, make, schema, *KEY, "digests", "starts", "ends", "words", "blocks", "shared")
 
 
 def _gains(docs: DataFrame, table: DataFrame, shared: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:

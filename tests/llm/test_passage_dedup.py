@@ -10,9 +10,11 @@ def brute(texts, least=d.MIN_WORDS):
     known, out = set(), {}
     for key, text in sorted(texts, key=lambda x: x[0]):
         units = d.units(text)
-        spans = d.repeated_runs(*(zip(*units, strict=True) if units else [(), (), (), ()]), known, least)
-        out[key] = spans
-        known |= {u[0] for u in units}
+        digests, starts, ends, words = zip(*units, strict=True) if units else [()] * 4
+        whole = d.blocks(text)
+        spans = d.repeated_runs(digests, starts, ends, words, known, least)
+        out[key] = d.united([*spans, *d.repeated_blocks(whole, digests, starts, known)])
+        known |= {u[0] for u in [*units, *whole]}
     return out
 
 
@@ -76,6 +78,35 @@ def test_passages_that_start_and_end_inside_sentences(spark):
     assert any(not v for k, v in brute(texts).items() if k >= 100)
 
 
+def test_blocks():
+    text = "One two three.  Four\n  five six \n\n\nseven eight nine ten\n...\nten"
+    assert [text[s:e] for _, s, e in d.blocks(text, 4)] == [
+        "One two three.  Four", "One two three.  Four\n  five six", "seven eight nine ten", "seven eight nine ten\n...\nten",
+    ]
+    assert [text[s:e] for _, s, e in d.blocks(text, 5)] == ["One two three.  Four\n  five six", "seven eight nine ten\n...\nten"]
+    assert d.blocks("ONE, two", 2)[0][0] == d.units("one two")[0][0]
+    assert d.blocks(None) == d.blocks("") == d.blocks("\n \n...", 1) == []
+
+
+def test_repeated_lines_and_paragraphs_go_by_themselves(spark, prose):
+    """A line of 37 words in six documents, a paragraph of short lines, a repeat inside one text; short lines stay."""
+    line = " ".join(prose[0].split()[:37])
+    lines = ["alpha beta gamma delta", "epsilon zeta eta theta", "iota kappa lambda mu", "nu xi omicron pi rho"]
+    block = "\n".join(lines)
+    texts = [(i, f"{prose[i]}\n{line}\nnumber {i}") for i in range(1, 7)]
+    texts += [(7, f"{prose[7]}\n\n{block}\n\nnumber 7"), (8, f"{prose[8]}\n\n{block.upper()}\n \nnumber 8")]
+    texts += [(9, f"{prose[9]}\n{lines[0]}\n\n{lines[1]}"), (10, f"{line} x\n{line} x\n")]
+    table = spark.createDataFrame(texts, "doc_id bigint, text string")
+    found = d.repeated_spans(table)
+    by_id = dict(texts)
+    cut = {r.doc_id: [by_id[r.doc_id][s:e] for s, e in r.removed_spans] for r in d.remove(table, found).collect()}
+    assert cut == {1: []} | {i: [line] for i in range(2, 7)} | {7: [], 8: [block.upper()], 9: [], 10: [f"{line} x"]}
+    assert {r.id: [tuple(s) for s in r.spans] for r in found.collect()} == brute(texts)
+    # with min_block=1 every repeated line goes
+    every = {r.id: len(r.spans) for r in d.repeated_spans(table, min_block=1).collect()}
+    assert every[9] == 2
+
+
 def test_borders_inside_one_text(spark, prose):
     words = prose[0].lower().rstrip(".").split()
     passage = " ".join(words[:15]) + ". " + " ".join(words[15:40]).capitalize() + ". " + " ".join(words[40:55]).capitalize()
