@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdclake.functions.timefn import seconds_after
+from cdclake.operators.heavy import broadcast_limit, heavy_keys, left_join_heavy, stored_bytes
 from cdclake.session import staged
 
+#: What gold reads of the fact.
+FACT_COLUMNS = ("TransactionID", "TransactionDT", "TransactionAmt", "isFraud", "z_score", "ProductCD", "card1", "addr1", "addr2")
+
 GOLD_COLUMNS = (
     "TransactionID", "Transaction_Time", "TransactionAmt", "isFraud", "z_score", "ProductDesc",
     "client_no", "full_name", "email_address", "phone_number", "customer_segment", "kyc_level",
@@ -91,6 +95,8 @@ def build_gold(
     devices: DataFrame,
     location: DataFrame,
     unique_ids: bool = False,
+    heavy_share: float | None = None,
+    profile_limit: int | None = None,
 ) -> DataFrame:
     """Left-join the fact to every dimension and shape the 28 output columns.
 
@@ -107,10 +113,14 @@ def build_gold(
     written to the scratch folder first: its size is then known, and if it is
     too large to broadcast, both sides of the card join are plain shuffles,
     so adaptive execution can split a card that holds most transactions.
+
+    With ``heavy_share``, for a fact that is a stored table, such cards are not
+    shuffled at all: where the profile is too large to broadcast whole, the
+    profiles of the cards that hold this share of the fact are broadcast, and
+    only the other transactions are shuffled by card. ``profile_limit`` is the
+    size in bytes from which on this is done (the session's broadcast limit).
     """
-    t = transactions.select(
-        "TransactionID", "TransactionDT", "TransactionAmt", "isFraud", "z_score", "ProductCD", "card1", "addr1", "addr2"
-    )
+    t = transactions.select(*FACT_COLUMNS)
     if not unique_ids:
         null_keyed = t.where(F.col("TransactionID").isNull()).dropDuplicates(["TransactionID"])
         t = t.where(F.col("TransactionID").isNotNull()).unionByName(null_keyed)
@@ -121,15 +131,17 @@ def build_gold(
 
     # lookups that the size check broadcasts go first (no shuffle of the fact); then the
     # card side and the transaction-keyed identity side, one shuffle each at most
-    j = (
+    limit = broadcast_limit(cards) if profile_limit is None else profile_limit
+    heavy = heavy_keys(t, "card1", heavy_share) if heavy_share and stored_bytes(cards) > limit else []
+    looked_up = (
         t.join(pd_, t["ProductCD"] == pd_["ProductCD"], "left")
         .drop(pd_["ProductCD"])
         .join(loc, t["addr1"] == loc["addr1"], "left")
         .drop(loc["addr1"])
-        .join(cards, t["card1"] == cards["Card_Raw_ID"], "left")
-        .join(dev, t["TransactionID"] == dev["TransactionID"], "left")
-        .drop(dev["TransactionID"])
     )
+    carded = left_join_heavy(looked_up, cards, "card1", "Card_Raw_ID", heavy)
+    dev = dev.withColumnRenamed("TransactionID", "_dev_txn")
+    j = carded.join(dev, F.col("TransactionID") == F.col("_dev_txn"), "left").drop("_dev_txn")
     unk = F.lit("Unknown")
     return j.select(
         F.col("TransactionID"),

@@ -31,7 +31,8 @@ from cdclake.operators.cdc import (
     schema_from_sample,
 )
 from cdclake.operators.moments import GroupStatistics, zscore_from_moments
-from cdclake.operators.gold import build_gold, card_profile, device_profile, location_profile
+from cdclake.operators.gold import FACT_COLUMNS, build_gold, card_profile, device_profile, location_profile
+from cdclake.operators.heavy import HEAVY_SHARE
 from cdclake.operators.shaping import apply_defaults
 from cdclake.operators.variant import latest_rows
 from cdclake.plans import roles
@@ -445,14 +446,16 @@ def q_drop_duplicates(spark, d):
 
 
 # ---------------------------------------------------------------- gold and serving
-def gold_frame(spark, d) -> DataFrame:
+def gold_frame(spark, d, **heavy) -> DataFrame:
     with ThreadPoolExecutor(max_workers=2) as pool:
         fact = pool.submit(lambda: silver_fact(txn_bronze(spark, d)))
         e = entities(spark, d)
         s = fact.result()
+    if heavy:
+        s = staged(s.select(*FACT_COLUMNS), "silver-fact")
     return build_gold(
         s, seeds.product_description(spark), e.master_card, e.banks, e.networks, e.users, e.accounts,
-        e.identity, e.devices, e.location, unique_ids=True,
+        e.identity, e.devices, e.location, unique_ids=True, **heavy,
     )
 
 
@@ -481,6 +484,13 @@ def q_gold_master(spark, d):
     return g.withColumn("z_score", _r(F.col("z_score"))).withColumn("TransactionAmt", _r(F.col("TransactionAmt"), 3))
 
 
+def q_gold_heavy_cards(spark, d):
+    """Gold as for a card profile of any size: the cards that hold a hundredth of the fact each are joined by
+    broadcast, the others on their own."""
+    g = gold_frame(spark, d, heavy_share=HEAVY_SHARE, profile_limit=0)
+    return g.withColumn("z_score", _r(F.col("z_score"))).withColumn("TransactionAmt", _r(F.col("TransactionAmt"), 3))
+
+
 def q_medallion_gold(spark, d):
     """The whole run: stream the change log to bronze, build silver dimensions and the
     silver fact (two concurrent jobs), gold, export, serving refresh; read the served table."""
@@ -762,6 +772,7 @@ QUERIES: dict[str, Query] = {
     "device_profile": q_device_profile,
     "location_profile": q_location_profile,
     "gold_master": q_gold_master,
+    "gold_heavy_cards": q_gold_heavy_cards,
     "medallion_gold": q_medallion_gold,
     "materialize_roundtrip": q_materialize_roundtrip,
     "serving_refresh": q_serving_refresh,

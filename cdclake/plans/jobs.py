@@ -25,6 +25,7 @@ from cdclake.operators.cdc import (
 )
 from cdclake.operators.features import fill_defaults, zscore
 from cdclake.operators.gold import build_gold
+from cdclake.operators.heavy import HEAVY_SHARE
 from cdclake.operators.shaping import apply_defaults
 from cdclake.operators.variant import latest_rows
 from cdclake.schemas import DIMENSION_TABLES, TABLES, TableSpec
@@ -240,6 +241,7 @@ def gold_from_silver(spark: SparkSession, layout: Layout, allow_missing: bool =
         view("description_card"), view("user_profile"), view("user_accounts"), view("identity"),
         view("device_fingerprint"), view("location"),
         unique_ids=True,  # the silver fact is keyed by TransactionID
+        heavy_share=HEAVY_SHARE,
     )
 
 
