@@ -2,8 +2,8 @@
 (or ``spark-submit`` with this module's file as the application).
 
 Jobs: ``load-source`` (CSV files of one table), ``entities``, ``seeds``, ``land-bronze``,
-``silver-dims``, ``silver-fact``, ``silver-stream``, ``gold``, ``serve``, ``run-all``. A failed table makes the
-job fail (non-zero exit).
+``silver-dims``, ``silver-fact``, ``silver-stream``, ``colocate``, ``gold``, ``serve``, ``run-all``. A failed table
+makes the job fail (non-zero exit).
 The lake root (bronze, silver, gold, serving folders) must be a shared file
 system path on a cluster; the session's ``spark.checkpoint.dir`` must be set
 there too.
@@ -20,6 +20,7 @@ from cdclake.plans.jobs import (
     build_gold_job,
     build_silver_dimensions,
     build_silver_transaction,
+    colocate_silver,
     export_and_serve,
     load_seeds,
     load_source_table,
@@ -33,7 +34,7 @@ from cdclake.sinks.snapshots import SnapshotTable
 from cdclake.sources.csv import LINES
 from cdclake.streaming.bronze import change_stream, land_bronze, to_bronze
 
-JOBS = ("load-source", "entities", "seeds", "land-bronze", "silver-dims", "silver-fact", "silver-stream", "gold", "serve", "run-all")
+JOBS = ("load-source", "entities", "seeds", "land-bronze", "silver-dims", "silver-fact", "silver-stream", "colocate", "gold", "serve", "run-all")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -53,6 +54,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--deletes", choices=["ignore", "apply"], default="ignore", help="silver jobs: what a delete event does")
     p.add_argument("--tables", nargs="*", default=list(DIMENSION_TABLES), help="silver-stream: the tables to keep up to date")
     p.add_argument("--allow-missing", action="store_true", help="gold: tables never written stand in as empty")
+    p.add_argument("--buckets", type=int, default=None, help="colocate: buckets of the copies (default: the session's shuffle partitions)")
+    p.add_argument("--colocated", action="store_true", help="gold: read the copies that colocate made last")
     p.add_argument("--gold-files", type=int, default=None, help="fixed gold file count (default: AQE sized)")
     p.add_argument("--shuffle-bytes", type=int, help="expected shuffle volume; with --cores sizes the session")
     p.add_argument("--cores", type=int, help="cores of the cluster")
@@ -93,8 +96,10 @@ def main(argv: list[str] | None = None) -> None:
             result["buckets"] = build_silver_transaction(spark, layout, args.deletes)
         elif args.job == "silver-stream":
             stream_silver(spark, layout, args.tables, deletes=args.deletes, max_per_trigger=args.max_per_trigger)
+        elif args.job == "colocate":
+            colocate_silver(spark, layout, args.buckets)
         elif args.job == "gold":
-            build_gold_job(spark, layout, num_files=args.gold_files, allow_missing=args.allow_missing)
+            build_gold_job(spark, layout, num_files=args.gold_files, allow_missing=args.allow_missing, colocated=args.colocated)
         elif args.job == "serve":
             result["rows"] = export_and_serve(spark, layout)
         else:

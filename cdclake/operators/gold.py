@@ -11,6 +11,8 @@ from cdclake.session import staged
 
 #: What gold reads of the fact.
 FACT_COLUMNS = ("TransactionID", "TransactionDT", "TransactionAmt", "isFraud", "z_score", "ProductCD", "card1", "addr1", "addr2")
+#: What gold reads of identity.
+IDENTITY_COLUMNS = ("TransactionID", "DeviceType", "DeviceInfo")
 
 GOLD_COLUMNS = (
     "TransactionID", "Transaction_Time", "TransactionAmt", "isFraud", "z_score", "ProductDesc",
@@ -66,14 +68,19 @@ def card_profile(
     )
 
 
-def device_profile(identity: DataFrame, devices: DataFrame) -> DataFrame:
-    """Transaction-level device side: identity joined to one device per Device_Name (smallest id)."""
-    dev = _first_per_key(
+def named_devices(devices: DataFrame) -> DataFrame:
+    """One device per Device_Name: the one with the smallest id."""
+    return _first_per_key(
         _pick(devices, ["Device_ID", "Device_Name", "OS_Version", "Browser_Version", "Screen_Resolution"]),
         "Device_Name",
         ["Device_ID"],
     ).drop("Device_ID")
-    i = _pick(identity, ["TransactionID", "DeviceType", "DeviceInfo"])
+
+
+def device_profile(identity: DataFrame, devices: DataFrame) -> DataFrame:
+    """Transaction-level device side: identity joined to one device per Device_Name (smallest id)."""
+    dev = named_devices(devices)
+    i = _pick(identity, list(IDENTITY_COLUMNS))
     return i.join(dev, i["DeviceInfo"] == dev["Device_Name"], "left").drop("DeviceInfo")
 
 
@@ -97,6 +104,7 @@ def build_gold(
     unique_ids: bool = False,
     heavy_share: float | None = None,
     profile_limit: int | None = None,
+    colocated: bool = False,
 ) -> DataFrame:
     """Left-join the fact to every dimension and shape the 28 output columns.
 
@@ -119,6 +127,10 @@ def build_gold(
     profiles of the cards that hold this share of the fact are broadcast, and
     only the other transactions are shuffled by card. ``profile_limit`` is the
     size in bytes from which on this is done (the session's broadcast limit).
+
+    ``colocated`` says that fact and identity are bucketed alike by
+    TransactionID (``sinks.colocated``): they are joined first, bucket by
+    bucket, and the fact's only shuffle is the one by card.
     """
     t = transactions.select(*FACT_COLUMNS)
     if not unique_ids:
@@ -126,7 +138,9 @@ def build_gold(
         t = t.where(F.col("TransactionID").isNotNull()).unionByName(null_keyed)
     pd_ = products.select("ProductCD", "ProductDesc").dropDuplicates(["ProductCD"])
     cards = staged(card_profile(master_card, banks, networks, users, accounts), "card-profile")
-    dev = device_profile(identity, devices)
+    if colocated:
+        i = _pick(identity, list(IDENTITY_COLUMNS)).withColumnRenamed("TransactionID", "_dev_txn")
+        t = t.join(i, F.col("TransactionID") == F.col("_dev_txn"), "left").drop("_dev_txn")
     loc = location_profile(location)
 
     # lookups that the size check broadcasts go first (no shuffle of the fact); then the
@@ -140,8 +154,13 @@ def build_gold(
         .drop(loc["addr1"])
     )
     carded = left_join_heavy(looked_up, cards, "card1", "Card_Raw_ID", heavy)
-    dev = dev.withColumnRenamed("TransactionID", "_dev_txn")
-    j = carded.join(dev, F.col("TransactionID") == F.col("_dev_txn"), "left").drop("_dev_txn")
+    if colocated:
+        # written first, as the card profile is: most transactions may have no device name
+        dev = staged(named_devices(devices), "named-devices")
+        j = carded.join(dev, F.col("DeviceInfo") == F.col("Device_Name"), "left")
+    else:
+        dev = device_profile(identity, devices).withColumnRenamed("TransactionID", "_dev_txn")
+        j = carded.join(dev, F.col("TransactionID") == F.col("_dev_txn"), "left").drop("_dev_txn")
     unk = F.lit("Unknown")
     return j.select(
         F.col("TransactionID"),

@@ -40,6 +40,7 @@ from cdclake.plans.jobs import (
     Entities,
     Layout,
     build_silver_dimensions,
+    colocate,
     latest_transactions,
     load_source_table,
     run_all,
@@ -491,6 +492,19 @@ def q_gold_heavy_cards(spark, d):
     return g.withColumn("z_score", _r(F.col("z_score"))).withColumn("TransactionAmt", _r(F.col("TransactionAmt"), 3))
 
 
+def q_gold_colocated(spark, d):
+    """Gold from bucketed copies of the fact and of identity, joined bucket by bucket."""
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        fact = pool.submit(lambda: silver_fact(txn_bronze(spark, d)))
+        e = entities(spark, d)
+        s, identity = colocate(fact.result(), e.identity, Layout(scratch_path(spark, "lake")))
+    g = build_gold(
+        s, seeds.product_description(spark), e.master_card, e.banks, e.networks, e.users, e.accounts,
+        identity, e.devices, e.location, unique_ids=True, heavy_share=HEAVY_SHARE, colocated=True,
+    )
+    return g.withColumn("z_score", _r(F.col("z_score"))).withColumn("TransactionAmt", _r(F.col("TransactionAmt"), 3))
+
+
 def q_medallion_gold(spark, d):
     """The whole run: stream the change log to bronze, build silver dimensions and the
     silver fact (two concurrent jobs), gold, export, serving refresh; read the served table."""
@@ -773,6 +787,7 @@ QUERIES: dict[str, Query] = {
     "location_profile": q_location_profile,
     "gold_master": q_gold_master,
     "gold_heavy_cards": q_gold_heavy_cards,
+    "gold_colocated": q_gold_colocated,
     "medallion_gold": q_medallion_gold,
     "materialize_roundtrip": q_materialize_roundtrip,
     "serving_refresh": q_serving_refresh,

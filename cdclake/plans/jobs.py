@@ -4,6 +4,7 @@ whole bronze -> silver -> gold -> serve run in order."""
 from __future__ import annotations
 
 import logging
+import zlib
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -24,13 +25,14 @@ from cdclake.operators.cdc import (
     parse_envelopes,
 )
 from cdclake.operators.features import fill_defaults, zscore
-from cdclake.operators.gold import build_gold
+from cdclake.operators.gold import FACT_COLUMNS, IDENTITY_COLUMNS, build_gold
 from cdclake.operators.heavy import HEAVY_SHARE
 from cdclake.operators.shaping import apply_defaults
 from cdclake.operators.variant import latest_rows
 from cdclake.schemas import DIMENSION_TABLES, TABLES, TableSpec
 from cdclake.sinks.export import export_parquet, materialize, refresh_serving
 from cdclake.session import scratch_path, staged
+from cdclake.sinks.colocated import open_colocated, write_colocated
 from cdclake.sinks.snapshots import SnapshotTable, absent_rows, changed_rows
 from cdclake.sources import csv as csvsrc
 from cdclake.sources import seeds
@@ -130,6 +132,10 @@ class Layout:
     def silver_checkpoint(self, table: str) -> str:
         return f"{self.root}/silver_checkpoints/{table}"
 
+    def colocated(self, table: str) -> str:
+        """What gold reads of the fact and of identity, bucketed by TransactionID."""
+        return f"{self.root}/colocated/{table}"
+
     @property
     def gold(self) -> str:
         return f"{self.root}/gold/transaction_master"
@@ -221,12 +227,39 @@ GOLD_INPUTS = (
 )
 
 
-def gold_from_silver(spark: SparkSession, layout: Layout, allow_missing: bool = False) -> DataFrame:
+def colocated_name(layout: Layout, table: str) -> str:
+    """Catalog name of a bucketed copy: one a lake."""
+    return f"colocated_{zlib.crc32(layout.root.encode()):08x}_{table}"
+
+
+def colocate(fact: DataFrame, identity: DataFrame, layout: Layout, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Bucketed copies of what gold reads of ``fact`` and ``identity``.
+
+    Worth it where gold is built several times from one fact (after changes of
+    the dimensions): the shuffles by TransactionID are paid here, once.
+    Identity rows without an id match no transaction and are left out.
+    """
+    some = identity.where(F.col("TransactionID").isNotNull()).select(*IDENTITY_COLUMNS)
+    return (
+        write_colocated(fact.select(*FACT_COLUMNS), colocated_name(layout, "transaction"), layout.colocated("transaction"), ["TransactionID"], buckets),
+        write_colocated(some, colocated_name(layout, "identity"), layout.colocated("identity"), ["TransactionID"], buckets),
+    )
+
+
+def colocate_silver(spark: SparkSession, layout: Layout, buckets: int | None = None) -> None:
+    """:func:`colocate` of the silver tables."""
+    silver = [SnapshotTable(spark, layout.silver(name)).read() for name in ("transaction", "identity")]
+    colocate(*silver, layout, buckets)
+
+
+def gold_from_silver(spark: SparkSession, layout: Layout, allow_missing: bool = False, colocated: bool = False) -> DataFrame:
     """Register the silver tables as ``silver_<name>`` views and build the star from them.
 
     A table that was never written raises, unless ``allow_missing`` lets it
     stand in as an empty table of its declared schema (its gold columns then
-    take their defaults). A table that cannot be read always raises.
+    take their defaults). A table that cannot be read always raises. With
+    ``colocated`` the fact and identity are the copies that
+    :func:`colocate_silver` made last.
     """
     loaded = set(register_views(spark, {n: layout.silver(n) for n in GOLD_INPUTS}))
     missing = [n for n in GOLD_INPUTS if n not in loaded]
@@ -234,6 +267,8 @@ def gold_from_silver(spark: SparkSession, layout: Layout, allow_missing: bool =
         raise FileNotFoundError(f"silver tables missing: {missing}")
 
     def view(name: str) -> DataFrame:
+        if colocated and name in ("transaction", "identity"):
+            return open_colocated(spark, colocated_name(layout, name), layout.colocated(name))
         return spark.table(f"silver_{name}") if name in loaded else spark.createDataFrame([], TABLES[name].schema)
 
     return build_gold(
@@ -242,16 +277,18 @@ def gold_from_silver(spark: SparkSession, layout: Layout, allow_missing: bool =
         view("device_fingerprint"), view("location"),
         unique_ids=True,  # the silver fact is keyed by TransactionID
         heavy_share=HEAVY_SHARE,
+        colocated=colocated,
     )
 
 
-def build_gold_job(spark: SparkSession, layout: Layout, num_files: int | None = None, allow_missing: bool = False) -> DataFrame:
+def build_gold_job(spark: SparkSession, layout: Layout, num_files: int | None = None, allow_missing: bool = False,
+                   colocated: bool = False) -> DataFrame:
     """Gold star materialised to its own folder, read back for the export.
 
     ``num_files=None`` lets AQE size the output files; a fixed count (the job
     this replaces used 8) only suits small tables.
     """
-    return materialize(gold_from_silver(spark, layout, allow_missing), layout.gold, num_files=num_files)
+    return materialize(gold_from_silver(spark, layout, allow_missing, colocated), layout.gold, num_files=num_files)
 
 
 def export_and_serve(spark: SparkSession, layout: Layout) -> int:
