@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ TS_COL = "cdc_ts_ms"
 POS_PARTITION = "_cdc_partition"
 POS_OFFSET = "_cdc_offset"
 OP_COL = "_cdc_op"
+CORRUPT = "_corrupt_record"  # the JSON reader's column for texts that it cannot read as declared
 
 
 def parse_envelopes(
@@ -25,6 +26,8 @@ def parse_envelopes(
     keys: Sequence[str] = (),
     columns: Sequence[str] | None = None,
     live_only: bool = False,
+    present: Collection[str] | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Parse change envelopes with a declared row schema and flatten ``payload.after``.
 
@@ -41,12 +44,18 @@ def parse_envelopes(
     the parsed struct would be pushed below the projection and parse twice.
     ``live_only`` says that the rows hold no deletes or tombstones any more
     (the winners of :func:`latest_records`), so their text is not read for it.
+    ``present`` names the fields that the texts have (:func:`present_fields`):
+    the others are null columns and cost the parser nothing per row, which it
+    otherwise charges for every declared field. ``carry`` names columns of
+    ``bronze`` that are returned after the row's.
     """
     if columns is not None:
         wanted = set(columns) | set(keys)
         after = T.StructType([f for f in after.fields if f.name in wanted])
     before = T.StructType([f for f in after.fields if f.name in keys])
-    env = F.from_json(F.col(payload_col), envelope_schema(after, before))
+    absent = set() if present is None else {f.name for f in after.fields} - set(present) - set(keys)
+    read = T.StructType([f for f in after.fields if f.name not in absent])
+    env = F.from_json(F.col(payload_col), envelope_schema(read, before))
     cols = bronze.columns
     pos = [
         (F.col("partition") if "partition" in cols else F.lit(None).cast("int")).alias(POS_PARTITION),
@@ -57,9 +66,10 @@ def parse_envelopes(
         kept = bronze
     else:
         kept = bronze.where(op_text.isNotNull()) if keep_deletes else bronze.where(op_text != "d")
-    parsed = kept.select(env.alias("_env"), *pos)
+    parsed = kept.select(env.alias("_env"), *pos, *carry)
     extra = [F.col("_env.payload.op").alias(OP_COL)] if keep_deletes else []
     row_cols = [
+        F.lit(None).cast(f.dataType).alias(f.name) if f.name in absent else
         (F.coalesce(F.col(f"_env.payload.after.{f.name}"), F.col(f"_env.payload.before.{f.name}"))
          if f.name in keys else F.col(f"_env.payload.after.{f.name}")).alias(f.name)
         for f in after.fields
@@ -70,9 +80,30 @@ def parse_envelopes(
         POS_PARTITION,
         POS_OFFSET,
         *extra,
+        *carry,
     )
 
 
+def present_fields(bronze: DataFrame, after: T.StructType, payload_col: str = "json_payload") -> list[str]:
+    """The fields of the declared row schema that any ``payload.after`` names, in the schema's order.
+
+    One narrow pass over the texts, which should be stored ones; only field
+    names come to the driver. If any text does not read as an envelope, all
+    fields count as present: what a parser makes of it depends on the schema.
+    """
+    names = T.MapType(T.StringType(), T.StringType())
+    shape = T.StructType([
+        T.StructField("payload", T.StructType([T.StructField("after", names)])), T.StructField(CORRUPT, T.StringType()),
+    ])
+    env = F.from_json(F.col(payload_col), shape)
+    declared = [f.name for f in after.fields]
+    # null stands for an unreadable text
+    named = F.when(F.col(f"_e.{CORRUPT}").isNotNull(), F.array(F.lit(None).cast("string"))).otherwise(F.map_keys("_e.payload.after"))
+    found = bronze.select(env.alias("_e")).select(F.explode(named).alias("name")).distinct()
+    found = {r["name"] for r in found.where(F.col("name").isNull() | F.col("name").isin(declared)).collect()}
+    return declared if None in found else [n for n in declared if n in found]
+
+
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -119,25 +150,30 @@ def latest_records(
         raise ValueError("deletes must be 'ignore', 'apply' or 'keep'")
     key_schema = T.StructType([f for f in after.fields if f.name in keys])
     carried = T.StructType([f for f in after.fields if f.name in keys or f.name in carry])
-    header = F.from_json(F.col(payload_col), envelope_schema(carried, key_schema))
-    op_text = F.get_json_object(F.col(payload_col), "$.payload.op")
-    kept = bronze.where(op_text != "d") if deletes == "ignore" else bronze.where(op_text.isNotNull())
+    fields = [*envelope_schema(carried, key_schema).fields, T.StructField(CORRUPT, T.StringType())]
+    header = F.from_json(F.col(payload_col), T.StructType(fields))
     cols = bronze.columns
-    h = kept.select(
+    h = bronze.select(
         header.alias("_h"),
         F.col(payload_col),
         (F.col("partition") if "partition" in cols else F.lit(None).cast("int")).alias("partition"),
         (F.col("offset") if "offset" in cols else F.lit(None).cast("long")).alias("offset"),
     )
+    # changes that take no part come after all others and are dropped when they win: a filter here would be
+    # pushed below the projections, and the text made (or read) and parsed a second time
+    unread = F.get_json_object(F.col(payload_col), "$.payload.op")
+    op = F.when(F.col(f"_h.{CORRUPT}").isNull(), F.col("_h.payload.op")).otherwise(unread)
+    takes_part = F.coalesce(op != "d" if deletes == "ignore" else op.isNotNull(), F.lit(False))
     keyed = h.select(
+        takes_part.alias("_takes_part"),
         *[F.coalesce(F.col(f"_h.payload.after.{k}"), F.col(f"_h.payload.before.{k}")).alias(f"_k_{k}") for k in keys],
         F.col("_h.payload.source.ts_ms").alias(TS_COL),
         F.col("_h.payload.op").alias(OP_COL),
         *[F.col(f"_h.payload.after.{c}").alias(c) for c in carry],
         payload_col, "partition", "offset",
     )
-    order = [F.col(TS_COL).desc_nulls_last(), F.col("partition").desc_nulls_last(), F.col("offset").desc_nulls_last()]
-    winners = latest_per_key(keyed, [f"_k_{k}" for k in keys], order=order, drop_helpers=False)
+    order = [F.col(c).desc_nulls_last() for c in ("_takes_part", TS_COL, "partition", "offset")]
+    winners = latest_per_key(keyed, [f"_k_{k}" for k in keys], order=order, drop_helpers=False).where("_takes_part")
     if deletes == "apply":
         winners = winners.where(F.col(OP_COL) != "d")
     return winners.select(payload_col, "partition", "offset", *carry)

@@ -28,6 +28,7 @@ from cdclake.operators.cdc import (
     latest_changes,
     latest_state,
     parse_envelopes,
+    present_fields,
     schema_from_sample,
 )
 from cdclake.operators.moments import GroupStatistics, zscore_from_moments
@@ -221,7 +222,9 @@ def q_json_sample_schema(spark, d):
 
 
 def q_wide_schema(spark, d):
-    rows = parse_envelopes(txn_bronze(spark, d), TABLES["transaction"].schema)
+    schema = TABLES["transaction"].schema
+    bronze = staged(txn_bronze(spark, d).select("json_payload"), "bronze")
+    rows = parse_envelopes(bronze, schema, present=present_fields(bronze, schema))
     names = [f.name for f in TABLES["transaction"].schema.fields]
     counts = rows.agg(*[F.count(F.col(n)).alias(n) for n in names])
     stacked = ", ".join(f"'{n}', `{n}`" for n in names)

@@ -127,3 +127,10 @@ def test_silver_fact_selects_and_parses_once(spark):
     assert all("TransactionAmt" in s and "card1" in s for s in scans if "json_payload" not in s)
     statistics = plan[plan.index("partial_avg"):]
     assert "from_json" not in statistics[: statistics.index("FileScan")]
+
+
+def test_change_texts_are_stored_before_they_are_read_often(spark):
+    from cdclake.plans.catalog import q_wide_schema
+
+    plan = q_wide_schema(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "StructsToJson" not in plan and "V339 AS" not in plan.split("from_json(", 1)[1].split(" AS ", 1)[0]
