@@ -23,6 +23,7 @@ from cdclake.operators.cdc import (
     latest_records,
     latest_state,
     parse_envelopes,
+    present_fields,
 )
 from cdclake.operators.features import fill_defaults, zscore
 from cdclake.operators.gold import FACT_COLUMNS, IDENTITY_COLUMNS, build_gold
@@ -45,38 +46,66 @@ log = logging.getLogger(__name__)
 FACT_FILL = {"TransactionAmt": 0.0, "card1": -1}
 
 
-def latest_transactions(bronze: DataFrame, deletes: str = "ignore") -> DataFrame:
+def latest_transactions(bronze: DataFrame, deletes: str = "ignore", columns: Sequence[str] | None = None) -> DataFrame:
     """Transaction change rows -> the latest row per TransactionID, amount decoded, nulls filled.
 
     The latest change per id is picked on the compact payload text and only
-    the winners' payloads are parsed, with the declared 394-field schema (or
-    the part of it that the caller reads).
+    the winners' payloads are parsed, with the declared 394-field schema or
+    the ``columns`` of it that the caller reads.
     """
     spec = TABLES["transaction"]
-    return _transaction_rows(latest_records(bronze, spec.schema, spec.key, deletes=deletes))
+    return _transaction_rows(latest_records(bronze, spec.schema, spec.key, deletes=deletes), columns)
 
 
-def _transaction_rows(winners: DataFrame) -> DataFrame:
-    rows = parse_envelopes(winners, TABLES["transaction"].schema, live_only=True).drop(POS_PARTITION, POS_OFFSET, TS_COL)
-    return _filled(rows)
+def _transaction_rows(
+    winners: DataFrame, columns: Sequence[str] | None = None, present: Sequence[str] | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
+    rows = parse_envelopes(winners, TABLES["transaction"].schema, columns=columns, live_only=True, present=present, carry=carry)
+    return _filled(rows.drop(POS_PARTITION, POS_OFFSET, TS_COL))
 
 
 def _filled(rows: DataFrame) -> DataFrame:
-    return fill_defaults(rows.withColumn("TransactionAmt", decode_decimal("TransactionAmt", scale=3)), FACT_FILL)
+    if "TransactionAmt" in rows.columns:
+        rows = rows.withColumn("TransactionAmt", decode_decimal("TransactionAmt", scale=3))
+    return fill_defaults(rows, FACT_FILL)
+
+
+#: What the scored changes have beside the text.
+SCORES = ("avg_amt", "std_amt", "z_score")
 
 
-def silver_fact(bronze: DataFrame, deletes: str = "ignore") -> DataFrame:
+def silver_fact(bronze: DataFrame, deletes: str = "ignore", columns: Sequence[str] | None = None) -> DataFrame:
     """The latest transactions with ``avg_amt``, ``std_amt`` and ``z_score`` per card (``card1``).
 
+    With ``columns`` only these of the 394 declared ones, before the three.
+    """
+    scored, present = scored_transactions(bronze, deletes, columns)
+    return parsed_fact(scored, present, columns)
+
+
+def scored_transactions(
+    bronze: DataFrame, deletes: str = "ignore", columns: Sequence[str] | None = None
+) -> tuple[DataFrame, Sequence[str]]:
+    """The latest change of each transaction, still text, with its id and the scores of its amount;
+    and the fields that the texts have (``columns``, if given).
+
     The winners of the selection are written to the scratch folder as they
     came, with the two columns that the per-card statistics need beside the
-    text. The statistics read these two; the wide rows are parsed once, from
-    the text, where they are joined to them.
+    text. The scores are joined to the text: a row of 394 parsed columns takes
+    over 3 KB wherever it is shuffled or sorted, so it is parsed after that.
     """
     spec = TABLES["transaction"]
-    winners = latest_records(bronze, spec.schema, spec.key, deletes=deletes, carry=("card1", "TransactionAmt"))
-    winners = staged(winners, "latest-transactions")
-    return zscore(_transaction_rows(winners), "card1", "TransactionAmt", stats_source=_filled(winners.select("card1", "TransactionAmt")))
+    used = ("card1", "TransactionAmt")
+    winners = staged(latest_records(bronze, spec.schema, spec.key, deletes=deletes, carry=(*spec.key, *used)), "latest-transactions")
+    present = columns or present_fields(winners, spec.schema)
+    return zscore(_filled(winners), *used, stats_source=_filled(winners.select(*used))).drop(*used), present
+
+
+def parsed_fact(
+    scored: DataFrame, present: Sequence[str], columns: Sequence[str] | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
+    """The rows of :func:`scored_transactions`, parsed once."""
+    return _transaction_rows(scored, columns, present, (*SCORES, *carry))
 
 
 def silver_table(bronze: DataFrame, spec: TableSpec, deletes: str = "ignore", schema: str = "declared",

@@ -129,6 +129,26 @@ def test_silver_fact_selects_and_parses_once(spark):
     assert "from_json" not in statistics[: statistics.index("FileScan")]
 
 
+def test_wide_rows_are_parsed_after_the_scores_are_joined(spark):
+    """What the score join moves is text; of the declared fields only those that the texts have are parsed."""
+    from cdclake.plans.catalog import txn_bronze
+    from cdclake.plans.jobs import parsed_fact, scored_transactions, silver_fact
+    from cdclake.schemas import TABLES
+
+    bronze = txn_bronze(spark, SF_SMALL)
+    scored, present = scored_transactions(bronze)
+    assert scored.columns == ["json_payload", "partition", "offset", "TransactionID", "avg_amt", "std_amt", "z_score"]
+    assert 10 < len(present) < 20 and "V339" not in present
+    plan = _plan(parsed_fact(scored, present))
+    assert plan.index("from_json(") < plan.index("Join")
+    fact = silver_fact(bronze)
+    assert fact.columns == [*TABLES["transaction"].schema.fieldNames(), "avg_amt", "std_amt", "z_score"]
+    some = silver_fact(bronze, columns=("TransactionID", "card1"))
+    assert some.columns == ["TransactionID", "card1", "avg_amt", "std_amt", "z_score"]
+    assert "V339" not in _plan(some)
+    assert sorted(map(repr, some.collect())) == sorted(map(repr, fact.select(some.columns).collect()))
+
+
 def test_change_texts_are_stored_before_they_are_read_often(spark):
     from cdclake.plans.catalog import q_wide_schema
 
