@@ -225,8 +225,13 @@ def build_silver_transaction(spark: SparkSession, layout: Layout, deletes: str =
     """The fact from the whole change log; with ``deletes="apply"`` it replaces the table, so deleted transactions go."""
     bronze = read_bronze_table(spark, layout.bronze, "transaction")
     target, key = SnapshotTable(spark, layout.silver("transaction")), TABLES["transaction"].key
-    fact = silver_fact(bronze, deletes)
-    return target.overwrite(fact, key) if deletes == "apply" else target.upsert(fact, key)
+    scored, present = scored_transactions(bronze, deletes)
+
+    def parsed(rows: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+        return parsed_fact(rows, present, carry=carry)
+
+    # dealt to the buckets as text
+    return target.overwrite(scored, key, parsed) if deletes == "apply" else target.upsert(scored, key, parsed)
 
 
 def stream_silver(

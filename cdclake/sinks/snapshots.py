@@ -31,6 +31,9 @@ from cdclake.session import staged
 BUCKETS = 16
 
 _BUCKET = "bucket"
+#: Makes a table's rows from narrower ones that have its key; columns named second are returned after the rows'.
+Finish = Callable[[DataFrame, Sequence[str]], DataFrame]
+
 _writers: dict[str, threading.RLock] = defaultdict(threading.RLock)
 
 
@@ -170,8 +173,14 @@ class SnapshotTable:
         return self._stored(column, found).drop(column) if found else self.read().where("false")
 
     # --- writes ---
-    def overwrite(self, df: DataFrame, keys: Sequence[str] = ()) -> int:
-        """Replace the whole table: written beside it, then put in its place. ``keys`` makes it a bucketed one."""
+    def overwrite(self, df: DataFrame, keys: Sequence[str] = (), finish: Finish | None = None) -> int:
+        """Replace the whole table: written beside it, then put in its place. ``keys`` makes it a bucketed one.
+
+        With ``finish`` a bucketed table's rows are ``finish(df, ())``; it is applied row by row, once the narrower
+        rows of ``df`` are dealt to their buckets and sorted.
+        """
+        if finish and (self.use_delta or not keys):
+            df, finish = finish(df, ()), None
         if self.use_delta:
             df.write.format("delta").mode("overwrite").save(self.path)
             return 0
@@ -182,8 +191,9 @@ class SnapshotTable:
             if keys:
                 column = self._column(keys)
                 # keeps the columns of the table, whatever buckets have rows
-                df.limit(0).write.parquet(f"{beside}/{column}=-1")
-                self._write(self._bucketed(df, column, self.buckets, keys), column, beside)
+                empty = df.limit(0)
+                (finish(empty, ()) if finish else empty).write.parquet(f"{beside}/{column}=-1")
+                self._write(self._bucketed(df, column, self.buckets, keys), column, beside, finish)
             else:
                 df.write.parquet(beside)
             with _writers[self.path]:
@@ -194,9 +204,13 @@ class SnapshotTable:
             fs.delete(written, True)
         return self.buckets if keys else 0
 
-    def _write(self, rows: DataFrame, column: str, path: str | None = None) -> None:
+    def _write(self, rows: DataFrame, column: str, path: str | None = None, finish: Finish | None = None) -> None:
         """Replace the buckets that ``rows`` has rows of. A large bucket is split over tasks, small ones share one."""
-        out = rows.hint("rebalance", F.col(f"`{column}`")).write.partitionBy(column)
+        dealt = rows.hint("rebalance", F.col(f"`{column}`"))
+        if finish:
+            # sorted as the writer wants it before the rows get wide
+            dealt = finish(dealt.sortWithinPartitions(F.col(f"`{column}`")), (column,))
+        out = dealt.write.partitionBy(column)
         out.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path or self.path)
 
     def _files(self, column: str, bucket: int) -> set[str]:
@@ -226,11 +240,13 @@ class SnapshotTable:
                     fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{column}={b}/{stale}"), False)
             return len(touched)
 
-    def upsert(self, source: DataFrame, keys: Sequence[str]) -> int:
+    def upsert(self, source: DataFrame, keys: Sequence[str], finish: Finish | None = None) -> int:
         """Create the table from ``source`` if absent, else merge ``source`` into it by ``keys``.
 
-        Returns the number of buckets written.
+        ``finish`` as in :meth:`overwrite`. Returns the number of buckets written.
         """
+        if finish and (self.use_delta or self.exists()):
+            source, finish = finish(source, ()), None
         if self.use_delta and self.exists():
             from delta.tables import DeltaTable  # type: ignore
 
@@ -245,7 +261,9 @@ class SnapshotTable:
             return 0
         with _writers[self.path]:
             if not self.exists():
-                return self.overwrite(source, keys)
+                return self.overwrite(source, keys, finish)
+            if finish:  # made by another writer meanwhile
+                source = finish(source, ())
             return self._change(source, keys, lambda old, new: upsert_frames(old, new, keys))
 
     def apply_changes(self, changes: DataFrame, keys: Sequence[str], op_col: str = "_cdc_op") -> int:

@@ -179,3 +179,23 @@ def test_upsert_evaluates_its_source_once(spark):
     source = spark.createDataFrame([(1, "b"), (2, "c")], S).mapInArrow(count, S)
     t.upsert(source, ["k"])
     assert calls.value == 2 and _rows(t) == [(1, "b"), (2, "c")]
+
+
+def test_rows_are_finished_after_they_are_dealt(spark):
+    """Narrow rows go through the shuffle and the sort; the wide ones are made and written without another."""
+    def finish(rows, carry=()):
+        return rows.select("k", "v", *[(F.col("k") + i).alias(f"w{i}") for i in range(3)], *carry)
+
+    t, plain = _table(spark, buckets=4), _table(spark, buckets=4)
+    rows = spark.createDataFrame([(i, str(i)) for i in range(40)] + [(None, "n")], S)
+    t.upsert(rows, ["k"], finish)
+    plain.upsert(finish(rows), ["k"])
+    assert t.read().schema == plain.read().schema
+    assert sorted(map(repr, t.read().collect())) == sorted(map(repr, plain.read().collect()))
+    assert set(_files(t)) == set(_files(plain))
+    t.upsert(spark.createDataFrame([(1, "new"), (99, "z")], S), ["k"], finish)  # a table that is there
+    got = {r.k: (r.v, r.w2) for r in t.read().collect()}
+    assert got[1] == ("new", 3) and got[99] == ("z", 101) and got[2] == ("2", 4) and len(got) == 42
+    whole = _table(spark)
+    whole.overwrite(rows, (), finish)
+    assert whole.read().columns == ["k", "v", "w0", "w1", "w2"]
