@@ -246,15 +246,16 @@ def q_zscore(spark, d):
 
 def q_zscore_incremental(spark, d):
     """The change log in two arrivals: the second one takes back what it changes and reads no old transaction."""
-    bronze = txn_bronze(spark, d)
+    bronze = staged(txn_bronze(spark, d), "bronze")
     ts = F.get_json_object("json_payload", "$.payload.source.ts_ms").cast("long")
     # never null, so that no change is in neither
     first = F.coalesce(ts < F.unix_millis(F.lit(TRAIN_BEFORE).cast("timestamp")), F.lit(True))
+    columns = ("TransactionID", "card1", "TransactionAmt")
     root = scratch_path(spark, "card-statistics")
     cards = GroupStatistics(spark, f"{root}/statistics", ["TransactionID"], "card1", "TransactionAmt")
     fact = SnapshotTable(spark, f"{root}/fact", use_delta=False)
     for arrival, changes in enumerate((bronze.where(first), bronze.where(~first))):
-        rows = staged(latest_transactions(changes).select("TransactionID", "card1", "TransactionAmt"), "arrived")
+        rows = staged(latest_transactions(changes, columns=columns).select(*columns), "arrived")
         cards.update(rows, arrival)
         fact.upsert(rows, ["TransactionID"])
     s = zscore_from_moments(fact.read(), cards.states(), "card1", "TransactionAmt")
