@@ -11,6 +11,8 @@ from cdclake.session import staged
 
 #: What gold reads of the fact.
 FACT_COLUMNS = ("TransactionID", "TransactionDT", "TransactionAmt", "isFraud", "z_score", "ProductCD", "card1", "addr1", "addr2")
+#: The declared fields among them.
+FACT_FIELDS = tuple(c for c in FACT_COLUMNS if c != "z_score")
 #: What gold reads of identity.
 IDENTITY_COLUMNS = ("TransactionID", "DeviceType", "DeviceInfo")
 

@@ -32,7 +32,7 @@ from cdclake.operators.cdc import (
     schema_from_sample,
 )
 from cdclake.operators.moments import GroupStatistics, zscore_from_moments
-from cdclake.operators.gold import FACT_COLUMNS, build_gold, card_profile, device_profile, location_profile
+from cdclake.operators.gold import FACT_COLUMNS, FACT_FIELDS, build_gold, card_profile, device_profile, location_profile
 from cdclake.operators.heavy import HEAVY_SHARE
 from cdclake.operators.shaping import apply_defaults
 from cdclake.operators.variant import latest_rows
@@ -453,7 +453,7 @@ def q_drop_duplicates(spark, d):
 # ---------------------------------------------------------------- gold and serving
 def gold_frame(spark, d, **heavy) -> DataFrame:
     with ThreadPoolExecutor(max_workers=2) as pool:
-        fact = pool.submit(lambda: silver_fact(txn_bronze(spark, d)))
+        fact = pool.submit(lambda: silver_fact(txn_bronze(spark, d), columns=FACT_FIELDS))
         e = entities(spark, d)
         s = fact.result()
     if heavy:

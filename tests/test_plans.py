@@ -154,3 +154,9 @@ def test_change_texts_are_stored_before_they_are_read_often(spark):
 
     plan = q_wide_schema(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "StructsToJson" not in plan and "V339 AS" not in plan.split("from_json(", 1)[1].split(" AS ", 1)[0]
+
+
+def test_gold_parses_what_it_reads(spark):
+    from cdclake.plans.catalog import gold_frame
+
+    assert "V339" not in _plan(gold_frame(spark, SF_SMALL))
