@@ -671,8 +671,12 @@ def q_bronze_partition_read(spark, d):
 
 
 def _activity_batches(spark, d, root: str) -> DataFrame:
-    """The activity log landed in bronze, as a stream of four batches in no order of time."""
-    records = roles.activity_records(spark, d).repartition(4, F.xxhash64("offset"))
+    """The activity log landed in bronze, as a stream of four batches in no order of time.
+
+    Each batch has a quarter of the files, which are as many as the session's shuffle has partitions (four at least).
+    """
+    per_batch = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+    records = roles.activity_records(spark, d).repartition(4 * per_batch, F.xxhash64("offset"))
     roles.bronze_rows(records).write.partitionBy("source_table").parquet(f"{root}/bronze")
     files = len(spark.read.parquet(f"{root}/bronze").inputFiles())
     return bronze_table_stream(spark, f"{root}/bronze", roles.ACTIVITY.name, max_per_trigger=max(1, files // 4))

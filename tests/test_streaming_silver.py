@@ -15,7 +15,7 @@ from cdclake.streaming.silver import (
     stream_upserts,
     upsert_batch,
 )
-from tests.conftest import envelope
+from tests.conftest import SF_SMALL, envelope
 
 ROW = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
 BRONZE = "json_payload string, partition int, offset long, source_table string"
@@ -110,3 +110,17 @@ def test_the_state_needs_no_window(spark):
 
     plan = latest_stream(spark.createDataFrame(log(20), BRONZE), ROW, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Aggregate" in plan
+
+
+def test_the_activity_stream_has_files_for_all_tasks(spark):
+    """Four batches, each of several files where the session has more than four shuffle partitions."""
+    from cdclake.plans.catalog import _activity_batches
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "9")
+        root = scratch_path(spark, "files")
+        _activity_batches(spark, SF_SMALL, root)
+        assert len(spark.read.parquet(f"{root}/bronze").inputFiles()) == 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
