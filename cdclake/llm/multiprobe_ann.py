@@ -14,16 +14,22 @@ distance, and the most selective ``M`` is taken whose probes, at most
 ``MOST_PROBES`` a table, find ``TARGET`` of the sample's true neighbours. In
 all the vectors neighbours lie nearer than in a sample, so the recall holds.
 
-The index holds every vector in every table. Buckets are hashed into cells of
-about ``CELL_ROWS`` rows; a cell that holds more, because of one large
-bucket, is cut into blocks that a query visits all. A block returns each
-query's nearest only. Of equal vectors only the ``k + 1`` smallest ids can be
-in a result, so only these are indexed, and equal queries are searched once.
-Queries that found fewer than ``k`` are searched exactly, in blocks.
+The index holds every vector in every table. It is cut into blocks by the hash
+of the id, so that a vector travels once, and a query's vector once a block:
+keys of buckets are worked out where they are looked up and never travel, as
+they take 40 times the room of the vector. In a block, a bucket and all queries
+that probe it are compared by one matrix product, which only rules pairs out
+(with a bound for its rounding); the others get their exact distance. A block
+returns each query's nearest only. Of equal vectors only the ``k + 1`` smallest
+ids can be in a result, so only these are indexed, and equal queries are
+searched once. Queries that found fewer than ``k`` are searched exactly, in the
+same blocks. The driver holds the sample and counts only: no side of these
+comparisons is broadcast.
 
 Defined cases: vectors that are null, empty, all zero, or hold null or
 non-finite components take no part, nor rows without an id, nor vectors of
-another than the most common length; repeated rows count once; fewer than
+another than the most common length; repeated rows count once; of several
+vectors under one id the nearest counts; fewer than
 ``k`` candidates give fewer rows; an empty table gives none; extra columns
 are ignored. Ties go to the smaller id.
 """
@@ -37,6 +43,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from cdclake.llm.common import hash_sample, small_batches, stage
 
@@ -47,8 +54,13 @@ MOST_PROBES = 1024
 SAMPLE_ROWS, SAMPLE_QUERIES, SAMPLE_NUMBERS = 8192, 128, 4_000_000
 #: Step width in 10th-neighbour distances.
 WIDTH = 2.7
-CELL_ROWS = 16_384
-QUERY_CHUNK = 2048
+#: Rows of a block, at least (unless there are fewer); numbers of a block's vectors, and of a chunk of queries, at most.
+CELL_ROWS = 40_960
+BLOCK_NUMBERS = 6_000_000
+#: Per worker: queries whose probes are worked out together, visits (a query in a bucket) and numbers held at once.
+PROBE_QUERIES, VISITS, TILE_NUMBERS = 256, 3_000_000, 1_000_000
+#: Visits of fewer pairs (of query and vector) are gathered and compared together.
+FEW_PAIRS = 256
 
 
 def probe_template(m: int, probes: int) -> np.ndarray:
@@ -83,6 +95,9 @@ class Hashing:
         self.shift = rng.random(tables * m)
         self.mix = rng.integers(1, 1 << 63, tables * m, dtype=np.uint64) | np.uint64(1)
         self.template = probe_template(m, probes).astype(np.int64)
+        #: The first, second, ... border that each probe crosses; 2m where it crosses no more.
+        each = [np.flatnonzero(t) for t in self.template]
+        self.crossed = np.array([[e[i] if i < len(e) else 2 * m for e in each] for i in range(max(map(len, each)))], np.int64)
 
     def _steps(self, vectors: np.ndarray) -> np.ndarray:
         return vectors @ self.project + self.shift
@@ -103,17 +118,23 @@ class Hashing:
 
     def probes(self, vector: np.ndarray) -> np.ndarray:
         """Buckets to visit in every table: (probes, tables), likeliest first."""
-        steps = self._steps(vector[None])[0]
+        return self.all_probes(vector[None])[:, 0]
+
+    def all_probes(self, vectors: np.ndarray) -> np.ndarray:
+        """:meth:`probes` of every vector: (probes, n, tables)."""
+        shape = (len(vectors), self.tables, self.m)
+        steps = self._steps(vectors)
         base = np.floor(steps)
-        inside = (steps - base).reshape(self.tables, self.m)
-        base = base.astype(np.int64).view(np.uint64).reshape(self.tables, self.m)
+        inside = (steps - base).reshape(shape)
         mix = self.mix.reshape(self.tables, self.m)
-        out = np.empty((len(self.template), self.tables), np.uint64)
-        for t in range(self.tables):
-            border = np.concatenate([inside[t], 1 - inside[t]])
-            order = np.argsort(border, kind="stable")
-            move = np.where(order < self.m, -1, 1).astype(np.int64).view(np.uint64) * mix[t][order % self.m]
-            out[:, t] = (base[t] * mix[t]).sum(dtype=np.uint64) + self.template.view(np.uint64) @ move
+        key = (base.astype(np.int64).view(np.uint64).reshape(shape) * mix).sum(axis=2, dtype=np.uint64)
+        border = np.concatenate([inside, 1 - inside], axis=2)
+        order = np.argsort(border, axis=2, kind="stable")
+        move = np.where(order < self.m, -1, 1).astype(np.int64).view(np.uint64) * mix[np.arange(self.tables)[:, None], order % self.m]
+        move = np.concatenate([np.moveaxis(move, 2, 0), np.zeros((1, *shape[:2]), np.uint64)])  # the last: no move
+        out = np.repeat(key[None], len(self.template), axis=0)
+        for crossed in self.crossed:
+            out += move[crossed]
         return self._scramble(out)
 
 
@@ -159,8 +180,10 @@ def _usable(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where("vec_id IS NOT NULL AND v IS NOT NULL").where(finite & F.exists("v", lambda x: x != 0))
 
 
-def _matrix(packed) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), np.float64).reshape(len(packed), -1)
+def _matrix(packed, dim: int) -> np.ndarray:
+    """Rows of :func:`_pack`, as doubles."""
+    flat = b"".join(packed)
+    return np.frombuffer(flat, f"f{len(flat) // (len(packed) * dim)}").reshape(len(packed), dim).astype(np.float64)
 
 
 def _map_vectors(df: DataFrame, work, schema: str) -> DataFrame:
@@ -175,109 +198,175 @@ def _map_vectors(df: DataFrame, work, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def _pack(df: DataFrame) -> DataFrame:
-    """Vectors as bytes of doubles."""
+def _pack(df: DataFrame, number: str) -> DataFrame:
+    """Vectors as bytes of numbers of type ``number``, in which they must be exact."""
 
     def work(b):
         flat = b.column("v").flatten().to_numpy(zero_copy_only=False)
-        rows = flat.reshape(b.num_rows, -1).astype(np.float64)
+        rows = flat.reshape(b.num_rows, -1).astype(number)
         return {"vec_id": b.column("vec_id"), "h": b.column("h"), "v": [r.tobytes() for r in rows]}
 
     return _map_vectors(df.select("vec_id", "h", "v"), work, "vec_id bigint, h bigint, v binary")
 
 
-def _nearest(ids: np.ndarray, vectors: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k nearest distinct ids, nearest first, ties to the smaller id."""
-    ids, first = np.unique(ids, return_index=True)
-    d = distances(vectors[first], query)
-    if len(d) > 4 * k:
-        some = np.flatnonzero(d <= np.partition(d, k)[k])
-        ids, d = ids[some], d[some]
-    order = np.lexsort((ids, d))[:k]
-    return ids[order], d[order]
-
-
-def _results(found: list[tuple[int, np.ndarray, np.ndarray]]) -> pd.DataFrame:
-    return pd.DataFrame(
-        {
-            "query_id": np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype("int64"),
-            "vec_id": np.concatenate([f[1] for f in found] or [np.empty(0, np.int64)]),
-            "score": np.concatenate([f[2] for f in found] or [np.empty(0)]),
-        }
-    )
-
-
-def _visit(rows: pd.DataFrame, probes: pd.DataFrame) -> pd.DataFrame:
-    """Each query's nearest in the buckets of one block."""
-    if rows.empty or probes.empty:
-        return _results([])
-    order = np.argsort(rows["key"].to_numpy(), kind="stable")
-    key, ids = rows["key"].to_numpy()[order], rows["vec_id"].to_numpy()[order]
-    vectors = _matrix(rows["v"].to_numpy()[order])
-    found = []
-    for q, v, keys in zip(probes["query_id"], probes["q"], probes["keys"], strict=True):
-        wanted = np.frombuffer(keys, np.int64)
-        low, high = np.searchsorted(key, wanted, "left"), np.searchsorted(key, wanted, "right")
-        hit = high > low
-        if hit.any():
-            at = np.concatenate([np.arange(a, b) for a, b in zip(low[hit], high[hit], strict=True)])
-            found.append((q, *_nearest(ids[at], vectors[at], np.frombuffer(v, np.float64), K + 1)))
-    return _results(found)
-
-
-def _scan(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-    """Each query's nearest among all vectors of one block."""
-    if rows.empty or queries.empty:
-        return _results([])
-    ids, vectors = rows["vec_id"].to_numpy(), _matrix(rows["v"].to_numpy())
-    return _results([(q, *_nearest(ids, vectors, np.frombuffer(v, np.float64), K + 1)) for q, v in zip(queries["query_id"], queries["q"], strict=True)])
+class _Best:
+    """The ``K + 1`` nearest distinct ids of every query among the vectors it is offered, ties to the smaller id."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, queries: np.ndarray):
+        self.ids, self.vectors, self.queries = ids, vectors, queries
+        # half the squared distance is size - product, from one product of the lengthened vectors
+        with np.errstate(over="ignore"):
+            norm, self.size = (vectors**2).sum(axis=1), (queries**2).sum(axis=1) / 2
+            self.right = np.column_stack([vectors, -norm / 2])
+        self.left = np.column_stack([queries, np.ones(len(queries))])
+        self.slack = 16 * (vectors.shape[1] + 4) * np.finfo(float).eps * (norm.max() + 2 * self.size) + 1e-290
+        self.plain = not (norm.max() < 1e290 and self.size.max() < 1e290)  # products may overflow
+        #: Pairs whose product is smaller can't be among the nearest.
+        self.low = np.full(len(queries), -np.inf)
+        #: So many vectors hold K + 1 ids.
+        self.enough = (K + 1) * int(np.unique(ids, return_counts=True)[1].max())
+        self.q, self.row, self.d = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        self.new: list[np.ndarray] = []
+        self.n_new = 0
+
+    def offer(self, q: np.ndarray, rows: np.ndarray) -> None:
+        """All of ``rows`` to all of the queries ``q``; both are distinct."""
+        for part in np.split(q, range(TILE_NUMBERS // 64, len(q), TILE_NUMBERS // 64)):
+            step = max(1, TILE_NUMBERS // len(part))
+            for at in range(0, len(rows), step):
+                self._tile(part, rows[at : at + step])
+
+    def _tile(self, q: np.ndarray, rows: np.ndarray) -> None:
+        if self.plain:
+            self._take(np.repeat(q, len(rows)), np.tile(rows, len(q)))
+            return
+        product = self.left[q] @ self.right[rows].T
+        first = np.flatnonzero(np.isneginf(self.low[q])) if len(rows) > self.enough else []
+        if len(first):
+            some = product[first]
+            some.partition(len(rows) - self.enough, axis=1)
+            self.low[q[first]] = some[:, len(rows) - self.enough] - 2 * self.slack[q[first]]
+        i, j = np.divmod(np.flatnonzero(product >= self.low[q][:, None]), len(rows))
+        self._take(q[i], rows[j])
+
+    def offer_pairs(self, q: np.ndarray, rows: np.ndarray) -> None:
+        step = max(1, TILE_NUMBERS // self.left.shape[1])
+        for at in range(0, len(q), step):
+            i, j = q[at : at + step], rows[at : at + step]
+            if not self.plain:
+                near = np.einsum("ij,ij->i", self.left[i], self.right[j]) >= self.low[i]
+                i, j = i[near], j[near]
+            self._take(i, j)
+
+    def _take(self, q: np.ndarray, rows: np.ndarray) -> None:
+        if len(q):
+            self.new.append(q * len(self.ids) + rows)
+            self.n_new += len(q)
+            if self.n_new > max(TILE_NUMBERS // 4, 4 * len(self.q)):
+                self._merge()
+
+    def _merge(self) -> None:
+        pairs = np.unique(np.concatenate(self.new or [np.empty(0, np.int64)]))
+        self.new, self.n_new = [], 0
+        q, row = np.divmod(pairs, len(self.ids))
+        d, step = np.empty(len(pairs)), max(1, TILE_NUMBERS // self.vectors.shape[1])
+        for at in range(0, len(pairs), step):
+            own = slice(at, at + step)
+            d[own] = distances(self.vectors[row[own]], self.queries[q[own]])
+        q, row, d = np.concatenate([self.q, q]), np.concatenate([self.row, row]), np.concatenate([self.d, d])
+        ids = self.ids[row]
+        order = np.lexsort((d, ids, q))  # of an id the nearest
+        q, row, d, ids = q[order], row[order], d[order], ids[order]
+        other = np.ones(len(q), bool)
+        other[1:] = (q[1:] != q[:-1]) | (ids[1:] != ids[:-1])
+        q, row, d, ids = q[other], row[other], d[other], ids[other]
+        order = np.lexsort((ids, d, q))
+        q, row, d = q[order], row[order], d[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        last = place == K
+        with np.errstate(over="ignore", invalid="ignore"):
+            low = self.size[q[last]] - d[last] ** 2 / 2 - self.slack[q[last]]
+        self.low[q[last]] = np.maximum(self.low[q[last]], low)
+        self.q, self.row, self.d = q[place <= K], row[place <= K], d[place <= K]
+
+    def results(self, query_ids: np.ndarray) -> pd.DataFrame:
+        self._merge()
+        return pd.DataFrame({"query_id": query_ids[self.q], "vec_id": self.ids[self.row], "score": self.d})
+
+
+class _Buckets:
+    """The buckets of a block's vectors, over all tables."""
+
+    def __init__(self, hashing: Hashing, vectors: np.ndarray):
+        self.hashing = hashing
+        flat = hashing.keys(vectors).view(np.uint64).reshape(-1)
+        order = np.argsort(flat)
+        self.rows = order // hashing.tables
+        self.keys, start = np.unique(flat[order], return_index=True)
+        self.start = np.append(start, len(flat))
+        # buckets by the first bits of their keys
+        self.bits = np.uint64(64 - max(1, min(20, int(len(self.keys)).bit_length() + 4)))
+        first = self.keys >> self.bits
+        self.by_bits = np.searchsorted(first, np.arange((1 << (64 - int(self.bits))) + 1, dtype=np.uint64))
+        self.chain = int(np.diff(self.by_bits).max())
+
+    def visits(self, queries: np.ndarray, at: int) -> np.ndarray:
+        """Bucket * 2^32 + query, for all buckets that the queries (counted from ``at``) probe."""
+        probes = self.hashing.all_probes(queries).view(np.uint64)
+        query = np.broadcast_to(np.arange(at, at + len(queries))[:, None], probes.shape[1:])
+        query = np.broadcast_to(query, probes.shape).reshape(-1)
+        probes = probes.reshape(-1)
+        bits = (probes >> self.bits).astype(np.int64)
+        bucket, end = self.by_bits[bits], self.by_bits[bits + 1]
+        out = []
+        for _ in range(self.chain):
+            left = np.flatnonzero(bucket < end)
+            probes, query, bucket, end = probes[left], query[left], bucket[left], end[left]
+            hit = self.keys[bucket] == probes
+            out.append((bucket[hit] << 32) + query[hit])
+            bucket = bucket + 1
+        return np.concatenate(out)
+
+    def compare(self, visits: np.ndarray, best: _Best) -> None:
+        """Offers every query the vectors in the buckets it visits; sorts ``visits``."""
+        visits.sort()
+        bucket, query = (visits >> 32).astype(np.int32), visits.astype(np.int32)  # the lower half
+        begin = np.flatnonzero(np.diff(bucket, prepend=-1))
+        end = np.append(begin[1:], len(bucket))
+        which = bucket[begin]
+        rows = self.start[which + 1] - self.start[which]
+        pairs = rows * (end - begin)
+        for i in np.argsort(-pairs, kind="stable")[: int((pairs >= FEW_PAIRS).sum())]:
+            best.offer(query[begin[i] : end[i]].astype(np.int64), self.rows[self.start[which[i]] : self.start[which[i] + 1]])
+        few = np.repeat(pairs < FEW_PAIRS, end - begin)
+        bucket, query = bucket[few], query[few]
+        for at in range(0, len(bucket), VISITS // FEW_PAIRS):
+            b, q = bucket[at : at + VISITS // FEW_PAIRS], query[at : at + VISITS // FEW_PAIRS].astype(np.int64)
+            n = self.start[b + 1] - self.start[b]
+            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            best.offer_pairs(np.repeat(q, n), self.rows[np.repeat(self.start[b], n) + inside])
+
+
+def _nothing() -> pd.DataFrame:
+    return pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
 
 
 _RESULT = "query_id bigint, vec_id bigint, score double"
 
 
-def _search(base: DataFrame, searches: DataFrame, hashing: Hashing, n: int) -> DataFrame:
-    """The nearest that the probes of every search meet, by block."""
-    cells = max(1, -(-n * hashing.tables // CELL_ROWS))
-
-    def index(b):
-        keys = hashing.keys(_matrix(b.column("v").to_pylist()))
-        at = pa.array(np.repeat(np.arange(b.num_rows), hashing.tables))
-        flat = keys.reshape(-1)
-        return {
-            "cell": (flat.view(np.uint64) % np.uint64(cells)).astype(np.int64), "key": flat,
-            "vec_id": b.column("vec_id").take(at), "v": b.column("v").take(at),
-        }
-
-    def probe(b):
-        out = {"cell": [], "query_id": [], "q": [], "keys": []}
-        for q, v in zip(b.column("vec_id").to_pylist(), b.column("v").to_pylist(), strict=True):
-            keys = np.unique(hashing.probes(np.frombuffer(v, np.float64)))
-            cell = (keys.view(np.uint64) % np.uint64(cells)).astype(np.int64)
-            order = np.argsort(cell, kind="stable")
-            for part in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1):
-                out["cell"].append(int(cell[part[0]]))
-                out["query_id"].append(q)
-                out["q"].append(v)
-                out["keys"].append(keys[part].tobytes())
-        return out
-
-    rows = stage(_map_vectors(base.select("vec_id", "v"), index, "cell bigint, key bigint, vec_id bigint, v binary"), "index")
-    probes = _map_vectors(searches.select("vec_id", "v"), probe, "cell bigint, query_id bigint, q binary, keys binary")
-    blocks = rows.groupBy("cell").agg(F.ceil(F.count("*") / (2 * CELL_ROWS)).cast("bigint").alias("blocks"))
-    left = rows.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks"))
-    right = probes.join(blocks, "cell").withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    return (
-        left.select("cell", "block", "key", "vec_id", "v")
-        .groupBy("cell", "block")
-        .cogroup(right.select("cell", "block", "query_id", "q", "keys").groupBy("cell", "block"))
-        .applyInPandas(_visit, _RESULT)
-    )
+def _compared(base: DataFrame, searches: DataFrame, n: int, count: int, dim: int, compare) -> DataFrame:
+    """Each search's nearest by ``compare(best)``: blocks of the ``n`` vectors against chunks of the ``count`` searches."""
+    parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(1, -(-n * dim // BLOCK_NUMBERS), min(-(-n // CELL_ROWS), parts))
+    chunks = max(1, -(-count * dim // BLOCK_NUMBERS))
 
+    def work(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or queries.empty:
+            return _nothing()
+        best = _Best(rows["vec_id"].to_numpy(), _matrix(rows["v"], dim), _matrix(queries["q"], dim))
+        compare(best)
+        return best.results(queries["query_id"].to_numpy())
 
-def _exact(base: DataFrame, searches: DataFrame, n: int, count: int) -> DataFrame:
-    """The nearest of every search among all vectors: blocks of vectors against chunks of searches."""
-    blocks, chunks = max(1, -(-n // CELL_ROWS)), max(1, -(-count // QUERY_CHUNK))
     left = base.select(
         F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block"),
         F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"),
@@ -288,7 +377,27 @@ def _exact(base: DataFrame, searches: DataFrame, n: int, count: int) -> DataFram
         F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(chunks)).cast("int").alias("chunk"),
         F.col("vec_id").alias("query_id"), F.col("v").alias("q"),
     )
-    return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInPandas(_scan, _RESULT)
+    return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInPandas(work, _RESULT)
+
+
+def _search(base: DataFrame, searches: DataFrame, hashing: Hashing, n: int, count: int, dim: int) -> DataFrame:
+    """The nearest that the probes of every search meet, by block."""
+
+    def probe(best: _Best) -> None:
+        buckets, visits, held = _Buckets(hashing, best.vectors), [], 0
+        for at in range(0, len(best.queries), PROBE_QUERIES):
+            visits.append(buckets.visits(best.queries[at : at + PROBE_QUERIES], at))
+            held += len(visits[-1])
+            if held > VISITS or at + PROBE_QUERIES >= len(best.queries):
+                together, visits, held = np.concatenate(visits), [], 0
+                buckets.compare(together, best)
+
+    return _compared(base, searches, n, count, dim, probe)
+
+
+def _exact(base: DataFrame, searches: DataFrame, n: int, count: int, dim: int) -> DataFrame:
+    """The nearest of every search among all vectors."""
+    return _compared(base, searches, n, count, dim, lambda best: best.offer(np.arange(len(best.queries)), np.arange(len(best.ids))))
 
 
 def nearest(table: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -301,7 +410,9 @@ def nearest(table: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     dim = lengths[0].d
     same = usable.where(F.size("v") == dim).withColumn("h", F.xxhash64(F.transform("v", lambda x: x + F.lit(0.0))))
-    rows = stage(_pack(same.dropDuplicates(["vec_id", "h"])), "vectors")
+    # floats stay floats while they travel; all else is packed as doubles
+    number = "f4" if isinstance(getattr(table.select(vector_col).schema[0].dataType, "elementType", None), FloatType) else "f8"
+    rows = stage(_pack(same, number).dropDuplicates(["vec_id", "h"]), "vectors")
     copies = Window.partitionBy("h").orderBy("vec_id")
     base = stage(rows.withColumn("r", F.row_number().over(copies)).where(f"r <= {K + 1}").drop("r"), "distinct-vectors")
     asked = rows.where(is_query(F.col("vec_id"))).select("vec_id", "h", "v")
@@ -310,13 +421,13 @@ def nearest(table: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
     n = base.count()
     most = min(SAMPLE_ROWS, max(256, SAMPLE_NUMBERS // dim))
     sample = hash_sample(base, "vec_id", most).select("v").collect()
-    hashing = fit(_matrix([r.v for r in sample]), n)
-    met = stage(_search(base, searches, hashing, n), "met")
+    hashing = fit(_matrix([r.v for r in sample], dim), n)
+    met = stage(_search(base, searches, hashing, n, searches.count(), dim), "met")
     enough = met.groupBy("query_id").agg(F.count_distinct("vec_id").alias("n")).where(f"n >= {min(n, K + 1)}")
     short = searches.join(enough.select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti")
     missing = short.count()
     if missing:
-        met = met.union(stage(_exact(base, short, n, missing), "exact"))
+        met = met.union(stage(_exact(base, short, n, missing, dim), "exact"))
     merged = met.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     # back from distinct query vectors to all queries that have them
     queries = asked.select(F.col("vec_id").alias("asked"), "h").join(

@@ -112,3 +112,76 @@ def test_edge_cases(spark):
     assert a.nearest(table.limit(0), lambda i: i % 20 == 0).count() == 0
     assert search(spark.createDataFrame([(20, [1.0, 2.0], 1)], SCHEMA)) == {}
     assert rows(a.nearest(table.where("vec_id = 5"), lambda i: i % 20 == 0)) == []
+
+
+def test_probes_of_many_vectors_follow_the_template():
+    hashing = a.Hashing(8, 5, 1.0, 80)
+    many = np.random.default_rng(4).standard_normal((30, 8))
+    steps = (many @ hashing.project + hashing.shift).reshape(30, 4, 5)
+    found = hashing.all_probes(many)
+    for i in range(30):
+        assert (found[:, i] == hashing.probes(many[i])).all()
+        inside = steps[i] - np.floor(steps[i])
+        for t in range(4):
+            borders = sorted([(x, j, -1) for j, x in enumerate(inside[t])] + [(1 - x, j, 1) for j, x in enumerate(inside[t])])
+            for p, crossed in enumerate(hashing.template):
+                moved = np.floor(steps[i]).astype(np.int64)
+                for at in np.flatnonzero(crossed):
+                    moved[t, borders[at][1]] += borders[at][2]
+                assert found[p, i, t] == hashing._key(moved.reshape(1, -1).view(np.uint64))[0, t]
+
+
+def plain_nearest(ids, rows, query, k):
+    best = {}
+    for i, d in zip(ids, a.distances(rows, query), strict=True):
+        best[i] = min(d, best.get(i, math.inf))
+    return [(i, d) for d, i in sorted((d, i) for i, d in best.items())[:k]]
+
+
+@pytest.mark.parametrize("scale, offset", [(1, 0), (1e-3, 1e6), (1e200, 0), (1e-170, 0)])
+def test_products_rule_out_no_neighbour(monkeypatch, scale, offset):
+    monkeypatch.setattr(a, "TILE_NUMBERS", 500)
+    monkeypatch.setattr(a, "VISITS", 600)
+    rng = np.random.default_rng(6)
+    given = offset + scale * rng.standard_normal((400, 6))
+    given[100:140] = given[0]  # ties, by the id
+    ids = rng.permutation(400)
+    ids[200:210] = ids[5]  # several vectors under one id
+    queries = np.concatenate([given[:20], offset + scale * rng.standard_normal((20, 6))])
+    with np.errstate(over="ignore"):
+        every = a._Best(ids, given, queries)
+        every.offer(np.arange(40), np.arange(400))
+        found = every.results(np.arange(40) * 7)
+        for q in range(40):
+            mine = found[found.query_id == q * 7]
+            assert [*zip(mine.vec_id, mine.score, strict=True)] == plain_nearest(ids, given, queries[q], 11)
+        if offset or scale != 1:
+            return
+        hashing = a.Hashing(6, 4, 1.5, 12)
+        buckets, best = a._Buckets(hashing, given), a._Best(ids, given, queries)
+        buckets.compare(np.concatenate([buckets.visits(queries[i : i + 16], i) for i in range(0, 40, 16)]), best)
+        found, keys = best.results(np.arange(40)), hashing.keys(given)
+        for q in range(40):
+            met = (hashing.probes(queries[q])[:, None] == keys[None]).any(axis=(0, 2))
+            mine = found[found.query_id == q]
+            assert [*zip(mine.vec_id, mine.score, strict=True)] == plain_nearest(ids[met], given[met], queries[q], 11)
+
+
+def test_queries_are_not_broadcast(spark, monkeypatch):
+    """Spark takes packed vectors and keys for small, whatever they hold; a broadcast of them fills the driver."""
+    plans, real = {}, a.stage
+
+    def stage(df, name):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(a, "stage", stage)
+    given = vectors(3000)
+    assert search(spark.createDataFrame(given, SCHEMA)).keys() == brute(given).keys()
+    assert "Broadcast" not in plans["met"]
+
+
+def test_doubles_keep_all_their_digits(spark):
+    close = [(i, [1.0, 1.0 + i * 1e-12], 0) for i in range(40)]
+    table = spark.createDataFrame(close, "vec_id bigint, embedding array<double>, label int")
+    assert [i for _, i, _ in search(table)[20]] == sorted((i for i in range(40) if i != 20), key=lambda i: (abs(close[i][1][1] - close[20][1][1]), i))[:10]
