@@ -412,10 +412,13 @@ def nearest(table: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
     same = usable.where(F.size("v") == dim).withColumn("h", F.xxhash64(F.transform("v", lambda x: x + F.lit(0.0))))
     # floats stay floats while they travel; all else is packed as doubles
     number = "f4" if isinstance(getattr(table.select(vector_col).schema[0].dataType, "elementType", None), FloatType) else "f8"
-    rows = stage(_pack(same, number).dropDuplicates(["vec_id", "h"]), "vectors")
+
+    def distinct(some: DataFrame) -> DataFrame:
+        return _pack(some, number).dropDuplicates(["vec_id", "h"])
+
     copies = Window.partitionBy("h").orderBy("vec_id")
-    base = stage(rows.withColumn("r", F.row_number().over(copies)).where(f"r <= {K + 1}").drop("r"), "distinct-vectors")
-    asked = rows.where(is_query(F.col("vec_id"))).select("vec_id", "h", "v")
+    base = stage(distinct(same).withColumn("r", F.row_number().over(copies)).where(f"r <= {K + 1}").drop("r"), "distinct-vectors")
+    asked = stage(distinct(same.where(is_query(F.col("vec_id")))), "asked")
     searches = stage(asked.withColumn("r", F.row_number().over(copies)).where("r = 1").drop("r"), "searches")
 
     n = base.count()
